@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["scoring"]
+_MODULES = ["scoring", "lyrics"]
 
 
 def _collect(attr: str) -> dict:
