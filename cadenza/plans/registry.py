@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["scoring", "lyrics"]
+_MODULES = ["scoring", "lyrics", "matching"]
 
 
 def _collect(attr: str) -> dict:
