@@ -206,7 +206,9 @@ PROMPT_TEMPLATE = ("Song: %s — %s\nAttributes:\n- BPM: %s\n- Mode: %s\n"
 
 
 def fmt2_or_na(c) -> Column:
-    return F.coalesce(F.format_string("%.2f", _col(c)), F.lit("NA"))
+    """Two decimals, or NA for NULL (Java formats NULL as 'null')."""
+    col = _col(c)
+    return F.when(col.isNull(), F.lit("NA")).otherwise(F.format_string("%.2f", col))
 
 
 def prompt_text(title, artist, bpm, mode, sval, lval, laro) -> Column:

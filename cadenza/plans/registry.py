@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["scoring", "lyrics", "matching"]
+_MODULES = ["scoring", "lyrics", "matching", "gating", "framestats", "answers"]
 
 
 def _collect(attr: str) -> dict:

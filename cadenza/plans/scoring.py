@@ -26,19 +26,24 @@ def _case(col, mapping: dict, default=None):
     return out.otherwise(F.lit(default).cast("string"))
 
 
-def track_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One track per part row with BPM, mode, lyric affect and evidence."""
-    part = load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                                  "o_orderpriority")
+def affect_view(part):
+    """BPM, mode and lyric affect per part row (no evidence)."""
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    tracks = part.select(
+    return part.select(
         "p_partkey",
         (F.lit(40) + F.lit(2) * F.col("p_size")).cast("double").alias("bpm"),
         _case(F.col("p_type"), MODE_BY_TYPE).alias("mode"),
         F.when(cents % 7 != 0, (cents % 151 - 50).cast("double") / F.lit(100.0)).alias("lyric_valence"),
         F.when(cents % 5 != 0, (cents * 3 % 131 - 30).cast("double") / F.lit(100.0)).alias("lyric_arousal"),
     )
+
+
+def track_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One track per part row with BPM, mode, lyric affect and evidence."""
+    part = load(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                                  "o_orderpriority")
+    tracks = affect_view(part)
     evidence = orders.select(
         F.col("o_orderkey"),
         _case(F.col("o_orderpriority"), BPM_EVIDENCE_BY_PRIORITY).alias("bpm_evidence"),
@@ -95,6 +100,15 @@ def _grade_sql(x: str) -> str:
     return f"CASE WHEN {x} IS NULL THEN 'N/A' {whens} ELSE 'F' END"
 
 
+AFFECT_SQL = f"""
+      SELECT p_partkey,
+             CAST(40 + 2 * p_size AS DOUBLE) AS bpm,
+             {_sql_case('p_type', MODE_BY_TYPE)} AS mode,
+             CASE WHEN c % 7 <> 0 THEN CAST(c % 151 - 50 AS DOUBLE) / {dbl(100.0)} END AS lyric_valence,
+             CASE WHEN c % 5 <> 0 THEN CAST(c * 3 % 131 - 30 AS DOUBLE) / {dbl(100.0)} END AS lyric_arousal
+      FROM (SELECT *, CAST(round(p_retailprice * 100) AS BIGINT) AS c FROM part) p"""
+
+
 def scored_sql() -> str:
     """SELECT producing the unrounded scored track view (CTE body)."""
     mode_scores = " ".join(f"WHEN '{k}' THEN {dbl(v)}" for k, v in C.MODE_SCORES.items())
