@@ -16,8 +16,13 @@ from .. import config as C
 
 # Characters Python's str.isspace() accepts (str.strip / str.split).
 PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-# The same set as a Java regex class (inside [...]); (?U)\s misses 1C-1F.
+# The same set as a Java regex class body, used under (?U): (?U)\s is
+# Unicode White_Space, which misses only 1C-1F.  (An explicit list of the
+# code points is equivalent but several times slower in java.util.regex.)
 WS_CLASS = r"\s\x{1c}-\x{1f}"
+# Non-ASCII characters that Java's Unicode case-insensitive matching folds
+# onto ASCII letters (long s, Kelvin sign, dotted/dotless i).
+_ASCII_FOLDERS = ("\u017f", "\u212a", "\u0130", "\u0131")
 
 
 def _col(c) -> Column:
@@ -43,6 +48,20 @@ def collapse_ws(c, repl: str = " ") -> Column:
     return F.regexp_replace(_col(c), f"(?U)[{WS_CLASS}]+", repl)
 
 
+def may_contain_ci(c, words) -> Column:
+    """Cheap superset test for a case-insensitive regex over ``words``: the
+    lower-cased text contains one of them, or a character that folds onto
+    an ASCII letter is present.  Used to skip regexes that cannot match."""
+    col = _col(c)
+    low = F.lower(col)
+    out = F.lit(False)
+    for ch in _ASCII_FOLDERS:          # substring scans are far cheaper than a regex class
+        out = out | col.contains(ch)
+    for w in words:
+        out = low.contains(w.lower()) | out
+    return out
+
+
 def is_blank(c) -> Column:
     """Non-null string that is empty after strip."""
     return strip(c) == F.lit("")
@@ -137,8 +156,10 @@ def clean_lyrics_fetch(c, line_words: Iterable[str] = C.FETCH_LINE_WORDS) -> Col
     contain a marker word, replace ``[...]`` with a space, collapse
     whitespace, strip.  Non-string -> ''."""
     col = _col(c)
-    s = F.regexp_replace(col, rf"(?imdu)^.*({alternation(line_words)}).*$", "")
-    s = F.regexp_replace(s, r"(?d)\[.*?\]", " ")
+    words = tuple(line_words)
+    s = F.when(may_contain_ci(col, words),
+               F.regexp_replace(col, rf"(?imdu)^.*({alternation(words)}).*$", "")).otherwise(col)
+    s = F.when(s.contains("["), F.regexp_replace(s, r"(?d)\[.*?\]", " ")).otherwise(s)
     s = strip(collapse_ws(s))
     return F.coalesce(s, F.lit(""))
 
@@ -150,10 +171,14 @@ def clean_lyrics_gate(c, contributors: str = C.GATE_CONTRIBUTORS_WORD,
     from ``Read More`` to the end, remove ``Page N [Page M ...]``, strip.
     NULL stays NULL."""
     col = _col(c)
-    s = F.regexp_replace(col, rf"(?isU)\b\d+[{WS_CLASS}]+{regex_escape(contributors)}[\s\S]*", "")
-    s = F.regexp_replace(s, rf"(?isu){regex_escape(read_more)}[\s\S]*", "")
+    s = F.when(may_contain_ci(col, [contributors]),
+               F.regexp_replace(col, rf"(?isU)\b\d+[{WS_CLASS}]+{regex_escape(contributors)}[\s\S]*", "")
+               ).otherwise(col)
+    s = F.when(may_contain_ci(s, [read_more]),
+               F.regexp_replace(s, rf"(?isu){regex_escape(read_more)}[\s\S]*", "")).otherwise(s)
     p = regex_escape(page)
-    s = F.regexp_replace(s, rf"(?isU){p} \d+(?:[{WS_CLASS}]+{p} \d+)*", "")
+    s = F.when(may_contain_ci(s, [page + " "]),
+               F.regexp_replace(s, rf"(?isU){p} \d+(?:[{WS_CLASS}]+{p} \d+)*", "")).otherwise(s)
     return strip(s)
 
 
@@ -172,9 +197,9 @@ def tokens(c) -> Column:
 
 
 def word_count(c) -> Column:
-    """``len(s.split())`` with Python whitespace; NULL -> NULL."""
-    s = strip(c)
-    return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, f"(?U)[{WS_CLASS}]+")))
+    """``len(s.split())`` with Python whitespace; NULL -> NULL.  Counts the
+    runs of non-whitespace instead of materialising the word array."""
+    return F.regexp_count(_col(c), F.lit(f"(?U)[^{WS_CLASS}]+"))
 
 
 def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> Column:
@@ -185,7 +210,11 @@ def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> Column:
     text = strip(col)
     low = F.lower(text)
     wc = word_count(col)
-    instrumental = low.rlike(rf"(?U)\b({alternation(cfg.instrumental_words)})\b")
+    # the regex runs on lower-cased text, so a plain substring test is an exact pre-filter
+    maybe = F.lit(False)
+    for w in cfg.instrumental_words:
+        maybe = maybe | low.contains(w)
+    instrumental = maybe & low.rlike(rf"(?U)\b({alternation(cfg.instrumental_words)})\b")
     summary = F.lit(False)
     for kw in cfg.summary_keywords:
         summary = summary | low.contains(kw)
