@@ -92,3 +92,10 @@ def lookup_answers(tracks: DataFrame, answers: DataFrame) -> DataFrame:
     a = answers.select("answer_key", *ANSWER_FIELDS, "parse_ok").withColumn("_hit", F.lit(True))
     j = tracks.join(a, "answer_key", "left")
     return j.withColumn("needs_inference", F.col("_hit").isNull()).drop("_hit")
+
+
+def count_updates(filled: DataFrame) -> DataFrame:
+    """Rows that received an answer in this run (cache hits count too)."""
+    return filled.agg(F.count_if(F.col("listening_context").isNotNull()
+                                 | F.col("contraindications").isNotNull()).alias("updated_rows"),
+                      F.count(F.lit(1)).alias("n_rows"))

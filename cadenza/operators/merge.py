@@ -58,3 +58,8 @@ def merge_back(orig: DataFrame, final: DataFrame, key_cols=("title", "artist"),
 def restore_order(df: DataFrame, row_col: str = "_row") -> DataFrame:
     """Sink-side sort back to input order, helper column dropped."""
     return df.orderBy(row_col).drop(row_col)
+
+
+def preview(df: DataFrame, n: int = 3, row_col: str = "_row") -> DataFrame:
+    """The first ``n`` rows in input order (a top-n, not a full sort)."""
+    return df.orderBy(row_col).limit(n)

@@ -106,3 +106,28 @@ def lyric_sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFr
         F.when(reuse, F.col("_cv")).otherwise(fresh_v).alias("lyric_valence"),
         F.when(reuse, F.col("_ca")).otherwise(lex_a).alias("lyric_arousal"),
         source.alias("sentiment_source"))
+
+
+def lyrics_lookup(tracks: DataFrame, key: str, cache: DataFrame | None = None,
+                  source: DataFrame | None = None, line_words=None) -> DataFrame:
+    """Lyrics per track (JOI-10): a cached non-empty text as is, else the
+    fetched text (``source``: key, lyrics) cleaned by the fetch cleaner when
+    it is non-empty, else ''.  Adds ``lyrics`` and ``lyrics_origin``."""
+    t = tracks
+    if cache is not None:
+        t = t.join(cache.select(key, F.col("lyrics").alias("_cached")), key, "left")
+    else:
+        t = t.withColumn("_cached", F.lit(None).cast("string"))
+    if source is not None:
+        t = t.join(source.select(key, F.col("lyrics").alias("_fetched")), key, "left")
+    else:
+        t = t.withColumn("_fetched", F.lit(None).cast("string"))
+    cached = F.when(F.col("_cached") != "", F.col("_cached"))
+    clean = (text.clean_lyrics_fetch(F.col("_fetched"), line_words) if line_words is not None
+             else text.clean_lyrics_fetch(F.col("_fetched")))
+    fetched = F.when(F.col("_fetched") != "", clean)
+    return t.withColumns({
+        "lyrics": F.coalesce(cached, fetched, F.lit("")),
+        "lyrics_origin": F.when(cached.isNotNull(), F.lit("cache"))
+                          .when(fetched.isNotNull(), F.lit("fetched")).otherwise(F.lit("none")),
+    }).drop("_cached", "_fetched")

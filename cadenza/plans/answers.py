@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.answers import infer_answers, lookup_answers, parse_answer
+from ..operators.answers import count_updates, infer_answers, lookup_answers, parse_answer
 from .base import load, round_doubles
 from .scoring import AFFECT_SQL, affect_view
 
@@ -50,7 +50,7 @@ def q_answer_parse(spark, sf_dir):
     return lookup_answers(tracks, _answers(spark, sf_dir))
 
 
-def q_batch_inference(spark, sf_dir):
+def _inferred(spark, sf_dir):
     t = _tracks(spark, sf_dir).withColumn("answer_key", text.answer_key("p_name", "p_brand"))
     cached = (t.where(F.col("p_type") == "PROMO").select("answer_key").distinct()
               .select("answer_key", F.lit("cached context").alias("listening_context"),
@@ -58,6 +58,15 @@ def q_batch_inference(spark, sf_dir):
                       F.lit("from snapshot").alias("rationale")))
     filled, _ = infer_answers(t.select("p_partkey", "answer_key", "lyric_valence", "lyric_arousal"),
                               cached, "p_partkey")
+    return filled
+
+
+def q_answer_updates(spark, sf_dir):
+    return count_updates(_inferred(spark, sf_dir))
+
+
+def q_batch_inference(spark, sf_dir):
+    filled = _inferred(spark, sf_dir)
     return round_doubles(filled.select("p_partkey", "answer_key", "listening_context",
                                        "contraindications", "rationale", "answer_source"))
 
@@ -71,6 +80,7 @@ def _f2(x: str) -> str:
 
 
 ORACLE = {
+    "answer_updates": "SELECT count(*) AS updated_rows, count(*) AS n_rows FROM part",
     "prompt_render": f"""WITH a AS ({AFFECT_SQL}), t AS (
           SELECT p.p_partkey, p.p_name, p.p_brand, p.p_type, p.p_size, a.bpm, a.mode, a.lyric_valence
           FROM part p JOIN a ON a.p_partkey = p.p_partkey)
@@ -129,6 +139,7 @@ ORACLE = {
 }
 
 QUERIES = {
+    "answer_updates": q_answer_updates,
     "prompt_render": q_prompt_render,
     "answer_parse": q_answer_parse,
     "batch_inference": q_batch_inference,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions import text
 from ..operators.quality import classify_lyrics, flagged_rows, status_counts
-from ..operators.sentiment import lexicon_scores, lyric_sentiment
+from ..operators.sentiment import lexicon_scores, lyric_sentiment, lyrics_lookup
 from .base import dbl, load, round_doubles
 
 # Adapter values chosen from words that occur in the driver documents.
@@ -104,6 +104,21 @@ def q_mojibake_repair(spark, sf_dir):
                        fixed.alias("repaired"), (fixed == F.col("text")).alias("restored"))
 
 
+CACHED_LYRIC_SOURCES = ("src3", "src4", "src5")
+
+
+def q_lyrics_lookup(spark, sf_dir):
+    """Tracks = part rows; fetched lyrics = the document with doc_id =
+    p_partkey; cached lyrics = some documents' text, blank for one language."""
+    part = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("track_id"))
+    docs = load(spark, sf_dir, "documents")
+    source = docs.select(F.col("doc_id").alias("track_id"), F.col("text").alias("lyrics"))
+    cache = docs.where(F.col("source").isin(*CACHED_LYRIC_SOURCES)).select(
+        F.col("doc_id").alias("track_id"),
+        F.when(F.col("lang") == "de", F.lit("")).otherwise(F.upper(F.substring("text", 1, 30))).alias("lyrics"))
+    return lyrics_lookup(part, "track_id", cache, source, FETCH_WORDS)
+
+
 def song_titles(spark, sf_dir):
     """Titles/artists from part, decorated with version suffixes, brackets,
     case and spacing so every key rule has work to do."""
@@ -204,7 +219,18 @@ def _title_sql() -> str:
                    ELSE p_name || '  -  Remastered 2011' END"""
 
 
+_FETCH_CLEAN = ("coalesce(" + _strip(
+    "regexp_replace(regexp_replace(regexp_replace(d.text, '(?mi)^.*(" + '|'.join(FETCH_WORDS)
+    + ").*$', '', 'g'), '\\[.*?\\]', ' ', 'g'), '\\s+', ' ', 'g')") + ", '')")
+
 ORACLE = {
+    "lyrics_lookup": f"""WITH c AS (
+          SELECT doc_id, CASE WHEN lang = 'de' THEN '' ELSE upper(substring(text, 1, 30)) END AS cached
+          FROM documents WHERE source IN {CACHED_LYRIC_SOURCES})
+        SELECT p.p_partkey AS track_id,
+          CASE WHEN c.cached <> '' THEN c.cached WHEN d.text <> '' THEN {_FETCH_CLEAN} ELSE '' END AS lyrics,
+          CASE WHEN c.cached <> '' THEN 'cache' WHEN d.text <> '' THEN 'fetched' ELSE 'none' END AS lyrics_origin
+        FROM part p LEFT JOIN c ON c.doc_id = p.p_partkey LEFT JOIN documents d ON d.doc_id = p.p_partkey""",
     "lexicon_sentiment": f"""WITH {LEX_SQL}
         SELECT doc_id, round(v, 6) AS lyric_valence, round(a, 6) AS lyric_arousal, hits AS lex_hits FROM lexagg""",
     "sentiment_fallback": f"""WITH {LEX_SQL}, cache AS (
@@ -264,6 +290,7 @@ ORACLE = {
 }
 
 QUERIES = {
+    "lyrics_lookup": q_lyrics_lookup,
     "lexicon_sentiment": q_lexicon_sentiment,
     "sentiment_fallback": q_sentiment_fallback,
     "lyric_status": q_lyric_status,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..operators.merge import preview
 from ..operators.score import grade_histogram, rank_by_score, score_tracks
 from .base import dbl, load, round_doubles
 
@@ -70,6 +71,13 @@ def q_rank_tracks(spark, sf_dir):
     return round_doubles(ranked.select("p_partkey", "total_score", "letter_grade", "rank"))
 
 
+def q_preview_head(spark, sf_dir):
+    """First three scored tracks in input order (the diagnostic head)."""
+    scored = score_tracks(track_view(spark, sf_dir)).withColumnRenamed("p_partkey", "_row")
+    return round_doubles(preview(scored, 3).select(F.col("_row").alias("p_partkey"), "total_score",
+                                                   "letter_grade"))
+
+
 # ---------------------------------------------------------------------------
 # Oracle SQL (DuckDB)
 # ---------------------------------------------------------------------------
@@ -174,6 +182,9 @@ def _r(c: str) -> str:
 
 
 ORACLE = {
+    "preview_head": scored_sql() + f"""
+    SELECT p_partkey, {_r('total_score')}, {_grade_sql('total_score')} AS letter_grade
+    FROM scored ORDER BY p_partkey LIMIT 3""",
     "score_tracks": scored_sql() + f"""
     SELECT p_partkey, {_r('bpm')}, mode, {_r('lyric_valence')}, {_r('lyric_arousal')},
            bpm_evidence, mode_evidence, lyricval_evidence, lyricaro_evidence,
@@ -192,6 +203,7 @@ ORACLE = {
 }
 
 QUERIES = {
+    "preview_head": q_preview_head,
     "score_tracks": q_score_tracks,
     "grade_histogram": q_grade_histogram,
     "rank_tracks": q_rank_tracks,
