@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import TUNING
 from ..functions import num, payload, text
+from ..session import ensure_checkpoint_dir
 
 PROVIDER_ORDER = ("p1_bpm", "p2_preview", "p3_search", "p4_preview")
 
@@ -116,6 +117,13 @@ def enrich_chain(tracks: DataFrame, providers: DataFrame, cache: DataFrame | Non
 # Order-dependent fold (JOI-8)
 # ---------------------------------------------------------------------------
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` to the shared checkpoint folder and continue from
+    the written data (lineage cut that survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def prior_last(df: DataFrame, key: str, order: str, values: dict[str, str],
                chunk_rows: int | None = None) -> DataFrame:
     """For each row and each ``values`` entry {out: col}: the last non-NULL
@@ -124,7 +132,9 @@ def prior_last(df: DataFrame, key: str, order: str, values: dict[str, str],
     a carry = last non-NULL of all earlier chunks of the key, computed over
     one summary row per (key, chunk)."""
     size = chunk_rows or TUNING.scan_chunk_rows
-    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(size)))
+    # explicit (key, chunk) distribution: a key-only partitioning inherited
+    # from upstream would put a hot key's rows into one task
+    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(size))).repartition(key, "_chunk")
     w_in = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumns({f"_in_{o}": F.last(c, ignorenulls=True).over(w_in) for o, c in values.items()})
     summ = d.groupBy(key, "_chunk").agg(*[
@@ -160,6 +170,11 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
     b_b = ob & ~om                                    # b turns non-NULL only while m is NULL
     b_m = om & ~ob
     j = j.withColumns({"_a_b": a_b, "_a_m": a_m, "_flip_b": a_b | b_b, "_flip_m": a_m | b_m})
+    # The row frame feeds several per-key aggregates and their join-backs:
+    # cut its lineage once (reliable checkpoint in the shared folder) so the
+    # scan and lookup join are not recomputed for every branch.
+    j = _cut(j.select(key, order, *[c for c in t.columns if c not in (key, order)],
+                      *[c for c in j.columns if c.startswith("_") and c not in t.columns]))
 
     # Pass 1: first row of each key (an absent key's first row always writes).
     first = j.groupBy(key).agg(F.min(order).alias("_first"),
@@ -204,6 +219,7 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
         "_wb": F.when(writing & (ob | ~nb | absent_first), F.coalesce(F.col("_own_b"), F.col("_pb"))),
         "_wm": F.when(writing & (om | ~nm | absent_first), F.coalesce(F.col("_own_m"), F.col("_pm"))),
     })
+    j = _cut(j)
     j = prior_last(j, key, order, {"_sb": "_wb", "_sm": "_wm"}, chunk_rows)
     # State values before this row: latest write, else the initial cache entry.
     st_b = F.when(F.col("_c_present") | ~is_first, F.coalesce(F.col("_sb"), F.col("_c_b")))
