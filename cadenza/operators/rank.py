@@ -7,7 +7,9 @@ partition, take the in-partition position from
 the lower 33), count rows per partition, turn the counts into offsets over a
 table of at most ``num_partitions`` rows, and add the offset back through a
 broadcast of that bounded table.  The order must be total (break ties with a
-unique column) so a recomputed partition gets the same numbers.
+unique column).  The tagged frame is checkpointed (reliable, shared
+folder) so the counts and the numbering read the same materialised
+positions: one range shuffle, and no dependence on two shuffles agreeing.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -26,6 +30,8 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rank",
     mid = F.monotonically_increasing_id()
     tagged = ordered.withColumns({"_rk_pid": F.shiftright(mid, 33),
                                   "_rk_pos": mid.bitwiseAND(F.lit(_LOW_BITS))})
+    ensure_checkpoint_dir(spark)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_rk_pid").agg(F.count(F.lit(1)).alias("_rk_n"))
     w = Window.orderBy("_rk_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_rk_pid", F.coalesce(F.sum("_rk_n").over(w), F.lit(0)).alias("_rk_off"))
