@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import num, text
 from ..operators.merge import merge_back
 from ..operators.resolve import (failed_ids, features_with_fallback, known_ids, resolve_tracks,
                                  upsert_cache)
@@ -31,7 +31,7 @@ def q_merge_back(spark, sf_dir):
         _artist(F.concat(F.lower("p_brand"), F.lit(" "))).alias("artist"),
         "p_type", "p_retailprice")
     out = merge_back(songs, final, ("title", "artist"), final_order="final_row", run_date=RUN_DATE)
-    return round_doubles(out)
+    return round_doubles(out.drop("final_row"))
 
 
 def _catalog(part):
@@ -104,7 +104,8 @@ KNOWN_IDS = (3, 17, 4242, 10**12)
 def q_known_ids(spark, sf_dir):
     features, _ = _providers(spark, sf_dir)
     ids = spark.createDataFrame([(i,) for i in KNOWN_IDS], "track_id bigint")
-    return round_doubles(known_ids(F.broadcast(ids), features.where(F.col("track_id").isin(*KNOWN_IDS))))
+    feats = features.where(F.col("track_id").isin(*KNOWN_IDS)).withColumn("mode", num.mode_from_int(F.col("mode")))
+    return round_doubles(known_ids(F.broadcast(ids), feats))
 
 
 def q_cache_upsert(spark, sf_dir):
@@ -153,7 +154,7 @@ ORACLE = {
         ), fd AS (
           SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(title)), lower(trim(artist)) ORDER BY final_row) AS rn FROM final) WHERE rn = 1
         )
-        SELECT s._row, s.title, s.artist, f.final_row, f.title AS title_new, f.artist AS artist_new, f.p_type,
+        SELECT s._row, s.title, s.artist, f.title AS title_new, f.artist AS artist_new, f.p_type,
                round(f.p_retailprice, 6) AS p_retailprice, 'You' AS curator, '{RUN_DATE}' AS date_added
         FROM songs s LEFT JOIN fd f
           ON lower(trim(s.title)) IS NOT DISTINCT FROM lower(trim(f.title))
@@ -194,7 +195,9 @@ ORACLE = {
         SELECT p_partkey AS track_id FROM part
         WHERE p_partkey NOT IN (SELECT track_id FROM features) AND p_partkey NOT IN (SELECT track_id FROM analysis)""",
     "known_ids": f"""WITH {_PROVIDERS_SQL}
-        SELECT i.track_id, round(f.tempo, 6) AS tempo, f.mode, round(f.valence, 6) AS valence, f.track_id IS NOT NULL AS found
+        SELECT i.track_id, round(f.tempo, 6) AS tempo,
+               CASE f.mode WHEN 1 THEN 'Major' WHEN 0 THEN 'Minor' END AS mode,
+               round(f.valence, 6) AS valence, f.track_id IS NOT NULL AS found
         FROM (VALUES {', '.join(f'({i})' for i in KNOWN_IDS)}) i(track_id)
         LEFT JOIN features f ON f.track_id = i.track_id""",
     "cache_upsert": f"""WITH old AS (
