@@ -132,6 +132,9 @@ class Tuning:
     broadcast_max_rows: int = 2_000_000
     # Rows per chunk when a per-key scan is split across tasks.
     scan_chunk_rows: int = 1 << 16
+    # Groups above this many rows leave per-group aggregate buffers for an
+    # exact distributed path (median).
+    hot_key_rows: int = 5_000_000
 
 
 @dataclass(frozen=True)

@@ -166,3 +166,16 @@ def test_incremental_enrich_is_resumable(spark, tmp_dir):
     cache = io.read_snapshot(spark, out["cache"]).collect()
     # row 2 returns early (own BPM + cached mode), so the cache keeps row 1's write
     assert [(r.song_key, r.bpm, r.mode) for r in cache] == [("k", None, "Minor")]
+
+
+def test_median_hot_path_matches_native(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
+        F.col("user_id").alias("t"), F.col("value").alias("tempo"))
+    extra = spark.createDataFrame([(999999, None), (1, None)], "t long, tempo double")
+    frames = ev.unionByName(extra)
+    native = {r.t: (r.median_tempo, r.n_frames) for r in median_tempo(frames, "t").collect()}
+    hot = {r.t: (r.median_tempo, r.n_frames) for r in median_tempo(frames, "t", hot_rows=60).collect()}
+    assert native.keys() == hot.keys() and native[999999] == (None, 0)
+    for k in native:
+        a, b = native[k], hot[k]
+        assert a[1] == b[1] and (a[0] is None and b[0] is None or abs(a[0] - b[0]) < 1e-9), (k, a, b)
