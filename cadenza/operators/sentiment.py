@@ -52,7 +52,8 @@ def lexicon_scores(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFra
 
 def lyric_sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                     scores: DataFrame | None = None,
-                    cache: DataFrame | None = None) -> DataFrame:
+                    cache: DataFrame | None = None,
+                    max_broadcast_rows: int | None = None) -> DataFrame:
     """Valence/arousal per document with the reference's rules.
 
     * ``cache`` (``id_col, cached_valence, cached_arousal``): used only when
@@ -74,14 +75,15 @@ def lyric_sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFr
     if cache is not None:
         c = cache.select(id_col, num.coerce_number("cached_valence").alias("_cv"),
                          num.coerce_number("cached_arousal").alias("_ca"))
-        cb, small = broadcast_if_small(c)
+        cb, small = broadcast_if_small(c, max_broadcast_rows)
         if small:
             base = base.join(cb, id_col, "left")
             carry += ["_cv", "_ca"]
             skip = F.col("_cv").isNotNull() & F.col("_ca").isNotNull()
         else:
             late_cache = c
-    agg = lexicon_scores(base, id_col, text_col, lexicon, carry=carry, skip=skip)
+    agg = lexicon_scores(base, id_col, text_col, lexicon, carry=carry, skip=skip,
+                         max_broadcast_rows=max_broadcast_rows)
     if late_cache is not None:
         agg = agg.join(late_cache, id_col, "left")
     elif cache is None:
