@@ -28,7 +28,7 @@ def test_fetch_cleaner_idempotent(spark):
     assert df.where(F.col("a") != F.col("b")).count() == 0
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=25, deadline=None, database=None)
 @given(st.text(alphabet="ab [] \n\tX ", max_size=30))
 def test_fetch_cleaner_idempotent_random(spark, s):
     df = spark.createDataFrame([(s,)], "t string")
