@@ -117,6 +117,14 @@ PROVIDER_LABELS = {
     "p4_preview": "librosa(itunes)",
 }
 
+# Lyric tokens: runs of ASCII letters and apostrophes (of the lower-cased text).
+TOKEN_PATTERN = "[A-Za-z']+"
+
+# Attribute block of the listening-context prompt; "NA" marks a missing value.
+PROMPT_TEMPLATE = ("Song: %s — %s\nAttributes:\n- BPM: %s\n- Mode: %s\n"
+                   "- Spotify valence: %s\n- Lyric valence: %s\n- Lyric arousal: %s")
+PROMPT_MISSING = "NA"
+
 # Pitch classes compared by the chroma mode rule: major {0,4,7}, minor {0,3,7}.
 CHROMA_MAJOR = (0, 4, 7)
 CHROMA_MINOR = (0, 3, 7)

@@ -186,7 +186,7 @@ def clean_lyrics_gate(c, contributors: str = C.GATE_CONTRIBUTORS_WORD,
 # Tokens, counts, classification
 # --------------------------------------------------------------------------
 
-TOKEN_PATTERN = "[A-Za-z']+"
+TOKEN_PATTERN = C.TOKEN_PATTERN
 
 
 def tokens(c) -> Column:
@@ -229,15 +229,13 @@ def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> Column:
 # Rendering
 # --------------------------------------------------------------------------
 
-# Attribute block of the context prompt; "NA" stands for a missing value.
-PROMPT_TEMPLATE = ("Song: %s — %s\nAttributes:\n- BPM: %s\n- Mode: %s\n"
-                   "- Spotify valence: %s\n- Lyric valence: %s\n- Lyric arousal: %s")
+PROMPT_TEMPLATE = C.PROMPT_TEMPLATE
 
 
 def fmt2_or_na(c) -> Column:
     """Two decimals, or NA for NULL (Java formats NULL as 'null')."""
     col = _col(c)
-    return F.when(col.isNull(), F.lit("NA")).otherwise(F.format_string("%.2f", col))
+    return F.when(col.isNull(), F.lit(C.PROMPT_MISSING)).otherwise(F.format_string("%.2f", col))
 
 
 def prompt_text(title, artist, bpm, mode, sval, lval, laro) -> Column:
@@ -247,7 +245,7 @@ def prompt_text(title, artist, bpm, mode, sval, lval, laro) -> Column:
     return F.format_string(
         PROMPT_TEMPLATE,
         strip(title), strip(artist),
-        F.coalesce(_col(bpm).cast("string"), F.lit("NA")),
-        F.when(mode_c != "", mode_c).otherwise(F.lit("NA")),
+        F.coalesce(_col(bpm).cast("string"), F.lit(C.PROMPT_MISSING)),
+        F.when(mode_c != "", mode_c).otherwise(F.lit(C.PROMPT_MISSING)),
         fmt2_or_na(sval), fmt2_or_na(lval), fmt2_or_na(laro))
 

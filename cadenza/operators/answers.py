@@ -22,6 +22,7 @@ from .merge import first_per_key
 
 ANSWER_FIELDS = ("listening_context", "contraindications", "rationale")
 RAW_SCHEMA = "answer_key string, raw string"
+SAFE_RAW_SCHEMA = "answer_key string, raw string, error string"
 
 
 def parse_answer(raw) -> list:
@@ -66,6 +67,34 @@ def rule_based_model(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"answer_key": pdf["answer_key"].to_numpy(), "raw": raw})
 
 
+def isolate_rows(model: Callable) -> Callable:
+    """Row-level failure isolation for a model hook: a batch that raises is
+    retried row by row; a row that still raises yields raw NULL and its
+    error text, and the task goes on (the original kept the row and moved
+    on)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            try:
+                out = pd.concat(list(model(iter([pdf]))), ignore_index=True)
+                out["error"] = None
+                yield out[["answer_key", "raw", "error"]]
+                continue
+            except Exception:  # noqa: BLE001 - isolate and retry per row
+                pass
+            rows = []
+            for i in range(len(pdf)):
+                one = pdf.iloc[i:i + 1]
+                try:
+                    got = pd.concat(list(model(iter([one]))), ignore_index=True)
+                    rows.append(got.assign(error=None)[["answer_key", "raw", "error"]])
+                except Exception as e:  # noqa: BLE001
+                    rows.append(pd.DataFrame({"answer_key": one["answer_key"].to_numpy(),
+                                              "raw": [None], "error": [f"{type(e).__name__}: {e}"[:500]]}))
+            yield pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(
+                {"answer_key": [], "raw": [], "error": []})
+    return run
+
+
 def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str,
                   model: Callable = rule_based_model, lval: str = "lyric_valence",
                   laro: str = "lyric_arousal") -> tuple[DataFrame, DataFrame]:
@@ -78,7 +107,7 @@ def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str,
     pending = tracks.join(answers.select("answer_key"), "answer_key", "left_anti")
     firsts = first_per_key(pending.select("answer_key", order_col, F.col(lval).alias("lval"),
                                           F.col(laro).alias("laro")), ["answer_key"], order_col)
-    raw = firsts.select("answer_key", "lval", "laro").mapInPandas(model, RAW_SCHEMA)
+    raw = firsts.select("answer_key", "lval", "laro").mapInPandas(isolate_rows(model), SAFE_RAW_SCHEMA)
     fresh = raw.select("answer_key", *parse_answer("raw")).drop("parse_ok")
     snapshot = (answers.select("answer_key", *ANSWER_FIELDS).withColumn("answer_source", F.lit("cache"))
                 .unionByName(fresh.withColumn("answer_source", F.lit("model"))))

@@ -179,3 +179,18 @@ def test_median_hot_path_matches_native(spark):
     for k in native:
         a, b = native[k], hot[k]
         assert a[1] == b[1] and (a[0] is None and b[0] is None or abs(a[0] - b[0]) < 1e-9), (k, a, b)
+
+
+def test_model_failures_are_isolated(spark):
+    def flaky(batches):
+        for pdf in batches:
+            if (pdf["answer_key"] == "bad").any():
+                raise RuntimeError("model refused")
+            yield pdf.assign(raw='{"listening_context": "ok", "contraindications": "none", "rationale": "r"}')[
+                ["answer_key", "raw"]]
+    tracks = spark.createDataFrame([(1, "good", 0.1, 0.1), (2, "bad", 0.1, 0.1)],
+                                   "_row long, answer_key string, lyric_valence double, lyric_arousal double")
+    empty = spark.createDataFrame([], "answer_key string, listening_context string, contraindications string, rationale string")
+    filled, _ = infer_answers(tracks, empty, "_row", model=flaky)
+    got = {r.answer_key: r.listening_context for r in filled.collect()}
+    assert got == {"good": "ok", "bad": None}
