@@ -31,8 +31,8 @@ def q_prompt_render(spark, sf_dir):
 
 def _answers(spark, sf_dir):
     conv = load(spark, sf_dir, "conversations").where(F.col("role") == "assistant")
-    body = F.to_json(F.struct(F.substring("text", 1, 40).alias("listening_context"),
-                              F.substring("text", 41, 30).alias("contraindications"),
+    body = F.to_json(F.struct(F.col("text").alias("listening_context"),
+                              F.lower("text").alias("contraindications"),
                               F.concat(F.lit("turn "), F.col("turn").cast("string")).alias("rationale")))
     raw = F.when(F.col("turn") % 4 == 3, F.concat(F.lit('{"listening_context": '), F.col("conv_id").cast("string")))\
            .otherwise(body)
@@ -99,8 +99,8 @@ ORACLE = {
             FROM conversations WHERE role = 'assistant') WHERE rn = 1
         ), ans AS (
           SELECT answer_key,
-                 CASE WHEN turn % 4 <> 3 THEN substring(text, 1, 40) END AS listening_context,
-                 CASE WHEN turn % 4 <> 3 THEN substring(text, 41, 30) END AS contraindications,
+                 CASE WHEN turn % 4 <> 3 THEN text END AS listening_context,
+                 CASE WHEN turn % 4 <> 3 THEN lower(text) END AS contraindications,
                  CASE WHEN turn % 4 <> 3 THEN 'turn ' || turn END AS rationale,
                  turn % 4 <> 3 AS parse_ok
           FROM last

@@ -115,7 +115,7 @@ def q_lyrics_lookup(spark, sf_dir):
     source = docs.select(F.col("doc_id").alias("track_id"), F.col("text").alias("lyrics"))
     cache = docs.where(F.col("source").isin(*CACHED_LYRIC_SOURCES)).select(
         F.col("doc_id").alias("track_id"),
-        F.when(F.col("lang") == "de", F.lit("")).otherwise(F.upper(F.substring("text", 1, 30))).alias("lyrics"))
+        F.when(F.col("lang") == "de", F.lit("")).otherwise(F.upper("text")).alias("lyrics"))
     return lyrics_lookup(part, "track_id", cache, source, FETCH_WORDS)
 
 
@@ -225,7 +225,7 @@ _FETCH_CLEAN = ("coalesce(" + _strip(
 
 ORACLE = {
     "lyrics_lookup": f"""WITH c AS (
-          SELECT doc_id, CASE WHEN lang = 'de' THEN '' ELSE upper(substring(text, 1, 30)) END AS cached
+          SELECT doc_id, CASE WHEN lang = 'de' THEN '' ELSE upper(text) END AS cached
           FROM documents WHERE source IN {CACHED_LYRIC_SOURCES})
         SELECT p.p_partkey AS track_id,
           CASE WHEN c.cached <> '' THEN c.cached WHEN d.text <> '' THEN {_FETCH_CLEAN} ELSE '' END AS lyrics,
