@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import ship_package
 from .merge import first_per_key
 
 ANSWER_FIELDS = ("listening_context", "contraindications", "rationale")
@@ -104,6 +105,7 @@ def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str,
     values; ``answers`` is the cached snapshot (answer_key + the three
     fields).  Only keys absent from the snapshot are sent to ``model``, one
     row per key (its first row by ``order_col``)."""
+    ship_package(tracks.sparkSession)
     pending = tracks.join(answers.select("answer_key"), "answer_key", "left_anti")
     firsts = first_per_key(pending.select("answer_key", order_col, F.col(lval).alias("lval"),
                                           F.col(laro).alias("laro")), ["answer_key"], order_col)

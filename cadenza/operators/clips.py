@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from ..session import ship_package
 from .frames import chroma_mode, median_tempo
 
 FRAME_SCHEMA = "clip_id string, frame int, tempo double, chroma array<float>"
@@ -51,6 +52,7 @@ def analyse_clips(clips: DataFrame, analyser=byte_frames_analyser,
     frame tempo and chroma mode from ``analyser``; where ``fallback``
     (clip_id, bpm, mode) is given it is used when the analyser's BPM is
     missing or 0 and its mode is missing.  Sources name the producer."""
+    ship_package(clips.sparkSession)
     gated = clips.where(F.octet_length("content") >= C.MIN_CLIP_BYTES).select("clip_id", "content")
     frames = gated.mapInPandas(analyser, FRAME_SCHEMA)
     tempo = median_tempo(frames, "clip_id")

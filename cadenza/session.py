@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -46,6 +48,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cadenza`` importable on every executor (Python hooks are
+    pickled by reference): zip the package once per SparkContext and hand
+    it to ``addPyFile``, which distributes it with the job."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.dirname(pkg_dir)
+    zpath = os.path.join(tempfile.mkdtemp(prefix="cadenza-pkg-"), "cadenza.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, base))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
