@@ -1,0 +1,3 @@
+"""cadenza: Spark-native track enrichment, cleaning and scoring."""
+
+__version__ = "0.1.0"
