@@ -194,3 +194,23 @@ def test_model_failures_are_isolated(spark):
     filled, _ = infer_answers(tracks, empty, "_row", model=flaky)
     got = {r.answer_key: r.listening_context for r in filled.collect()}
     assert got == {"good": "ok", "bad": None}
+
+
+def test_incremental_enrich_second_file_sees_first_batch_cache(spark, tmp_dir):
+    land = os.path.join(tmp_dir, "landing2")
+    ddl = "_row long, song_key string, bpm double, mode string"
+    spark.createDataFrame([(1, "k", 120.0, "Major")], ddl).write.parquet(land + "/f1")
+    schema = spark.read.parquet(land + "/f1").schema
+    prov = spark.createDataFrame([], PROV_DDL)
+    work = os.path.join(tmp_dir, "work2")
+
+    def stream():
+        return spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(land)
+
+    first = run_incremental_enrich(spark, stream(), lambda b: b, prov, work)
+    spark.createDataFrame([(2, "k", None, None)], ddl).write.parquet(land + "/f2")
+    second = run_incremental_enrich(spark, stream(), lambda b: b, prov, work)
+    assert first["batches"] == 1 and second["batches"] == 1
+    rows = {r._row: (r.bpm, r.mode, r.bpm_source) for r in spark.read.parquet(second["rows"]).collect()}
+    assert rows[2] == (120.0, "Major", "cache")       # filled from the first batch's snapshot
+    assert io.snapshot_versions(spark, second["cache"])[-1] == 2
