@@ -86,8 +86,8 @@ GATE_CONTRIBUTORS_WORD = "Contributors"
 GATE_READ_MORE = "Read More"
 GATE_PAGE_WORD = "Page"
 
-# Title suffixes dropped by the enrichment key.
-KEY_SUFFIX_WORDS = ("Remaster(ed)?", "Live", "Acoustic", "Radio Edit", "Mono", "Stereo")
+# Enrichment key: parts of the title that are dropped (applied case-insensitively).
+KEY_TITLE_DROP_PATTERN = r"\s*\(.*?\)|\s*-\s*(Remaster(ed)?|Live|Acoustic|Radio Edit|Mono|Stereo).*?$"
 
 # Key separator of every song key.
 KEY_SEP = "|||"

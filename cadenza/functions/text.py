@@ -81,8 +81,7 @@ def not_missing(c) -> Column:
 # Keys
 # --------------------------------------------------------------------------
 
-_SUFFIX = "|".join(C.KEY_SUFFIX_WORDS)
-ENRICH_KEY_TITLE_PATTERN = rf"(?iU)\s*\(.*?\)|\s*-\s*({_SUFFIX}).*?$"
+ENRICH_KEY_TITLE_PATTERN = "(?iU)" + C.KEY_TITLE_DROP_PATTERN
 
 
 def enrich_title(title) -> Column:
