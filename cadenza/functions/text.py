@@ -198,7 +198,7 @@ def tokens(c) -> Column:
 def word_count(c) -> Column:
     """``len(s.split())`` with Python whitespace; NULL -> NULL.  Counts the
     runs of non-whitespace instead of materialising the word array."""
-    return F.regexp_count(_col(c), F.lit(f"(?U)[^{WS_CLASS}]+"))
+    return F.regexp_count(_col(c), F.lit(f"(?U)[^{WS_CLASS}]+")).cast("bigint")
 
 
 def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> Column:
