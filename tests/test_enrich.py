@@ -120,3 +120,18 @@ def test_fold_matches_brute_force_random(spark):
         got, snap = _run_fold(spark, rows, prov, cache, chunk_rows=chunk)
         assert got == want, chunk
         assert snap == state, chunk
+
+
+def test_offchain_payload_parsers(spark):
+    rows = [('{"recordings": [{"id": "mb-1"}], "rhythm": {"bpm": {"value": "128.5"}}, '
+             '"tonal": {"key_key": {"value": "C"}, "key_scale": {"value": "minor"}}, '
+             '"results": [{"previewUrl": "http://x/p.m4a"}]}',),
+            ('{"recordings": [], "rhythm": {"bpm": {"value": null}}, '
+             '"tonal": {"key_key": {"value": ""}, "key_scale": {"value": "major"}}, "results": []}',),
+            ("nope",)]
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "i int, p string")
+    got = [tuple(r) for r in df.orderBy("i").select(
+        P.recording_id("p"), P.rhythm_bpm("p"), P.tonal_key_string("p"), P.itunes_preview("p")).collect()]
+    assert got[0] == ("mb-1", 128.5, "C minor", "http://x/p.m4a")
+    assert got[1] == (None, None, None, None)          # empty key name: no key string
+    assert got[2] == (None, None, None, None)
