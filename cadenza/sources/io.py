@@ -8,7 +8,7 @@ version, so the path being read is never overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 from pyspark.errors import AnalysisException
@@ -94,9 +94,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(header="true", escape='"', quote='"').csv(path)
 
 
-def write_split(gated: DataFrame, path: str, flag: str = "ready_to_score") -> None:
-    """READY/HOLD split in one pass: one sub-directory per label."""
-    gated.write.mode("overwrite").partitionBy(flag).parquet(path)
+def write_split(gated: DataFrame, path: str, flag: str = "ready_to_score",
+                ok_col: str = "required_ok") -> dict:
+    """READY/HOLD split in one pass: one sub-directory per label.  Returns
+    the row counts of both sides, observed during the write (no extra job)."""
+    obs = Observation("split_counts")
+    observed = gated.observe(obs, F.count(F.lit(1)).alias("n_rows"),
+                             F.count_if(F.col(ok_col)).alias("n_ready"),
+                             F.count_if(~F.col(ok_col)).alias("n_hold"))
+    observed.write.mode("overwrite").partitionBy(flag).parquet(path)
+    return obs.get
 
 
 def write_lines_if_any(df: DataFrame, line_col: str, path: str) -> bool:

@@ -86,9 +86,11 @@ def test_snapshots_and_export(spark, tmp_dir):
 
 
 def test_split_write(spark, tmp_dir):
-    df = spark.createDataFrame([(1, "READY"), (2, "HOLD"), (3, "HOLD")], "id int, ready_to_score string")
+    df = spark.createDataFrame([(1, "READY", True), (2, "HOLD", False), (3, "HOLD", False)],
+                               "id int, ready_to_score string, required_ok boolean")
     out = os.path.join(tmp_dir, "split")
-    io.write_split(df, out)
+    counts = io.write_split(df, out)
+    assert counts == {"n_rows": 3, "n_ready": 1, "n_hold": 2}
     assert spark.read.parquet(out + "/ready_to_score=HOLD").count() == 2
     assert io.write_lines_if_any(df.where("id > 5"), "id", os.path.join(tmp_dir, "none")) is False
 
