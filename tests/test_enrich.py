@@ -135,3 +135,19 @@ def test_offchain_payload_parsers(spark):
     assert got[0] == ("mb-1", 128.5, "C minor", "http://x/p.m4a")
     assert got[1] == (None, None, None, None)          # empty key name: no key string
     assert got[2] == (None, None, None, None)
+
+
+def test_fold_without_cache_equals_empty_cache(spark):
+    rows = [("a", None, None), ("a", 90.0, None), ("b", None, "Minor"), ("a", None, "Major")]
+    t = spark.createDataFrame([(i, k, b, m) for i, (k, b, m) in enumerate(rows)],
+                              "_row long, song_key string, bpm double, mode string")
+    p = spark.createDataFrame([("a", 70.0, None, None, None, None, None, None)], PROV_DDL)
+    empty = spark.createDataFrame([], "song_key string, bpm double, mode string")
+    with_none, snap_none = enrich_fold(t, p, None)
+    with_empty, snap_empty = enrich_fold(t, p, empty)
+    key = lambda r: r._row
+    assert sorted(with_none.collect(), key=key) == sorted(with_empty.collect(), key=key)
+    assert sorted(snap_none.collect()) == sorted(snap_empty.collect())
+    want, state = brute_fold(rows, {"a": (70.0, None)}, {})
+    got = {r._row: (r.bpm, r.mode) for r in with_none.collect()}
+    assert [got[i] for i in range(len(rows))] == [w[:2] for w in want]
