@@ -49,3 +49,39 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[Data
     if n <= limit:
         return F.broadcast(df), True
     return df, False
+
+
+def hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataFrame | None:
+    """Keys of ``df`` with more than ``hot_rows`` rows, found by a partial
+    (map-side) aggregation and checkpointed (the list is small: at most
+    total_rows / hot_rows keys).  None when there are none, or when the list
+    is too long to broadcast (then AQE's skew-join splitting applies)."""
+    from ..session import ensure_checkpoint_dir
+    limit = TUNING.hot_key_rows if hot_rows is None else hot_rows
+    ensure_checkpoint_dir(df.sparkSession)
+    hot = (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+           .select(*on).checkpoint(eager=True))
+    n = hot.limit(TUNING.broadcast_max_rows + 1).count()
+    if n == 0 or n > TUNING.broadcast_max_rows:
+        return None
+    return hot
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
+                hot: DataFrame | None | bool = True, hot_rows: int | None = None) -> DataFrame:
+    """Join a large table to a lookup with at most one row per key.
+
+    Rows of hot keys (see ``hot_keys``; pass a precomputed list to reuse it,
+    or False to skip the check) join through a broadcast of their lookup
+    rows -- at most one per hot key -- so a key holding a large share of
+    the rows never lands in one reducer; all other keys take the normal
+    shuffle join.  Same result as ``left.join(right, on, how)``."""
+    if hot is True:
+        hot = hot_keys(left, on, hot_rows)
+    if hot is None or hot is False:
+        return left.join(right, on, how)
+    hb = F.broadcast(hot)
+    cold = left.join(hb, on, "left_anti").join(right, on, how)
+    right_hot = F.broadcast(right.join(hb, on, "left_semi"))
+    warm = left.join(hb, on, "left_semi").join(right_hot, on, how)
+    return cold.unionByName(warm)

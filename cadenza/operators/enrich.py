@@ -29,6 +29,7 @@ from .. import config as C
 from ..config import TUNING
 from ..functions import num, payload, text
 from ..session import ensure_checkpoint_dir
+from .common import hot_keys, lookup_join
 
 PROVIDER_ORDER = ("p1_bpm", "p2_preview", "p3_search", "p4_preview")
 
@@ -103,7 +104,7 @@ def enrich_chain(tracks: DataFrame, providers: DataFrame, cache: DataFrame | Non
     ``cache``: key, bpm, mode.  Replaces bpm/mode, adds bpm_source and
     mode_source (an own value has no source)."""
     t = _own(tracks, bpm, mode)
-    j = t.join(_lookups(providers, cache, key), key, "left")
+    j = lookup_join(t, _lookups(providers, cache, key), [key], "left")
     pb, pm = _provider_values(j)
     in_c = F.coalesce(F.col("_c_present"), F.lit(False))
     b, bl = _chain([(F.col("_own_b"), None), (F.when(in_c, F.col("_c_b")), C.CACHE_LABEL)] + pb)
@@ -162,7 +163,9 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
     pm, pm_lab = _chain(pml)
     lk = lk.select(key, "_c_present", "_c_b", "_c_m", pb.alias("_pb"), pb_lab.alias("_pb_lab"),
                    pm.alias("_pm"), pm_lab.alias("_pm_lab"))
-    j = t.join(lk, key, "left").withColumn("_c_present", F.coalesce(F.col("_c_present"), F.lit(False)))
+    hot = hot_keys(t, [key])          # one hot-key list for every join-back below
+    j = lookup_join(t, lk, [key], "left", hot=hot).withColumn(
+        "_c_present", F.coalesce(F.col("_c_present"), F.lit(False)))
     ob, om = F.col("_own_b").isNotNull(), F.col("_own_m").isNotNull()
     hb, hm = F.col("_pb").isNotNull(), F.col("_pm").isNotNull()
     a_b = ~ob & hb                                    # b turns non-NULL whatever m is
@@ -179,7 +182,7 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
     # Pass 1: first row of each key (an absent key's first row always writes).
     first = j.groupBy(key).agg(F.min(order).alias("_first"),
                                F.min_by(F.struct(ob.alias("ob"), om.alias("om")), F.col(order)).alias("_r1"))
-    j = j.join(first, key, "left")
+    j = lookup_join(j, first, [key], "left", hot=hot)
     absent = ~F.col("_c_present")
     is_first = F.col(order) == F.col("_first")
     in_phase = F.col("_c_present") | ~is_first       # rows processed with a present state
@@ -197,7 +200,7 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
                  F.when(ph & c1, F.col(order))).alias("_t1"),
         F.min(F.when(ph & F.col("_a_b"), F.col(order))).alias("_tab"),
         F.min(F.when(ph & F.col("_a_m"), F.col(order))).alias("_tam"))
-    j = j.join(t_agg, key, "left")
+    j = lookup_join(j, t_agg, [key], "left", hot=hot)
     nb0, nm0 = F.col("_nb0"), F.col("_nm0")
     t1 = F.col("_t1.r")
     inf = F.lit(None).cast("bigint")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text
+from .common import lookup_join
 
 
 def null_safe_key(c) -> Column:
@@ -47,7 +48,7 @@ def merge_back(orig: DataFrame, final: DataFrame, key_cols=("title", "artist"),
     clash = set(orig.columns)
     right = right.select(*kcols, *[F.col(c).alias(c + suffix if c in clash else c)
                                    for c in right.columns if c not in kcols])
-    out = left.join(right, kcols, "left").drop(*kcols)
+    out = lookup_join(left, right, kcols, "left").drop(*kcols)
     if "curator" not in out.columns:
         out = out.withColumn("curator", F.lit(C.DEFAULT_CURATOR))
     if "date_added" not in out.columns and run_date is not None:

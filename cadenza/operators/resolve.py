@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import num, text
+from .common import lookup_join
 from .merge import first_per_key
 
 
@@ -47,7 +48,7 @@ def resolve_tracks(songs: DataFrame, catalog: DataFrame, rank: list[Column],
     s = clean_song_list(songs, title, artist).withColumns(
         {"_k1": text.merge_norm(title), "_k2": text.merge_norm(artist)})
     top = catalog_top_hits(catalog, rank)
-    hits = s.join(top, ["_k1", "_k2"], "inner").drop("_k1", "_k2")
+    hits = lookup_join(s, top, ["_k1", "_k2"], "inner").drop("_k1", "_k2")
     missing = (s.join(top.select("_k1", "_k2"), ["_k1", "_k2"], "left_anti").drop("_k1", "_k2")
                .withColumn("line", F.concat_ws(" - ", F.col(title), F.col(artist))))
     return hits, missing

@@ -151,3 +151,25 @@ def test_fold_without_cache_equals_empty_cache(spark):
     want, state = brute_fold(rows, {"a": (70.0, None)}, {})
     got = {r._row: (r.bpm, r.mode) for r in with_none.collect()}
     assert [got[i] for i in range(len(rows))] == [w[:2] for w in want]
+
+
+def test_hot_key_split_paths_match(spark, monkeypatch):
+    """Force every key with more than 2 rows through the hot-key path."""
+    import cadenza.operators.common as common
+    from cadenza.config import Tuning
+    from cadenza.operators.merge import merge_back
+    monkeypatch.setattr(common, "TUNING", Tuning(hot_key_rows=2))
+    rnd = random.Random(11)
+    keys = ["a", "a", "a", "a", "b", "c"]
+    rows = [(rnd.choice(keys), rnd.choice([None, 100.0]), rnd.choice([None, "Minor"])) for _ in range(60)]
+    prov = {"a": (70.0, None), "b": (None, "Major")}
+    cache = {"a": (None, None), "c": (88.0, None)}
+    want, state = brute_fold(rows, prov, cache)
+    got, snap = _run_fold(spark, rows, prov, cache, chunk_rows=5)
+    assert got == want and snap == state
+    orig = spark.createDataFrame([(i, "T", "a" if i % 3 else None) for i in range(30)],
+                                 "_row long, title string, artist string")
+    final = spark.createDataFrame([(0, " t ", "A", "x"), (1, "t", None, "y")],
+                                  "_row long, title string, artist string, note string")
+    out = {r._row: r.note for r in merge_back(orig, final).collect()}
+    assert len(out) == 30 and all(out[i] == ("x" if i % 3 else "y") for i in range(30))
