@@ -3,7 +3,6 @@ reference, provider pivot (AGG-7)."""
 
 import random
 
-from pyspark.sql import functions as F
 
 from cadenza import config as C
 from cadenza.functions import payload as P
