@@ -133,3 +133,15 @@ def lyrics_lookup(tracks: DataFrame, key: str, cache: DataFrame | None = None,
         "lyrics_origin": F.when(cached.isNotNull(), F.lit("cache"))
                           .when(fetched.isNotNull(), F.lit("fetched")).otherwise(F.lit("none")),
     }).drop("_cached", "_fetched")
+
+
+def polarity_scores(docs: DataFrame, id_col: str, text_col: str, polarity_lexicon: DataFrame,
+                    out: str = "p1", max_broadcast_rows: int | None = None) -> DataFrame:
+    """A fallback scorer built from a polarity lexicon (INF-1): the mean
+    polarity (-1..1) of a document's lexicon tokens, rescaled to 0..1
+    (``(c + 1) / 2``); documents without hits get NULL.  ``polarity_lexicon``:
+    word, polarity.  Output (id, ``out``) feeds ``lyric_sentiment(scores=)``."""
+    lex = polarity_lexicon.select("word", F.col("polarity").cast("double").alias("valence"),
+                                  F.col("polarity").cast("double").alias("arousal"))
+    s = lexicon_scores(docs, id_col, text_col, lex, max_broadcast_rows=max_broadcast_rows)
+    return s.select(id_col, num.rescale_polarity(F.col("lex_valence")).alias(out))

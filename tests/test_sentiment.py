@@ -42,3 +42,19 @@ def test_cache_paths_agree(spark):
                                  max_broadcast_rows=0))
     assert a == b
     assert any(v[3] == "cache" for v in a.values())
+
+
+def test_polarity_scorer_feeds_fallback(spark):
+    from cadenza.operators.sentiment import polarity_scores
+    docs = spark.createDataFrame([(1, "good good bad"), (2, "meh"), (3, "bad")], "doc_id int, text string")
+    pol = spark.createDataFrame([("good", 0.8), ("bad", -1.0)], "word string, polarity double")
+    for limit in (None, 0):
+        p = {r.doc_id: r.p1 for r in polarity_scores(docs, "doc_id", "text", pol,
+                                                     max_broadcast_rows=limit).collect()}
+        assert abs(p[1] - ((0.8 + 0.8 - 1.0) / 3 + 1) / 2) < 1e-12 and p[2] is None and p[3] == 0.0
+    empty_lex = spark.createDataFrame([], "word string, valence double, arousal double")
+    scores = polarity_scores(docs, "doc_id", "text", pol).withColumn("p2", F.lit(0.6))
+    out = {r.doc_id: (r.lyric_valence, r.sentiment_source)
+           for r in lyric_sentiment(docs, "doc_id", "text", empty_lex, scores=scores).collect()}
+    assert out[3] == (0.6, "scorer2")        # scorer 1 gave exactly 0.0: falls through
+    assert out[2] == (0.6, "scorer2") and out[1][1] == "scorer1"
