@@ -157,10 +157,12 @@ def write_snapshot(df: DataFrame, base: str, version: int | None = None) -> str:
     return path
 
 
-def read_snapshot(spark: SparkSession, base: str, schema: str | None = None) -> DataFrame | None:
-    """Latest committed snapshot, or an empty frame of ``schema`` (None if
-    no schema is given and nothing is committed)."""
-    vs = snapshot_versions(spark, base)
+def read_snapshot(spark: SparkSession, base: str, schema: str | None = None,
+                  max_version: int | None = None) -> DataFrame | None:
+    """Latest committed snapshot (at most ``max_version`` when given), or an
+    empty frame of ``schema`` (None if no schema is given and nothing is
+    committed)."""
+    vs = [v for v in snapshot_versions(spark, base) if max_version is None or v <= max_version]
     if vs:
         return spark.read.parquet(f"{base.rstrip('/')}/v={vs[-1]}")
     return spark.createDataFrame([], schema) if schema else None

@@ -1,8 +1,9 @@
 """Resumable incremental enrichment (STR-1).
 
 A file stream over a landing directory, run with ``availableNow`` so every
-file present is processed once and the query stops.  Each micro-batch is
-folded against the latest committed cache snapshot (JOI-6/7/8), its rows are
+file present is processed once and the query stops.  Micro-batch ``k`` is
+folded against the newest committed cache snapshot with version <= k, i.e.
+the one the previous batch wrote (JOI-6/7/8), its rows are
 written to ``rows/batch=<id>`` and the updated cache to snapshot version
 ``<id> + 1`` (JOI-13).  Both outputs are keyed by the batch id, so a batch
 replayed after a failure overwrites its own output; the stream checkpoint
@@ -40,7 +41,9 @@ def run_incremental_enrich(spark: SparkSession, stream: DataFrame,
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        cache = read_snapshot(spark, cache_base, CACHE_SCHEMA)
+        # the cache as of the previous batch: a replay of this batch after a
+        # failure must not see the snapshot it may already have written
+        cache = read_snapshot(spark, cache_base, CACHE_SCHEMA, max_version=batch_id)
         rows, snap = enrich_fold(prepare(batch), providers, cache, key=key, order=order)
         rows.write.mode("overwrite").parquet(f"{rows_base}/batch={batch_id}")
         write_snapshot(snap, cache_base, version=batch_id + 1)
