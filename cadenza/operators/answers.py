@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..session import ship_package
+from ..session import ensure_checkpoint_dir, ship_package
 from .merge import first_per_key
 
 ANSWER_FIELDS = ("listening_context", "contraindications", "rationale")
@@ -110,6 +110,11 @@ def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str,
     firsts = first_per_key(pending.select("answer_key", order_col, F.col(lval).alias("lval"),
                                           F.col(laro).alias("laro")), ["answer_key"], order_col)
     raw = firsts.select("answer_key", "lval", "laro").mapInPandas(isolate_rows(model), SAFE_RAW_SCHEMA)
+    # materialise the model output once (reliable checkpoint): the answers are
+    # used by the snapshot and by the filled rows, and a lost executor must not
+    # trigger a second round of (possibly paid) model calls
+    ensure_checkpoint_dir(tracks.sparkSession)
+    raw = raw.checkpoint(eager=True)
     fresh = raw.select("answer_key", *parse_answer("raw")).drop("parse_ok")
     snapshot = (answers.select("answer_key", *ANSWER_FIELDS).withColumn("answer_source", F.lit("cache"))
                 .unionByName(fresh.withColumn("answer_source", F.lit("model"))))

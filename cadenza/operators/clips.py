@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..session import ship_package
+from ..session import ensure_checkpoint_dir, ship_package
 from .frames import chroma_mode, median_tempo
 
 FRAME_SCHEMA = "clip_id string, frame int, tempo double, chroma array<float>"
@@ -55,6 +55,10 @@ def analyse_clips(clips: DataFrame, analyser=byte_frames_analyser,
     ship_package(clips.sparkSession)
     gated = clips.where(F.octet_length("content") >= C.MIN_CLIP_BYTES).select("clip_id", "content")
     frames = gated.mapInPandas(analyser, FRAME_SCHEMA)
+    # both statistics read the frames: run the analyser once and keep its
+    # output in the shared checkpoint folder
+    ensure_checkpoint_dir(clips.sparkSession)
+    frames = frames.checkpoint(eager=True)
     tempo = median_tempo(frames, "clip_id")
     mode = chroma_mode(frames, "clip_id").select("clip_id", F.col("mode").alias("a_mode"))
     a = tempo.join(mode, "clip_id", "full").select("clip_id", F.col("median_tempo").alias("a_bpm"), "a_mode")

@@ -227,3 +227,22 @@ def test_replayed_batch_ignores_its_own_snapshot(spark, tmp_dir):
     again = io.read_snapshot(spark, base, max_version=0).collect()
     assert [(r.bpm, r.mode) for r in again] == [(1.0, None)]
     assert io.read_snapshot(spark, base).collect()[0].bpm == 2.0
+
+
+def test_model_called_once_per_new_key(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for pdf in batches:
+            calls.add(len(pdf))
+            yield pdf.assign(raw='{"listening_context": "c", "contraindications": "n", "rationale": "r"}')[
+                ["answer_key", "raw"]]
+    tracks = spark.createDataFrame([(i, f"k{i % 5}", 0.1, 0.1) for i in range(40)],
+                                   "_row long, answer_key string, lyric_valence double, lyric_arousal double")
+    cached = spark.createDataFrame([("k0", "x", "y", "z")],
+                                   "answer_key string, listening_context string, contraindications string, rationale string")
+    filled, snap = infer_answers(tracks, cached, "_row", model=counting)
+    filled.collect()
+    snap.collect()
+    filled.count()
+    assert calls.value == 4          # k1..k4, each once, however often the results are used
