@@ -140,9 +140,12 @@ class Tuning:
     broadcast_max_rows: int = 2_000_000
     # Rows per chunk when a per-key scan is split across tasks.
     scan_chunk_rows: int = 1 << 16
-    # Groups above this many rows leave per-group aggregate buffers for an
-    # exact distributed path (median).
+    # Groups above this many rows count as hot: they leave per-group buffers
+    # (median) or reducer-side joins (lookup joins) for split paths.
     hot_key_rows: int = 5_000_000
+    # Largest hot-key list that is broadcast (it holds at most
+    # total_rows / hot_key_rows keys); beyond it AQE skew join takes over.
+    hot_list_max_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

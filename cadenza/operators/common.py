@@ -61,8 +61,8 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataF
     ensure_checkpoint_dir(df.sparkSession)
     hot = (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
            .select(*on).checkpoint(eager=True))
-    n = hot.limit(TUNING.broadcast_max_rows + 1).count()
-    if n == 0 or n > TUNING.broadcast_max_rows:
+    n = hot.limit(TUNING.hot_list_max_rows + 1).count()
+    if n == 0 or n > TUNING.hot_list_max_rows:
         return None
     return hot
 
