@@ -84,3 +84,27 @@ def test_scan_prunes_columns(spark):
     df = entry_mod.queries()["score_tracks"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "p_name" not in plan.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in plan else True
+
+
+def test_clip_analysis_matches_brute_force(spark):
+    """The rows-only query against a plain numpy recomputation at sf0.001."""
+    import numpy as np
+    import pyarrow.parquet as pq
+    from cadenza.operators.clips import FRAME_BYTES
+    pages = pq.read_table(f"{SF_SMALL}/pages.parquet", columns=["page_id", "html"]).to_pylist()
+    want = {}
+    for p in pages:
+        data = np.frombuffer(p["html"].encode("utf-8"), dtype=np.uint8)
+        if len(data) < 5000:
+            continue
+        n = len(data) // FRAME_BYTES
+        blocks = data[: n * FRAME_BYTES].reshape(n, FRAME_BYTES)
+        tempo = 60.0 + (blocks.mean(axis=1) % 120.0)
+        hist = np.stack([np.bincount(b % 12, minlength=12) for b in blocks]).astype(np.float32) / FRAME_BYTES
+        c = hist.astype(np.float64).mean(axis=0)
+        maj, minr = (c[0] + c[4] + c[7]) / 3, (c[0] + c[3] + c[7]) / 3
+        want[str(p["page_id"])] = (float(np.median(tempo)), "Major" if maj >= minr else "Minor")
+    got = {r.clip_id: (r.bpm, r.mode) for r in entry_mod.queries()["clip_analysis"](spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys() and len(got) > 0
+    for k, (bpm, mode) in want.items():
+        assert abs(got[k][0] - round(bpm, 6)) < 1e-6 and got[k][1] == mode, k
