@@ -19,7 +19,7 @@ from .operators.enrich import enrich_fold
 from .operators.gate import gate_tracks, split_ready
 from .operators.merge import merge_back
 from .operators.quality import classify_lyrics, flagged_rows, status_counts
-from .operators.resolve import failed_ids, features_with_fallback, resolve_tracks
+from .operators.resolve import failed_ids, features_with_fallback, resolve_tracks, upsert_cache
 from .operators.score import rank_by_score, score_tracks
 from .operators.sentiment import lyric_sentiment, lyrics_lookup
 
@@ -103,3 +103,15 @@ def quality_stage(ready: DataFrame, cfg: C.LyricStatusConfig = C.LyricStatusConf
 def score_stage(ready: DataFrame, cfg: C.ScoreConfig = C.ScoreConfig()) -> DataFrame:
     """Scores, weights, total, grade and rank (best first, ties by input order)."""
     return rank_by_score(score_tracks(ready, cfg), tie_col="_row")
+
+
+def lyrics_cache_snapshot(tracks: DataFrame, old_cache: DataFrame | None = None) -> DataFrame:
+    """The lyrics/sentiment cache after a lyrics stage (JOI-13): one entry per
+    ``lyrics_key`` with the lyrics and the valence/arousal the last row of
+    that key produced (NULLs stored too); keys only in ``old_cache`` kept."""
+    new = tracks.select(text.lyrics_key("title", "artist").alias("lyrics_key"), "lyrics",
+                        F.col("lyric_valence").alias("valence"), F.col("lyric_arousal").alias("arousal"), "_row")
+    if old_cache is None:
+        old_cache = tracks.sparkSession.createDataFrame(
+            [], "lyrics_key string, lyrics string, valence double, arousal double")
+    return upsert_cache(old_cache.select("lyrics_key", "lyrics", "valence", "arousal"), new, "lyrics_key", "_row")

@@ -54,3 +54,16 @@ def test_stages_end_to_end(spark):
     assert sorted(x["rank"] for x in scored.collect()) == [1, 2, 3]
     merged = stages.merge_stage(songs, lyr.select("_row", "title", "artist", "lyrics"), "2024-01-01")
     assert merged.count() == 4
+
+
+def test_lyrics_cache_snapshot(spark):
+    tracks = spark.createDataFrame([(0, "A", "X", "la", 0.5, None), (1, " a ", "x", "la la", 0.6, 0.2),
+                                    (2, "B", "Y", "", None, None)],
+                                   "_row long, title string, artist string, lyrics string, "
+                                   "lyric_valence double, lyric_arousal double")
+    old = spark.createDataFrame([("c|||z", "old", 0.1, 0.1), ("a|||x", "stale", 0.9, 0.9)],
+                                "lyrics_key string, lyrics string, valence double, arousal double")
+    snap = {r.lyrics_key: (r.lyrics, r.valence, r.arousal, r.origin)
+            for r in stages.lyrics_cache_snapshot(tracks, old).collect()}
+    assert snap == {"a|||x": ("la la", 0.6, 0.2, "new"), "b|||y": ("", None, None, "new"),
+                    "c|||z": ("old", 0.1, 0.1, "old")}
