@@ -58,6 +58,10 @@ def hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataF
     is too long to broadcast (then AQE's skew-join splitting applies)."""
     from ..session import ensure_checkpoint_dir
     limit = TUNING.hot_key_rows if hot_rows is None else hot_rows
+    # no key can exceed the threshold when the whole input does not: an
+    # early-stopping count (no shuffle) settles it for small inputs
+    if df.limit(limit + 1).count() <= limit:
+        return None
     ensure_checkpoint_dir(df.sparkSession)
     hot = (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
            .select(*on).checkpoint(eager=True))

@@ -27,8 +27,10 @@ def median_tempo(frames: DataFrame, key: str, tempo: str = "tempo",
     limit = TUNING.hot_key_rows if hot_rows is None else hot_rows
     vals = frames.select(key, F.col(tempo).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     counts = vals.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    hot, _ = broadcast_if_small(counts.where(F.col("_n") > limit), TUNING.hot_list_max_rows)
-    n_hot = hot.count()
+    n_hot = 0
+    if vals.limit(limit + 1).count() > limit:      # otherwise no key can be hot
+        hot, _ = broadcast_if_small(counts.where(F.col("_n") > limit), TUNING.hot_list_max_rows)
+        n_hot = hot.count()
     normal = (vals.join(hot.select(key), key, "left_anti") if n_hot else vals)
     normal = normal.groupBy(key).agg(F.median("_v").alias("median_tempo"), F.count(F.lit(1)).alias("n_frames"))
     if n_hot:
