@@ -59,3 +59,15 @@ def test_global_row_number_many_partitions(spark):
     ranked = global_row_number(df, [F.col("k").desc()], "rank", num_partitions=7)
     got = sorted((r.rank, r.k) for r in ranked.collect())
     assert got == [(i + 1, 999 - i) for i in range(1000)]
+
+
+def test_hot_keys_small_input_and_detection(spark):
+    from cadenza.operators.common import hot_keys, lookup_join
+    df = spark.range(0, 100).select((F.col("id") % 3 == 0).cast("int").alias("k"), "id")
+    assert hot_keys(df, ["k"], hot_rows=1000) is None            # input too small for any hot key
+    hot = hot_keys(df, ["k"], hot_rows=40)                        # k=0 has 66 rows, k=1 has 34
+    assert sorted(r.k for r in hot.collect()) == [0]
+    right = spark.createDataFrame([(0, "zero"), (1, "one")], "k int, name string")
+    joined = lookup_join(df, right, ["k"], "left", hot=hot)
+    plain = df.join(right, ["k"], "left")
+    assert sorted(tuple(r) for r in joined.collect()) == sorted(tuple(r) for r in plain.collect())
