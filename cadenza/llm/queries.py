@@ -27,7 +27,54 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_counts, op6_quality_rules, op9_bpe)}
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repeated_spans import without_repeats
+    kept = without_repeats(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    removed = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, x: n + x["stop"] - x["start"])
+    return kept.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "group_id", "n_links")
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import main_texts
+    return main_texts(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import roundtrip
+    return roundtrip(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contamination
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    start = F.lit(0).cast("bigint")
+    return found.select(
+        "doc_id", "n_words",
+        F.aggregate("hit_spans", start, lambda n, x: n + x["b"] - x["a"]).alias("n_hit"),
+        F.size("hit_items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hit_spans") > 0).alias("contaminated"))
+
+
+def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxic_spans import toxic_spans, train
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
+    chain = train(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxic_spans(docs, chain).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_suffix_dedup, op2_warc, op3_jaccard_join, op4_token_counts, op5_html_text, op6_quality_rules,
+    op7_decontaminate, op8_toxic_spans, op9_bpe)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -55,4 +102,39 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-ORACLE = {"op6_quality_rules": OP6_SQL}
+_B32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+_HEX = "'0123456789abcdef'"
+OP2_SQL = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id, count(*) OVER (PARTITION BY h) AS k FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr({_B32}, CAST(1 +
+    ((((strpos({_HEX}, h[(5 * i) // 4 + 1]) - 1) * 16 + greatest(strpos({_HEX}, h[(5 * i) // 4 + 2]) - 1, 0))
+      >> (3 - (5 * i) % 4)) & 31) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN k = 1 OR first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN k > 1 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM q
+"""
+
+OP7_SQL = r"""
+WITH norm AS (SELECT doc_id, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+pats AS (SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[i:i + 9], ' ') AS g
+         FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM pats),
+wins AS (SELECT rid, k, i, array_to_string(w[i:i + k - 1], ' ') AS g
+         FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM norm, sizes WHERE len(w) >= k)),
+hits AS (SELECT rid, wins.k, i, item FROM wins JOIN pats ON wins.k = pats.k AND wins.g = pats.g),
+cov AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + k)) AS j FROM hits) GROUP BY rid),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s
+        FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM norm LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
+"""
+
+ORACLE = {"op2_warc": OP2_SQL, "op6_quality_rules": OP6_SQL, "op7_decontaminate": OP7_SQL}
