@@ -40,3 +40,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def rows_of(batch):
     """The columns of an Arrow batch as Python lists, by name."""
     return {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
+
+
+def few_texts(docs: DataFrame, rows: int, chars: int) -> DataFrame:
+    """(text) of the first ``rows`` rows of at most ``chars`` characters, as literals of a plan:
+    ``take`` reads no more files than it needs, and nothing grows with ``docs``."""
+    text = docs.select(text_of("text").alias("text")).where(F.char_length("text") <= chars)
+    few = [F.lit(r["text"]) for r in text.take(rows)]
+    one = docs.sparkSession.range(1)
+    return one.select(F.explode(F.array(*few)).alias("text")) if few else one.select(F.lit("").alias("text")).where("false")

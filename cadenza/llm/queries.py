@@ -72,9 +72,16 @@ def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import license_report, train
+    docs = table(spark, sf_dir, "documents")
+    return license_report(docs, train(docs)).select(
+        "doc_id", F.array_join("families", ",").alias("families"), "n_confirmed", "n_unknown")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_warc, op3_jaccard_join, op4_token_counts, op5_html_text, op6_quality_rules,
-    op7_decontaminate, op8_toxic_spans, op9_bpe)}
+    op7_decontaminate, op8_toxic_spans, op9_bpe, op10_license_scan)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
