@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import rows_of, text_of
+from .base import text_of
 from .pretokens import SPECIAL
 from .token_counts import spliced
 
@@ -282,8 +282,9 @@ def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
 _ENCODERS: dict = {}
 
 
-def encode_decode(docs: DataFrame, tokenizer: str | None = None, lexicon: int = LEXICON) -> DataFrame:
-    """(doc_id, ids, decoded) of each row of ``docs`` (doc_id, text): the ids as little-endian
+def encode_decode(docs: DataFrame, tokenizer: str | None = None, lexicon: int = LEXICON,
+                  keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of ``keep`` and (ids, decoded) of each row of ``docs``: the ids as little-endian
     unsigned 32-bit integers in a binary, and the text decoded from them."""
     words = frequent_words(docs, lexicon)
     tables = compile_lexicon(words, Merger(vocabulary_path(tokenizer)))
@@ -298,11 +299,10 @@ def encode_decode(docs: DataFrame, tokenizer: str | None = None, lexicon: int =
             _ENCODERS[key] = Encoder(path, shipped.value)
         enc = _ENCODERS[key]
         for b in batches:
-            ids = [enc.encode(t) for t in rows_of(b)["text"]]
+            ids = [enc.encode(t) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ids, pa.binary()), pa.array([enc.decode(x) for x in ids], pa.string())],
-                names=["doc_id", "ids", "decoded"])
+                [*b.columns[:-1], pa.array(ids, pa.binary()), pa.array([enc.decode(x) for x in ids], pa.string())],
+                names=[*keep, "ids", "decoded"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text_of("text").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, ids binary, decoded string")
+    schema = docs.select(*keep, F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
+    return docs.select(*keep, text_of("text").alias("_text")).mapInArrow(run, schema)

@@ -426,8 +426,9 @@ def merged(spans) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] | None = None,
                     crowd: int = GROUP) -> DataFrame:
-    """The columns of ``docs`` (or those given) and kept (binary: the remaining bytes), n_bytes,
-    removed (array of maximal byte ranges)."""
+    """The columns of ``docs`` (or those given) and kept (binary: the remaining bytes), kept_text (the
+    same as text, without the broken characters that a cut inside one leaves), n_bytes, removed
+    (array of maximal byte ranges)."""
     columns = docs.columns if columns is None else columns
     spans = repeated_spans(docs, length, crowd=crowd)
     named = _named(docs).join(spans.withColumnsRenamed({"u": "_u", "v": "_v"}), ["_u", "_v"], "left")
@@ -436,7 +437,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] |
 
     def run(batches):
         for b in batches:
-            kept, sizes, removed = [], [], []
+            kept, texts, sizes, removed = [], [], [], []
             for text, spans in zip(b.column(n).to_pylist(), b.column(n + 1).to_pylist()):
                 data = text.encode("utf-8")
                 runs = merged([(x["start"], x["stop"]) for x in spans or []])
@@ -446,13 +447,14 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] |
                     at = e
                 left.append(data[at:])
                 kept.append(b"".join(left))
+                texts.append("".join(x.decode("utf-8", "ignore") for x in left))
                 sizes.append(len(data))
                 removed.append([{"start": a, "stop": e} for a, e in runs])
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(k) for k in range(n)), pa.array(kept, pa.binary()), pa.array(sizes, pa.int64()),
+                [*(b.column(k) for k in range(n)), pa.array(kept, pa.binary()), pa.array(texts, pa.string()), pa.array(sizes, pa.int64()),
                  pa.array(removed, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))],
-                names=[*columns, "kept", "n_bytes", "removed"])
+                names=[*columns, "kept", "kept_text", "n_bytes", "removed"])
 
-    schema = docs.select(*columns, F.lit(b"").alias("kept"), F.lit(0).cast("bigint").alias("n_bytes"),
+    schema = docs.select(*columns, F.lit(b"").alias("kept"), F.lit("").alias("kept_text"), F.lit(0).cast("bigint").alias("n_bytes"),
                          F.lit(None).cast("array<struct<start:int,stop:int>>").alias("removed")).schema
     return made.mapInArrow(run, schema)
