@@ -274,7 +274,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     bands = worded.select("id", F.explode("bands").alias("band"))
     buckets = (bands.groupBy("band").agg(F.min("id").alias("root"), F.max("id").alias("last"))
                .where("root < last").select("band", "root"))
-    stars = bands.join(buckets, "band").where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    stars = bands.join(buckets.hint("merge"), "band").where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     found = stored(components(stars), "jaccard-units")
 
     # units of classes, dealt into blocks by size
@@ -282,7 +282,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     blocks = members.groupBy("root").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    texts = docs.select(key.alias("_k"), F.xxhash64(text_of("text")).alias("_h"), text_of("text").alias("text"))
+    # joined by sorting whatever the sizes: the units grow with the texts
+    texts = docs.select(key.alias("_k"), F.xxhash64(text_of("text")).alias("_h"), text_of("text").alias("text")).hint("merge")
     dealt = (members.join(blocks, "root")
              .select("id", "size", F.col("root").alias("unit"), "blocks", F.col("pick.col1").alias("_k"), F.col("pick.h").alias("_h"),
                      F.pmod(F.xxhash64(F.lit("deal"), "id"), F.col("blocks")).cast("int").alias("block"))
