@@ -110,6 +110,8 @@ MIN_CLIP_BYTES = 5000
 
 # Provider labels of the BPM/Mode fallback chain, in priority order.
 CACHE_LABEL = "cache"
+# A clip analysis that names its analyser ("producer") is labelled with it: the
+# analysers of a preview clip may differ from the default one.
 PROVIDER_LABELS = {
     "p1_bpm": "Deezer(bpm)",
     "p2_preview": "librosa(deezer)",
@@ -120,9 +122,37 @@ PROVIDER_LABELS = {
 # Lyric tokens: runs of ASCII letters and apostrophes (of the lower-cased text).
 TOKEN_PATTERN = "[A-Za-z']+"
 
-# Attribute block of the listening-context prompt; "NA" marks a missing value.
-PROMPT_TEMPLATE = ("Song: %s — %s\nAttributes:\n- BPM: %s\n- Mode: %s\n"
-                   "- Spotify valence: %s\n- Lyric valence: %s\n- Lyric arousal: %s")
+# Listening-context prompt: system message and the per-track text with its
+# attributes, task and constraints; "NA" marks a missing value.
+PROMPT_SYSTEM = (
+    "You are assisting a music-therapy research workflow for non-clinical use. "
+    "Your job: Given a song's metadata and lyric affect (valence/arousal), "
+    "propose a conservative listening context and clear contraindications. "
+    "Do not give medical advice. Do not diagnose. Avoid prescriptive claims. "
+    "Prefer low-risk, opt-in contexts (e.g., solo listening with breathing guidance). "
+    "If risk cues exist (e.g., violent/explicit/self-harm themes), flag them as contraindications. "
+    "Return strictly valid JSON with keys: "
+    "listening_context (string), contraindications (string), rationale (string <= 140 chars)."
+)
+PROMPT_TEMPLATE = (
+    "Song: %s — %s\n"
+    "Attributes:\n"
+    "- BPM: %s\n"
+    "- Mode: %s\n"
+    "- Spotify valence: %s\n"
+    "- Lyric valence: %s\n"
+    "- Lyric arousal: %s\n\n"
+    "Task:\n"
+    "1) Suggest one concise listening_context string suitable for a cautious, non-clinical setting for "
+    "depression-focused research (e.g., 'eyes-closed, paced breathing, dim light, 10 min').\n"
+    "2) List contraindications as a concise string (e.g., 'avoid during acute panic; explicit content may "
+    "trigger rumination').\n"
+    "3) Provide a short rationale (<=140 chars).\n\n"
+    "Constraints:\n"
+    "- No medical advice. No guarantees of efficacy. Conservative tone.\n"
+    "- Prefer downshifting arousal if lval<0 or laro>0.7.\n"
+    "- Output strict JSON only."
+)
 PROMPT_MISSING = "NA"
 
 # Pitch classes compared by the chroma mode rule: major {0,4,7}, minor {0,3,7}.
@@ -136,16 +166,8 @@ CHROMA_MINOR = (0, 3, 7)
 
 @dataclass(frozen=True)
 class Tuning:
-    # Largest table (rows) the engine will broadcast after counting it.
-    broadcast_max_rows: int = 2_000_000
     # Rows per chunk when a per-key scan is split across tasks.
     scan_chunk_rows: int = 1 << 16
-    # Groups above this many rows count as hot: they leave per-group buffers
-    # (median) or reducer-side joins (lookup joins) for split paths.
-    hot_key_rows: int = 5_000_000
-    # Largest hot-key list that is broadcast (it holds at most
-    # total_rows / hot_key_rows keys); beyond it AQE skew join takes over.
-    hot_list_max_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -140,18 +140,22 @@ def tonal_key_string(payload) -> Column:
     return F.when(truthy(k) & truthy(s), F.concat(as_text(k), F.lit(" "), as_text(s)))
 
 
-def with_analysis_bpm_mode(df: DataFrame, src: str, bpm_out: str, mode_out: str) -> DataFrame:
+def with_analysis_bpm_mode(df: DataFrame, src: str, bpm_out: str, mode_out: str,
+                           by_out: str | None = None) -> DataFrame:
     """Clip-analysis result ``{"bpm": x, "mode": "Major"}``: NaN or bad BPM
-    -> NULL (an analyser's 0.0 is kept); mode text as is."""
+    -> NULL (an analyser's 0.0 is kept); mode text as is.  With ``by_out``, the
+    analysers named by ``bpm_producer`` and ``mode_producer`` (blank: NULL) go to
+    ``<by_out>_bpm`` and ``<by_out>_mode``."""
     t = f"_{bpm_out}"
     df = _stage(df, **{t + "v": parse(src)})
-    df = _stage(df, **{t + "b": node(F.col(t + "v"), "$.bpm"), t + "m": node(F.col(t + "v"), "$.mode")})
-    df = _stage(df, **{t + "bt": as_text(F.col(t + "b")), t + "mt": as_text(F.col(t + "m"))})
+    parts = {t + "b": node(F.col(t + "v"), "$.bpm"), t + "m": node(F.col(t + "v"), "$.mode")}
+    if by_out:
+        parts |= {f"{t}{k}p": node(F.col(t + "v"), f"$.{k}_producer") for k in ("bpm", "mode")}
+    df = _stage(df, **parts)
+    texts = {t + "bt": as_text(F.col(t + "b")), t + "mt": as_text(F.col(t + "m"))}
+    if by_out:
+        texts |= {f"{by_out}_{k}": F.nullif(F.trim(as_text(F.col(f"{t}{k}p"))), F.lit("")) for k in ("bpm", "mode")}
+    df = _stage(df, **texts)
     df = _stage(df, **{bpm_out: num.coerce_number(F.col(t + "bt")),
                        mode_out: F.when(F.col(t + "mt") != "", F.col(t + "mt"))})
     return df.drop(*[c for c in df.columns if c.startswith(t)])
-
-
-def answer_fields(payload, fields) -> list:
-    v = parse(payload)
-    return [F.try_variant_get(v, f"$.{f}", "string").alias(f) for f in fields]

@@ -118,6 +118,11 @@ def search_text(title, artist) -> Column:
     return F.concat(F.lit('track:"'), _col(title), F.lit('" artist:"'), _col(artist), F.lit('"'))
 
 
+def search_words(title, artist) -> Column:
+    """The plain search form ``title artist`` (debug column)."""
+    return F.concat(_col(title), F.lit(" "), _col(artist))
+
+
 def join_names(arr, field: str = "name", sep: str = ", ") -> Column:
     """``", ".join(x[field] for x in arr)``."""
     return F.array_join(F.transform(_col(arr), lambda x: x[field]), sep)
@@ -128,17 +133,14 @@ def join_names(arr, field: str = "name", sep: str = ", ") -> Column:
 # --------------------------------------------------------------------------
 
 def has_mojibake(c, telltales: Iterable[str] = C.MOJIBAKE_TELLTALES) -> Column:
-    col = _col(c)
-    out = F.lit(False)
-    for t in telltales:
-        out = out | col.contains(t)
-    return out
+    return _col(c).rlike(alternation(telltales))
 
 
 def fix_mojibake(c, telltales: Iterable[str] = C.MOJIBAKE_TELLTALES) -> Column:
     """Repair UTF-8 text that was decoded as Latin-1, only when a telltale is
     present: Latin-1 encode (dropping unmappable characters), UTF-8 decode
-    (dropping invalid bytes)."""
+    (dropping invalid bytes).  ``c`` stands in the result three times: a second
+    repair belongs in a projection of its own."""
     col = _col(c)
     latin = F.encode(F.regexp_replace(col, r"[^\x{00}-\x{FF}]", ""), "ISO-8859-1")
     repaired = F.replace(F.make_valid_utf8(latin.cast("string")), F.lit("\ufffd"), F.lit(""))
@@ -201,14 +203,14 @@ def word_count(c) -> Column:
     return F.regexp_count(_col(c), F.lit(f"(?U)[^{WS_CLASS}]+")).cast("bigint")
 
 
-def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> Column:
+def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig(), low=None) -> Column:
     """GOOD / SHORT / SUMMARY / MISSING / INSTRUMENTAL, decided in this order:
     missing, instrumental whole word, fewer than ``short_words`` words,
-    summary phrase substring, otherwise good."""
-    col = _col(c)
-    text = strip(col)
-    low = F.lower(text)
-    wc = word_count(col)
+    summary phrase substring, otherwise good.
+
+    ``low``: a column that already holds the stripped lower-cased text, so that
+    it is computed once.  SHORT looks at the first ``short_words`` words only."""
+    low = F.lower(strip(c)) if low is None else _col(low)
     # the regex runs on lower-cased text, so a plain substring test is an exact pre-filter
     maybe = F.lit(False)
     for w in cfg.instrumental_words:
@@ -217,9 +219,11 @@ def lyric_status(c, cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> Column:
     summary = F.lit(False)
     for kw in cfg.summary_keywords:
         summary = summary | low.contains(kw)
-    return (F.when(col.isNull() | (wc == 0), F.lit("MISSING"))
+    n = max(0, cfg.short_words - 1)
+    long = low.rlike(rf"(?U)^(?:[^{WS_CLASS}]++[{WS_CLASS}]++){{{n}}}[^{WS_CLASS}]")
+    return (F.when(low.isNull() | (low == ""), F.lit("MISSING"))
             .when(instrumental, F.lit("INSTRUMENTAL"))
-            .when(wc < cfg.short_words, F.lit("SHORT"))
+            .when(~long, F.lit("SHORT"))
             .when(summary, F.lit("SUMMARY"))
             .otherwise(F.lit("GOOD")))
 

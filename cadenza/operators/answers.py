@@ -2,27 +2,29 @@
 (FN-P7), cached-answer lookup (JOI-12), idempotent work set (PRJ-14) and
 batch inference over only the unanswered keys (INF-2, JOI-13, AGG-12).
 
-The model call is a pluggable ``mapInPandas`` function applied to one row
-per answer key (the first row of the key in input order, matching the
-original's in-batch reuse); keys already answered never reach it.
+One row per unanswered key (its first row in input order) is asked, with the
+whole rendered prompt.  The default model is a native rule; a user's model is a
+``mapInPandas`` function.  Only answers that parse become cache entries; the
+others come back as a frame of failures and stay pending.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..session import ensure_checkpoint_dir, ship_package
+from .. import config as C
+from ..functions import num, text
+from ..session import ship_package
+from .common import lookup_join, materialised
 from .merge import first_per_key
 
 ANSWER_FIELDS = ("listening_context", "contraindications", "rationale")
-RAW_SCHEMA = "answer_key string, raw string"
+OUTPUTS = ("listening_context", "contraindications")
+PROMPT_INPUTS = ("bpm", "mode", "valence", "lyric_valence", "lyric_arousal")
 SAFE_RAW_SCHEMA = "answer_key string, raw string, error string"
 
 
@@ -38,47 +40,36 @@ def parse_answer(raw) -> list:
 def work_set(tracks: DataFrame, title: str = "title", artist: str = "artist") -> DataFrame:
     """Rows that need an answer: title and artist non-blank, and not both
     outputs already filled (one filled output is redone)."""
-    ctx = F.col("listening_context") if "listening_context" in tracks.columns else F.lit(None)
-    con = F.col("contraindications") if "contraindications" in tracks.columns else F.lit(None)
-    filled = (F.coalesce(ctx.cast("string"), F.lit("")) != "") & \
-             (F.coalesce(con.cast("string"), F.lit("")) != "")
+    filled = F.lit(True)
+    for c in OUTPUTS:
+        old = F.col(c).cast("string") if c in tracks.columns else F.lit(None).cast("string")
+        filled = filled & (F.coalesce(old, F.lit("")) != "")
     t = F.coalesce(text.strip(title), F.lit(""))
     a = F.coalesce(text.strip(artist), F.lit(""))
     return tracks.where(~filled & (t != "") & (a != ""))
 
 
-def _fmt(x: pd.Series) -> pd.Series:
-    return x.map(lambda v: "NA" if v is None or pd.isna(v) else f"{v:.2f}")
-
-
-def rule_based_model(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Deterministic stand-in for the hosted model: downshift arousal when
-    lyric valence is negative or lyric arousal is above 0.7."""
-    for pdf in batches:
-        lval = pd.to_numeric(pdf["lval"], errors="coerce")
-        laro = pd.to_numeric(pdf["laro"], errors="coerce")
-        down = ((lval < 0) | (laro > 0.7)).fillna(False).to_numpy()
-        ctx = np.where(down, "seated, eyes closed, paced breathing, 10 min",
-                       "solo listening with breathing guidance, 10 min")
-        con = np.where(down, "stop if agitation rises; avoid during acute distress",
-                       "none noted")
-        rat = "lval=" + _fmt(lval) + " laro=" + _fmt(laro)
-        raw = [json.dumps({"listening_context": c, "contraindications": k, "rationale": r})
-               for c, k, r in zip(ctx, con, rat)]
-        yield pd.DataFrame({"answer_key": pdf["answer_key"].to_numpy(), "raw": raw})
+def rule_based_answer(lval: Column, laro: Column) -> Column:
+    """The default model, as JSON text: arousal is to go down when lyric valence
+    is negative or lyric arousal is above 0.7."""
+    down = F.coalesce(lval < 0, F.lit(False)) | F.coalesce(laro > 0.7, F.lit(False))
+    return F.to_json(F.struct(
+        F.when(down, "seated, eyes closed, paced breathing, 10 min")
+         .otherwise("solo listening with breathing guidance, 10 min").alias("listening_context"),
+        F.when(down, "stop if agitation rises; avoid during acute distress")
+         .otherwise("none noted").alias("contraindications"),
+        F.concat(F.lit("lval="), text.fmt2_or_na(lval), F.lit(" laro="), text.fmt2_or_na(laro)).alias("rationale")))
 
 
 def isolate_rows(model: Callable) -> Callable:
     """Row-level failure isolation for a model hook: a batch that raises is
-    retried row by row; a row that still raises yields raw NULL and its
-    error text, and the task goes on (the original kept the row and moved
-    on)."""
+    retried row by row; a row that still raises yields raw NULL and its whole
+    error text, and the task goes on."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             try:
                 out = pd.concat(list(model(iter([pdf]))), ignore_index=True)
-                out["error"] = None
-                yield out[["answer_key", "raw", "error"]]
+                yield out.assign(error=None)[["answer_key", "raw", "error"]]
                 continue
             except Exception:  # noqa: BLE001 - isolate and retry per row
                 pass
@@ -90,48 +81,88 @@ def isolate_rows(model: Callable) -> Callable:
                     rows.append(got.assign(error=None)[["answer_key", "raw", "error"]])
                 except Exception as e:  # noqa: BLE001
                     rows.append(pd.DataFrame({"answer_key": one["answer_key"].to_numpy(),
-                                              "raw": [None], "error": [f"{type(e).__name__}: {e}"[:500]]}))
-            yield pd.concat(rows, ignore_index=True) if rows else pd.DataFrame(
-                {"answer_key": [], "raw": [], "error": []})
+                                              "raw": [None], "error": [f"{type(e).__name__}: {e}"]}))
+            yield pd.concat(rows, ignore_index=True)
     return run
 
 
-def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str,
-                  model: Callable = rule_based_model, lval: str = "lyric_valence",
-                  laro: str = "lyric_arousal") -> tuple[DataFrame, DataFrame]:
-    """(filled tracks, new answer snapshot).
-
-    ``tracks`` carry ``answer_key``, ``order_col`` and the two affect
-    values; ``answers`` is the cached snapshot (answer_key + the three
-    fields).  Only keys absent from the snapshot are sent to ``model``, one
-    row per key (its first row by ``order_col``)."""
-    ship_package(tracks.sparkSession)
-    pending = tracks.join(answers.select("answer_key"), "answer_key", "left_anti")
-    firsts = first_per_key(pending.select("answer_key", order_col, F.col(lval).alias("lval"),
-                                          F.col(laro).alias("laro")), ["answer_key"], order_col)
-    raw = firsts.select("answer_key", "lval", "laro").mapInPandas(isolate_rows(model), SAFE_RAW_SCHEMA)
-    # materialise the model output once (reliable checkpoint): the answers are
-    # used by the snapshot and by the filled rows, and a lost executor must not
-    # trigger a second round of (possibly paid) model calls
-    ensure_checkpoint_dir(tracks.sparkSession)
-    raw = raw.checkpoint(eager=True)
-    fresh = raw.select("answer_key", *parse_answer("raw")).drop("parse_ok")
+def with_prompt(tracks: DataFrame, title: str = "title", artist: str = "artist", **inputs: str) -> DataFrame:
+    """``tracks`` with ``prompt``: the full text for each row (attributes, task,
+    constraints).  ``inputs`` renames the columns of ``PROMPT_INPUTS``; absent ones
+    read as missing."""
+    cols = {}
+    for name in PROMPT_INPUTS:
+        src = inputs.get(name, name)
+        kind = "string" if name == "mode" else "double"
+        col = F.col(src) if src in tracks.columns else F.lit(None)
+        cols[name] = col.cast(kind) if name == "mode" else num.sanitize(col)
+    names = [F.coalesce(F.col(c) if c in tracks.columns else F.lit(None).cast("string"), F.lit("")) for c in (title, artist)]
+    return tracks.withColumn("prompt", text.prompt_text(*names, *[cols[n] for n in PROMPT_INPUTS]))
+
+
+def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str, model: Callable | None = None,
+                  title: str = "title", artist: str = "artist", lval: str = "lyric_valence",
+                  laro: str = "lyric_arousal", prompt: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(filled tracks, new answer snapshot, failures).
+
+    ``tracks`` carry ``answer_key``, ``order_col`` and the prompt's inputs (or a
+    column ``prompt`` that holds the text); ``answers`` is the cached snapshot
+    (answer_key + the three fields, one row per key).  Only keys absent from it
+    are asked, once each.  ``model``: a ``mapInPandas`` function that gets
+    answer_key, prompt, system, title, artist, lval, laro and returns answer_key,
+    raw; None is the native rule.
+
+    Filled tracks have the columns of ``tracks`` with the three fields replaced
+    and ``answer_source`` (cache, model, or NULL without an answer).  Failures
+    (answer_key, raw, error, parse_ok) are no cache entries, so a later run asks
+    again."""
+    old = [c for c in (*ANSWER_FIELDS, "answer_source") if c in tracks.columns]
+    t = tracks.drop(*old)
+    asked = t if prompt is not None else with_prompt(t, title, artist, lyric_valence=lval, lyric_arousal=laro)
+    value = lambda c: F.col(c).cast("double") if c in t.columns else F.lit(None).cast("double")
+    name = lambda c: text.strip(c) if c in t.columns else F.lit(None).cast("string")
+    asked = asked.select("answer_key", order_col, F.col(prompt or "prompt").alias("prompt"), F.lit(C.PROMPT_SYSTEM).alias("system"),
+                         name(title).alias("title"), name(artist).alias("artist"),
+                         value(lval).alias("lval"), value(laro).alias("laro")).where("answer_key is not null")
+    pending = lookup_join(asked, answers.select("answer_key"), ["answer_key"], "left_anti")
+    firsts = first_per_key(pending, ["answer_key"], order_col).drop(order_col)
+    if model is None:
+        raw = firsts.select("answer_key", rule_based_answer(F.col("lval"), F.col("laro")).alias("raw"),
+                            F.lit(None).cast("string").alias("error"))
+    else:
+        ship_package(tracks.sparkSession)
+        # written once: the answers are read three times, and neither that nor a lost executor
+        # may bring a second round of (possibly paid) model calls
+        raw = materialised(firsts.mapInPandas(isolate_rows(model), SAFE_RAW_SCHEMA), "answers")
+    parsed = raw.select("answer_key", "raw", "error", *parse_answer("raw"))
     snapshot = (answers.select("answer_key", *ANSWER_FIELDS).withColumn("answer_source", F.lit("cache"))
-                .unionByName(fresh.withColumn("answer_source", F.lit("model"))))
-    filled = tracks.join(snapshot, "answer_key", "left")
-    return filled, snapshot
+                .unionByName(parsed.where("parse_ok").select("answer_key", *ANSWER_FIELDS)
+                             .withColumn("answer_source", F.lit("model"))))
+    filled = lookup_join(t, snapshot, ["answer_key"])
+    return filled, snapshot, parsed.where("not parse_ok").select("answer_key", "raw", "error", "parse_ok")
+
+
+def fill_context(tracks: DataFrame, filled: DataFrame, order_col: str) -> DataFrame:
+    """``tracks`` with both outputs overwritten in the rows that ``filled`` has an
+    answer for (NULLs of the answer too); all other rows keep what they had."""
+    upd = (filled.where("answer_source is not null")
+           .select(F.col(order_col).alias("_r"), *[F.col(c).alias(f"_{c}") for c in OUTPUTS], F.lit(True).alias("_hit")))
+    out = tracks.join(upd, tracks[order_col] == upd["_r"], "left")
+    for c in OUTPUTS:
+        old = F.col(c) if c in tracks.columns else F.lit(None).cast("string")
+        out = out.withColumn(c, F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(old))
+    return out.drop("_r", "_hit", *[f"_{c}" for c in OUTPUTS])
 
 
 def lookup_answers(tracks: DataFrame, answers: DataFrame) -> DataFrame:
     """Tracks with their cached answer (case-sensitive key); rows without
     one are flagged ``needs_inference``."""
     a = answers.select("answer_key", *ANSWER_FIELDS, "parse_ok").withColumn("_hit", F.lit(True))
-    j = tracks.join(a, "answer_key", "left")
+    j = lookup_join(tracks, a, ["answer_key"])
     return j.withColumn("needs_inference", F.col("_hit").isNull()).drop("_hit")
 
 
 def count_updates(filled: DataFrame) -> DataFrame:
-    """Rows that received an answer in this run (cache hits count too)."""
-    return filled.agg(F.count_if(F.col("listening_context").isNotNull()
-                                 | F.col("contraindications").isNotNull()).alias("updated_rows"),
+    """Rows written in this run: those with an answer, cached or new, whatever it says."""
+    return filled.agg(F.count_if(F.col("answer_source").isNotNull()).alias("updated_rows"),
                       F.count(F.lit(1)).alias("n_rows"))

@@ -8,57 +8,30 @@ analyser preference (A, unless missing or 0, else B) as a ``coalesce``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..session import ensure_checkpoint_dir, ship_package
+from ..session import ship_package
+from .common import materialised
 from .frames import chroma_mode, median_tempo
 
 FRAME_SCHEMA = "clip_id string, frame int, tempo double, chroma array<float>"
-FRAME_BYTES = 2048
 
 
-def byte_frames_analyser(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Deterministic stand-in analyser: each 2 KiB block of the clip is a
-    frame; its tempo is derived from the mean byte value and its chroma is
-    the normalised histogram of byte values modulo 12."""
-    for pdf in batches:
-        out_id, out_frame, out_tempo, out_chroma = [], [], [], []
-        for cid, content in zip(pdf["clip_id"], pdf["content"]):
-            data = np.frombuffer(bytes(content), dtype=np.uint8)
-            n = len(data) // FRAME_BYTES
-            if n == 0:
-                continue
-            blocks = data[: n * FRAME_BYTES].reshape(n, FRAME_BYTES)
-            tempo = 60.0 + (blocks.mean(axis=1) % 120.0)
-            hist = np.stack([np.bincount(b % 12, minlength=12) for b in blocks]).astype(np.float32)
-            hist /= FRAME_BYTES
-            out_id += [cid] * n
-            out_frame += list(range(n))
-            out_tempo += tempo.tolist()
-            out_chroma += [h for h in hist]
-        yield pd.DataFrame({"clip_id": out_id, "frame": out_frame, "tempo": out_tempo,
-                            "chroma": out_chroma})
-
-
-def analyse_clips(clips: DataFrame, analyser=byte_frames_analyser,
-                  fallback: DataFrame | None = None, label: str = "analyser") -> DataFrame:
-    """Per clip (clip_id, content; at least MIN_CLIP_BYTES long): median
-    frame tempo and chroma mode from ``analyser``; where ``fallback``
-    (clip_id, bpm, mode) is given it is used when the analyser's BPM is
-    missing or 0 and its mode is missing.  Sources name the producer."""
+def analyse_clips(clips: DataFrame, analyser: Callable, fallback: DataFrame | None = None,
+                  label: str = "analyser") -> DataFrame:
+    """Per clip (clip_id, content): median frame tempo and chroma mode from
+    ``analyser`` (``mapInPandas``: clip_id, content -> FRAME_SCHEMA) for clips of
+    at least MIN_CLIP_BYTES; where ``fallback`` (clip_id, bpm, mode) is given it is
+    used when the analyser's BPM is missing or 0 and its mode is missing.  Smaller
+    clips keep their row, with NULLs.  Sources name the producer."""
     ship_package(clips.sparkSession)
     gated = clips.where(F.octet_length("content") >= C.MIN_CLIP_BYTES).select("clip_id", "content")
-    frames = gated.mapInPandas(analyser, FRAME_SCHEMA)
-    # both statistics read the frames: run the analyser once and keep its
-    # output in the shared checkpoint folder
-    ensure_checkpoint_dir(clips.sparkSession)
-    frames = frames.checkpoint(eager=True)
+    # both statistics read the frames: the analyser runs once
+    frames = materialised(gated.mapInPandas(analyser, FRAME_SCHEMA), "clip-frames")
     tempo = median_tempo(frames, "clip_id")
     mode = chroma_mode(frames, "clip_id").select("clip_id", F.col("mode").alias("a_mode"))
     a = tempo.join(mode, "clip_id", "full").select("clip_id", F.col("median_tempo").alias("a_bpm"), "a_mode")
@@ -67,6 +40,7 @@ def analyse_clips(clips: DataFrame, analyser=byte_frames_analyser,
     j = a.join(fallback.select("clip_id", F.col("bpm").alias("b_bpm"), F.col("mode").alias("b_mode")),
                "clip_id", "full")
     a_bpm = F.when(F.col("a_bpm") != 0, F.col("a_bpm"))
+    j = clips.select("clip_id").distinct().join(j, "clip_id", "left")
     return j.select(
         "clip_id",
         F.coalesce(a_bpm, F.col("b_bpm")).alias("bpm"),

@@ -1,11 +1,10 @@
-"""Schema helpers and size-checked broadcast (SRC-2..4, SRC-9)."""
+"""Schema helpers and key joins (SRC-2..4, SRC-9)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from ..config import TUNING
+from pyspark.sql.types import ArrayType, AtomicType
 
 
 def require_columns(df: DataFrame, cols) -> DataFrame:
@@ -38,54 +37,49 @@ def schema_report(df: DataFrame, table: str):
     return spark.createDataFrame(rows, "table string, position int, column string, type string")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows.
-
-    Returns (frame, broadcast?) so callers can pick the shuffle-friendly
-    plan when the table is too large to ship to every executor.
-    """
-    limit = TUNING.broadcast_max_rows if max_rows is None else max_rows
-    n = df.limit(limit + 1).count()
-    if n <= limit:
-        return F.broadcast(df), True
-    return df, False
-
-
-def hot_keys(df: DataFrame, on: list[str], hot_rows: int | None = None) -> DataFrame | None:
-    """Keys of ``df`` with more than ``hot_rows`` rows, found by a partial
-    (map-side) aggregation and checkpointed (the list is small: at most
-    total_rows / hot_rows keys).  None when there are none, or when the list
-    is too long to broadcast (then AQE's skew-join splitting applies)."""
-    from ..session import ensure_checkpoint_dir
-    limit = TUNING.hot_key_rows if hot_rows is None else hot_rows
-    # no key can exceed the threshold when the whole input does not: an
-    # early-stopping count (no shuffle) settles it for small inputs
-    if df.limit(limit + 1).count() <= limit:
-        return None
-    ensure_checkpoint_dir(df.sparkSession)
-    hot = (df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
-           .select(*on).checkpoint(eager=True))
-    n = hot.limit(TUNING.hot_list_max_rows + 1).count()
-    if n == 0 or n > TUNING.hot_list_max_rows:
-        return None
-    return hot
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
-                hot: DataFrame | None | bool = True, hot_rows: int | None = None) -> DataFrame:
+_HASHABLE = (AtomicType, ArrayType)
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a large table to a lookup with at most one row per key.
 
-    Rows of hot keys (see ``hot_keys``; pass a precomputed list to reuse it,
-    or False to skip the check) join through a broadcast of their lookup
-    rows -- at most one per hot key -- so a key holding a large share of
-    the rows never lands in one reducer; all other keys take the normal
-    shuffle join.  Same result as ``left.join(right, on, how)``."""
-    if hot is True:
-        hot = hot_keys(left, on, hot_rows)
-    if hot is None or hot is False:
-        return left.join(right, on, how)
-    hb = F.broadcast(hot)
-    cold = left.join(hb, on, "left_anti").join(right, on, how)
-    right_hot = F.broadcast(right.join(hb, on, "left_semi"))
-    warm = left.join(hb, on, "left_semi").join(right_hot, on, how)
-    return cold.unionByName(warm)
+    One plan for every size: an equi-join on the keys and a salt that is 0 on
+    the right and for left rows with a key.  A left row with a NULL key matches
+    nothing whatever its salt, so its salt is drawn from its other columns and
+    such rows spread over all tasks instead of meeting in one.  Both sides get
+    an exchange of their own, so AQE can split a key that holds a large share
+    of the rows, and it alone decides from measured bytes whether a side is
+    broadcast.  Same result as ``left.join(right, on, how)``."""
+    no_key = F.lit(False)
+    for c in on:
+        no_key = no_key | F.col(c).isNull()
+    rest = [F.col(f"`{f.name}`") for f in left.schema.fields
+            if f.name not in on and isinstance(f.dataType, _HASHABLE)]
+    spread = F.pmod(F.xxhash64(*rest) if rest else F.lit(0), F.lit(1024)).cast("int")
+    salted = left.withColumn("_salt", F.when(no_key, spread).otherwise(F.lit(0)))
+    # 0 for every row, but no literal, which the optimizer would take out of the join's keys
+    zero = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
+    return salted.join(right.withColumn("_salt", zero), [*on, "_salt"], how).drop("_salt")
+
+
+def one_per_key(df: DataFrame, keys: list[str], order_col: str, last: bool = False) -> DataFrame:
+    """The row with the least (or greatest) ``order_col`` of each key; ``order_col`` is unique.
+
+    The order value alone is aggregated (by hash, map-side first, for a fixed-width
+    order); the rows come back by a semi-join, so wide columns are never part of an
+    aggregation's state.  NULL keys are keys."""
+    pick = (F.max if last else F.min)(F.col(order_col)).alias("_best_order")
+    best = df.groupBy(*keys).agg(pick).select(*[F.col(k).alias(f"_b_{k}") for k in keys], "_best_order")
+    cond = F.col(order_col).eqNullSafe(F.col("_best_order"))
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_b_{k}"))
+    return df.join(best, cond, "left_semi")
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: computed once, and its real size is
+    known to the planner."""
+    from ..session import shared_path
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,8 +16,8 @@ only ever grows (a written non-NULL attribute stays non-NULL), so each
 attribute turns non-NULL at most once, at a row found by per-key ``min``
 aggregates; the state values are "latest value written before this row",
 a running last-non-NULL computed as a two-level (chunk, then carry across
-chunks) scan.  No per-key sort, no collect: a key holding a third of all
-rows is split into bounded chunks.
+chunks) scan.  No collect: a key holding a third of all rows is split into
+bounded chunks.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from .. import config as C
 from ..config import TUNING
 from ..functions import num, payload, text
 from ..session import ensure_checkpoint_dir
-from .common import hot_keys, lookup_join
+from .common import lookup_join, one_per_key
+from .rank import global_row_number
 
 PROVIDER_ORDER = ("p1_bpm", "p2_preview", "p3_search", "p4_preview")
 
@@ -39,42 +40,48 @@ def provider_pivot(responses: DataFrame, key: str = "song_key", provider: str =
     """(key, provider, rank, payload) -> one row per key with the first
     payload (smallest order) of each provider; a first hit whose payload is
     NULL is kept (no skipping to the second hit)."""
-    order = order or ["rank"]
-    ordering = F.struct(*[F.col(c) for c in order])
-    aggs = [F.min_by(F.when(F.col(provider) == p, F.col("payload")),
-                     F.when(F.col(provider) == p, ordering)).alias(p) for p in providers]
-    return responses.groupBy(key).agg(*aggs)
+    rows = responses.select(key, F.col(provider).alias("_p"), F.struct(*[F.col(c) for c in order or ["rank"]]).alias("_o"),
+                            "payload").where(F.col("_p").isin(list(providers)))
+    first = one_per_key(rows, [key, "_p"], "_o")      # at most one row of each provider per key from here on
+    return first.groupBy(key).agg(*[F.max(F.when(F.col("_p") == p, F.col("payload"))).alias(p) for p in providers])
 
 
 def parse_providers(pivot: DataFrame, key: str = "song_key", enable_p3: bool = True) -> DataFrame:
-    """Wide payload row -> (key, p*_bpm, p*_mode) typed values."""
+    """Wide payload row -> (key, p*_bpm, p*_mode) typed values, and the analyser
+    that each clip analysis names for its BPM and its mode (NULL: the default one)."""
     d = payload.with_deezer_bpm(pivot, "p1_bpm", "_p1b")
-    d = payload.with_analysis_bpm_mode(d, "p2_preview", "_p2b", "_p2m")
+    d = payload.with_analysis_bpm_mode(d, "p2_preview", "_p2b", "_p2m", "_p2p")
     d = payload.with_search_bpm_mode(d, "p3_search", "_p3b", "_p3m")
-    d = payload.with_analysis_bpm_mode(d, "p4_preview", "_p4b", "_p4m")
+    d = payload.with_analysis_bpm_mode(d, "p4_preview", "_p4b", "_p4m", "_p4p")
     p3b, p3m = F.col("_p3b"), F.col("_p3m")
     if not enable_p3:
         p3b, p3m = F.lit(None).cast("double"), F.lit(None).cast("string")
     return d.select(key, F.col("_p1b").alias("p1_bpm"), F.col("_p2b").alias("p2_bpm"),
                     F.col("_p2m").alias("p2_mode"), p3b.alias("p3_bpm"), p3m.alias("p3_mode"),
-                    F.col("_p4b").alias("p4_bpm"), F.col("_p4m").alias("p4_mode"))
+                    F.col("_p4b").alias("p4_bpm"), F.col("_p4m").alias("p4_mode"),
+                    *[F.col(f"_{p}p_{v}").alias(f"{p}_{v}_by") for p in ("p2", "p4") for v in ("bpm", "mode")])
 
 
-def _chain(values: list[tuple[Column, str | None]]) -> tuple[Column, Column]:
+def _chain(values: list[tuple[Column, Column | str | None]]) -> tuple[Column, Column]:
     val = F.coalesce(*[v for v, _ in values])
     lab = None
     for v, label in values:
-        lit = F.lit(label).cast("string")
-        lab = F.when(v.isNotNull(), lit) if lab is None else lab.when(v.isNotNull(), lit)
+        col = label if isinstance(label, Column) else F.lit(label).cast("string")
+        lab = F.when(v.isNotNull(), col) if lab is None else lab.when(v.isNotNull(), col)
     return val, lab
 
 
 def _provider_values(j: DataFrame):
+    """(value, label) in priority order; a clip analysis is labelled with the analyser it names."""
     labels = C.PROVIDER_LABELS
-    bpm = [(F.col("p1_bpm"), labels["p1_bpm"]), (F.col("p2_bpm"), labels["p2_preview"]),
-           (F.col("p3_bpm"), labels["p3_search"]), (F.col("p4_bpm"), labels["p4_preview"])]
-    mode = [(F.col("p2_mode"), labels["p2_preview"]), (F.col("p3_mode"), labels["p3_search"]),
-            (F.col("p4_mode"), labels["p4_preview"])]
+
+    def by(p, v, label):
+        return F.coalesce(F.col(f"{p}_{v}_by"), F.lit(label)) if f"{p}_{v}_by" in j.columns else label
+
+    bpm = [(F.col("p1_bpm"), labels["p1_bpm"]), (F.col("p2_bpm"), by("p2", "bpm", labels["p2_preview"])),
+           (F.col("p3_bpm"), labels["p3_search"]), (F.col("p4_bpm"), by("p4", "bpm", labels["p4_preview"]))]
+    mode = [(F.col("p2_mode"), by("p2", "mode", labels["p2_preview"])), (F.col("p3_mode"), labels["p3_search"]),
+            (F.col("p4_mode"), by("p4", "mode", labels["p4_preview"]))]
     return bpm, mode
 
 
@@ -111,7 +118,8 @@ def enrich_chain(tracks: DataFrame, providers: DataFrame, cache: DataFrame | Non
     m, ml = _chain([(F.col("_own_m"), None), (F.when(in_c, F.col("_c_m")), C.CACHE_LABEL)] + pm)
     out = j.withColumns({bpm: b.cast("double"), mode: m, "bpm_source": bl, "mode_source": ml})
     return out.drop(*[c for c in out.columns if c.startswith("_") and c not in tracks.columns],
-                    "p1_bpm", "p2_bpm", "p2_mode", "p3_bpm", "p3_mode", "p4_bpm", "p4_mode")
+                    "p1_bpm", "p2_bpm", "p2_mode", "p3_bpm", "p3_mode", "p4_bpm", "p4_mode",
+                    "p2_bpm_by", "p2_mode_by", "p4_bpm_by", "p4_mode_by")
 
 
 # ---------------------------------------------------------------------------
@@ -133,9 +141,11 @@ def prior_last(df: DataFrame, key: str, order: str, values: dict[str, str],
     a carry = last non-NULL of all earlier chunks of the key, computed over
     one summary row per (key, chunk)."""
     size = chunk_rows or TUNING.scan_chunk_rows
-    # explicit (key, chunk) distribution: a key-only partitioning inherited
-    # from upstream would put a hot key's rows into one task
-    d = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(size))).repartition(key, "_chunk")
+    # positions without gaps in (key, order), so a chunk holds ``size`` rows however sparse the
+    # order is; explicit (key, chunk) distribution: a key-only partitioning would put a hot key's
+    # rows into one task
+    d = global_row_number(df, [F.col(key), F.col(order)], "_pos")
+    d = d.withColumn("_chunk", F.floor(F.col("_pos") / F.lit(size))).drop("_pos").repartition(key, "_chunk")
     w_in = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumns({f"_in_{o}": F.last(c, ignorenulls=True).over(w_in) for o, c in values.items()})
     summ = d.groupBy(key, "_chunk").agg(*[
@@ -144,7 +154,8 @@ def prior_last(df: DataFrame, key: str, order: str, values: dict[str, str],
     w_c = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carry = summ.select(key, "_chunk", *[F.last(f"_cl_{o}", ignorenulls=True).over(w_c).alias(f"_cr_{o}")
                                          for o in values])
-    d = d.join(carry, [key, "_chunk"], "left")
+    carry = carry.withColumnsRenamed({key: "_ck", "_chunk": "_cc"})       # a NULL key is a key
+    d = d.join(carry, d[key].eqNullSafe(F.col("_ck")) & (d["_chunk"] == F.col("_cc")), "left").drop("_ck", "_cc")
     d = d.withColumns({o: F.coalesce(F.col(f"_in_{o}"), F.col(f"_cr_{o}")) for o in values})
     return d.drop("_chunk", *[f"_in_{o}" for o in values], *[f"_cr_{o}" for o in values])
 
@@ -156,15 +167,15 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
 
     ``tracks``: key, ``order`` (unique), own bpm/mode.  ``providers``: per
     key p*_bpm/p*_mode (parse_providers).  ``cache``: key, bpm, mode."""
-    t = _own(tracks, bpm, mode)
+    # only key, order and the two values go through the fold; the rest joins at the end
+    t = _own(tracks.select(key, order, bpm, mode), bpm, mode)
     lk = _lookups(providers, cache, key)
     pbl, pml = _provider_values(lk)
     pb, pb_lab = _chain(pbl)
     pm, pm_lab = _chain(pml)
     lk = lk.select(key, "_c_present", "_c_b", "_c_m", pb.alias("_pb"), pb_lab.alias("_pb_lab"),
                    pm.alias("_pm"), pm_lab.alias("_pm_lab"))
-    hot = hot_keys(t, [key])          # one hot-key list for every join-back below
-    j = lookup_join(t, lk, [key], "left", hot=hot).withColumn(
+    j = lookup_join(t, lk, [key], "left").withColumn(
         "_c_present", F.coalesce(F.col("_c_present"), F.lit(False)))
     ob, om = F.col("_own_b").isNotNull(), F.col("_own_m").isNotNull()
     hb, hm = F.col("_pb").isNotNull(), F.col("_pm").isNotNull()
@@ -182,7 +193,7 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
     # Pass 1: first row of each key (an absent key's first row always writes).
     first = j.groupBy(key).agg(F.min(order).alias("_first"),
                                F.min_by(F.struct(ob.alias("ob"), om.alias("om")), F.col(order)).alias("_r1"))
-    j = lookup_join(j, first, [key], "left", hot=hot)
+    j = lookup_join(j, first, [key], "left")
     absent = ~F.col("_c_present")
     is_first = F.col(order) == F.col("_first")
     in_phase = F.col("_c_present") | ~is_first       # rows processed with a present state
@@ -200,7 +211,7 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
                  F.when(ph & c1, F.col(order))).alias("_t1"),
         F.min(F.when(ph & F.col("_a_b"), F.col(order))).alias("_tab"),
         F.min(F.when(ph & F.col("_a_m"), F.col(order))).alias("_tam"))
-    j = lookup_join(j, t_agg, [key], "left", hot=hot)
+    j = lookup_join(j, t_agg, [key], "left")
     nb0, nm0 = F.col("_nb0"), F.col("_nm0")
     t1 = F.col("_t1.r")
     inf = F.lit(None).cast("bigint")
@@ -222,7 +233,6 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
         "_wb": F.when(writing & (ob | ~nb | absent_first), F.coalesce(F.col("_own_b"), F.col("_pb"))),
         "_wm": F.when(writing & (om | ~nm | absent_first), F.coalesce(F.col("_own_m"), F.col("_pm"))),
     })
-    j = _cut(j)
     j = prior_last(j, key, order, {"_sb": "_wb", "_sm": "_wm"}, chunk_rows)
     # State values before this row: latest write, else the initial cache entry.
     st_b = F.when(F.col("_c_present") | ~is_first, F.coalesce(F.col("_sb"), F.col("_c_b")))
@@ -233,7 +243,11 @@ def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None
     ml = F.when(F.col("_own_m").isNull() & st_m.isNull(), F.col("_pm_lab")).otherwise(ml)
     out = j.withColumns({bpm: b.cast("double"), mode: m, "bpm_source": bl, "mode_source": ml})
     keep = [c for c in tracks.columns if c not in (bpm, mode)] + [bpm, mode, "bpm_source", "mode_source"]
-    rows = out.select(*keep)
+    rest = [c for c in tracks.columns if c not in (key, order, bpm, mode)]
+    rows = out.select(key, order, bpm, mode, "bpm_source", "mode_source")
+    if rest:
+        rows = rows.join(tracks.select(order, *rest), order)
+    rows = rows.select(*keep)
 
     # Cache after the batch: last write per key, else the initial entry.
     wrote = j.groupBy(key).agg(

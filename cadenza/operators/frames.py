@@ -8,53 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import TUNING
-from .common import broadcast_if_small
-from .rank import global_row_number
-
-
-def median_tempo(frames: DataFrame, key: str, tempo: str = "tempo",
-                 hot_rows: int | None = None) -> DataFrame:
-    """Exact median of the frame tempi per track (even count: mean of the
-    two middle values), NULL tempi ignored.
-
-    ``median`` keeps a count map per group, so a key with an unbounded
-    number of frames would sit in one task.  Keys above ``hot_rows`` take
-    an exact distributed path instead: a global row number over (key,
-    value) (range partitioning splits one key's values over many tasks),
-    the key's first position from a per-key minimum, and the two middle
-    positions picked by filter."""
-    limit = TUNING.hot_key_rows if hot_rows is None else hot_rows
-    vals = frames.select(key, F.col(tempo).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    counts = vals.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    n_hot = 0
-    if vals.limit(limit + 1).count() > limit:      # otherwise no key can be hot
-        hot, _ = broadcast_if_small(counts.where(F.col("_n") > limit), TUNING.hot_list_max_rows)
-        n_hot = hot.count()
-    normal = (vals.join(hot.select(key), key, "left_anti") if n_hot else vals)
-    normal = normal.groupBy(key).agg(F.median("_v").alias("median_tempo"), F.count(F.lit(1)).alias("n_frames"))
-    if n_hot:
-        hv = vals.join(hot, key)
-        ranked = global_row_number(hv, [F.col(key), F.col("_v")], "_g")
-        start = ranked.groupBy(key).agg(F.min("_g").alias("_g0"))
-        pos = ranked.join(start, key).withColumn("_p", F.col("_g") - F.col("_g0"))
-        lo, hi = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
-        mid = pos.where((F.col("_p") == lo) | (F.col("_p") == hi))
-        hot_med = mid.groupBy(key).agg(
-            F.min("_v").alias("_a"), F.max("_v").alias("_b"), F.first("_n").alias("n_frames"))
-        hot_med = hot_med.select(key, (F.lit(0.5) * F.col("_a") + F.lit(0.5) * F.col("_b")).alias("median_tempo"),
-                                 "n_frames")
-        normal = normal.unionByName(hot_med)
-    # tracks whose frames all have NULL tempo: median NULL, 0 frames
-    keys = frames.select(key).distinct()
-    return keys.join(normal, key, "left").select(
-        key, "median_tempo", F.coalesce(F.col("n_frames"), F.lit(0)).alias("n_frames"))
+
+
+def median_tempo(frames: DataFrame, key: str, tempo: str = "tempo") -> DataFrame:
+    """Exact median of the frame tempi per track (even count: mean of the two
+    middle values), NULL tempi ignored, and the number of non-NULL ones.  A
+    NULL key is a key; a track without a tempo gets NULL and 0.
+
+    One aggregation for every size; equal tempi are counted before the shuffle
+    and ``median`` merges the counts, so a track's state is its number of
+    different tempi."""
+    v = F.col(tempo).cast("double")
+    return frames.groupBy(key).agg(F.median(v).alias("median_tempo"), F.count(v).alias("n_frames"))
 
 
 def top_candidate(cands: DataFrame, key: str, bpm: str = "bpm", weight: str = "weight",
                   pos: str = "pos") -> DataFrame:
     """The best candidate tempo per track: highest weight, ties by the
-    lowest candidate position, then the lowest tempo (deterministic)."""
+    lowest candidate position, then the lowest tempo (deterministic).  The
+    aggregated rows are narrow: key, weight, position, tempo."""
     order = F.struct(F.col(weight), -F.col(pos), -F.col(bpm))
     return cands.groupBy(key).agg(F.max_by(F.col(bpm), order).alias("top_tempo"),
                                   F.count(F.lit(1)).alias("n_candidates"))

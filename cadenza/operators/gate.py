@@ -37,15 +37,13 @@ def gate_tracks(df: DataFrame, run_date: str, lyrics_cleaner=text.clean_lyrics_g
     * date_added: NULL -> ``run_date``.
     """
     df = ensure_columns(df, GATE_COLUMNS)
-    cols = {"title": text.fix_mojibake(text.fix_mojibake(F.col("title"))),
-            "artist": text.fix_mojibake(text.fix_mojibake(F.col("artist")))}
-    for c in ("title", "artist"):
-        new = f"{c}_new"
-        if new in df.columns:
-            fixed_new = text.fix_mojibake(F.col(new))
-            cols[new] = fixed_new
-            cols[c] = F.when(text.not_missing(fixed_new), fixed_new).otherwise(cols[c])
-    df = df.withColumns(cols)
+    # one projection per repair step: the repaired text is used several times by the next one
+    df = df.withColumns({c: text.fix_mojibake(F.col(c)) for c in ("title", "artist")})
+    new = [c for c in ("title", "artist") if f"{c}_new" in df.columns]
+    df = df.withColumns({c: text.fix_mojibake(F.col(c)) for c in ("title", "artist")}
+                        | {f"{c}_new": text.fix_mojibake(F.col(f"{c}_new")) for c in new})
+    if new:
+        df = df.withColumns({c: F.when(text.not_missing(f"{c}_new"), F.col(f"{c}_new")).otherwise(F.col(c)) for c in new})
     df = df.withColumns({
         "lyrics": lyrics_cleaner(F.col("lyrics")),
         "bpm": num.coerce_number("bpm"),

@@ -1,12 +1,11 @@
 """Keep-first dedupe (WIN-1), null-safe merge back (JOI-1), defaults
 (PRJ-10) and restore order (ORD-2).
 
-Keep-first is ``min_by(struct(row), order)`` per key, a hash aggregate with
-a map-side partial step, so a key holding a third of all rows is reduced in
-every input partition before the shuffle instead of being sorted in one
-task.  NULL-safe keys are encoded once (``'0'`` for NULL, ``'1'||value``) and
-used for both the dedupe and a plain equi-join, so the join reuses the
-aggregate's hash partitioning.
+Keep-first aggregates only the order value of each key (map-side first) and
+brings the row back by a semi-join, so a key holding a third of all rows is
+reduced in every input partition and wide columns never ride in an
+aggregation.  NULL-safe keys are encoded once (``'0'`` for NULL,
+``'1'||value``) for a plain equi-join.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import text
-from .common import lookup_join
+from .common import lookup_join, one_per_key
 
 
 def null_safe_key(c) -> Column:
@@ -27,11 +26,9 @@ def null_safe_key(c) -> Column:
 
 def first_per_key(df: DataFrame, keys: list[str], order_col: str, last: bool = False) -> DataFrame:
     """One row per key: the row with the smallest (or largest) ``order_col``
-    (unique).  Map-side partial aggregation makes this skew-tolerant."""
+    (unique); see ``one_per_key``."""
     rest = [c for c in df.columns if c not in keys]
-    pick = F.max_by if last else F.min_by
-    agg = df.groupBy(*keys).agg(pick(F.struct(*rest), F.col(order_col)).alias("_pick"))
-    return agg.select(*keys, *[F.col("_pick")[c].alias(c) for c in rest])
+    return one_per_key(df, keys, order_col, last).select(*keys, *rest)
 
 
 def merge_back(orig: DataFrame, final: DataFrame, key_cols=("title", "artist"),

@@ -12,8 +12,9 @@ from ..functions import text
 def classify_lyrics(df: DataFrame, lyrics_col: str = "lyrics",
                     cfg: C.LyricStatusConfig = C.LyricStatusConfig()) -> DataFrame:
     """Append ``word_count`` and ``lyrics_status``."""
-    return df.withColumns({"word_count": text.word_count(lyrics_col),
-                           "lyrics_status": text.lyric_status(lyrics_col, cfg)})
+    low = df.withColumn("_low", F.lower(text.strip(lyrics_col)))
+    return low.withColumns({"word_count": text.word_count(lyrics_col),
+                            "lyrics_status": text.lyric_status(lyrics_col, cfg, low="_low")}).drop("_low")
 
 
 def status_counts(classified: DataFrame) -> DataFrame:

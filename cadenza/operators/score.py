@@ -53,15 +53,16 @@ def score_tracks(df: DataFrame, cfg: C.ScoreConfig = C.ScoreConfig()) -> DataFra
         "lyric_valence": num.valence_score(num.nan_to_null(F.col("lyric_valence").cast("double"))),
         "lyric_arousal": num.arousal_score(num.nan_to_null(F.col("lyric_arousal").cast("double"))),
     }
-    eff = {f: F.lit(float(cfg.base_weights[f])) * num.evidence_multiplier(FEATURES[f][1],
-                                                                         cfg.multipliers)
-           for f in FEATURES}
+    # each step is a projection of its own, so nothing is copied into the next
+    df = df.withColumns({FEATURES[f][2]: scores[f] for f in FEATURES} | {
+        f"_w_{f}": F.lit(float(cfg.base_weights[f])) * num.evidence_multiplier(FEATURES[f][1], cfg.multipliers)
+        for f in FEATURES})
     total_w = None
     for f in FEATURES:
-        total_w = eff[f] if total_w is None else total_w + eff[f]
-    weights = {f: eff[f] / total_w for f in FEATURES}
-    df = df.withColumns({FEATURES[f][2]: scores[f] for f in FEATURES})
-    df = df.withColumns({FEATURES[f][3]: weights[f] for f in FEATURES})
+        total_w = F.col(f"_w_{f}") if total_w is None else total_w + F.col(f"_w_{f}")
+    df = df.withColumn("_w", total_w)
+    df = df.withColumns({FEATURES[f][3]: F.col(f"_w_{f}") / F.col("_w") for f in FEATURES})
+    df = df.drop("_w", *(f"_w_{f}" for f in FEATURES))
     total = num.weighted_total([F.col(FEATURES[f][2]) for f in FEATURES],
                                [F.col(FEATURES[f][3]) for f in FEATURES])
     df = df.withColumn("total_score", total)
@@ -75,7 +76,9 @@ def grade_histogram(scored: DataFrame) -> DataFrame:
 
 
 def rank_by_score(scored: DataFrame, tie_col: str = "_row", rank_col: str = "rank") -> DataFrame:
-    """Sort by total score descending, missing last, ties by ``tie_col``, and
-    number the rows 1..n in that order (distributed)."""
-    return global_row_number(scored, [F.col("total_score").desc_nulls_last(),
-                                      F.col(tie_col).asc()], rank_col)
+    """Number the rows 1..n by total score descending, missing last, ties by the
+    unique ``tie_col`` (distributed).  Only the two order columns are sorted; the
+    rank comes back by a join."""
+    narrow = scored.select(tie_col, "total_score")
+    ranked = global_row_number(narrow, [F.col("total_score").desc_nulls_last(), F.col(tie_col).asc()], rank_col)
+    return scored.join(ranked.select(tie_col, rank_col), tie_col)

@@ -1,59 +1,44 @@
 """Lexicon sentiment (JOI-9, AGG-3), fallbacks (NUM-5, INF-1) and reuse of
 cached scores (JOI-11).
 
-Plan shape (lexicon small enough to broadcast): tokens are exploded in the
-scan stage, probed against the broadcast lexicon, partially averaged per
-document inside the same stage and shuffled once as one row per document.
-A lexicon too large to broadcast takes the pre-counted path: (document,
-word) counts first, so the shuffle join on ``word`` sees at most one row per
-document and word, which bounds the skew of very common words.
+The lexicon is written once to the shared folder, so the planner knows its
+real size: tokens, exploded in the scan stage, are probed against a broadcast
+of it while it is under Spark's own threshold, and joined by shuffle beyond;
+one row per document leaves the aggregation.  Cached scores and fallback
+scores are joined after that, so no text is ever shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import num, text
-from .common import broadcast_if_small
+from .common import lookup_join, materialised
+from .resolve import one_lookup_row
 
 
 def lexicon_scores(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
-                   carry: list[str] | None = None, skip: Column | None = None,
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   carry: list[str] | None = None) -> DataFrame:
     """Per document: mean valence and mean arousal of its tokens found in the
     lexicon (token multiplicity kept), and the number of hits.  Documents
     without hits get NULL means.  ``lexicon`` has unique ``word`` with
-    ``valence``/``arousal``.  ``carry`` columns are passed through;
-    documents where ``skip`` is true are not tokenised (NULL result)."""
+    ``valence``/``arousal``.  ``carry`` columns are passed through."""
     carry = carry or []
-    lex = lexicon.select("word", F.col("valence").cast("double").alias("valence"),
-                         F.col("arousal").cast("double").alias("arousal"))
-    lex, small = broadcast_if_small(lex, max_broadcast_rows)
-    toks = text.tokens(text_col)
-    if skip is not None:
-        toks = F.when(~skip, toks).otherwise(F.array().cast("array<string>"))
-    exploded = docs.select(id_col, *carry, F.explode_outer(toks).alias("word"))
+    lex = materialised(lexicon.select("word", F.col("valence").cast("double").alias("valence"),
+                                      F.col("arousal").cast("double").alias("arousal")), "lexicon")
+    exploded = docs.select(id_col, *carry, F.explode_outer(text.tokens(text_col)).alias("word"))
     firsts = [F.first(c).alias(c) for c in carry]
-    if small:
-        hits = exploded.join(lex, "word", "left")
-        return hits.groupBy(id_col).agg(
-            F.avg("valence").alias("lex_valence"),
-            F.avg("arousal").alias("lex_arousal"),
-            F.count("valence").alias("lex_hits"), *firsts)
-    counted = exploded.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("n"), *firsts)
-    hits = counted.join(lex, "word", "left")
-    n_hit = F.when(F.col("valence").isNotNull(), F.col("n"))
+    hits = exploded.join(lex, "word", "left")
     return hits.groupBy(id_col).agg(
-        (F.sum(F.col("n") * F.col("valence")) / F.sum(n_hit)).alias("lex_valence"),
-        (F.sum(F.col("n") * F.col("arousal")) / F.sum(n_hit)).alias("lex_arousal"),
-        F.coalesce(F.sum(n_hit), F.lit(0)).alias("lex_hits"), *firsts)
+        F.avg("valence").alias("lex_valence"),
+        F.avg("arousal").alias("lex_arousal"),
+        F.count("valence").alias("lex_hits"), *firsts)
 
 
 def lyric_sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                     scores: DataFrame | None = None,
-                    cache: DataFrame | None = None,
-                    max_broadcast_rows: int | None = None) -> DataFrame:
+                    cache: DataFrame | None = None) -> DataFrame:
     """Valence/arousal per document with the reference's rules.
 
     * ``cache`` (``id_col, cached_valence, cached_arousal``): used only when
@@ -63,36 +48,23 @@ def lyric_sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFr
     * ``scores`` (``id_col, p1, p2``): fallback scorer outputs on the 0..1
       scale (INF-1); they count only for non-blank text.
 
-    The text is never shuffled: the cache is broadcast (after a size check)
-    so cached documents skip tokenising; a cache too large for that is
-    joined after the per-document aggregation, as are the scores, on the
-    aggregation's own partitioning.
+    Side tables have one row per id (of several, the least counts) and are
+    joined to the per-document rows; the text is never shuffled.
     """
     base = docs.select(id_col, text_col, text.not_missing(text_col).alias("_text_ok"))
-    carry = ["_text_ok"]
-    skip = None
-    late_cache = None
+    agg = lexicon_scores(base, id_col, text_col, lexicon, carry=["_text_ok"])
+    none = F.lit(None).cast("double")
     if cache is not None:
         c = cache.select(id_col, num.coerce_number("cached_valence").alias("_cv"),
                          num.coerce_number("cached_arousal").alias("_ca"))
-        cb, small = broadcast_if_small(c, max_broadcast_rows)
-        if small:
-            base = base.join(cb, id_col, "left")
-            carry += ["_cv", "_ca"]
-            skip = F.col("_cv").isNotNull() & F.col("_ca").isNotNull()
-        else:
-            late_cache = c
-    agg = lexicon_scores(base, id_col, text_col, lexicon, carry=carry, skip=skip,
-                         max_broadcast_rows=max_broadcast_rows)
-    if late_cache is not None:
-        agg = agg.join(late_cache, id_col, "left")
-    elif cache is None:
-        agg = agg.withColumns({"_cv": F.lit(None).cast("double"), "_ca": F.lit(None).cast("double")})
+        agg = lookup_join(agg, one_lookup_row(c, id_col), [id_col])
+    else:
+        agg = agg.withColumns({"_cv": none, "_ca": none})
     if scores is not None:
-        agg = agg.join(scores.select(id_col, F.col("p1").alias("_p1"), F.col("p2").alias("_p2")),
-                       id_col, "left")
+        s = scores.select(id_col, F.col("p1").alias("_p1"), F.col("p2").alias("_p2"))
+        agg = lookup_join(agg, one_lookup_row(s, id_col), [id_col])
     else:
-        agg = agg.withColumns({"_p1": F.lit(None).cast("double"), "_p2": F.lit(None).cast("double")})
+        agg = agg.withColumns({"_p1": none, "_p2": none})
     ok = F.col("_text_ok")
     p1 = F.when(ok, F.col("_p1"))
     p2 = F.when(ok, F.col("_p2"))
@@ -114,16 +86,15 @@ def lyrics_lookup(tracks: DataFrame, key: str, cache: DataFrame | None = None,
                   source: DataFrame | None = None, line_words=None) -> DataFrame:
     """Lyrics per track (JOI-10): a cached non-empty text as is, else the
     fetched text (``source``: key, lyrics) cleaned by the fetch cleaner when
-    it is non-empty, else ''.  Adds ``lyrics`` and ``lyrics_origin``."""
+    it is non-empty, else ''.  A key that a side table has several times counts
+    once (the least text).  Adds ``lyrics`` and ``lyrics_origin``."""
+    null = F.lit(None).cast("string")
     t = tracks
-    if cache is not None:
-        t = t.join(cache.select(key, F.col("lyrics").alias("_cached")), key, "left")
-    else:
-        t = t.withColumn("_cached", F.lit(None).cast("string"))
-    if source is not None:
-        t = t.join(source.select(key, F.col("lyrics").alias("_fetched")), key, "left")
-    else:
-        t = t.withColumn("_fetched", F.lit(None).cast("string"))
+    for side, col, out in ((cache, "lyrics", "_cached"), (source, "lyrics", "_fetched")):
+        if side is None:
+            t = t.withColumn(out, null)
+        else:
+            t = lookup_join(t, one_lookup_row(side.select(key, F.col(col).alias(out)), key), [key])
     cached = F.when(F.col("_cached") != "", F.col("_cached"))
     clean = (text.clean_lyrics_fetch(F.col("_fetched"), line_words) if line_words is not None
              else text.clean_lyrics_fetch(F.col("_fetched")))
@@ -136,12 +107,12 @@ def lyrics_lookup(tracks: DataFrame, key: str, cache: DataFrame | None = None,
 
 
 def polarity_scores(docs: DataFrame, id_col: str, text_col: str, polarity_lexicon: DataFrame,
-                    out: str = "p1", max_broadcast_rows: int | None = None) -> DataFrame:
+                    out: str = "p1") -> DataFrame:
     """A fallback scorer built from a polarity lexicon (INF-1): the mean
     polarity (-1..1) of a document's lexicon tokens, rescaled to 0..1
     (``(c + 1) / 2``); documents without hits get NULL.  ``polarity_lexicon``:
     word, polarity.  Output (id, ``out``) feeds ``lyric_sentiment(scores=)``."""
     lex = polarity_lexicon.select("word", F.col("polarity").cast("double").alias("valence"),
                                   F.col("polarity").cast("double").alias("arousal"))
-    s = lexicon_scores(docs, id_col, text_col, lex, max_broadcast_rows=max_broadcast_rows)
+    s = lexicon_scores(docs, id_col, text_col, lex)
     return s.select(id_col, num.rescale_polarity(F.col("lex_valence")).alias(out))

@@ -38,7 +38,9 @@ def provider_responses(spark, sf_dir):
         F.array(F.struct(F.when(k < 10, F.lit(0.0)).otherwise(v).alias("bpm"),
                          preview.alias("preview"))).alias("data"))))
     p2 = F.to_json(F.struct(F.when(k % 7 == 0, F.lit(float("nan"))).otherwise(v).alias("bpm"),
-                            F.when(k % 3 == 0, F.lit("Major")).when(k % 3 == 1, F.lit("Minor")).alias("mode")))
+                            F.when(k % 3 == 0, F.lit("Major")).when(k % 3 == 1, F.lit("Minor")).alias("mode"),
+                            F.when(k % 5 == 0, F.lit("madmom")).when(k % 5 == 1, F.lit(" ")).alias("bpm_producer"),
+                            F.when(k % 4 == 1, F.lit("pyACA")).alias("mode_producer")))
     tempo_text = F.when(k % 9 == 0, F.lit("fast")).otherwise(v.cast("string"))
     p3 = F.when(k % 2 == 0, F.to_json(F.struct(F.array(F.struct(
         tempo_text.alias("tempo"), _key_string(k).alias("key"))).alias("search"))))\
@@ -127,7 +129,9 @@ _CHAIN_SQL = f"""WITH ev AS (
     p1 AS (SELECT user_id, CASE WHEN k BETWEEN 10 AND 14 OR k < 10 THEN NULL WHEN value > 0 THEN value END AS b
            FROM f WHERE event_type = 'view'),
     p2 AS (SELECT user_id, CASE WHEN k % 7 = 0 THEN NULL ELSE value END AS b,
-                  CASE k % 3 WHEN 0 THEN 'Major' WHEN 1 THEN 'Minor' END AS m FROM f WHERE event_type = 'click'),
+                  CASE k % 3 WHEN 0 THEN 'Major' WHEN 1 THEN 'Minor' END AS m,
+                  CASE WHEN k % 5 = 0 THEN 'madmom' ELSE '{L['p2_preview']}' END AS bl,
+                  CASE WHEN k % 4 = 1 THEN 'pyACA' ELSE '{L['p2_preview']}' END AS ml FROM f WHERE event_type = 'click'),
     p3 AS (SELECT user_id, CASE WHEN k % 2 = 0 AND k % 9 = 0 THEN NULL ELSE value END AS b,
                   {_NUM7.replace('ks', f'(CASE k % 5 {_ks} END)')} AS m FROM f WHERE event_type = 'purchase'),
     p4 AS (SELECT user_id, value AS b, CASE WHEN k % 2 = 0 THEN 'Minor' ELSE 'Major' END AS m
@@ -142,10 +146,10 @@ _CHAIN_SQL = f"""WITH ev AS (
       round(coalesce(t.ob, c.b, p1.b, p2.b, p3.b, p4.b), 6) AS bpm,
       coalesce(t.om, c.m, p2.m, p3.m, p4.m) AS mode,
       CASE WHEN t.ob IS NOT NULL THEN NULL WHEN c.b IS NOT NULL THEN 'cache' WHEN p1.b IS NOT NULL THEN '{L['p1_bpm']}'
-           WHEN p2.b IS NOT NULL THEN '{L['p2_preview']}' WHEN p3.b IS NOT NULL THEN '{L['p3_search']}'
+           WHEN p2.b IS NOT NULL THEN p2.bl WHEN p3.b IS NOT NULL THEN '{L['p3_search']}'
            WHEN p4.b IS NOT NULL THEN '{L['p4_preview']}' END AS bpm_source,
       CASE WHEN t.om IS NOT NULL THEN NULL WHEN c.m IS NOT NULL THEN 'cache'
-           WHEN p2.m IS NOT NULL THEN '{L['p2_preview']}' WHEN p3.m IS NOT NULL THEN '{L['p3_search']}'
+           WHEN p2.m IS NOT NULL THEN p2.ml WHEN p3.m IS NOT NULL THEN '{L['p3_search']}'
            WHEN p4.m IS NOT NULL THEN '{L['p4_preview']}' END AS mode_source
     FROM t LEFT JOIN c USING (user_id) LEFT JOIN p1 USING (user_id) LEFT JOIN p2 USING (user_id)
       LEFT JOIN p3 USING (user_id) LEFT JOIN p4 USING (user_id)"""

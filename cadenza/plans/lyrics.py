@@ -7,9 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..functions import text
+from ..functions import num, text
 from ..operators.quality import classify_lyrics, flagged_rows, status_counts
-from ..operators.sentiment import lexicon_scores, lyric_sentiment, lyrics_lookup
+from ..operators.sentiment import lexicon_scores, lyric_sentiment, lyrics_lookup, polarity_scores
 from .base import dbl, load, round_doubles
 
 # Adapter values chosen from words that occur in the driver documents.
@@ -43,11 +43,22 @@ def q_lexicon_sentiment(spark, sf_dir):
 def _rescaled(col, mapping: dict):
     expr = None
     for k, v in mapping.items():
-        val = (F.lit(float(v)) + F.lit(1.0)) / F.lit(2.0)
+        val = num.rescale_polarity(F.lit(float(v)))
         expr = F.when(col == k, val) if expr is None else expr.when(col == k, val)
     return expr
 
 
+def q_polarity_scorers(spark, sf_dir):
+    """Both fallback scorers from polarity lexicons: benchmark words of even and of odd length."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    words = load(spark, sf_dir, "benchmark").select(F.explode(text.tokens("text")).alias("word")).distinct()
+    a, n = F.ascii("word"), F.length("word")
+    lex = words.select("word", n.alias("n"), (((a * 5 + n * 3) % 201 - 100).cast("double") / F.lit(100.0)).alias("polarity"))
+    p1 = polarity_scores(docs, "doc_id", "text", lex.where("n % 2 = 0"), "p1")
+    p2 = polarity_scores(docs, "doc_id", "text", lex.where("n % 2 = 1"), "p2")
+    return round_doubles(p1.join(p2, "doc_id"))
+
+
 P1_POLARITY = {1: 0.6, 0: -1.0}   # by labels.quality
 P2_POLARITY = {1: -0.5, 0: 0.4}   # by labels.toxic
 
@@ -142,7 +153,8 @@ def q_song_keys(spark, sf_dir):
                     text.answer_key("title", "artist").alias("answer_key"),
                     text.merge_norm("title").alias("title_norm"),
                     text.merge_norm("artist").alias("artist_norm"),
-                    text.search_text(text.strip("title"), text.strip("artist")).alias("search_text"))
+                    text.search_text(text.strip("title"), text.strip("artist")).alias("search_text"),
+                    text.search_words(text.strip("title"), text.strip("artist")).alias("search_words"))
 
 
 # ---------------------------------------------------------------------------
@@ -231,6 +243,14 @@ ORACLE = {
           CASE WHEN c.cached <> '' THEN c.cached WHEN d.text <> '' THEN {_FETCH_CLEAN} ELSE '' END AS lyrics,
           CASE WHEN c.cached <> '' THEN 'cache' WHEN d.text <> '' THEN 'fetched' ELSE 'none' END AS lyrics_origin
         FROM part p LEFT JOIN c ON c.doc_id = p.p_partkey LEFT JOIN documents d ON d.doc_id = p.p_partkey""",
+    "polarity_scorers": f"""WITH w AS (
+          SELECT word, length(word) % 2 AS odd, CAST((ascii(word) * 5 + length(word) * 3) % 201 - 100 AS DOUBLE) / {dbl(100.0)} AS c
+          FROM (SELECT DISTINCT unnest({TOK}) AS word FROM benchmark)
+        ), t AS (SELECT doc_id, unnest({TOK}) AS word FROM documents),
+        s AS (SELECT doc_id, avg(CASE WHEN odd = 0 THEN c END) AS a, avg(CASE WHEN odd = 1 THEN c END) AS b
+              FROM t JOIN w USING (word) GROUP BY doc_id)
+        SELECT doc_id, round((a + {dbl(1.0)}) / {dbl(2.0)}, 6) AS p1, round((b + {dbl(1.0)}) / {dbl(2.0)}, 6) AS p2
+        FROM documents LEFT JOIN s USING (doc_id)""",
     "lexicon_sentiment": f"""WITH {LEX_SQL}
         SELECT doc_id, round(v, 6) AS lyric_valence, round(a, 6) AS lyric_arousal, hits AS lex_hits FROM lexagg""",
     "sentiment_fallback": f"""WITH {LEX_SQL}, cache AS (
@@ -280,17 +300,19 @@ ORACLE = {
           FROM part)
         SELECT p_partkey, title, artist,
           lower(trim(regexp_replace(regexp_replace(title,
-              '\\s*\\(.*?\\)|\\s*-\\s*(Remaster(ed)?|Live|Acoustic|Radio Edit|Mono|Stereo).*?$', '', 'gi'),
+              '{C.KEY_TITLE_DROP_PATTERN}', '', 'gi'),
               '\\s+', ' ', 'g')) || '|||' || trim(regexp_replace(artist, '\\s+', ' ', 'g'))) AS enrich_key,
           lower(trim(title)) || '|||' || lower(trim(artist)) AS lyrics_key,
           trim(title) || '|||' || trim(artist) AS answer_key,
           lower(trim(title)) AS title_norm, lower(trim(artist)) AS artist_norm,
-          'track:"' || trim(title) || '" artist:"' || trim(artist) || '"' AS search_text
+          'track:"' || trim(title) || '" artist:"' || trim(artist) || '"' AS search_text,
+          trim(title) || ' ' || trim(artist) AS search_words
         FROM s""",
 }
 
 QUERIES = {
     "lyrics_lookup": q_lyrics_lookup,
+    "polarity_scorers": q_polarity_scorers,
     "lexicon_sentiment": q_lexicon_sentiment,
     "sentiment_fallback": q_sentiment_fallback,
     "lyric_status": q_lyric_status,

@@ -67,17 +67,20 @@ def q_not_found(spark, sf_dir):
 
 
 def _providers(spark, sf_dir):
+    """Every order and line item: several feature rows for a customer key and several
+    analysis rows for an even part key; the odd keys without a customer have neither."""
     orders = load(spark, sf_dir, "orders")
     lineitem = load(spark, sf_dir, "lineitem")
-    features = orders.where(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("track_id"),
+    features = orders.select(
+        F.col("o_custkey").alias("track_id"), F.col("o_orderkey").alias("f_order"),
         F.when(F.col("o_orderpriority") != "5-LOW",
-               (F.lit(60) + F.col("o_custkey") % 100).cast("double")).alias("tempo"),
+               (F.lit(60) + F.col("o_orderkey") % 100).cast("double")).alias("tempo"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "3-MEDIUM"), F.lit(1))
          .when(F.col("o_orderpriority") == "2-HIGH", F.lit(0)).otherwise(F.lit(2)).alias("mode"),
-        ((F.col("o_custkey") % 10).cast("double") / F.lit(10.0)).alias("valence"))
-    analysis = lineitem.where((F.col("l_linenumber") == 1) & (F.col("l_linestatus") == "O")).select(
-        F.col("l_orderkey").alias("track_id"),
+        ((F.col("o_orderkey") % 10).cast("double") / F.lit(10.0)).alias("valence"))
+    analysis = lineitem.select(
+        (F.col("l_partkey") * 2).alias("track_id"),
+        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("a_order"),
         F.struct((F.col("l_quantity") * F.lit(2.0)).alias("tempo"),
                  F.when(F.col("l_returnflag") == "R", F.lit(1))
                   .when(F.col("l_returnflag") == "A", F.lit(0)).alias("mode")).alias("track"))
@@ -90,7 +93,8 @@ def _hits(spark, sf_dir):
 
 def q_features_fallback(spark, sf_dir):
     features, analysis = _providers(spark, sf_dir)
-    return round_doubles(features_with_fallback(_hits(spark, sf_dir), features, analysis))
+    return round_doubles(features_with_fallback(_hits(spark, sf_dir), features, analysis,
+                                                features_order="f_order", analysis_order="a_order"))
 
 
 def q_failed_ids(spark, sf_dir):
@@ -105,7 +109,7 @@ def q_known_ids(spark, sf_dir):
     features, _ = _providers(spark, sf_dir)
     ids = spark.createDataFrame([(i,) for i in KNOWN_IDS], "track_id bigint")
     feats = features.where(F.col("track_id").isin(*KNOWN_IDS)).withColumn("mode", num.mode_from_int(F.col("mode")))
-    return round_doubles(known_ids(F.broadcast(ids), feats))
+    return round_doubles(known_ids(ids, feats, order_col="f_order"))
 
 
 def q_cache_upsert(spark, sf_dir):
@@ -133,15 +137,19 @@ def _mode_case() -> str:
 
 
 _PROVIDERS_SQL = """features AS (
-      SELECT o_orderkey AS track_id,
-             CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(60 + o_custkey % 100 AS DOUBLE) END AS tempo,
+      SELECT * FROM (
+        SELECT o_custkey AS track_id,
+             CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(60 + o_orderkey % 100 AS DOUBLE) END AS tempo,
              CASE WHEN o_orderpriority IN ('1-URGENT', '3-MEDIUM') THEN 1 WHEN o_orderpriority = '2-HIGH' THEN 0 ELSE 2 END AS mode,
-             CAST(o_custkey % 10 AS DOUBLE) / 10.0::DOUBLE AS valence
-      FROM orders WHERE o_orderstatus = 'F'
+             CAST(o_orderkey % 10 AS DOUBLE) / 10.0::DOUBLE AS valence,
+             row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS rn
+        FROM orders) WHERE rn = 1
     ), analysis AS (
-      SELECT l_orderkey AS track_id, l_quantity * 2.0::DOUBLE AS tempo,
-             CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS mode
-      FROM lineitem WHERE l_linenumber = 1 AND l_linestatus = 'O'
+      SELECT * FROM (
+        SELECT l_partkey * 2 AS track_id, l_quantity * 2.0::DOUBLE AS tempo,
+             CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS mode,
+             row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey * 100 + l_linenumber) AS rn
+        FROM lineitem) WHERE rn = 1
     )"""
 
 ORACLE = {

@@ -27,16 +27,19 @@ def _case(col, mapping: dict, default=None):
     return out.otherwise(F.lit(default).cast("string"))
 
 
-def affect_view(part):
-    """BPM, mode and lyric affect per part row (no evidence)."""
+def affect_columns() -> dict:
+    """BPM, mode and lyric affect of a part row (no evidence)."""
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
-    return part.select(
-        "p_partkey",
-        (F.lit(40) + F.lit(2) * F.col("p_size")).cast("double").alias("bpm"),
-        _case(F.col("p_type"), MODE_BY_TYPE).alias("mode"),
-        F.when(cents % 7 != 0, (cents % 151 - 50).cast("double") / F.lit(100.0)).alias("lyric_valence"),
-        F.when(cents % 5 != 0, (cents * 3 % 131 - 30).cast("double") / F.lit(100.0)).alias("lyric_arousal"),
-    )
+    return {
+        "bpm": (F.lit(40) + F.lit(2) * F.col("p_size")).cast("double"),
+        "mode": _case(F.col("p_type"), MODE_BY_TYPE),
+        "lyric_valence": F.when(cents % 7 != 0, (cents % 151 - 50).cast("double") / F.lit(100.0)),
+        "lyric_arousal": F.when(cents % 5 != 0, (cents * 3 % 131 - 30).cast("double") / F.lit(100.0)),
+    }
+
+
+def affect_view(part):
+    return part.select("p_partkey", *[c.alias(n) for n, c in affect_columns().items()])
 
 
 def track_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +107,7 @@ def _mult_sql(label: str) -> str:
 
 def _grade_sql(x: str) -> str:
     whens = " ".join(f"WHEN 100 * {x} >= {cut} THEN '{g}'"
-                     for g, cut in sorted(C.LETTER_CUTOFFS.items(), key=lambda kv: -kv[1]))
+                     for g, cut in C.LETTER_CUTOFFS.items())
     return f"CASE WHEN {x} IS NULL THEN 'N/A' {whens} ELSE 'F' END"
 
 

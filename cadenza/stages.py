@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from . import config as C
 from .functions import text
-from .operators.answers import count_updates, infer_answers, rule_based_model, work_set
+from .operators.answers import count_updates, fill_context, infer_answers, work_set
+from .operators.common import lookup_join
 from .operators.enrich import enrich_fold
 from .operators.gate import gate_tracks, split_ready
 from .operators.merge import merge_back
 from .operators.quality import classify_lyrics, flagged_rows, status_counts
-from .operators.resolve import failed_ids, features_with_fallback, resolve_tracks, upsert_cache
+from .operators.resolve import failed_ids, features_with_fallback, one_lookup_row, resolve_tracks, upsert_cache
 from .operators.score import rank_by_score, score_tracks
 from .operators.sentiment import lyric_sentiment, lyrics_lookup
 
@@ -53,30 +54,20 @@ def lyrics_stage(tracks: DataFrame, lexicon: DataFrame, lyrics_source: DataFrame
     with_lyrics = lyrics_lookup(keyed, "lyrics_key", lyrics_cache, lyrics_source)
     cache = None
     if sentiment_cache is not None:
-        cache = keyed.select("_row", "lyrics_key").join(sentiment_cache, "lyrics_key").drop("lyrics_key")
+        cache = (lookup_join(keyed.select("_row", "lyrics_key"), one_lookup_row(sentiment_cache, "lyrics_key"),
+                             ["lyrics_key"], "inner").drop("lyrics_key"))
     sent = lyric_sentiment(with_lyrics.select("_row", "lyrics"), "_row", "lyrics", lexicon,
                            scores=scores, cache=cache)
     return with_lyrics.drop("lyrics_key").join(sent, "_row", "left")
 
 
-def context_stage(tracks: DataFrame, answers: DataFrame, model=rule_based_model,
-                  order: str = "_row") -> dict:
-    """Fill listening context / contraindications for rows that need it,
-    from stored answers or the model (once per new key)."""
+def context_stage(tracks: DataFrame, answers: DataFrame, model=None, order: str = "_row") -> dict:
+    """Fill listening context / contraindications for rows that need it, from
+    stored answers or the model (once per new key; None: the native rule).  Both
+    outputs of an answered row are overwritten; ``failures`` stay pending."""
     todo = work_set(tracks).withColumn("answer_key", text.answer_key("title", "artist"))
-    filled, snapshot = infer_answers(todo, answers, order, model=model)
-    upd = filled.select(order, F.col("listening_context").alias("_ctx"),
-                        F.col("contraindications").alias("_con"))
-    keep = [c for c in tracks.columns if c not in ("listening_context", "contraindications")]
-    out = tracks.select(*keep).join(upd, order, "left")
-    old_ctx = (F.col("listening_context") if "listening_context" in tracks.columns
-               else F.lit(None).cast("string"))
-    out = tracks.select(order, old_ctx.alias("_old_ctx"),
-                        (F.col("contraindications") if "contraindications" in tracks.columns
-                         else F.lit(None).cast("string")).alias("_old_con")).join(out, order)
-    out = out.withColumns({"listening_context": F.coalesce("_ctx", "_old_ctx"),
-                           "contraindications": F.coalesce("_con", "_old_con")})
-    return {"tracks": out.drop("_ctx", "_con", "_old_ctx", "_old_con"), "answers": snapshot,
+    filled, snapshot, failures = infer_answers(todo, answers, order, model=model)
+    return {"tracks": fill_context(tracks, filled, order), "answers": snapshot, "failures": failures,
             "updates": count_updates(filled)}
 
 

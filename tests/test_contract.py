@@ -10,7 +10,7 @@ from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-PYTHON_STEP = {"batch_inference", "clip_analysis"}   # the two pluggable Python hooks
+EXTRA = ("op", "pipeline")                           # queries of the optional subpackage have tests of their own
 
 
 def _norm(v):
@@ -39,7 +39,7 @@ def test_entry_runs(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"clip_analysis"}
+    assert all(n.startswith(EXTRA) for n in set(q) - set(o))
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +50,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_mod.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(n for n in entry_mod.oracle_sql() if not n.startswith(EXTRA)))
 def test_query_matches_oracle_small(spark, duck, name):
     sdf = entry_mod.queries()[name](spark, SF_SMALL).toPandas()
     odf = duck.execute(entry_mod.oracle_sql()[name]).df()
@@ -86,25 +86,27 @@ def test_scan_prunes_columns(spark):
     assert "p_name" not in plan.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in plan else True
 
 
-def test_clip_analysis_matches_brute_force(spark):
-    """The rows-only query against a plain numpy recomputation at sf0.001."""
-    import numpy as np
-    import pyarrow.parquet as pq
-    from cadenza.operators.clips import FRAME_BYTES
-    pages = pq.read_table(f"{SF_SMALL}/pages.parquet", columns=["page_id", "html"]).to_pylist()
-    want = {}
-    for p in pages:
-        data = np.frombuffer(p["html"].encode("utf-8"), dtype=np.uint8)
-        if len(data) < 5000:
-            continue
-        n = len(data) // FRAME_BYTES
-        blocks = data[: n * FRAME_BYTES].reshape(n, FRAME_BYTES)
-        tempo = 60.0 + (blocks.mean(axis=1) % 120.0)
-        hist = np.stack([np.bincount(b % 12, minlength=12) for b in blocks]).astype(np.float32) / FRAME_BYTES
-        c = hist.astype(np.float64).mean(axis=0)
-        maj, minr = (c[0] + c[4] + c[7]) / 3, (c[0] + c[3] + c[7]) / 3
-        want[str(p["page_id"])] = (float(np.median(tempo)), "Major" if maj >= minr else "Minor")
-    got = {r.clip_id: (r.bpm, r.mode) for r in entry_mod.queries()["clip_analysis"](spark, SF_SMALL).collect()}
-    assert got.keys() == want.keys() and len(got) > 0
-    for k, (bpm, mode) in want.items():
-        assert abs(got[k][0] - round(bpm, 6)) < 1e-6 and got[k][1] == mode, k
+def test_library_does_not_need_the_subpackage():
+    """Nothing outside the subpackage imports it, and the entry works without it."""
+    import os
+    import re
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.abspath(entry_mod.__file__))
+    for d, _, files in os.walk(os.path.join(root, "cadenza")):
+        for f in files:
+            if f.endswith(".py") and os.path.basename(d) != "llm":
+                assert not re.search(r"^\s*(from|import)\b.*\bllm\b", open(os.path.join(d, f)).read(), re.M), f
+    code = ("import sys; sys.modules['cadenza.llm'] = None; import __spark_entry__ as e; q = e.queries(); "
+            "assert 'score_tracks' in q and not any(n.startswith('op') for n in q); e.oracle_sql()")
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_checkpoint_folder_is_asked_for_outside_local_mode(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from cadenza import session
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None),
+                           sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(fake)

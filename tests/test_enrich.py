@@ -152,12 +152,20 @@ def test_fold_without_cache_equals_empty_cache(spark):
     assert [got[i] for i in range(len(rows))] == [w[:2] for w in want]
 
 
-def test_hot_key_split_paths_match(spark, monkeypatch):
-    """Force every key with more than 2 rows through the hot-key path."""
-    import cadenza.operators.common as common
-    from cadenza.config import Tuning
+def test_prior_last_with_sparse_orders_and_null_keys(spark):
+    """Chunks hold their number of rows however far apart the orders are."""
+    from cadenza.operators.enrich import prior_last
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "a", "a", None]), i * 10 ** 9 + rnd.randrange(10 ** 6), rnd.choice([None, i])) for i in range(80)]
+    df = spark.createDataFrame(rows, "k string, o long, v int")
+    got = {(r.k, r.o): r.p for r in prior_last(df, "k", "o", {"p": "v"}, 7).collect()}
+    for k, o, _ in rows:
+        before = [v for kk, oo, v in rows if kk == k and oo < o and v is not None]
+        assert got[k, o] == (before[-1] if before else None)
+
+
+def test_skewed_keys_fold_and_merge(spark):
     from cadenza.operators.merge import merge_back
-    monkeypatch.setattr(common, "TUNING", Tuning(hot_key_rows=2))
     rnd = random.Random(11)
     keys = ["a", "a", "a", "a", "b", "c"]
     rows = [(rnd.choice(keys), rnd.choice([None, 100.0]), rnd.choice([None, "Minor"])) for _ in range(60)]

@@ -10,7 +10,7 @@ from cadenza.operators.answers import infer_answers, lookup_answers, parse_answe
 from cadenza.operators.clips import analyse_clips
 from cadenza.operators.frames import chroma_mode, median_tempo, mono_mix, top_candidate
 from cadenza.sources import io
-from cadenza.streaming.incremental import run_incremental_enrich
+from cadenza.streaming.incremental import cache_as_of, compact, run_incremental_enrich
 
 PROV_DDL = ("song_key string, p1_bpm double, p2_bpm double, p2_mode string, p3_bpm double, "
             "p3_mode string, p4_bpm double, p4_mode string")
@@ -31,13 +31,13 @@ def test_cache_json_import(spark, tmp_dir):
     p = os.path.join(tmp_dir, "cache.json")
     with open(p, "w", encoding="utf-8") as f:
         json.dump({"a|||b": {"BPM": 90.5, "Mode": "Major"}, "c|||d": {"BPM": None, "Mode": None}}, f, indent=2)
-    got = {r.song_key: (r.BPM, r.Mode) for r in io.read_cache_json(spark, p).collect()}
+    got = {r.song_key: (r.BPM, r.Mode) for r in io.import_cache_document(spark, p).collect()}
     assert got == {"a|||b": (90.5, "Major"), "c|||d": (None, None)}
     bad = os.path.join(tmp_dir, "bad.json")
     with open(bad, "w") as f:
         f.write("{not json")
-    assert io.read_cache_json(spark, bad).count() == 0
-    assert io.read_cache_json(spark, os.path.join(tmp_dir, "absent.json")).count() == 0
+    assert io.import_cache_document(spark, bad).count() == 0
+    assert io.import_cache_document(spark, os.path.join(tmp_dir, "absent.json")).count() == 0
 
 
 def test_lexicon_scan(spark, tmp_dir):
@@ -81,6 +81,9 @@ def test_snapshots_and_export(spark, tmp_dir):
     assert all(r.bpm is None for r in v1.collect())
     out = os.path.join(tmp_dir, "export")
     io.export_cache_json_lines(v1, "song_key", out)
+    back = {r.song_key: (r.bpm, r.mode) for r in io.read_cache_json_lines(spark, out, "bpm double, mode string").collect()}
+    assert back == {"k": (None, "Major"), "j": (None, None), "i": (None, None)}       # every key of every line
+    assert io.read_cache_json_lines(spark, out + "-none").count() == 0
     lines = sorted(r.value for r in spark.read.text(out).collect())
     assert '{"k":{"bpm":null,"mode":"Major"}}' in lines
 
@@ -109,12 +112,19 @@ def test_frames(spark):
 
 
 def test_clip_analysis_prefers_analyser(spark):
-    clips = spark.createDataFrame([("big", bytes(range(256)) * 40), ("small", b"x" * 10)],
-                                  "clip_id string, content binary")
+    def lengths(batches):
+        """An analyser hook: two frames whose tempo is the clip's length, all of it."""
+        import pandas as pd
+        for pdf in batches:
+            n = [len(c) for c in pdf["content"]]
+            yield pd.DataFrame({"clip_id": [c for c in pdf["clip_id"] for _ in "ab"], "frame": [0, 1] * len(n),
+                                "tempo": [float(x) for x in n for _ in "ab"], "chroma": [[1.0] + [0.0] * 11] * (2 * len(n))})
+    clips = spark.createDataFrame([("big", b"x" * 6001), ("small", b"x" * 10), ("lost", b"")], "clip_id string, content binary")
     fb = spark.createDataFrame([("small", 88.0, "Minor")], "clip_id string, bpm double, mode string")
-    got = {r.clip_id: r for r in analyse_clips(clips, fallback=fb).collect()}
-    assert got["big"].bpm_source == "analyser" and got["big"].bpm is not None
+    got = {r.clip_id: r for r in analyse_clips(clips, lengths, fallback=fb).collect()}
+    assert got["big"].bpm_source == "analyser" and got["big"].bpm == 6001.0 and got["big"]["mode"] == "Major"
     assert got["small"].bpm == 88.0 and got["small"].bpm_source == "fallback"
+    assert got["lost"].bpm is None and got["lost"]["mode"] is None and len(got) == 3     # a small clip keeps its row
 
 
 def test_answers(spark):
@@ -138,13 +148,14 @@ def test_infer_answers_only_new_keys(spark):
                                    "_row long, answer_key string, lyric_valence double, lyric_arousal double")
     cached = spark.createDataFrame([("c", "ctx", "con", "why")],
                                    "answer_key string, listening_context string, contraindications string, rationale string")
-    filled, snap = infer_answers(tracks, cached, "_row")
+    filled, snap, failures = infer_answers(tracks, cached, "_row")
+    assert failures.count() == 0
     got = {r._row: (r.answer_source, r.rationale) for r in filled.collect()}
     assert got[1] == ("model", "lval=-0.20 laro=0.10") and got[2] == got[1]   # first row of the key decides
     assert got[4] == ("cache", "why")
     assert snap.where("answer_source = 'model'").count() == 2
     # second run against the new snapshot: nothing left for the model
-    again, snap2 = infer_answers(tracks, snap.drop("answer_source"), "_row")
+    again, snap2, _ = infer_answers(filled, snap.drop("answer_source"), "_row")
     assert snap2.where("answer_source = 'model'").count() == 0
 
 
@@ -165,22 +176,15 @@ def test_incremental_enrich_is_resumable(spark, tmp_dir):
     assert rows == {1: (None, "Minor"), 2: (100.0, "Minor")}
     again = run_incremental_enrich(spark, stream(), lambda b: b, prov, work)
     assert again["batches"] == 0
-    cache = io.read_snapshot(spark, out["cache"]).collect()
+    cache = cache_as_of(spark, out["cache"], 99).collect()
     # row 2 returns early (own BPM + cached mode), so the cache keeps row 1's write
     assert [(r.song_key, r.bpm, r.mode) for r in cache] == [("k", None, "Minor")]
 
 
-def test_median_hot_path_matches_native(spark):
-    ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").select(
-        F.col("user_id").alias("t"), F.col("value").alias("tempo"))
-    extra = spark.createDataFrame([(999999, None), (1, None)], "t long, tempo double")
-    frames = ev.unionByName(extra)
-    native = {r.t: (r.median_tempo, r.n_frames) for r in median_tempo(frames, "t").collect()}
-    hot = {r.t: (r.median_tempo, r.n_frames) for r in median_tempo(frames, "t", hot_rows=60).collect()}
-    assert native.keys() == hot.keys() and native[999999] == (None, 0)
-    for k in native:
-        a, b = native[k], hot[k]
-        assert a[1] == b[1] and (a[0] is None and b[0] is None or abs(a[0] - b[0]) < 1e-9), (k, a, b)
+def test_median_keeps_null_keys_and_tracks_without_tempo(spark):
+    frames = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None), (None, 5.0), (None, 7.0)], "t string, tempo double")
+    got = {r.t: (r.median_tempo, r.n_frames) for r in median_tempo(frames, "t").collect()}
+    assert got == {"a": (2.0, 2), "b": (None, 0), None: (6.0, 2)}
 
 
 def test_model_failures_are_isolated(spark):
@@ -193,9 +197,26 @@ def test_model_failures_are_isolated(spark):
     tracks = spark.createDataFrame([(1, "good", 0.1, 0.1), (2, "bad", 0.1, 0.1)],
                                    "_row long, answer_key string, lyric_valence double, lyric_arousal double")
     empty = spark.createDataFrame([], "answer_key string, listening_context string, contraindications string, rationale string")
-    filled, _ = infer_answers(tracks, empty, "_row", model=flaky)
+    filled, snap, failures = infer_answers(tracks, empty, "_row", model=flaky)
     got = {r.answer_key: r.listening_context for r in filled.collect()}
     assert got == {"good": "ok", "bad": None}
+    assert [r.answer_key for r in snap.collect()] == ["good"]
+    assert [(r.answer_key, r.error, r.parse_ok) for r in failures.collect()] == [("bad", "RuntimeError: model refused", False)]
+
+
+def test_model_gets_the_whole_prompt(spark):
+    def echo(batches):
+        for pdf in batches:
+            yield pdf.assign(raw=[json.dumps({"listening_context": p, "contraindications": s, "rationale": t})
+                                  for p, s, t in zip(pdf["prompt"], pdf["system"], pdf["title"])])[["answer_key", "raw"]]
+    tracks = spark.createDataFrame([(1, "T|||A", " T ", "A", 96.0, "Minor", 0.123, -0.5, None)],
+                                   "_row long, answer_key string, title string, artist string, bpm double, mode string, valence double, lyric_valence double, lyric_arousal double")
+    empty = spark.createDataFrame([], "answer_key string, listening_context string, contraindications string, rationale string")
+    r = infer_answers(tracks, empty, "_row", model=echo)[0].collect()[0]
+    assert r.listening_context.startswith("Song: T — A\nAttributes:\n- BPM: 96.0\n- Mode: Minor\n- Spotify valence: 0.12\n"
+                                          "- Lyric valence: -0.50\n- Lyric arousal: NA\n\nTask:\n")
+    assert r.listening_context.endswith("Output strict JSON only.") and "Do not diagnose" in r.contraindications
+    assert r.rationale == "T"
 
 
 def test_incremental_enrich_second_file_sees_first_batch_cache(spark, tmp_dir):
@@ -215,18 +236,20 @@ def test_incremental_enrich_second_file_sees_first_batch_cache(spark, tmp_dir):
     assert first["batches"] == 1 and second["batches"] == 1
     rows = {r._row: (r.bpm, r.mode, r.bpm_source) for r in spark.read.parquet(second["rows"]).collect()}
     assert rows[2] == (120.0, "Major", "cache")       # filled from the first batch's snapshot
-    assert io.snapshot_versions(spark, second["cache"])[-1] == 2
+    assert io.snapshot_versions(spark, second["cache"] + "/deltas")[-1] == 2
 
 
-def test_replayed_batch_ignores_its_own_snapshot(spark, tmp_dir):
-    base = os.path.join(tmp_dir, "snapv")
-    df0 = spark.createDataFrame([("k", 1.0, None)], "song_key string, bpm double, mode string")
-    df1 = spark.createDataFrame([("k", 2.0, "Major")], "song_key string, bpm double, mode string")
-    io.write_snapshot(df0, base, version=0)
-    io.write_snapshot(df1, base, version=1)   # written by batch 0 before a failure
-    again = io.read_snapshot(spark, base, max_version=0).collect()
-    assert [(r.bpm, r.mode) for r in again] == [(1.0, None)]
-    assert io.read_snapshot(spark, base).collect()[0].bpm == 2.0
+def test_cache_versions_deltas_and_compaction(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "cachev")
+    ddl = "song_key string, bpm double, mode string"
+    for v, rows in enumerate([[("k", 1.0, None), ("j", 5.0, None)], [("k", 2.0, "Major")], [("i", 3.0, None)]]):
+        io.write_snapshot(spark.createDataFrame(rows, ddl), base + "/deltas", version=v)
+    at = lambda v: {r.song_key: r.bpm for r in cache_as_of(spark, base, v).collect()}
+    assert at(0) == {"k": 1.0, "j": 5.0}                # a replay of batch 0 doesn't see what it wrote
+    assert at(1) == {"k": 2.0, "j": 5.0} and at(2) == {"k": 2.0, "j": 5.0, "i": 3.0}
+    compact(spark, base, 1)
+    assert at(2) == {"k": 2.0, "j": 5.0, "i": 3.0} and at(0) == {"k": 1.0, "j": 5.0}
+    assert cache_as_of(spark, os.path.join(tmp_dir, "nothing"), 5).count() == 0
 
 
 def test_model_called_once_per_new_key(spark):
@@ -241,7 +264,7 @@ def test_model_called_once_per_new_key(spark):
                                    "_row long, answer_key string, lyric_valence double, lyric_arousal double")
     cached = spark.createDataFrame([("k0", "x", "y", "z")],
                                    "answer_key string, listening_context string, contraindications string, rationale string")
-    filled, snap = infer_answers(tracks, cached, "_row", model=counting)
+    filled, snap, _ = infer_answers(tracks, cached, "_row", model=counting)
     filled.collect()
     snap.collect()
     filled.count()

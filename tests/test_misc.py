@@ -1,11 +1,11 @@
 """Small helpers: SRC-4 rename, SRC-9 schema report, SNK-1 CSV sink,
-PRJ-15/ORD-2 restore order, broadcast size check, global row number."""
+PRJ-15/ORD-2 restore order, key joins, global row number."""
 
 import os
 
 from pyspark.sql import functions as F
 
-from cadenza.operators.common import (broadcast_if_small, ensure_columns, rename_if_absent,
+from cadenza.operators.common import (ensure_columns, lookup_join, materialised, one_per_key, rename_if_absent,
                                       require_columns, schema_report)
 from cadenza.operators.merge import preview, restore_order
 from cadenza.operators.rank import global_row_number
@@ -47,13 +47,6 @@ def test_restore_order_and_preview(spark):
     assert [r.v for r in preview(df, 2).collect()] == ["a", "b"]
 
 
-def test_broadcast_if_small(spark):
-    df = spark.range(10)
-    _, small = broadcast_if_small(df, max_rows=10)
-    _, big = broadcast_if_small(df, max_rows=9)
-    assert small and not big
-
-
 def test_global_row_number_many_partitions(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7919 % 1000).alias("k"))
     ranked = global_row_number(df, [F.col("k").desc()], "rank", num_partitions=7)
@@ -61,13 +54,51 @@ def test_global_row_number_many_partitions(spark):
     assert got == [(i + 1, 999 - i) for i in range(1000)]
 
 
-def test_hot_keys_small_input_and_detection(spark):
-    from cadenza.operators.common import hot_keys, lookup_join
-    df = spark.range(0, 100).select((F.col("id") % 3 == 0).cast("int").alias("k"), "id")
-    assert hot_keys(df, ["k"], hot_rows=1000) is None            # input too small for any hot key
-    hot = hot_keys(df, ["k"], hot_rows=40)                        # k=0 has 66 rows, k=1 has 34
-    assert sorted(r.k for r in hot.collect()) == [0]
-    right = spark.createDataFrame([(0, "zero"), (1, "one")], "k int, name string")
-    joined = lookup_join(df, right, ["k"], "left", hot=hot)
-    plain = df.join(right, ["k"], "left")
-    assert sorted(tuple(r) for r in joined.collect()) == sorted(tuple(r) for r in plain.collect())
+def test_lookup_join_equals_a_plain_join(spark):
+    rows = [(None if k % 10 else k % 3, k, None) for k in range(1000)] + [(0, -k, "x") for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, id int, note string")       # 90 % NULL keys, then one hot key
+    right = spark.createDataFrame([(0, "zero"), (1, "one"), (None, "never"), (7, "none")], "k int, name string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        got, want = lookup_join(df, right, ["k"], how), df.join(right, ["k"], how)
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), how
+
+
+def test_lookup_join_spreads_rows_without_a_key(spark):
+    df = spark.range(0, 20000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), "id")
+    right = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = (lookup_join(df, right, ["k"]).groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
+    n = sorted(r["count"] for r in sizes)
+    assert len(n) == 8 and n[-1] < 2 * 20000 / 8
+
+
+def test_no_plan_counts_rows_behind_a_limit(spark):
+    plan = lookup_join(spark.range(10).withColumnRenamed("id", "k"), spark.range(5).withColumnRenamed("id", "k"), ["k"])
+    assert "Limit" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_per_key(spark):
+    rows = [("a", 3, "x"), ("a", 1, "y"), (None, 5, "n"), (None, 2, "m"), ("b", 4, None)]
+    df = spark.createDataFrame(rows, "k string, o int, v string")
+    assert sorted(map(tuple, one_per_key(df, ["k"], "o").collect()), key=str) == sorted([("a", 1, "y"), (None, 2, "m"), ("b", 4, None)], key=str)
+    assert {r.v for r in one_per_key(df, ["k"], "o", last=True).collect()} == {"x", "n", None}
+    plan = one_per_key(df, ["k"], "o")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_materialised_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = materialised(spark.range(100).mapInArrow(count, "id long"), "test")
+    assert df.count() == df.distinct().count() == 100 and seen.value == 100

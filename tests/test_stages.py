@@ -42,7 +42,11 @@ def test_stages_end_to_end(spark):
     answers = spark.createDataFrame([], "answer_key string, listening_context string, contraindications string, rationale string")
     ctx = stages.context_stage(lyr, answers)
     assert ctx["tracks"].where(F.col("listening_context").isNull()).count() == 0
-    assert ctx["updates"].collect()[0].updated_rows == 3
+    assert ctx["updates"].collect()[0].updated_rows == 3 and ctx["failures"].count() == 0
+    # a second run over its own output: nothing to do, nothing changes
+    again = stages.context_stage(ctx["tracks"], ctx["answers"].drop("answer_source"))
+    assert again["updates"].collect()[0].n_rows == 0
+    assert sorted(map(str, again["tracks"].collect())) == sorted(map(str, ctx["tracks"].collect()))
 
     g = stages.gate_stage(ctx["tracks"].withColumn("bpm", F.col("bpm").cast("string"))
                           .withColumn("lyric_valence", F.col("lyric_valence").cast("string"))
@@ -67,3 +71,41 @@ def test_lyrics_cache_snapshot(spark):
             for r in stages.lyrics_cache_snapshot(tracks, old).collect()}
     assert snap == {"a|||x": ("la la", 0.6, 0.2, "new"), "b|||y": ("", None, None, "new"),
                     "c|||z": ("old", 0.1, 0.1, "old")}
+
+
+def test_context_stage_overwrites_answered_rows_only(spark):
+    tracks = spark.createDataFrame(
+        [(0, "A", "X", "kept", "kept"), (1, "B", "X", "half", None), (2, "C", "X", None, "old"), (3, " ", "X", None, "blank")],
+        "_row long, title string, artist string, listening_context string, contraindications string")
+    answers = spark.createDataFrame([("B|||X", "new", None, "r")], "answer_key string, listening_context string, contraindications string, rationale string")
+
+    def refuses(batches):
+        for pdf in batches:
+            raise RuntimeError("no " + "x" * 900)
+            yield pdf
+    ctx = stages.context_stage(tracks, answers, model=refuses)
+    got = {r._row: (r.listening_context, r.contraindications) for r in ctx["tracks"].collect()}
+    assert got == {0: ("kept", "kept"), 1: ("new", None), 2: (None, "old"), 3: (None, "blank")}
+    failed = ctx["failures"].collect()
+    assert [r.answer_key for r in failed] == ["C|||X"] and failed[0].error == "RuntimeError: no " + "x" * 900
+    assert ctx["answers"].count() == 1                    # a failure is no cache entry
+    assert ctx["updates"].collect()[0].updated_rows == 1
+
+
+def test_side_tables_with_repeated_keys_do_not_multiply_rows(spark):
+    tracks = spark.createDataFrame([(0, "A", "X"), (1, "B", "Y")], "_row long, title string, artist string")
+    lexicon = spark.createDataFrame([("la", 0.5, 0.5)], "word string, valence double, arousal double")
+    source = spark.createDataFrame([("a|||x", "la one"), ("a|||x", "la two")], "lyrics_key string, lyrics string")
+    cache = spark.createDataFrame([("b|||y", 0.1, 0.2), ("b|||y", 0.3, 0.4)], "lyrics_key string, cached_valence double, cached_arousal double")
+    out = stages.lyrics_stage(tracks, lexicon, lyrics_source=source, sentiment_cache=cache).collect()
+    assert sorted((r._row, r.lyrics, r.lyric_valence) for r in out) == [(0, "la one", 0.5), (1, "", 0.1)]
+
+
+def test_hits_are_not_multiplied_by_repeated_features(spark):
+    from cadenza.operators.resolve import features_with_fallback
+    hits = spark.createDataFrame([("t1",), ("t2",), ("t3",), (None,)], "track_id string")
+    feats = spark.createDataFrame([("t1", 90.0, 1, 0.5, 2), ("t1", 80.0, 0, 0.4, 1), (None, 1.0, 1, 1.0, 3)],
+                                  "track_id string, tempo double, mode int, valence double, o int")
+    ana = spark.createDataFrame([("t2", (70.0, 1)), ("t2", (60.0, 0))], "track_id string, track struct<tempo double, mode int>")
+    got = sorted(((r.track_id, r.bpm, r.mode) for r in features_with_fallback(hits, feats, ana, features_order="o").collect()), key=str)
+    assert got == sorted([("t1", 80.0, "Minor"), ("t2", 60.0, "Minor"), ("t3", None, None), (None, None, None)], key=str)
