@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["scoring", "lyrics", "matching", "gating", "framestats", "answers", "enrichment", "streams"]
+_MODULES = ["scoring", "lyrics", "matching", "gating", "framestats", "answers", "enrichment", "streams", "files"]
 
 
 def _collect(attr: str) -> dict:

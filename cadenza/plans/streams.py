@@ -1,24 +1,35 @@
-"""Plans with a Python step or a stream: incremental enrichment over the
-part table as a landing file (same inputs as the fold plan, so its oracle
-is the fold's), and clip analysis over web pages as byte clips."""
+"""Streamed plan: incremental enrichment over the part table, landed as two
+files in row order and read one file a micro-batch (same inputs as the fold plan,
+so its oracle is the fold's)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.clips import analyse_clips
-from ..session import shared_path, table_path
+from ..session import shared_path
 from ..streaming.incremental import run_incremental_enrich
 from .base import load, round_doubles
 from .enrichment import ORACLE as FOLD_ORACLE
 from .enrichment import fold_inputs
 
 
+FILES = 2
+
+
+def _landing(spark, sf_dir):
+    """The part table as ``FILES`` files, written one after the other by row order."""
+    part = load(spark, sf_dir, "part")
+    top = part.agg(F.max("p_partkey").alias("n")).first()["n"] or 0
+    half = F.least(F.floor(F.col("p_partkey") * FILES / (top + 1)), F.lit(FILES - 1))
+    path = shared_path(spark, "incremental_landing")
+    for k in range(FILES):
+        part.where(half == k).coalesce(1).write.mode("append").parquet(path)      # one landing file of a batch
+    return path, part.schema
+
+
 def q_incremental_enrich(spark, sf_dir):
-    part_path = table_path(sf_dir, "part")
-    schema = spark.read.parquet(part_path).schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "part.parquet")
-              .parquet(sf_dir))
+    path, schema = _landing(spark, sf_dir)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
     _, providers, cache = fold_inputs(spark, sf_dir)
 
     def prepare(batch):
@@ -35,16 +46,8 @@ def q_incremental_enrich(spark, sf_dir):
     return round_doubles(rows.select("p_partkey", "song_key", "bpm", "mode", "bpm_source", "mode_source"))
 
 
-def q_clip_analysis(spark, sf_dir):
-    pages = load(spark, sf_dir, "pages")
-    clips = pages.select(F.col("page_id").cast("string").alias("clip_id"),
-                         F.encode("html", "UTF-8").alias("content"))
-    return round_doubles(analyse_clips(clips))
-
-
 ORACLE = {"incremental_enrich": FOLD_ORACLE["enrich_fold"]}
 
 QUERIES = {
     "incremental_enrich": q_incremental_enrich,
-    "clip_analysis": q_clip_analysis,
 }

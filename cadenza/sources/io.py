@@ -8,15 +8,14 @@ version, so the path being read is never overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
-from pyspark.errors import AnalysisException
 
 from ..functions import num, text
-from ..operators.rank import global_row_number
+from ..operators.common import one_per_key
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 
 
 # --------------------------------------------------------------------------
@@ -24,11 +23,13 @@ CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"
 # --------------------------------------------------------------------------
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
-             row_col: str | None = "_row") -> DataFrame:
-    """Header CSV with quoted multi-line fields and doubled-quote escapes.
-    Only the empty field becomes NULL ('NA' stays text).  ``row_col``: file
-    order id (monotonically increasing; persist before using it twice)."""
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+             row_col: str | None = "_row", multi_line: bool = True) -> DataFrame:
+    """Header CSV with doubled-quote escapes.  Only the empty field becomes NULL
+    ('NA' stays text).  ``multi_line``: quoted fields may hold line breaks (a
+    lyrics column); such a file can't be split, so turn it off for files
+    without such a column.  ``row_col``: file order id (monotonically
+    increasing; persist before using it twice)."""
+    df = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
     return df.withColumn(row_col, F.monotonically_increasing_id()) if row_col else df
 
 
@@ -37,19 +38,33 @@ def require(df: DataFrame, cols) -> DataFrame:
     return require_columns(df, cols)
 
 
-def read_cache_json(spark: SparkSession, path: str, value_ddl: str = "BPM double, Mode string",
-                    key: str = "song_key") -> DataFrame:
-    """Import a cache document ``{key: {field: value}}`` as rows
-    (key, fields...).  A missing or corrupt file gives an empty table."""
-    value_schema = f"map<string, struct<{value_ddl}>>"
-    empty = spark.createDataFrame([], f"{key} string, {value_ddl}")
-    try:
-        raw = spark.read.text(path, wholetext=True)
-    except AnalysisException:
-        return empty
-    parsed = raw.select(F.from_json("value", value_schema).alias("m"))
-    rows = parsed.select(F.explode("m").alias(key, "v")).select(key, "v.*")
-    return rows
+def _no_file(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return not fs.exists(p)
+
+
+def read_cache_json_lines(spark: SparkSession, path: str, value_ddl: str = "BPM double, Mode string",
+                          key: str = "song_key") -> DataFrame:
+    """Read a cache export: one ``{key: {field: value}}`` object per line, so files
+    split.  Lines that don't parse are dropped; a missing path is an empty table."""
+    schema = f"{key} string, {value_ddl}"
+    if _no_file(spark, path):
+        return spark.createDataFrame([], schema)
+    parsed = spark.read.text(path).select(F.from_json("value", f"map<string, struct<{value_ddl}>>").alias("m"))
+    return parsed.select(F.explode("m").alias(key, "v")).select(key, "v.*")
+
+
+def import_cache_document(spark: SparkSession, path: str, value_ddl: str = "BPM double, Mode string",
+                          key: str = "song_key") -> DataFrame:
+    """Import one JSON document ``{key: {field: value}, ...}`` as rows (key,
+    fields...).  The document is a single value of a single task: this is for
+    small foreign files only; the engine's own exports are lines.  A missing or
+    corrupt file gives an empty table."""
+    if _no_file(spark, path):
+        return spark.createDataFrame([], f"{key} string, {value_ddl}")
+    raw = spark.read.text(path, wholetext=True)
+    parsed = raw.select(F.from_json("value", f"map<string, struct<{value_ddl}>>").alias("m"))
+    return parsed.select(F.explode("m").alias(key, "v")).select(key, "v.*")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -66,17 +81,21 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
         num.coerce_number(F.get("p", 1)).alias("valence"),
         num.coerce_number(F.get("p", 2)).alias("arousal"))
     cand = cand.where(F.col("valence").isNotNull() & F.col("arousal").isNotNull())
-    last = cand.groupBy("word").agg(F.max_by(F.struct("valence", "arousal"), "_line").alias("v"))
-    return last.select("word", "v.valence", "v.arousal")
+    return one_per_key(cand, ["word"], "_line", last=True).select("word", "valence", "arousal")
 
 
 def count_listed_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a text list after stripping the whole text: blank lines at
     the start and end do not count, inner blank lines do; empty -> 0."""
-    lines = spark.read.text(path).withColumn("_id", F.monotonically_increasing_id())
-    numbered = global_row_number(lines, [F.col("_id")], "_n")
-    nonblank = F.when(text.strip("value") != "", F.col("_n"))
-    return numbered.agg(F.coalesce(F.max(nonblank) - F.min(nonblank) + F.lit(1), F.lit(0)).alias("n_lines"))
+    mid = F.monotonically_increasing_id()
+    lines = spark.read.text(path).select(F.shiftright(mid, 33).alias("part"), mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("pos"),
+                                         (text.strip("value") != "").alias("full"))
+    at = F.when(F.col("full"), F.col("pos"))
+    parts = lines.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first"), F.max(at).alias("last"))
+    # one row for each part of the file from here on
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = parts.select((before + F.col("first")).alias("first"), (before + F.col("last")).alias("last"))
+    return placed.agg(F.coalesce(F.max("last") - F.min("first") + F.lit(1), F.lit(0)).alias("n_lines"))
 
 
 def read_clips(spark: SparkSession, path: str, min_bytes: int) -> DataFrame:
@@ -90,8 +109,9 @@ def read_clips(spark: SparkSession, path: str, min_bytes: int) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Header CSV (a directory of parts; no coalesce to one file)."""
-    df.write.mode(mode).options(header="true", escape='"', quote='"').csv(path)
+    """Header CSV (a directory of parts; no coalesce to one file); white space stays."""
+    df.write.mode(mode).options(header="true", escape='"', quote='"', ignoreLeadingWhiteSpace="false",
+                                ignoreTrailingWhiteSpace="false").csv(path)
 
 
 def write_split(gated: DataFrame, path: str, flag: str = "ready_to_score",
@@ -107,8 +127,9 @@ def write_split(gated: DataFrame, path: str, flag: str = "ready_to_score",
 
 
 def write_lines_if_any(df: DataFrame, line_col: str, path: str) -> bool:
-    """Write one line per row, only when there is at least one row."""
-    if df.isEmpty():
+    """Write one line per row, only when there is at least one row (the look
+    for a first row stops at it)."""
+    if not df.select(line_col).take(1):
         return False
     df.select(F.col(line_col).cast("string")).write.mode("overwrite").text(path)
     return True

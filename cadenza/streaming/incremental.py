@@ -1,14 +1,14 @@
 """Resumable incremental enrichment (STR-1).
 
-A file stream over a landing directory, run with ``availableNow`` so every
-file present is processed once and the query stops.  Micro-batch ``k`` is
-folded against the newest committed cache snapshot with version <= k, i.e.
-the one the previous batch wrote (JOI-6/7/8), its rows are
-written to ``rows/batch=<id>`` and the updated cache to snapshot version
-``<id> + 1`` (JOI-13).  Both outputs are keyed by the batch id, so a batch
-replayed after a failure overwrites its own output; the stream checkpoint
-replaces the original every-N-rows cache save, and a second run over the
-same input finds nothing new.
+A file stream over a landing directory, run with ``availableNow``: every file
+present is processed once, in micro-batches, and the query stops.  Micro-batch
+``k`` is folded against the cache as of batch ``k - 1`` (JOI-6/7/8).  It writes
+its rows to ``rows/batch=<k>`` and only the cache entries of its own keys, as
+delta ``cache/v=<k + 1>``; the cache as of a version is the newest entry of each
+key up to it, and ``compact`` folds deltas into one.  All outputs are named by
+the batch, so a batch that is replayed after a failure overwrites its own
+output and never reads it; the stream checkpoint replaces the original
+every-N-rows cache save, and a second run over the same input finds nothing new.
 """
 
 from __future__ import annotations
@@ -16,38 +16,69 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.common import lookup_join, one_per_key
 from ..operators.enrich import enrich_fold
-from ..sources.io import read_snapshot, write_snapshot
+from ..sources.io import snapshot_versions, write_snapshot
 
 CACHE_SCHEMA = "song_key string, bpm double, mode string"
 
 
+def cache_as_of(spark: SparkSession, base: str, version: int, key: str = "song_key") -> DataFrame:
+    """The newest entry of each key in the deltas up to ``version``, from the last compacted one on."""
+    versions = [v for v in snapshot_versions(spark, f"{base}/deltas") if v <= version]
+    whole = [v for v in snapshot_versions(spark, f"{base}/whole") if v <= version]
+    frames = []
+    if whole:
+        frames.append(spark.read.parquet(f"{base}/whole/v={whole[-1]}").withColumn("_v", F.lit(whole[-1])))
+    for v in versions:
+        if not whole or v > whole[-1]:
+            frames.append(spark.read.parquet(f"{base}/deltas/v={v}").withColumn("_v", F.lit(v)))
+    if not frames:
+        return spark.createDataFrame([], CACHE_SCHEMA)
+    entries = frames[0]
+    for f in frames[1:]:
+        entries = entries.unionByName(f)
+    return one_per_key(entries, [key], "_v", last=True).drop("_v") if len(frames) > 1 else entries.drop("_v")
+
+
+def compact(spark: SparkSession, base: str, version: int, key: str = "song_key") -> str:
+    """Write the cache as of ``version`` as one table; deltas up to it are not read any more."""
+    return write_snapshot(cache_as_of(spark, base, version, key), f"{base}/whole", version=version)
+
+
 def run_incremental_enrich(spark: SparkSession, stream: DataFrame,
                            prepare: Callable[[DataFrame], DataFrame], providers: DataFrame,
                            work_dir: str, initial_cache: DataFrame | None = None,
                            key: str = "song_key", order: str = "_row") -> dict:
     """Process everything available in ``stream`` and stop.
 
-    ``prepare`` turns a micro-batch into fold input (key, order, own
-    bpm/mode).  Layout under ``work_dir`` (a shared folder): checkpoint/,
-    cache/v=N, rows/batch=N.  Returns the paths and the batch count."""
+    ``prepare`` turns a micro-batch into fold input (key, order, own bpm/mode); the
+    source's ``maxFilesPerTrigger`` bounds a batch.  Layout under ``work_dir`` (a
+    shared folder): checkpoint/, cache/deltas/v=N, cache/whole/v=N, rows/batch=N.
+    Returns the paths and the batch count."""
     base = work_dir.rstrip("/")
     cache_base, rows_base = f"{base}/cache", f"{base}/rows"
-    if initial_cache is not None and read_snapshot(spark, cache_base) is None:
-        write_snapshot(initial_cache.select(key, "bpm", "mode"), cache_base, version=0)
+    if initial_cache is not None and not snapshot_versions(spark, f"{cache_base}/deltas"):
+        write_snapshot(initial_cache.select(key, "bpm", "mode"), f"{cache_base}/deltas", version=0)
     batches = []
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        # the cache as of the previous batch: a replay of this batch after a
-        # failure must not see the snapshot it may already have written
-        cache = read_snapshot(spark, cache_base, CACHE_SCHEMA, max_version=batch_id)
-        rows, snap = enrich_fold(prepare(batch), providers, cache, key=key, order=order)
-        rows.write.mode("overwrite").parquet(f"{rows_base}/batch={batch_id}")
-        write_snapshot(snap, cache_base, version=batch_id + 1)
-        batches.append(batch_id)
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            tracks = prepare(batch)
+            keys = tracks.select(key).distinct()
+            cache = cache_as_of(spark, cache_base, batch_id, key)
+            mine = lookup_join(cache, keys, [key], "left_semi")
+            rows, snap = enrich_fold(tracks, providers, mine, key=key, order=order)
+            rows.write.mode("overwrite").parquet(f"{rows_base}/batch={batch_id}")
+            write_snapshot(snap, f"{cache_base}/deltas", version=batch_id + 1)
+            batches.append(batch_id)
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", f"{base}/checkpoint")
