@@ -20,10 +20,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import text_of
+from .base import few_texts, text_of
 
 SAMPLE = 400           # rows on which the order is estimated ...
-SAMPLE_CHARS = 1 << 16 # ... each of at most so many characters
+SAMPLE_CHARS = 1 << 14 # ... each of at most so many characters
 WINDOW = 8
 _SPACE = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
@@ -40,32 +40,49 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n", -1), lambda x: F.translate(x, _SPACE, "") != "")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _window_hashes(words: Column) -> Column:
     """64-bit hashes of the 8-word windows, by doubling: 1, 2, 4, 8 words."""
-    n = F.size(words)
-    h = F.transform(words, lambda w: F.xxhash64(w))
-    span = 1
-    while span < WINDOW:
-        m = F.greatest(n - (2 * span - 1), F.lit(0))
-        h = F.zip_with(F.slice(h, F.lit(1), m), F.slice(h, F.lit(1 + span), m), lambda x, y: F.xxhash64(x, y))
-        span *= 2
-    return h
+    def double(h: Column, span: int) -> Column:
+        m = F.greatest(F.size(h) - span, F.lit(0))
+        twice = F.zip_with(F.slice(h, F.lit(1), m), F.slice(h, F.lit(1 + span), m), lambda x, y: F.xxhash64(x, y))
+        return twice if 2 * span == WINDOW else _let(twice, lambda g: double(g, 2 * span))
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: double(h, 1))
 
 
 def _covered(hashes: Column) -> Column:
     """Words in windows whose hash occurs twice or more: equal hashes meet after a sort, and
     their positions, sorted, each add the words not covered by the one before."""
-    s = F.array_sort(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-    m = F.greatest(F.size(hashes) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(s, F.lit(1), m), F.slice(s, F.lit(2), m),
-                       lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")))
-    at = F.array_sort(F.array_distinct(F.flatten(pairs)))
+    def places(s: Column) -> Column:
+        m = F.greatest(F.size(s) - 1, F.lit(0))
+        pairs = F.zip_with(F.slice(s, F.lit(1), m), F.slice(s, F.lit(2), m),
+                           lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])).otherwise(F.array().cast("array<int>")))
+        return F.array_sort(F.array_distinct(F.flatten(pairs)))
+    at = _let(F.array_sort(F.transform(hashes, lambda x, i: F.struct(x.alias("h"), i.alias("i")))), places)
     start = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-WINDOW).alias("last"))
     total = F.aggregate(at, start, lambda acc, i: F.struct(
         (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n"), i.alias("last")))
     return total["n"]
 
 
+def _repeats(hashes: Column) -> Column:
+    return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), _covered(hashes)).otherwise(F.lit(0).cast("bigint"))
+
+
+def _stutters(words: Column) -> Column:
+    m = F.greatest(F.size(words) - 1, F.lit(0))
+    same = F.zip_with(F.slice(words, F.lit(1), m), F.slice(words, F.lit(2), m), lambda x, y: x == y)
+    return F.size(F.filter(same, lambda x: x)).cast("bigint")
+
+
+def _repeated_lines(lines: Column) -> Column:
+    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint")
+
+
 def n_words(text: Column) -> Column:
     return F.size(words_of(text)).cast("bigint")
 
@@ -78,8 +95,12 @@ def _count(text: Column, chars: str) -> Column:
     return n
 
 
+def _joined_length(words: Column) -> Column:
+    return F.char_length(F.array_join(words, "")).cast("bigint")
+
+
 def word_chars(text: Column) -> Column:
-    return (F.char_length(text) - _count(text, _SPACE)).cast("bigint")
+    return _joined_length(words_of(text))
 
 
 def n_symbols(text: Column) -> Column:
@@ -91,21 +112,16 @@ def n_lines(text: Column) -> Column:
 
 
 def n_dup_lines(text: Column) -> Column:
-    lines = _lines(text)
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint")
+    return _let(_lines(text), _repeated_lines)
 
 
 def n_repeat_words(text: Column) -> Column:
-    h = _window_hashes(words_of(text))
-    return F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(h)).otherwise(F.lit(0).cast("bigint"))
+    return _let(words_of(text), lambda w: _let(_window_hashes(w), _repeats))
 
 
 def n_stutters(text: Column) -> Column:
     """Words equal to the word before."""
-    w = words_of(text)
-    m = F.greatest(F.size(w) - 1, F.lit(0))
-    same = F.zip_with(F.slice(w, F.lit(1), m), F.slice(w, F.lit(2), m), lambda x, y: x == y)
-    return F.size(F.filter(same, lambda x: x)).cast("bigint")
+    return _let(words_of(text), _stutters)
 
 
 FEATURES: dict[str, Callable[[Column], Column]] = {f.__name__: f for f in (
@@ -139,9 +155,8 @@ def _of_text(text: Column) -> Callable[[str], Column]:
 
 def measured(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> list[tuple[str, float, float]]:
     """(rule, seconds, share rejected) on a sample, by falling rejections per second.  The sample is
-    the first rows read: ``take`` opens no more files than it needs, and its size is bounded."""
-    text = docs.select(text_of("text").alias("text")).where(F.char_length("text") <= SAMPLE_CHARS)
-    few = docs.sparkSession.createDataFrame(text.take(sample), "text string")
+    the first rows read, and its size is bounded."""
+    few = few_texts(docs, sample, SAMPLE_CHARS)
     found = []
     for rule in rules:
         hit = F.avg(rule.rejects(_of_text(F.col("text"))).cast("double"))
@@ -171,18 +186,15 @@ def quality_report(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFr
     wide = (docs.select("doc_id", text_of("text").alias("text"))
             .select("doc_id", "text", words_of(F.col("text")).alias("_w"), _lines(F.col("text")).alias("_l"))
             .select("doc_id", "text", "_w", "_l", _window_hashes(F.col("_w")).alias("_h")))
-    w, lines, h, t = F.col("_w"), F.col("_l"), F.col("_h"), F.col("text")
-    m = F.greatest(F.size(w) - 1, F.lit(0))
-    same = F.zip_with(F.slice(w, F.lit(1), m), F.slice(w, F.lit(2), m), lambda x, y: x == y)
     stats = wide.select(
         "doc_id",
-        F.size(w).cast("bigint").alias("n_words"),
-        word_chars(t).alias("word_chars"),
-        n_symbols(t).alias("n_symbols"),
-        F.size(lines).cast("bigint").alias("n_lines"),
-        (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint").alias("n_dup_lines"),
-        F.when(F.size(F.array_distinct(h)) < F.size(h), _covered(h)).otherwise(F.lit(0).cast("bigint")).alias("n_repeat_words"),
-        F.size(F.filter(same, lambda x: x)).cast("bigint").alias("n_stutters"))
+        F.size("_w").cast("bigint").alias("n_words"),
+        _joined_length(F.col("_w")).alias("word_chars"),
+        n_symbols(F.col("text")).alias("n_symbols"),
+        F.size("_l").cast("bigint").alias("n_lines"),
+        _repeated_lines(F.col("_l")).alias("n_dup_lines"),
+        _repeats(F.col("_h")).alias("n_repeat_words"),
+        _stutters(F.col("_w")).alias("n_stutters"))
     base = BASE[0].rejects(F.col) | BASE[1].rejects(F.col)
     by = F.lit(None).cast("string")
     for rule in reversed(order):
