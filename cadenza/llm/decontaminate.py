@@ -126,11 +126,11 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """The columns of ``docs`` (or those of ``keep``) and n_words, hit_spans (merged word ranges
+    """The columns of ``docs`` (or those of ``keep``; any named like a result is replaced) and n_words, hit_spans (merged word ranges
     [start, end) inside occurrences of windows) and hit_items (sorted item ids as strings)."""
-    spark, keep = docs.sparkSession, docs.columns if keep is None else keep
-    names = [*dict.fromkeys([*keep, "text"])]
     found = ["n_words", "hit_spans", "hit_items"]
+    spark, keep = docs.sparkSession, [c for c in (docs.columns if keep is None else keep) if c not in found]
+    names = [*dict.fromkeys([*keep, "text"])]
     out = docs.select(*names, F.lit(0).cast("bigint").alias("n_words"),
                       F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("hit_spans"),
                       F.lit(None).cast("array<string>").alias("hit_items"))

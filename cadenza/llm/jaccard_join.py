@@ -59,12 +59,14 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash, remembered."""
+    """Word -> 64-bit hash, remembered for words of at most 256 characters."""
 
     def __missing__(self, word: str) -> int:
         if len(self) > 400_000:
             self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8"), digest_size=8).digest(), "little")
+        h = int.from_bytes(hashlib.blake2b(word.encode("utf-8"), digest_size=8).digest(), "little")
+        if len(word) <= 256:
+            self[word] = h
         return h
 
 
@@ -193,18 +195,15 @@ def linked_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, sa
             yield x, int(j)
 
 
-def unit_rows(members: list[tuple[int, int, int, int, str]], known: WordHashes):
-    """(id, links, root) of a unit's classes; members: (block, first block, second block, id, size, text)."""
-    seen, ids, blocks, weights, sets = {}, [], [], [], []
-    for block, id_, weight, text in members:
-        if (block, id_) not in seen:                       # a row that is repeated comes once
-            seen[block, id_] = True
-            ids.append(id_)
-            blocks.append(block)
-            weights.append(weight)
-            sets.append(shingles(text, known))
-    blocks, sides = np.array(blocks), sorted(set(blocks))
-    return ids, blocks, weights, sets, sides
+def unit_rows(members: list[tuple[int, int, int, str]], known: WordHashes):
+    """The classes of a unit's rows (block, id, size, text): ids, blocks, sizes and shingles."""
+    ids, blocks, weights, sets = [], [], [], []
+    for (block, id_), (weight, text) in {(b, i): (n, t) for b, i, n, t in members}.items():   # a repeated row comes once
+        ids.append(id_)
+        blocks.append(block)
+        weights.append(weight)
+        sets.append(shingles(text, known))
+    return ids, np.array(blocks), weights, sets
 
 
 def compare_units(rows):
@@ -213,7 +212,7 @@ def compare_units(rows):
     out: list[tuple[int, int, int]] = []
 
     def finish(p, q, members):
-        ids, blocks, weights, sets, _ = unit_rows(members, known)
+        ids, blocks, weights, sets = unit_rows(members, known)
         left, right = np.flatnonzero(blocks == p), np.flatnonzero(blocks == q)
         if len(left) == 0 or len(right) == 0:
             return
@@ -319,11 +318,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near duplicates: that of its least doc_id (NULL comes
     last; of rows with the same id, that of the least text hash; of equal rows, one).  Equal texts
     without words are such a group too."""
-    names = docs.columns
     lead = (near_duplicates(docs).groupBy("group_key")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "n_same")).alias("r"))
-            .select(F.col("r.doc_id").alias("_d"), F.col("r.h").alias("_h"), F.col("r.n_same").alias("_n")))
-    kept = docs.join(lead, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64(text_of("text")) == F.col("_h")))
-    once = kept.where("_n = 1").select(*names)
-    again = kept.where("_n > 1").dropDuplicates(["_d", "_h"]).select(*names)
+            .select(F.col("r.doc_id").alias("id"), F.col("r.h").alias("h"), F.col("r.n_same").alias("n")))
+    # the caller's columns travel as one, so their names can't meet those of the join
+    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(text_of("text")).alias("own_h"))
+    kept = packed.join(lead, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_h") == F.col("h")))
+    once = kept.where("n = 1").select("row.*")
+    again = kept.where("n > 1").dropDuplicates(["id", "h"]).select("row.*")
     return once.union(again)

@@ -3,7 +3,7 @@
 Paragraphs are lines.  A line without any of the ``CUES`` is no license text.  The others
 are scored by a multinomial logistic regression on word 1-, 2- and 3-grams, hashed to
 ``BUCKETS`` sparse features, over the license families and "none".  It is fitted with Spark's
-own LogisticRegression (L1) on ``TEMPLATES``: full, shortened and with words left out, among
+own LogisticRegression (elastic net) on ``TEMPLATES``: full, shortened and with words left out, among
 words of a bounded sample of the corpus; the lines of that sample and sentences that only
 sound like licenses are "none".
 

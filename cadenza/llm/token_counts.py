@@ -27,7 +27,8 @@ from .pretokens import SPECIAL, pieces
 
 CHUNK = 1 << 16        # characters of a chunk
 OVERLAP = 256          # characters that neighbouring chunks share at first
-KNOWN = 400_000        # pieces that a worker remembers
+KNOWN = 400_000        # pieces that a worker remembers ...
+LONGEST = 256          # ... of at most so many characters
 
 
 def spliced(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[list[str]]:
@@ -89,10 +90,10 @@ class PieceCounts(dict):
         except KeyError:
             if len(self) > KNOWN:
                 self.clear()
-            new = [p for p in set(found) if p not in self]
+            new, long = [p for p in set(found) if p not in self], {}
             for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[p] = len(e.ids)
-            return sum(map(self.__getitem__, found))
+                (self if len(p) <= LONGEST else long)[p] = len(e.ids)
+            return sum(self[p] if p in self else long[p] for p in found)
 
 
 _COUNTS: dict[str, PieceCounts] = {}
