@@ -1,7 +1,8 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon.
 
-All pre-tokens of all documents are counted; the most frequent ones, up to
-``LEXICON`` of them, are merged once and compiled into a minimal acyclic
+The pre-tokens of all documents are counted (by the strings between spaces, so that
+only distinct strings are cut into pre-tokens); the most frequent ones, at most
+``LEXICON``, are merged once and compiled into a minimal acyclic
 automaton (common prefixes and suffixes share states).  Each arc carries the
 number of lexicon words passed over by taking it, so a walk ends in the word's
 number and with it in its ids.  The flat tables are broadcast (their size is
@@ -23,18 +24,20 @@ import struct
 import tempfile
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import text_of
+from .base import stored, text_of
 from .pretokens import SPECIAL
 from .token_counts import spliced
 
-LEXICON = 50_000       # words of the automaton at most
+LEXICON = 150_000      # words of the automaton at most
 LONGEST = 64           # bytes of a lexicon word at most
-KNOWN = 400_000        # words that a worker remembers
-FLUSH = 400_000        # distinct words that a counting task holds
+KNOWN = 1_000_000      # words that a worker remembers
+
+_BITS, _MASK, _NONE = 20, (1 << 20) - 1, 1 << 60      # a merge as one number: its rank, then the new id
 
 
 def byte_letters() -> dict[str, int]:
@@ -63,7 +66,7 @@ class Merger:
         self.merges = {}
         for rank, m in enumerate(spec["model"]["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.merges[vocab[a] << _BITS | vocab[b]] = rank << _BITS | vocab[a + b]
 
     def __call__(self, word: bytes) -> list[int]:
         if word in self.special:
@@ -73,39 +76,39 @@ class Merger:
 
     def _short(self, ids: list[int]) -> list[int]:
         get = self.merges.get
-        ranks = [get(p) for p in zip(ids, ids[1:])]
-        while True:
-            best, at = None, -1
-            for k, r in enumerate(ranks):
-                if r is not None and (best is None or r < best):
-                    best, at = r, k
-            if best is None:
-                return ids
-            ids[at:at + 2] = [best[1]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = get((ids[at - 1], ids[at]))
-            if at < len(ranks):
-                ranks[at] = get((ids[at], ids[at + 1]))
+        ranks = [get(a << _BITS | b, _NONE) for a, b in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == _NONE:
+                break
+            k = ranks.index(best)
+            ids[k] = best & _MASK
+            del ids[k + 1], ranks[k]
+            if k:
+                ranks[k - 1] = get(ids[k - 1] << _BITS | ids[k], _NONE)
+            if k < len(ranks):
+                ranks[k] = get(ids[k] << _BITS | ids[k + 1], _NONE)
+        return ids
 
     def _long(self, ids: list[int]) -> list[int]:
         """The same by a heap over a linked list, for long words."""
         n, get = len(ids), self.merges.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r[0], k, ids[k], ids[k + 1], r[1]) for k in range(n - 1) if (r := get((ids[k], ids[k + 1])))]
+        heap = [(r, k, a, b) for k, (a, b) in enumerate(zip(ids, ids[1:]))
+                if (r := get(a << _BITS | b, _NONE)) != _NONE]
         heapq.heapify(heap)
         while heap:
-            _, k, a, b, new = heapq.heappop(heap)
+            r, k, a, b = heapq.heappop(heap)
             j = after[k] if ids[k] == a else n
             if j >= n or ids[j] != b:
                 continue
-            ids[k], ids[j] = new, -1
+            ids[k], ids[j] = r & _MASK, -1
             after[k] = after[j]
             if after[j] < n:
                 before[after[j]] = k
             for x, y in ((before[k], k), (k, after[k])):
-                if x >= 0 and y < n and (r := get((ids[x], ids[y]))):
-                    heapq.heappush(heap, (r[0], x, ids[x], ids[y], r[1]))
+                if x >= 0 and y < n and (r := get(ids[x] << _BITS | ids[y], _NONE)) != _NONE:
+                    heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return [i for i in ids if i >= 0]
 
 
@@ -221,7 +224,10 @@ class Encoder(dict):
     def __init__(self, path: str, tables: bytes):
         super().__init__()
         self.merge, self.lexicon = Merger(path), Lexicon(tables)
-        self.piece_of = {struct.pack("<I", i): b for i, b in self.merge.bytes_of.items()}
+        by_id = [self.merge.bytes_of.get(i, b"") for i in range(max(self.merge.bytes_of) + 1)]
+        self.sizes = np.array([len(b) for b in by_id])
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.joined = np.frombuffer(b"".join(by_id), np.uint8)
 
     def __missing__(self, piece: str) -> bytes:
         word = piece.encode("utf-8")
@@ -239,8 +245,15 @@ class Encoder(dict):
         return b"".join(b"".join(map(self.__getitem__, found)) for found in spliced(text))
 
     def decode(self, ids: bytes) -> str:
-        bytes_of = self.merge.bytes_of
-        return b"".join(map(bytes_of.__getitem__, memoryview(ids).cast("I"))).decode("utf-8", "replace")
+        """The ids' bytes side by side, as text."""
+        ids = np.frombuffer(ids, "<u4")
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return ""
+        at = np.repeat(self.places[ids] - ends + sizes, sizes)
+        at += np.arange(ends[-1])
+        return self.joined[at].tobytes().decode("utf-8", "replace")
 
 
 # --- the operator --------------------------------------------------------------------------
@@ -253,30 +266,39 @@ def vocabulary_path(path: str | None) -> str:
 
 
 def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
-    """The ``n`` most frequent pre-tokens of all texts of ``docs`` (ties: by the word)."""
+    """The most frequent pre-tokens of all texts of ``docs``: whole levels of frequency (eight
+    for each doubling), as many as have at most ``n`` words."""
 
-    def count(batches):
-        seen: Counter = Counter()
+    # strings between spaces are counted first; only the distinct ones are cut into pre-tokens
+    strings = (docs.select(F.explode(F.split(text_of("text"), " ", -1)).alias("s"))
+               .groupBy("s").agg(F.count(F.lit(1)).alias("n")))
 
-        def out():
+    def cut(batches):
+        for b in batches:
+            seen: Counter = Counter()
+            for string, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for part in spliced(" " + string):
+                    for w in part:
+                        seen[w] += k
             short = [(w, k) for w, k in seen.items() if len(w) <= LONGEST and w != SPECIAL]
-            seen.clear()
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array([w for w, _ in short], pa.string()), pa.array([k for _, k in short], pa.int64())],
                 names=["word", "n"])
 
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                for found in spliced(t):
-                    seen.update(found)
-            if len(seen) > FLUSH:
-                yield out()
-        yield out()
-
-    counts = docs.select(text_of("text").alias("text")).mapInArrow(count, "word string, n bigint")
-    top = (counts.groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(n).collect())       # bounded by n
-    return [w for r in top if len(w := r["word"].encode("utf-8")) <= LONGEST]
+    counts = strings.mapInArrow(cut, "word string, n bigint")
+    counts = stored(counts.groupBy("word").agg(F.sum("n").alias("n"), F.floor(8 * F.log2(F.sum("n"))).alias("level")),
+                    "bpe-words")
+    # the least level of frequency from which on at most n words remain: a few hundred levels
+    left, least = n, None
+    for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("level")).collect():
+        left -= r["k"]
+        if left < 0:
+            break
+        least = r["level"]
+    if least is None:
+        return []
+    top = counts.where(F.col("level") >= least).select("word").collect()       # at most n
+    return sorted(w for r in top if len(w := r["word"].encode("utf-8")) <= LONGEST)
 
 
 _ENCODERS: dict = {}
