@@ -370,7 +370,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     spark = docs.sparkSession
     named = _named(docs.select("doc_id", text_of("text").alias("text")))
     blocks = all_blocks(named, length, gram)
-    grams = blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
+    # stored, so that the join below is between two exchanges and a gram with very many blocks is split
+    grams = stored(blocks.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram"), "spans-grams")
     shared = stored(blocks.join(grams, "gram", "left_semi"), "spans-blocks")
 
     one = lambda c: F.first(c).alias(c)  # noqa: E731  all from the same row: any row of the block will do
@@ -426,13 +427,16 @@ def merged(spans) -> list[tuple[int, int]]:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] | None = None,
                     crowd: int = GROUP) -> DataFrame:
-    """The columns of ``docs`` (or those given) and kept (binary: the remaining bytes), kept_text (the
+    """The columns of ``docs`` (or those given; any named like a result is replaced) and kept (binary: the remaining bytes), kept_text (the
     same as text, without the broken characters that a cut inside one leaves), n_bytes, removed
     (array of maximal byte ranges)."""
-    columns = docs.columns if columns is None else columns
+    results = ("kept", "kept_text", "n_bytes", "removed")
+    columns = [c for c in (docs.columns if columns is None else columns) if c not in results]
     spans = repeated_spans(docs, length, crowd=crowd)
-    named = _named(docs).join(spans.withColumnsRenamed({"u": "_u", "v": "_v"}), ["_u", "_v"], "left")
-    made = named.select(*columns, text_of("text").alias("_text"), "spans")
+    # the caller's columns travel as one, so their names can't meet those of the join
+    text = text_of("text")
+    packed = docs.select(F.struct(*columns).alias("row"), text.alias("text"), F.xxhash64(text).alias("u"), F.hash(text).alias("v"))
+    made = packed.join(spans, ["u", "v"], "left").select("row.*", F.col("text").alias("__text"), F.col("spans").alias("__spans"))
     n = len(columns)
 
     def run(batches):
