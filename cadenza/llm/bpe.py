@@ -33,7 +33,7 @@ from .base import stored, text_of
 from .pretokens import SPECIAL
 from .token_counts import spliced
 
-LEXICON = 150_000      # words of the automaton at most
+LEXICON = 50_000      # words of the automaton at most
 LONGEST = 64           # bytes of a lexicon word at most
 KNOWN = 1_000_000      # words that a worker remembers
 

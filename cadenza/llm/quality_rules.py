@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import few_texts, text_of
+from .base import few_texts, stored, text_of
 
 SAMPLE = 400           # rows on which the order is estimated ...
 SAMPLE_CHARS = 1 << 14 # ... each of at most so many characters
@@ -156,7 +156,7 @@ def _of_text(text: Column) -> Callable[[str], Column]:
 def measured(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> list[tuple[str, float, float]]:
     """(rule, seconds, share rejected) on a sample, by falling rejections per second.  The sample is
     the first rows read, and its size is bounded."""
-    few = few_texts(docs, sample, SAMPLE_CHARS)
+    few = stored(few_texts(docs, sample, SAMPLE_CHARS), "quality-sample")      # else each plan holds the texts
     found = []
     for rule in rules:
         hit = F.avg(rule.rejects(_of_text(F.col("text"))).cast("double"))
