@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .base import rows_of, stored, text_of
 
-SAMPLE = 8000          # labelled documents of each class at most, from which features are counted
+SAMPLE = 8000          # labelled documents of each class, about, from which features are counted
 FIT = 600              # documents of each class at most whose tokens the CRF is fitted on
 FIT_TOKENS = 200       # tokens of such a document, from one before its first toxic token on
 FEATURES = 4000        # features at most
@@ -50,13 +50,13 @@ def features_of(token: str) -> list[str]:
 # --- fitting on a bounded sample -----------------------------------------------------------
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``sample`` label rows of each class, by the hash of the id."""
-    ids = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic").distinct()
-    picked = None
-    for k in (0, 1):
-        one = ids.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        picked = one if picked is None else picked.union(one)
-    few = stored(picked, "toxic-sample")                       # at most 2 * sample rows
+    """(text, toxic) of about ``sample`` label rows of each class, all if there are fewer: those
+    whose id's hash is under the class's share of it."""
+    ids = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic").distinct()
+    sizes = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.when(F.col("toxic") == 1, sample / max(1, sizes.get(1, 0))).otherwise(sample / max(1, sizes.get(0, 0)))
+    few = ids.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
+    few = stored(few, "toxic-sample")                          # about 2 * sample rows
     return stored(docs.join(F.broadcast(few), "doc_id").select(text_of("text").alias("text"), "toxic")
                   .dropDuplicates(["text", "toxic"]), "toxic-sample")
 
@@ -201,11 +201,14 @@ class Tagger:
         self.powers: dict[int, np.ndarray] = {}
 
     def score_of(self, token: str):
-        if token not in self.known:
+        if token in self.known:
+            return self.known[token]
+        score = self.chain.emission(token)
+        if len(token) <= 256:
             if len(self.known) > KNOWN:
                 self.known.clear()
-            self.known[token] = self.chain.emission(token)
-        return self.known[token]
+            self.known[token] = score
+        return score
 
     def run(self, k: int) -> np.ndarray:
         """``k`` plain tokens in a row, scaled to a greatest entry of 1."""
