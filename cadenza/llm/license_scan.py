@@ -1,6 +1,7 @@
 """License scans: a trained paragraph classifier with a calibrated unknown class.
 
-Paragraphs are lines.  A line without any of the ``CUES`` is no license text.  The others
+Paragraphs are lines without indentation and comment marks, and hard-wrapped lines joined
+(``paragraphs_of``).  A paragraph without any of the ``CUES`` is no license text.  The others
 are scored by a multinomial logistic regression on word 1-, 2- and 3-grams, hashed to
 ``BUCKETS`` sparse features, over the license families and "none".  It is fitted with Spark's
 own LogisticRegression (elastic net) on ``TEMPLATES``: full, shortened and with words left out, among
@@ -9,9 +10,10 @@ sound like licenses are "none".
 
 The unknown class is calibrated on held-out notices of no known family: the least probability
 with which a family is accepted is the one that only ``UNKNOWN_SHARE`` of them reach.  A
-family is confirmed if, too, the line holds ``OVERLAP`` of the 3-grams (2-grams for short
-ones) of one of its templates.  A line that the model finds to be a license but that isn't
-confirmed is unknown.
+family is confirmed if, too, the paragraph holds ``OVERLAP`` of the 3-grams (2-grams for short
+ones) of one of its templates.  Where joined lines as a whole aren't confirmed, each of them
+that is confirmed counts.  A paragraph that the model finds to be a license but of which nothing
+is confirmed is unknown.
 
 Scoring is native: weights are literal arrays read by bucket inside one expression, so
 nothing is joined or shuffled.  NULL and empty texts have no paragraphs; repeated rows give
@@ -90,6 +92,29 @@ STRANGERS = [
     "The corpus is licensed under the Glacier Text License.", "Released under the Amber Source-Available License."]
 
 
+# --- paragraphs ----------------------------------------------------------------------------
+
+#: Stands between joined lines; no word has it.
+JOINT = "\x0b"
+_MARKS = r"(?m)^[ \t]*(?:(?:/[/*]+|\*+/?|#+|;+|--+|%+|>+|<!--+)[ \t]*)*|(?<![ \t])[ \t]*(?:\*+/|--+>)?[ \t\r]*$|\r+$"
+#: A line as wide as a wrapped one, followed by neither an empty line nor a new item; behind the
+#: end of a sentence, what follows must go on in lower case or with a number.
+_WRAP = (r"(?m)^([^\n]{40,160})\n(?=[^\n])(?:(?<![.!?]\n)(?<![.!?][\"')\]]\n)|(?=[\p{Ll}0-9]))"
+         r"(?!(?i:[-\u2022] |\(?[0-9]{1,2}[.)] |\(?[a-z]\) |spdx-|copyright\b|\u00a9))")
+
+
+def paragraphs_of(text: Column) -> Column:
+    """The paragraphs of a text; the lines of one are separated by ``JOINT``."""
+    bare = F.regexp_replace(text, _MARKS, "")
+    return F.split(F.regexp_replace(bare, _WRAP, "$1" + JOINT), "\n")
+
+
+def readings_of(paragraph: Column) -> Column:
+    """The texts judged: the paragraph, and its lines if it has several."""
+    lines = F.split(paragraph, JOINT)
+    return F.when(F.size(lines) > 1, F.concat(F.array(paragraph), lines)).otherwise(F.array(paragraph))
+
+
 # --- features ------------------------------------------------------------------------------
 
 def words_of(line: Column) -> Column:
@@ -216,45 +241,52 @@ def _template_share(words: Column, family: Column) -> Column:
     return cases.otherwise(F.lit(0.0))
 
 
-def license_paragraphs(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, line, family, probability, share, confirmed) of each line with a cue whose
-    likeliest family isn't "none"."""
-    lines = (docs.select("doc_id", text_of("text").alias("text")).where(_has_cue(F.col("text")))
-             .select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(_has_cue(F.col("line"))))
-    return _judged(lines, model)
+def _judged(reading: Column, probs: Column, model: Model) -> Column:
+    """(family, probability, share, license, ok) of the words of a reading."""
+    at = F.array_position(probs, F.array_max(probs)).cast("int")
+    family = F.element_at(F.array(*map(F.lit, model.families)), at)
+    return F.struct(family.alias("family"), F.element_at(probs, at).alias("probability"),
+                    F.when(at > 1, _template_share(reading, family)).otherwise(F.lit(0.0)).alias("share"),
+                    (at > 1).alias("license"))
+
+
+def _verdicts(rows: DataFrame, model: Model) -> DataFrame:
+    """Replaces ``_units``, the paragraphs of a row, by ``_j``: for each, the judgements that count.  That is
+    the whole one if it is confirmed, or else those of confirmed lines, or else the first that is a license."""
+    keep = [c for c in rows.columns if c != "_units"]
+    words = rows.select(*keep, F.transform("_units", lambda u: F.transform(readings_of(u), words_of)).alias("_w"))
+    probs = words.select("*", F.transform("_w", lambda u: F.transform(u, lambda w: probabilities(buckets_of(w), model))).alias("_p"))
+    judged = probs.select(*keep, F.zip_with("_w", "_p", lambda u, v: F.zip_with(u, v, lambda w, p: _judged(w, p, model))).alias("_j"))
+    ok = lambda j: j["license"] & (j["probability"] >= model.accept) & (j["share"] >= OVERLAP)
+    marked = judged.withColumn("_j", F.transform("_j", lambda u: F.transform(u, lambda j: j.withField("confirmed", ok(j)))))
+    return marked.withColumn("_j", F.transform("_j", lambda u: F.when(F.get(u, F.lit(0))["confirmed"], F.slice(u, 1, 1))
+                             .when(F.exists(u, lambda j: j["confirmed"]), F.filter(u, lambda j: j["confirmed"]))
+                             .otherwise(F.slice(F.filter(u, lambda j: j["license"]), 1, 1))))
 
 
-def _judged(lines: DataFrame, model: Model) -> DataFrame:
-    families = F.array(*map(F.lit, model.families))
-    return (lines.withColumn("_w", words_of(F.col("line"))).withColumn("_b", buckets_of(F.col("_w")))
-            .withColumn("_p", probabilities(F.col("_b"), model))
-            .withColumn("_at", F.array_position("_p", F.array_max("_p")).cast("int"))
-            .where("_at > 1")
-            .withColumn("family", F.element_at(families, F.col("_at"))).withColumn("probability", F.element_at("_p", F.col("_at")))
-            .withColumn("share", _template_share(F.col("_w"), F.col("family")))
-            .withColumn("confirmed", (F.col("probability") >= model.accept) & (F.col("share") >= OVERLAP))
-            .drop("_w", "_b", "_p", "_at"))
+def _cued(text: Column) -> Column:
+    return F.when(_has_cue(text), F.filter(paragraphs_of(text), _has_cue)).otherwise(F.array().cast("array<string>"))
+
+
+def license_paragraphs(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, line, family, probability, share, confirmed) of each judgement that counts; ``line`` is the
+    paragraph, its lines separated by spaces."""
+    units = (docs.select("doc_id", F.explode(_cued(text_of("text"))).alias("line"))
+             .select("doc_id", F.translate("line", JOINT, " ").alias("line"), F.array("line").alias("_units")))
+    return (_verdicts(units, model).select("doc_id", "line", F.explode(F.flatten("_j")).alias("_j"))
+            .select("doc_id", "line", *(F.col("_j")[c].alias(c) for c in ("family", "probability", "share", "confirmed"))))
 
 
 def license_report(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, families, n_confirmed, n_unknown) of each row of ``docs``: the confirmed families,
-    sorted, and the numbers of confirmed and of unknown license lines.
+    sorted, and the numbers of confirmed and of unknown license paragraphs.
 
-    The lines of a text stay in its row: each is judged by the same expressions inside a
+    The paragraphs of a text stay in its row: each is judged by the same expressions inside a
     ``transform``, only where the text has a cue."""
-    text = text_of("text")
-    families = F.array(*map(F.lit, model.families))
-    cued = F.when(_has_cue(text), F.filter(F.split(text, "\n"), _has_cue)).otherwise(F.array().cast("array<string>"))
-    rows = docs.select("doc_id", cued.alias("_lines"))
-    words = rows.withColumn("_w", F.transform("_lines", words_of))
-    probs = words.withColumn("_p", F.transform("_w", lambda w: probabilities(buckets_of(w), model)))
-    best = probs.withColumn("_at", F.transform("_p", lambda p: F.array_position(p, F.array_max(p)).cast("int")))
-    judged = best.withColumn("_j", F.zip_with(F.arrays_zip("_w", "_p"), "_at", lambda x, at: F.struct(
-        F.element_at(families, at).alias("family"),
-        ((F.element_at(x["_p"], at) >= model.accept) & (_template_share(x["_w"], F.element_at(families, at)) >= OVERLAP)).alias("ok"),
-        (at > 1).alias("license"))))
-    good = F.filter("_j", lambda j: j["license"] & j["ok"])
-    return judged.select(
+    judged = _verdicts(docs.select("doc_id", _cued(text_of("text")).alias("_units")), model)
+    flat = judged.select("doc_id", F.flatten("_j").alias("_j"))
+    good = F.filter("_j", lambda j: j["confirmed"])
+    return flat.select(
         "doc_id", F.array_sort(F.array_distinct(F.transform(good, lambda j: j["family"]))).alias("families"),
         F.size(good).cast("bigint").alias("n_confirmed"),
-        F.size(F.filter("_j", lambda j: j["license"] & ~j["ok"])).cast("bigint").alias("n_unknown"))
+        F.size(F.filter("_j", lambda j: ~j["confirmed"])).cast("bigint").alias("n_unknown"))

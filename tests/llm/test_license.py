@@ -62,3 +62,35 @@ def test_odd_rows(docs, model):
 def test_plan_is_native(docs, model):
     plan = ls.license_report(docs([(1, "x")]).select("doc_id", "text"), model)._jdf.queryExecution().optimizedPlan().toString()
     assert "python" not in plan.lower() and "arrow" not in plan.lower()
+
+
+WRAPPED = {
+    "GPL": """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version.""",
+    "BSD": """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are
+ * met:
+ *
+ * 1. They stay the same.""",
+    "MPL": """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "MIT": """    Permission is hereby granted, free of charge, to any person
+    obtaining a copy of this software and associated documentation
+    files (the "Software"), to deal in the Software without restriction,""",
+}
+
+
+def test_wrapped_notices_are_confirmed(docs, model):
+    rows = [(k, f"First words.\n\n{WRAPPED[k]}\n\nLast words.".replace("\n", end)) for k in WRAPPED for end in ("\n", "\r\n")]
+    got = ls.license_report(docs([(n, x) for n, (_, x) in enumerate(rows)]), model).collect()
+    assert {r.doc_id: (r.families, r.n_confirmed) for r in got} == {n: ([k], 1) for n, (k, _) in enumerate(rows)}
+
+
+def test_one_line_notices_stay_paragraphs(docs, model):
+    lines = ["Licensed under CC BY-NC 4.0", "Released under the MIT License", "SPDX-License-Identifier: BSD-3-Clause",
+             "This work is licensed under the GNU General Public License, version 3.", "All rights reserved."]
+    got = ls.license_report(docs([(1, "\n".join(lines))]), model).first()
+    assert (got.families, got.n_confirmed) == (["BSD", "CC-BY-NC", "GPL", "MIT", "Proprietary"], 5)
