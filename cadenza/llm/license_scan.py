@@ -1,9 +1,10 @@
 """License scans: a trained paragraph classifier with a calibrated unknown class.
 
 Paragraphs are lines without indentation and comment marks, and hard-wrapped lines joined
-(``paragraphs_of``).  A paragraph without any of the ``CUES`` is no license text.  The others
-are scored by a multinomial logistic regression on word 1-, 2- and 3-grams, hashed to
-``BUCKETS`` sparse features, over the license families and "none".  It is fitted with Spark's
+(``paragraphs_of``).  All of them
+are scored by a multinomial logistic regression on the word 1-, 2- and 3-grams that the fixed notices
+and sentences have, over the license families and "none".  A gram is found by its 64-bit hash in a
+table of ``SLOTS`` places at most, so other grams never stand for it.  It is fitted with Spark's
 own LogisticRegression (elastic net) on ``TEMPLATES``: full, shortened and with words left out, among
 words of a bounded sample of the corpus; the lines of that sample and sentences that only
 sound like licenses are "none".
@@ -15,7 +16,10 @@ ones) of one of its templates.  Where joined lines as a whole aren't confirmed,
 that is confirmed counts.  A paragraph that the model finds to be a license but of which nothing
 is confirmed is unknown.
 
-Scoring is native: weights are literal arrays read by bucket inside one expression, so
+A paragraph is left out early only if its greatest possible lead of a family over "none", the sum of
+each gram's greatest lead, isn't positive: then "none" is the likeliest (``_may_be_license``).
+
+Scoring is native: weights are literal arrays read by place inside one expression, so
 nothing is joined or shuffled.  NULL and empty texts have no paragraphs; repeated rows give
 repeated results; other columns are ignored.
 """
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from .base import few_texts, text_of
 
-BUCKETS = 2048
+SLOTS = 1 << 15
 SAMPLE = 300           # rows of the corpus whose lines are negatives
 SAMPLE_CHARS = 1 << 15
 NEGATIVES = 600        # of those lines at most
@@ -40,32 +44,32 @@ OVERLAP = 0.6
 # Usual short notices of each family.
 TEMPLATES = {
     "AGPL": ["This program is licensed under the GNU Affero General Public License, version 3.",
-             "published under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+             "published under the terms of the GNU Affero General Public License as published by the Free Software Foundation", "AGPL-3.0", "AGPLv3"],
     "Apache": ["Licensed under the Apache License, Version 2.0.",
                "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
-               "SPDX-License-Identifier: Apache-2.0"],
+               "SPDX-License-Identifier: Apache-2.0", "Apache-2.0"],
     "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-            "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause"],
+            "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause", "BSD-2-Clause"],
     "CC-BY": ["This work is licensed under a Creative Commons Attribution 4.0 International License.",
-              "Licensed under CC BY 4.0."],
+              "Licensed under CC BY 4.0.", "CC-BY-4.0"],
     "CC-BY-NC": ["Licensed under CC BY-NC 4.0.",
-                 "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+                 "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0"],
     "CC-BY-SA": ["Licensed under CC BY-SA 4.0.",
-                 "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC0": ["CC0 1.0 Universal public domain dedication", "This work is dedicated to the public domain under CC0."],
+                 "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"],
+    "CC0": ["CC0 1.0 Universal public domain dedication", "This work is dedicated to the public domain under CC0.", "CC0-1.0"],
     "GPL": ["This work is licensed under the GNU General Public License, version 3.",
             "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-            "SPDX-License-Identifier: GPL-3.0-or-later"],
+            "SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0", "GPL-2.0", "GPLv3", "GPLv2"],
     "LGPL": ["This library is licensed under the GNU Lesser General Public License, version 2.1.",
-             "redistribute it and/or modify it under the terms of the GNU Lesser General Public License"],
+             "redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "LGPL-3.0", "LGPL-2.1", "LGPLv3"],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.",
             "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
             "SPDX-License-Identifier: MIT"],
-    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
+    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"],
     "Proprietary": ["All rights reserved.", "Copyright 2020 Example Corporation. All rights reserved.",
                     "Unauthorized copying of this file is strictly prohibited. Proprietary and confidential license terms apply."],
 }
-#: Substrings of which a license line, in lower case, has one.
+#: Lines of the corpus with one of these, in lower case, aren't taken as examples of "none".
 CUES = ("licens", "licenc", "copyright", "rights reserved", "permission", "redistribut", "public domain", "cc0",
         "cc by", "creative commons", "gnu ", "spdx")
 #: Sentences that only sound like licenses.
@@ -118,7 +122,9 @@ def readings_of(paragraph: Column) -> Column:
 # --- features ------------------------------------------------------------------------------
 
 def words_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}.+-]+|[.]+(?= |$)", -1), "")
+    """Lower-case words; hyphens separate, and so does the v of GPLv3."""
+    low = F.regexp_replace(F.lower(line), "plv([0-9])", "pl v$1")
+    return F.array_remove(F.split(low, r"[^\p{L}\p{N}.+]+|[.]+(?= |$)", -1), "")
 
 
 def grams_of(words: Column, n: int) -> Column:
@@ -132,18 +138,39 @@ def grams_of(words: Column, n: int) -> Column:
     return out
 
 
-def buckets_of(words: Column) -> Column:
-    grams = F.array_distinct(F.concat(*(grams_of(words, n) for n in (1, 2, 3))))
-    return F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(BUCKETS)).cast("int"))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def hashes_of(words: Column) -> Column:
+    """Hashes of the different 1-, 2- and 3-grams, made from the hashes of their words."""
+    def longer(h: Column, ones: Column, n: int) -> Column:
+        m = F.greatest(F.size(ones) - (n - 1), F.lit(0))
+        return F.zip_with(F.slice(h, F.lit(1), m), F.slice(ones, F.lit(n), m), lambda x, y: F.xxhash64(x, y))
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), lambda a: _let(
+        longer(a, a, 2), lambda b: F.concat(a, b, longer(b, a, 3))))
+
+
+def features_of(words: Column, grams: tuple[int, ...]) -> Column:
+    """The indices in ``grams`` of the hashes that the words' n-grams have, each once."""
+    slots = next((m for m in range(4 * len(grams) + 1, SLOTS, 2) if len({g % m for g in grams}) == len(grams)), SLOTS)
+    places = [0] * slots
+    for i, g in enumerate(grams):
+        places[g % slots] = i + 1
+    place = lambda g: F.get(_literal(places, "int"), F.pmod(g, F.lit(slots)).cast("int")) - 1
+    own = F.filter(hashes_of(words), lambda g: F.get(_literal(grams, "bigint"), place(g)) == g)
+    return F.array_distinct(F.transform(own, place))
 
 
 # --- training ------------------------------------------------------------------------------
 
 @dataclass(frozen=True)
 class Model:
-    """Families ("none" is one), a weight for each family and bucket, intercepts, and the least
-    probability of an accepted family."""
+    """Families ("none" is one), the hashes of known grams, a weight for each family and gram, intercepts,
+    and the least probability of an accepted family."""
     families: tuple[str, ...]
+    grams: tuple[int, ...]
     weights: tuple[tuple[float, ...], ...]
     intercepts: tuple[float, ...]
     accept: float
@@ -156,23 +183,25 @@ def _lines(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
 
 
 def training_lines(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(family, words): templates in variants, and negatives from a bounded sample of the corpus."""
+    """(family, words, fixed): templates in variants, and negatives from a bounded sample of the corpus.
+    ``fixed`` rows have no words of the corpus."""
     spark = docs.sparkSession
-    corpus = few_texts(docs, sample, SAMPLE_CHARS).select(F.explode(F.split("text", "\n")).alias("line"))
+    corpus = few_texts(docs, sample, SAMPLE_CHARS).select(F.explode(paragraphs_of(F.col("text"))).alias("line"))
     quiet = ~_has_cue(F.col("line"))
     corpus = corpus.where(quiet & (F.trim("line") != "")).select(F.lit("none").alias("family"), words_of(F.col("line")).alias("words"))
     sound = _lines(spark, [("none", x) for x in SOUNDALIKES]).select("family", words_of(F.col("line")).alias("words"))
     fixed = _lines(spark, [(f, x) for f, xs in TEMPLATES.items() for x in xs]).select("family", words_of(F.col("line")).alias("words"))
     varied = fixed.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("k"))
-    stays = lambda w, i: F.pmod(F.xxhash64(w, i, "k"), F.lit(8)) >= F.when(F.col("k") < 4, 0).otherwise(1)
+    stays = lambda w, i: F.pmod(F.xxhash64(w, i, "k"), F.lit(8)) >= F.when((F.col("k") < 4) | (F.size("words") < 4), 0).otherwise(1)
     varied = varied.select("family", F.filter("words", stays).alias("words"), "k")
     # some variants stand behind other words of the corpus, as in running text
     tails = (corpus.where(F.size("words") >= 4).select(F.slice("words", 1, 8).alias("tail"))
              .limit(VARIANTS).select("tail", (F.row_number().over(_by_tail()) - 1).alias("k")))
     varied = (varied.join(tails, "k", "left")
               .select("family", F.when(F.col("k") % 3 == 2, F.concat(F.coalesce("tail", F.array().cast("array<string>")), "words"))
-                      .otherwise(F.col("words")).alias("words")))
-    return varied.unionByName(corpus.limit(NEGATIVES)).unionByName(sound)
+                      .otherwise(F.col("words")).alias("words"), (F.col("k") % 3 != 2).alias("fixed")))
+    return (varied.unionByName(corpus.limit(NEGATIVES).withColumn("fixed", F.lit(False)))
+            .unionByName(sound.withColumn("fixed", F.lit(True))))
 
 
 def _by_tail():
@@ -193,36 +222,52 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     from pyspark.ml.feature import CountVectorizerModel
     families = ("none", *sorted(TEMPLATES))
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
-    sparse = CountVectorizerModel.from_vocabulary([str(k) for k in range(BUCKETS)], "buckets", "features", binary=True)
-    rows = sparse.transform(training_lines(docs, sample).select(
-        label.cast("double").alias("label"), buckets_of(F.col("words")).cast("array<string>").alias("buckets")))
-    rows = rows.select("label", "features").coalesce(2).cache()
+    lines = training_lines(docs, sample).coalesce(2).cache()
+    known = lines.where(F.col("fixed")).select(F.explode(hashes_of(F.col("words"))).alias("g")).distinct()
+    grams = tuple(sorted({r["g"] % SLOTS: r["g"] for r in known.orderBy("g").collect()}.values()))     # of fixed notices only
+    sparse = CountVectorizerModel.from_vocabulary([str(k) for k in range(len(grams))], "grams", "features", binary=True)
+    rows = sparse.transform(lines.select(
+        label.cast("double").alias("label"), features_of(F.col("words"), grams).cast("array<string>").alias("grams")))
+    rows = rows.select("label", "features").cache()
     fitted = LogisticRegression(family="multinomial", maxIter=25, regParam=0.002, elasticNetParam=0.5).fit(rows)
+    lines.unpersist()
     rows.unpersist()
     # families without a row (a corpus without lines has no "none" but the soundalikes) keep their place
     weights = tuple(tuple(float(x) for x in row) for row in fitted.coefficientMatrix.toArray())
-    model = Model(families, weights, tuple(float(x) for x in fitted.interceptVector), 0.0)
+    # grams without a weight add nothing
+    used = [i for i in range(len(grams)) if any(row[i] for row in weights)] or [0]
+    grams, weights = tuple(grams[i] for i in used), tuple(tuple(row[i] for i in used) for row in weights)
+    model = Model(families, grams, weights, tuple(float(x) for x in fitted.interceptVector), 0.0)
     strange = _lines(docs.sparkSession, [("?", x) for x in STRANGERS]).select(words_of(F.col("line")).alias("words"))
-    p = strange.select(probabilities(buckets_of(F.col("words")), model).alias("p")).select(
+    p = strange.select(probabilities(features_of(F.col("words"), grams), model).alias("p")).select(
         F.array_max(F.slice("p", 2, len(families))).alias("p"))
     accept = p.agg(F.percentile("p", F.lit(1 - UNKNOWN_SHARE)).alias("q")).first()["q"]
-    return Model(families, weights, model.intercepts, min(0.95, max(0.5, float(accept))))
+    return Model(families, grams, weights, model.intercepts, min(0.95, max(0.5, float(accept))))
 
 
 # --- scoring -------------------------------------------------------------------------------
 
-def _literal(weights: tuple[float, ...]) -> Column:
+def _literal(numbers, kind: str = "double") -> Column:
     """An array literal; written as one string, which the optimizer folds, for a small plan."""
-    return F.split(F.lit(" ".join(f"{w:.6g}" for w in weights)), " ").cast("array<double>")
+    return F.split(F.lit(" ".join(f"{x:.6g}" if kind == "double" else str(x) for x in numbers)), " ").cast(f"array<{kind}>")
 
 
-def probabilities(buckets: Column, model: Model) -> Column:
+def probabilities(features: Column, model: Model) -> Column:
     """The families' probabilities, as an array."""
     adding = lambda w: lambda s, k: s + F.get(w, k)
-    logits = [F.aggregate(buckets, F.lit(b), adding(_literal(w))) for w, b in zip(model.weights, model.intercepts)]
-    z = F.array(*logits)
-    e = F.transform(z, lambda x: F.exp(F.greatest(x, F.lit(-500.0))))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda s, y: s + y))
+    logits = [F.aggregate(features, F.lit(b), adding(_literal(w))) for w, b in zip(model.weights, model.intercepts)]
+    e = _let(F.array(*logits), lambda z: _let(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(F.greatest(x - m, F.lit(-500.0))))))
+    return _let(e, lambda e: _let(F.aggregate(e, F.lit(0.0), lambda s, y: s + y), lambda n: F.transform(e, lambda x: x / n)))
+
+
+def _may_be_license(features: Column, model: Model) -> Column:
+    """False only where "none" is the likeliest: a gram adds its greatest lead of a family over "none",
+    rounded up, so the sum is no less than the lead of any family."""
+    up = lambda x: x + 1e-4 * abs(x) + 1e-6
+    none, *others = [[float(f"{w:.6g}") for w in row] for row in model.weights]
+    lead = [up(max(column) - n) for n, *column in zip(none, *others)]
+    start = up(max(model.intercepts[1:]) - model.intercepts[0])
+    return F.aggregate(features, F.lit(start), lambda s, k: s + F.get(_literal(lead), k)) > 0
 
 
 def _template_share(words: Column, family: Column) -> Column:
@@ -254,8 +299,10 @@ def _verdicts(rows: DataFrame, model: Model) -> DataFrame:
     """Replaces ``_units``, the paragraphs of a row, by ``_j``: for each, the judgements that count.  That is
     the whole one if it is confirmed, or else those of confirmed lines, or else the first that is a license."""
     keep = [c for c in rows.columns if c != "_units"]
-    words = rows.select(*keep, F.transform("_units", lambda u: F.transform(readings_of(u), words_of)).alias("_w"))
-    probs = words.select("*", F.transform("_w", lambda u: F.transform(u, lambda w: probabilities(buckets_of(w), model))).alias("_p"))
+    may = lambda u: F.exists(readings_of(u), lambda x: _may_be_license(features_of(words_of(x), model.grams), model))
+    words = rows.select(*keep, F.filter("_units", may).alias("_units")).select(
+        *keep, F.transform("_units", lambda u: F.transform(readings_of(u), words_of)).alias("_w"))
+    probs = words.select("*", F.transform("_w", lambda u: F.transform(u, lambda w: probabilities(features_of(w, model.grams), model))).alias("_p"))
     judged = probs.select(*keep, F.zip_with("_w", "_p", lambda u, v: F.zip_with(u, v, lambda w, p: _judged(w, p, model))).alias("_j"))
     ok = lambda j: j["license"] & (j["probability"] >= model.accept) & (j["share"] >= OVERLAP)
     marked = judged.withColumn("_j", F.transform("_j", lambda u: F.transform(u, lambda j: j.withField("confirmed", ok(j)))))
@@ -264,14 +311,10 @@ def _verdicts(rows: DataFrame, model: Model) -> DataFrame:
                              .otherwise(F.slice(F.filter(u, lambda j: j["license"]), 1, 1))))
 
 
-def _cued(text: Column) -> Column:
-    return F.when(_has_cue(text), F.filter(paragraphs_of(text), _has_cue)).otherwise(F.array().cast("array<string>"))
-
-
 def license_paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, line, family, probability, share, confirmed) of each judgement that counts; ``line`` is the
     paragraph, its lines separated by spaces."""
-    units = (docs.select("doc_id", F.explode(_cued(text_of("text"))).alias("line"))
+    units = (docs.select("doc_id", F.explode(paragraphs_of(text_of("text"))).alias("line"))
              .select("doc_id", F.translate("line", JOINT, " ").alias("line"), F.array("line").alias("_units")))
     return (_verdicts(units, model).select("doc_id", "line", F.explode(F.flatten("_j")).alias("_j"))
             .select("doc_id", "line", *(F.col("_j")[c].alias(c) for c in ("family", "probability", "share", "confirmed"))))
@@ -282,8 +325,8 @@ def license_report(docs: DataFrame, model: Model) -> DataFrame:
     sorted, and the numbers of confirmed and of unknown license paragraphs.
 
     The paragraphs of a text stay in its row: each is judged by the same expressions inside a
-    ``transform``, only where the text has a cue."""
-    judged = _verdicts(docs.select("doc_id", _cued(text_of("text")).alias("_units")), model)
+    ``transform``."""
+    judged = _verdicts(docs.select("doc_id", paragraphs_of(text_of("text")).alias("_units")), model)
     flat = judged.select("doc_id", F.flatten("_j").alias("_j"))
     good = F.filter("_j", lambda j: j["confirmed"])
     return flat.select(

@@ -94,3 +94,24 @@ def test_one_line_notices_stay_paragraphs(docs, model):
              "This work is licensed under the GNU General Public License, version 3.", "All rights reserved."]
     got = ls.license_report(docs([(1, "\n".join(lines))]), model).first()
     assert (got.families, got.n_confirmed) == (["BSD", "CC-BY-NC", "GPL", "MIT", "Proprietary"], 5)
+
+
+FORMS = {"Available under CC-BY-SA-4.0": "CC-BY-SA", "Distributed under GPLv3": "GPL", "Apache-2.0": "Apache", "Code: MPL-2.0": "MPL",
+         "Available under CC-BY-4.0": "CC-BY", "Distributed under LGPLv3": "LGPL", "Distributed under GPL-2.0-only": "GPL",
+         "Terms: BSD-3-Clause": "BSD", "Available under CC-BY-NC-4.0.": "CC-BY-NC", "SPDX-License-Identifier: GPL-3.0-or-later": "GPL",
+         "This Source Code Form is subject to the terms of the Mozilla Public": "MPL", "Distributed under AGPLv3": "AGPL"}
+
+
+def test_forms_without_a_cue(docs, model):
+    got = {r.doc_id: r for r in ls.license_report(docs(list(enumerate(FORMS))), model).collect()}
+    assert {x: got[k].families for k, x in enumerate(FORMS)} == {x: [f] for x, f in FORMS.items()}
+
+
+def test_the_early_verdict_loses_nothing(spark, docs, model):
+    from pyspark.sql import functions as F
+    lines = [*FORMS, *ls.STRANGERS, *ls.SOUNDALIKES, *(x for xs in ls.TEMPLATES.values() for x in xs)]
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.explode(ls.paragraphs_of("text")).alias("text"))
+    b = docs(list(enumerate(lines))).select("text").unionByName(table).select(ls.features_of(ls.words_of(F.col("text")), model.grams).alias("b"))
+    p = ls.probabilities(F.col("b"), model)
+    got = b.select(ls._may_be_license(F.col("b"), model).alias("may"), (F.array_position(p, F.array_max(p)) > 1).alias("is")).collect()
+    assert not [r for r in got if r["is"] and not r.may] and sum(not r.may for r in got) > len(got) // 4
