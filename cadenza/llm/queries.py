@@ -79,9 +79,21 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.array_join("families", ",").alias("families"), "n_confirmed", "n_unknown")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+    return pack(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", F.floor(F.octet_length("ids") / 4).cast("bigint").alias("length"), F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import alignment
+    return alignment(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_warc, op3_jaccard_join, op4_token_counts, op5_html_text, op6_quality_rules,
-    op7_decontaminate, op8_toxic_spans, op9_bpe, op10_license_scan)}
+    op7_decontaminate, op8_toxic_spans, op9_bpe, op10_license_scan, op11_packing, op13_alignment)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
