@@ -86,6 +86,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_tokens", "sequence_id", "offset")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .prefix_trie import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("node", "parent")
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .alignment import alignment
     return alignment(table(spark, sf_dir, "documents"))
@@ -93,7 +98,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_warc, op3_jaccard_join, op4_token_counts, op5_html_text, op6_quality_rules,
-    op7_decontaminate, op8_toxic_spans, op9_bpe, op10_license_scan, op11_packing, op13_alignment)}
+    op7_decontaminate, op8_toxic_spans, op9_bpe, op10_license_scan, op11_packing, op12_prefix_trie, op13_alignment)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -156,4 +161,35 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM norm LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
 """
 
-ORACLE = {"op2_warc": OP2_SQL, "op6_quality_rules": OP6_SQL, "op7_decontaminate": OP7_SQL}
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, CAST(strlen(s) AS BIGINT) + 1), lambda i: CAST(ascii(s[i]) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP12_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS h
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, h, len(regexp_extract_all(text, '[^ 	-]+')) AS words,
+          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(h, 1, 32)) - 1 AS place FROM t),
+convs AS (SELECT conv_id, {_CRC32} % 4 AS n FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM t)),
+turns AS (SELECT convs.conv_id, place, 0 AS k, h, words FROM convs JOIN own ON own.conv_id = convs.conv_id - convs.conv_id % 20 AND place < n
+          UNION ALL SELECT conv_id, place, 1, h, words FROM own JOIN convs USING (conv_id) WHERE place >= n),
+pre AS (SELECT conv_id, row_number() OVER w AS depth, words, string_agg(h, '') OVER w AS node FROM turns
+        WINDOW w AS (PARTITION BY conv_id ORDER BY k, place ROWS UNBOUNDED PRECEDING)),
+paths AS (SELECT conv_id, depth, words, sha256(node) AS node,
+            CASE WHEN depth = 1 THEN '' ELSE sha256(substr(node, 1, 64 * (depth - 1))) END AS parent FROM pre
+          UNION ALL SELECT conv_id, 0, 0, '', NULL FROM convs),
+lens AS (SELECT conv_id, max(depth) AS l FROM paths GROUP BY conv_id),
+nodes AS (SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, any_value(words) AS words, count(*) AS n_convs,
+            min(conv_id) AS conv_id, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = l), '') AS ends
+          FROM paths JOIN lens USING (conv_id) GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+tree AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children FROM nodes LEFT JOIN kids USING (node)),
+sums AS (SELECT paths.node, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n_convs - 1) * tree.words) AS saved_tokens
+         FROM tree JOIN paths ON paths.conv_id = tree.conv_id AND paths.depth <= tree.depth GROUP BY paths.node)
+SELECT tree.conv_id, tree.depth, up.conv_id AS parent_conv_id, tree.n_convs, tree.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(tree.ends) AS ends_sha256
+FROM tree JOIN sums USING (node) LEFT JOIN nodes up ON up.node = tree.parent
+"""
+
+ORACLE = {"op2_warc": OP2_SQL, "op6_quality_rules": OP6_SQL, "op7_decontaminate": OP7_SQL, "op12_prefix_trie": OP12_SQL}
