@@ -11,10 +11,11 @@ Looking the counts up needs no shuffle of all links: the most frequent pairs, wh
 frequency and ``HOT`` at most, are broadcast.  The other pairs of a text go through a join;
 they are rare, so no key of it is hot.
 
-A text is cut for encoding only before a space behind other characters: neither vocabulary has a token
-that goes on over that place, and each part then begins with its own space, so ids are those of the
-whole text.  NULL and empty texts, and those that a vocabulary doesn't give back byte by byte, have no
-tokens; repeated rows get equal measures; other columns are ignored.
+A text is cut into units only before a space that begins a token of either vocabulary whatever stands
+around it.  So both sides end there, a unit's tokens and groups are the same in every text, and
+those of frequent units are remembered by a worker.  NULL and empty texts, and those that a vocabulary
+doesn't give back byte by byte, have no tokens; repeated rows get equal measures; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -33,20 +34,25 @@ from .base import stored, text_of
 from .bpe import byte_letters, vocabulary_path
 from .pretokens import _WS
 
-PART = 1 << 16         # characters that are encoded at a time
+PART = 1 << 13         # characters of units that are encoded at a time
+KNOWN = 400_000        # units that a worker remembers ...
+LONGEST = 64           # ... of at most so many characters
 HOT = 1 << 18          # pairs that are broadcast, at most
-_SPACE = re.compile(f"(?<=[^{_WS.replace(' ', '')} ]) (?!\\Z)")      # a last space alone would be an empty text
+NOTHING = ()           # stands for what a unit without tokens has
 
+_S = _WS.replace(" ", "") + " "
+#: A unit begins before a space that no space precedes and that stands behind or before another character than
+#: white space; a last space alone would be an empty unit.
+_CUT = re.compile(f"(?<! )(?= [^{_S}])|(?<=[^{_S}])(?= (?!\\Z))")
+#: Spaces that don't all begin a unit.
+_TRICKY = re.compile(f"\\A | \\Z|  |[{_S}] [{_S}]")
 
-def parts(text: str, size: int = PART) -> list[str]:
-    """``text``, which begins with a space, in parts of at least ``size`` characters (but the last),
-    each beginning with a space behind another character than white space."""
-    out, at = [], 0
-    while (found := _SPACE.search(text, at + size)):
-        out.append(text[at:found.start()])
-        at = found.start()
-    out.append(text[at:])
-    return out
+
+def units_of(text: str) -> list[str]:
+    """The units of " " + text, without the space that each begins with."""
+    if _TRICKY.search(text):
+        return [u[1:] for u in _CUT.split(" " + text) if u]
+    return text.split(" ")
 
 
 class _Side:
@@ -95,28 +101,24 @@ class Aligner:
         self.shown = [f"{i}," for i in range(na)] + [f"{i}|" for i in range(na)]
         self.shown += [f"{i}," for i in range(nb)] + [f"{i};" for i in range(nb)]
         self.na, self.nb = na, nb
+        self.known: dict = {}
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        cut = parts(" " + text)
-        a = [e.ids for e in self.a.encode_batch_fast(cut, add_special_tokens=False)]
-        b = [self.b.encode(p[1:], num_threads=1) for p in cut]
-        return (np.array([i for x in a for i in x], np.int64), np.array([i for x in b for i in x], np.int64))
-
-    def align(self, text: str):
-        """(ids of A, ids of B, last tokens of A and of B in each group), or None without tokens."""
-        if not text:
-            return None
+    def _aligned(self, text: str):
+        """(ids of A, ids of B, last tokens of A and of B in each group, ends of groups) of the bytes of
+        " " + text; None if they aren't given back."""
         data = (" " + text).encode("utf-8")
-        a, b = self.encode(text)
+        a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array(self.b.encode(text, num_threads=1), np.int64)
         if self.side_b.text(b) != data or self.side_a.text(a) != data:
             return None
         ends_a, ends_b = self.side_a.ends(a), self.side_b.ends(b)
         mark = np.zeros(len(data) + 1, bool)
         mark[ends_b] = True
         last_a = np.flatnonzero(mark[ends_a])
-        return a, b, last_a, np.searchsorted(ends_b, ends_a[last_a])
+        ends = ends_a[last_a]
+        return a, b, last_a, np.searchsorted(ends_b, ends), ends
 
-    def groups(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+    def _groups(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
         """``a1,a2|b1;a3|b2,b3``."""
         codes_a, codes_b = a.copy(), b + 2 * self.na
         codes_a[last_a] += self.na
@@ -127,6 +129,62 @@ class Aligner:
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         return "".join(map(self.shown.__getitem__, codes[order].tolist()))[:-1]
 
+    def _learn(self, units: list[str], keep: dict) -> None:
+        """Adds (tokens of A, tokens of B, groups, links) of each unit, or NOTHING, to ``keep``."""
+        found = self._aligned(" ".join(units))
+        sizes = np.array([1 + len(u.encode("utf-8")) for u in units])
+        if found is not None:
+            a, b, last_a, last_b, ends = found
+            stops = np.cumsum(sizes)
+            to = np.searchsorted(ends, stops) + 1                      # groups up to each unit's end
+            if to[-1] == len(ends) and (ends[to - 1] == stops).all():
+                groups = self._groups(a, b, last_a, last_b).split(";")
+                pairs = a[last_a] << 32 | b[last_b]
+                n_a, n_b = np.diff(last_a[to - 1], prepend=-1).tolist(), np.diff(last_b[to - 1], prepend=-1).tolist()
+                at = 0
+                for u, e, x, y in zip(units, to.tolist(), n_a, n_b):
+                    keep[u] = x, y, ";".join(groups[at:e]), pairs[at:e].tobytes()
+                    at = e
+                return
+        if len(units) == 1:
+            keep[units[0]] = NOTHING
+        else:
+            for u in units:
+                self._learn([u], keep)
+
+    def align(self, texts: list[str]) -> list:
+        """For each text (tokens of A, tokens of B, groups, links as id of A << 32 | id of B), or None without tokens."""
+        known = self.known
+        if len(known) > KNOWN:
+            known.clear()
+        cut = [units_of(t) if t else [] for t in texts]
+        seen = [list(map(known.get, units)) for units in cut]
+        holes = [[k for k, x in enumerate(found) if x is None] if None in found else () for found in seen]
+        new = {units[k] for units, at in zip(cut, holes) for k in at}
+        held, size, plain = [], 0, {}
+        for u in new:
+            if u.strip() != u or not u:
+                self._learn([u], plain)
+                continue
+            held.append(u)
+            size += len(u) + 1
+            if size >= PART:
+                self._learn(held, plain)
+                held, size = [], 0
+        if held:
+            self._learn(held, plain)
+        known.update((u, x) for u, x in plain.items() if len(u) <= LONGEST)
+        out = []
+        for units, found, at in zip(cut, seen, holes):
+            for k in at:
+                found[k] = plain[units[k]]
+            if not found or NOTHING in found:
+                out.append(None)
+                continue
+            n_a, n_b, groups, pairs = zip(*found)
+            out.append((sum(n_a), sum(n_b), ";".join(groups), np.frombuffer(b"".join(pairs), np.int64)))
+        return out
+
 
 def paths(a: str | None, b: str | None) -> tuple[str, str]:
     if b is None:
@@ -148,15 +206,13 @@ def aligned(docs: DataFrame, a: str | None = None, b: str | None = None) -> Data
         tool = _ALIGNERS.get(at) or _ALIGNERS.setdefault(at, Aligner(*at))
         for batch in batches:
             rows = []
-            for text in batch.column(0).to_pylist():
-                found = tool.align(text)
+            for found in tool.align(batch.column(0).to_pylist()):
                 if found is None:
                     rows.append((0, 0, 0, "", [], []))
                     continue
-                ids_a, ids_b, last_a, last_b = found
-                pairs, times = np.unique(ids_a[last_a] << 32 | ids_b[last_b], return_counts=True)
-                shown = hashlib.sha256(tool.groups(*found).encode()).hexdigest()
-                rows.append((len(ids_a), len(ids_b), len(last_a), shown, pairs, times))
+                n_a, n_b, groups, links = found
+                pairs, times = np.unique(links, return_counts=True)
+                rows.append((n_a, n_b, len(links), hashlib.sha256(groups.encode()).hexdigest(), pairs, times))
             n_a, n_b, n_groups, shown, pairs, times = zip(*rows) if rows else ((),) * 6
             whole, lists = pa.int64(), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(

@@ -35,12 +35,19 @@ RUN = 1 << 22          # tokens of a run
 DOCS = 1 << 16         # and its documents at most
 KNOWN = 1_000_000      # strings that a worker remembers ...
 LONGEST = 64           # ... of at most so many characters
+PART = 1 << 13         # characters of strings that are encoded at a time
+MARK = "<|startoftext|>"
 
 #: Separators that str.split() knows and the tokenizer doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
 _PLAIN = re.compile("[\t-\r ]+")
 
 
+#: A word of Latin letters, which is one piece of the tokenizer, and what no piece shares with it.
+_LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
+_WORD = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)\\Z")
+
+
 class Strings(dict):
     """String without white space -> its ids as little-endian bytes."""
 
@@ -50,19 +57,64 @@ class Strings(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def encode(self, text: str) -> bytes:
-        units = _PLAIN.split(text) if _ODD.search(text) else text.split()
-        try:
-            return b"".join(map(self.__getitem__, units))
-        except KeyError:
-            pass
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.last = np.zeros(max(vocab.values()) + 1, bool)          # ids that end a piece
+        for t, i in vocab.items():
+            self.last[i] = t.endswith("</w>") or t == MARK
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, units: list[str], words: bool, keep: dict) -> None:
+        """Adds the ids of units, which are encoded as one text: words stand between spaces and are a piece each,
+        others between special tokens."""
+        ids = self._ids((" " if words else MARK).join(units))
+        if words:
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+        else:
+            ends = np.append(np.flatnonzero(ids == self.tokenizer.token_to_id(MARK)), len(ids)).tolist()
+        if len(ends) != len(units):
+            raise ValueError("the vocabulary's tokens don't show where words end")
+        data, at = ids.tobytes(), 0
+        for u, e in zip(units, ends):
+            keep[u] = data[4 * at:4 * e]
+            at = e if words else e + 1
+
+    def _learn_all(self, units, words: bool, keep: dict) -> None:
+        held, size = [], 0
+        for u in units:
+            held.append(u)
+            size += len(u) + 1
+            if size >= PART:
+                self._learn(held, words, keep)
+                held, size = [], 0
+        if held:
+            self._learn(held, words, keep)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self) > KNOWN:
             self.clear()
-        new, long = list({u for u in units if u not in self}), {}
-        for u, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            (self if len(u) <= LONGEST else long)[u] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([self[u] if u in self else long[u] for u in units])
+        cut = [_PLAIN.split(t) if _ODD.search(t) else t.split() for t in texts]
+        found = [list(map(self.get, units)) for units in cut]
+        holes = [[k for k, x in enumerate(f) if x is None] if None in f else () for f in found]
+        new = {units[k] for units, at in zip(cut, holes) for k in at}
+        keep, match = {}, _WORD.match
+        split = {u: (m[1].lower(), m[2]) for u in new if (m := match(u))}
+        others = new.difference(split)
+        others.update(tail for _, tail in split.values() if tail)
+        for u in [u for u in others if MARK in u]:
+            keep[u] = self._ids(u).tobytes()
+        self._learn_all(sorted(u for u in others if u not in self and u not in keep), False, keep)
+        self._learn_all(sorted({w for w, _ in split.values() if w not in self}), True, keep)
+        known = lambda u: keep[u] if u in keep else self[u]
+        for u, (word, tail) in split.items():
+            if u not in keep:
+                keep[u] = known(word) + known(tail) if tail else known(word)
+        for f, units, at in zip(found, cut, holes):
+            for k in at:
+                f[k] = keep[units[k]]
+        self.update((u, x) for u, x in keep.items() if len(u) <= LONGEST)
+        return list(map(b"".join, found))
 
 
 def deal(lengths: list[int], capacity: int = CAPACITY, linear: int = LINEAR) -> list[tuple[int, int, int, int, int]]:
@@ -149,9 +201,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         name, held = TaskContext.get().partitionId() << 40, 0
         ids, texts = [], []
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for i, encoded in zip(b.column(0).to_pylist(), known.encode(b.column(1).to_pylist())):
                 ids.append(i)
-                texts.append(known.encode(t) + end)
+                texts.append(encoded + end)
                 held += len(texts[-1]) // 4
                 if held >= run or len(ids) >= DOCS:
                     name, batch = packed(ids, texts, name)

@@ -98,16 +98,19 @@ def test_against_brute_force(docs, library, texts, hot):
     assert got(al.alignment(docs(rows).repartition(4), hot=hot)) == brute(library, rows)
 
 
-def test_parts_give_the_whole_text(library, texts):
+def test_units_give_the_whole_text(library, texts):
     rnd = random.Random(4)
-    odd = " \t\n\x85\xa0　  ab'sd漢9.,"
+    odd = " \t\n\x85\xa0　  ab'sd漢▁9.,"
     tool = al.Aligner(*al.paths(None, None))
-    for t in [*("".join(rnd.choice(odd) for _ in range(300)) for _ in range(200)), *list(texts.values())[:20]]:
-        for size in (1, 7, 60):
-            cut = al.parts(" " + t, size)
-            assert "".join(cut) == " " + t
-            assert [i for p in cut for i in tool.a.encode(p, add_special_tokens=False).ids] == library[0].encode(" " + t, add_special_tokens=False).ids
-            assert [i for p in cut for i in tool.b.encode(p[1:])] == library[1].encode(t)
+    some = ["".join(rnd.choice(odd) for _ in range(rnd.randint(1, 60))) for _ in range(3000)] + list(texts.values())[:20]
+    for t in some:
+        assert "".join(" " + u for u in al.units_of(t)) == " " + t
+    for _ in range(2):              # learnt, then remembered
+        for t, found in zip(some, tool.align(some)):
+            want = brute(library, [(0, t)])[0]
+            assert (found is None) == (want[1] == 0)
+            if found:
+                assert (found[0], found[1], len(found[3]), hashlib.sha256(found[2].encode()).hexdigest()) == (*want[1:4], want[-1])
 
 
 def test_empty_table(docs):
