@@ -426,13 +426,13 @@ def merged(spans) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] | None = None,
-                    crowd: int = GROUP) -> DataFrame:
+                    crowd: int = GROUP, gram: int = GRAM) -> DataFrame:
     """The columns of ``docs`` (or those given; any named like a result is replaced) and kept (binary: the remaining bytes), kept_text (the
     same as text, without the broken characters that a cut inside one leaves), n_bytes, removed
     (array of maximal byte ranges)."""
     results = ("kept", "kept_text", "n_bytes", "removed")
     columns = [c for c in (docs.columns if columns is None else columns) if c not in results]
-    spans = repeated_spans(docs, length, crowd=crowd)
+    spans = repeated_spans(docs, length, gram, crowd)
     # the caller's columns travel as one, so their names can't meet those of the join
     text = text_of("text")
     packed = docs.select(F.struct(*columns).alias("row"), text.alias("text"), F.xxhash64(text).alias("u"), F.hash(text).alias("v"))

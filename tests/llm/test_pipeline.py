@@ -27,7 +27,7 @@ def plain(docs, items):
     groups, _ = plain_groups(docs)
     docs = [d for k, d in enumerate(docs) if d[0] == min(e[0] for e, g in zip(docs, groups) if g == groups[k])]
     out = []
-    for (i, t), spans in zip(docs, plain_repeats([t.encode() for _, t in docs])):
+    for (i, t), spans in zip(docs, plain_repeats([t.encode() for _, t in docs], 240)):
         data, at, left = t.encode(), 0, []
         for a, b in spans:
             left.append(data[at:a])
@@ -66,3 +66,20 @@ def test_clean_documents_pass_unchanged(spark, docs):
     for name, stage in cp.STAGES[:-1]:
         df = stage(spark, df, D)
     assert {r.doc_id: r.text for r in df.collect()} == dict(rows)
+
+
+def test_shared_passages_of_51_to_60_words_go(spark, docs):
+    """Passages of over 50 words in otherwise different documents are cut, whatever their place, and
+    documents without one stay as they are."""
+    import random
+    rnd = random.Random(9)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefghijklm") for _ in range(rnd.choice([3, 4, 4, 5, 5, 6, 7, 8]))) for _ in range(n))
+    passages = [say(n) for n in range(51, 61)]
+    rows = [(k, say(90 + k) + " " + passages[k % 10] + "\n" + say(70)) for k in range(40)] + [(100 + k, say(150)) for k in range(40)]
+    got = {r.doc_id: r.text for r in cp.suffix_dedup(spark, docs(rows), D).collect()}
+    assert got.keys() == dict(rows).keys()
+    for k, t in rows:
+        if k < 100:
+            assert passages[k % 10] not in got[k] and len(got[k]) < len(t) - len(passages[k % 10]) + 12
+        else:
+            assert got[k] == t
