@@ -18,6 +18,11 @@ from cadenza.llm.jaccard_join import one_of_each
 from cadenza.llm.quality_rules import keep_good
 from cadenza.llm.repeated_spans import without_repeats
 
+#: Bytes of a repeated string that suffix_dedup cuts: about 50 words.  (The 400 of the operator's own query
+#: are longer than most repeated passages of that many words.)
+PASSAGE = 240
+PASSAGE_GRAM = 64      # bytes of its anchors; see repeated_spans
+
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -34,10 +39,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes inside repeated strings; what a cut leaves of a character goes
+    """Documents without the bytes inside repeated strings of ``PASSAGE`` bytes; what a cut leaves of a character goes
     with it, and n_chars follows.  A document of which only white space is left goes."""
     prepare(spark)
-    kept = without_repeats(docs.select(*COLUMNS))
+    kept = without_repeats(docs.select(*COLUMNS), length=PASSAGE, gram=PASSAGE_GRAM)
     cut = F.size("removed") > 0
     blank = F.trim(F.translate("kept_text", "\t\n\x0b\f\r", "     ")) == ""
     return kept.where(~(cut & blank)).select(
