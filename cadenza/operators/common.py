@@ -30,11 +30,14 @@ def rename_if_absent(df: DataFrame, src: str, dst: str) -> DataFrame:
     return df
 
 
-def schema_report(df: DataFrame, table: str):
-    """(table, position, column, type) rows describing a frame's schema."""
-    spark = df.sparkSession
-    rows = [(table, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "table string, position int, column string, type string")
+def schema_report(df: DataFrame, table: str) -> DataFrame:
+    """(table, position, column, type, n_values) of each column; values that aren't NULL are counted in one
+    pass over the rows."""
+    names = [f.name for f in df.schema.fields]
+    counts = df.agg(*(F.count(F.col(f"`{c}`")).alias(f"_{i}") for i, c in enumerate(names)))
+    rows = [F.struct(F.lit(table).alias("table"), F.lit(i).alias("position"), F.lit(f.name).alias("column"),
+                     F.lit(f.dataType.simpleString()).alias("type"), F.col(f"_{i}").alias("n_values")) for i, f in enumerate(df.schema.fields)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 _HASHABLE = (AtomicType, ArrayType)

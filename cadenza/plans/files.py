@@ -19,21 +19,27 @@ from .gating import _gated
 
 # --- sources and sinks -----------------------------------------------------------------
 
+def _in_order(df, key):
+    """Range-partitioned and sorted, so that the files written are in order of ``key``: many, of unequal size."""
+    parts = max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartitionByRange(parts, key).sortWithinPartitions(key)
+
+
 def q_csv_roundtrip(spark, sf_dir):
-    """Documents written as CSV (line breaks, quotes, NULLs) and read back."""
+    """Documents written as CSV (line breaks, quotes, NULLs) in files in order and read back with their row numbers."""
     path = shared_path(spark, "csv")
     docs = load(spark, sf_dir, "documents").select(
         "doc_id", F.concat(F.lit('say "hi", '), "text").alias("text"), F.when(F.col("doc_id") % 7 != 0, F.col("lang")).alias("lang"))
-    io.write_csv(docs, path)
-    return io.read_csv(spark, path, "doc_id bigint, text string, lang string", row_col=None)
+    io.write_csv(_in_order(docs, "doc_id"), path)
+    return io.read_csv(spark, path, "doc_id bigint, text string, lang string")
 
 
 def q_csv_plain_scan(spark, sf_dir):
-    """A table without line breaks, written and read as splittable CSV."""
+    """A table without line breaks, written in files in order and read as CSV with its row numbers."""
     path = shared_path(spark, "csv")
     part = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    io.write_csv(part, path)
-    back = io.read_csv(spark, path, "p_partkey bigint, p_name string, p_retailprice double", row_col=None, multi_line=False)
+    io.write_csv(_in_order(part, "p_partkey"), path)
+    back = io.read_csv(spark, path, "p_partkey bigint, p_name string, p_retailprice double", multi_line=False)
     return round_doubles(back)
 
 
@@ -52,12 +58,14 @@ def q_cache_roundtrip(spark, sf_dir):
 
 
 def q_cache_document(spark, sf_dir):
-    """A small cache as one foreign JSON document (the nations), imported."""
+    """The cache as foreign JSON documents of a thousand keys, a file each, imported by many tasks."""
     path = shared_path(spark, "cache-document")
-    rows = load(spark, sf_dir, "nation").select(
-        F.struct(F.col("n_name").alias("k"), F.struct(F.col("n_nationkey").cast("double").alias("BPM"), F.lit("Major").alias("Mode")).alias("v")).alias("e"))
-    doc = rows.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list("e")))).alias("value"))     # 25 rows
-    doc.coalesce(1).write.text(path)
+    rows = load(spark, sf_dir, "part").select(
+        F.floor(F.col("p_partkey") / 1000).alias("doc"),
+        F.struct(F.concat("p_name", F.lit("|||"), F.col("p_partkey").cast("string")).alias("k"),
+                 F.struct(F.col("p_retailprice").alias("BPM"), F.lit("Major").alias("Mode")).alias("v")).alias("e"))
+    docs = rows.groupBy("doc").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list("e")))).alias("value"))     # 1,000 keys a document
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return round_doubles(io.import_cache_document(spark, path))
 
 
@@ -70,7 +78,7 @@ def q_lexicon_file(spark, sf_dir):
             .when(size % 11 == 2, F.concat(F.lit("short"), key, F.lit(" 0.5"))).when(size % 11 == 3, F.concat(F.lit("bad"), key, F.lit(" x 0.5")))
             .otherwise(F.concat(F.lit(" Word"), (F.col("p_partkey") % 500).cast("string"), F.lit("\t"),
                                 (size.cast("double") / 100).cast("string"), F.lit("  "), key, F.lit("  extra"))))
-    part.orderBy("p_partkey").select(line.alias("value")).coalesce(1).write.text(path)     # line order is part of the file
+    _in_order(part, "p_partkey").select(line.alias("value")).write.text(path)       # many files; the last line of a word counts
     return round_doubles(io.read_lexicon(spark, path))
 
 
@@ -91,7 +99,7 @@ def q_listed_lines(spark, sf_dir):
     part = load(spark, sf_dir, "part")
     top = part.agg(F.max("p_partkey")).first()[0] or 0
     inner = F.col("p_partkey").between(3, top - 2) & (F.col("p_size") % 5 != 0)
-    part.orderBy("p_partkey").select(F.when(inner, F.col("p_name")).otherwise(F.lit("  ")).alias("value")).coalesce(1).write.text(path)
+    _in_order(part, "p_partkey").select(F.when(inner, F.col("p_name")).otherwise(F.lit("  ")).alias("value")).write.text(path)
     return io.count_listed_lines(spark, path)
 
 
@@ -104,12 +112,15 @@ def q_split_write(spark, sf_dir):
     return back.select("ready_to_score", "n_rows", observed.cast("bigint").alias("n_observed"))
 
 
+_CLIP_CONVS = 50
+
+
 def q_clip_scan(spark, sf_dir):
-    """The conversations as files by role, found again by the binary scan if large enough."""
+    """The conversations as files by role and block of conversations, found again by the binary scan if large enough."""
     path = shared_path(spark, "clips")
     conv = load(spark, sf_dir, "conversations")
-    rows = conv.select(F.concat(F.col("role"), (F.col("conv_id") % 4).cast("string")).alias("clip"), "text", "conv_id", "turn")
-    rows.select("clip", F.regexp_replace("text", "\\s", " ").alias("value")).repartition(1, "clip").write.partitionBy("clip").text(path)
+    rows = conv.select(F.concat(F.col("role"), F.floor(F.col("conv_id") / _CLIP_CONVS)).alias("clip"), "text")
+    rows.select("clip", F.regexp_replace("text", "\\s", " ").alias("value")).repartition("clip").write.partitionBy("clip").text(path)
     clips = io.read_clips(spark, path, C.MIN_CLIP_BYTES)
     return clips.groupBy(F.regexp_extract("path", "clip=([^/]+)", 1).alias("clip")).agg(F.sum("length").alias("n_bytes"))
 
@@ -118,27 +129,30 @@ def q_clip_scan(spark, sf_dir):
 
 def q_schema_report(spark, sf_dir):
     out = schema_report(load(spark, sf_dir, "part"), "part")
-    return out.union(schema_report(load(spark, sf_dir, "region"), "region"))
+    return out.union(schema_report(load(spark, sf_dir, "documents"), "documents"))
 
 
 def q_header_alias(spark, sf_dir):
     """Old header names take the new ones only where those are absent; absent columns get defaults."""
-    nation = require_columns(load(spark, sf_dir, "nation"), ["n_nationkey", "n_name"])
-    aliased = rename_if_absent(rename_if_absent(nation, "n_name", "Title"), "n_regionkey", "n_nationkey")
+    customer = require_columns(load(spark, sf_dir, "customer"), ["c_custkey", "c_name"])
+    aliased = rename_if_absent(rename_if_absent(customer, "c_name", "Title"), "c_nationkey", "c_custkey")
     full = ensure_columns(aliased, {"BPM": ("double", None), "Mode": ("string", "Major"), "Title": ("string", "never")})
-    return full.select("n_nationkey", "n_regionkey", "Title", "BPM", "Mode")
+    return full.select("c_custkey", "c_nationkey", "Title", "BPM", "Mode")
 
 
 def q_missing_columns(spark, sf_dir):
-    """Which of the required columns each table lacks."""
-    out = []
-    for name in ("part", "nation", "region"):
+    """What the check of required columns says of each table, beside the rows it would hold back."""
+    out = None
+    for name in ("part", "customer", "documents"):
+        df = load(spark, sf_dir, name)
         try:
-            require_columns(load(spark, sf_dir, name), ["p_partkey", "n_name", "P_NAME"])
-            out.append((name, ""))
+            require_columns(df, ["p_partkey", "c_name", "P_NAME"] if name != "documents" else ["doc_id", "text"])
+            problem = ""
         except ValueError as e:
-            out.append((name, str(e)))
-    return spark.createDataFrame(out, "table string, problem string")
+            problem = str(e)
+        found = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table"), F.lit(problem).alias("problem"), "n_rows")
+        out = found if out is None else out.union(found)
+    return out
 
 
 def q_row_index(spark, sf_dir):
@@ -214,12 +228,14 @@ def q_scale_modes(spark, sf_dir):
 _CLIPS = "sum(octet_length(encode(regexp_replace(text, '\\s', ' ', 'g'))) + 1)"
 
 ORACLE = {
-    "csv_roundtrip": """SELECT doc_id, 'say "hi", ' || text AS text, CASE WHEN doc_id % 7 <> 0 THEN lang END AS lang FROM documents""",
-    "csv_plain_scan": "SELECT p_partkey, p_name, round(p_retailprice, 6) AS p_retailprice FROM part",
+    "csv_roundtrip": """SELECT doc_id, 'say "hi", ' || text AS text, CASE WHEN doc_id % 7 <> 0 THEN lang END AS lang,
+          row_number() OVER (ORDER BY doc_id) - 1 AS _row FROM documents""",
+    "csv_plain_scan": """SELECT p_partkey, p_name, round(p_retailprice, 6) AS p_retailprice,
+          row_number() OVER (ORDER BY p_partkey) - 1 AS _row FROM part""",
     "cache_roundtrip": """SELECT p_name || '|||' || p_partkey AS song_key,
           CASE WHEN p_size % 5 > 1 THEN round(p_retailprice, 6) END AS "BPM",
           CASE p_size % 3 WHEN 0 THEN 'a "b"' WHEN 1 THEN 'Minor' END AS "Mode" FROM part""",
-    "cache_document": """SELECT n_name AS song_key, CAST(n_nationkey AS DOUBLE) AS "BPM", 'Major' AS "Mode" FROM nation""",
+    "cache_document": """SELECT p_name || '|||' || p_partkey AS song_key, round(p_retailprice, 6) AS "BPM", 'Major' AS "Mode" FROM part""",
     "lexicon_file": """SELECT word, round(valence, 6) AS valence, arousal FROM (
           SELECT 'word' || (p_partkey % 500) AS word, CAST(p_size AS DOUBLE) / 100 AS valence, CAST(p_partkey AS DOUBLE) AS arousal,
                  row_number() OVER (PARTITION BY p_partkey % 500 ORDER BY p_partkey DESC) AS rn
@@ -228,13 +244,16 @@ ORACLE = {
     "listed_lines": """SELECT coalesce(max(n) - min(n) + 1, 0) AS n_lines FROM (
           SELECT row_number() OVER (ORDER BY p_partkey) AS n, p_size, p_partkey, max(p_partkey) OVER () AS top FROM part)
         WHERE p_partkey BETWEEN 3 AND top - 2 AND p_size % 5 <> 0""",
-    "schema_report": """SELECT table_name AS "table", CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS "column",
-          CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS type
-        FROM information_schema.columns WHERE table_name IN ('part', 'region')""",
-    "header_alias": """SELECT n_nationkey, n_regionkey, n_name AS "Title", CAST(NULL AS DOUBLE) AS "BPM", 'Major' AS "Mode" FROM nation""",
-    "missing_columns": """SELECT * FROM (VALUES ('part', 'missing required columns: [''n_name'', ''P_NAME'']'),
-          ('nation', 'missing required columns: [''p_partkey'', ''P_NAME'']'),
-          ('region', 'missing required columns: [''p_partkey'', ''n_name'', ''P_NAME'']')) t("table", problem)""",
+    "schema_report": """WITH n AS (
+          SELECT 'part' AS t, column_name AS c, n FROM (SELECT count(COLUMNS(*)) FROM part) UNPIVOT (n FOR column_name IN (COLUMNS(*)))
+          UNION ALL SELECT 'documents', column_name, n FROM (SELECT count(COLUMNS(*)) FROM documents) UNPIVOT (n FOR column_name IN (COLUMNS(*))))
+        SELECT table_name AS "table", CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS "column",
+          CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(data_type) END AS type, n.n AS n_values
+        FROM information_schema.columns JOIN n ON n.t = table_name AND n.c = column_name""",
+    "header_alias": """SELECT c_custkey, c_nationkey, c_name AS "Title", CAST(NULL AS DOUBLE) AS "BPM", 'Major' AS "Mode" FROM customer""",
+    "missing_columns": """SELECT 'part' AS "table", 'missing required columns: [''c_name'', ''P_NAME'']' AS problem, count(*) AS n_rows FROM part
+        UNION ALL SELECT 'customer', 'missing required columns: [''p_partkey'', ''P_NAME'']', count(*) FROM customer
+        UNION ALL SELECT 'documents', '', count(*) FROM documents""",
     "row_index": "SELECT doc_id, row_number() OVER (ORDER BY source, doc_id) AS row_index FROM documents",
     "restore_order": "SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS position FROM part",
     "nan_frame": """SELECT event_id, CASE WHEN event_id % 5 > 1 THEN round(value, 6) END AS a,
@@ -248,7 +267,7 @@ ORACLE = {
           CASE event_id % 6 WHEN 0 THEN 'C  Major ' WHEN 2 THEN 'D dorian' END AS key_text FROM events""",
     "scale_modes": """SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 'Major' WHEN 'LARGE' THEN 'Minor' END AS from_text,
           CASE trunc((p_size - 10) / 4.0) WHEN 1 THEN 'Major' WHEN 0 THEN 'Minor' END AS from_number FROM part""",
-    "clip_scan": f"""SELECT clip, n_bytes FROM (SELECT role || (conv_id % 4) AS clip, CAST({_CLIPS} AS BIGINT) AS n_bytes
+    "clip_scan": f"""SELECT clip, n_bytes FROM (SELECT role || (conv_id // {_CLIP_CONVS}) AS clip, CAST({_CLIPS} AS BIGINT) AS n_bytes
           FROM conversations GROUP BY 1) WHERE n_bytes >= {C.MIN_CLIP_BYTES}""",
 }
 

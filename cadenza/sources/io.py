@@ -8,12 +8,13 @@ version, so the path being read is never overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from ..functions import num, text
 from ..operators.common import one_per_key
+from . import ordered
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 
@@ -26,11 +27,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
              row_col: str | None = "_row", multi_line: bool = True) -> DataFrame:
     """Header CSV with doubled-quote escapes.  Only the empty field becomes NULL
     ('NA' stays text).  ``multi_line``: quoted fields may hold line breaks (a
-    lyrics column); such a file can't be split, so turn it off for files
-    without such a column.  ``row_col``: file order id (monotonically
-    increasing; persist before using it twice)."""
-    df = spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
-    return df.withColumn(row_col, F.monotonically_increasing_id()) if row_col else df
+    lyrics column); splits are then cut by the parity of quotes.
+    ``row_col``: the row's number from 0 in the order of paths and lines."""
+    if multi_line:
+        return ordered.read_quoted_csv(spark, path, schema, CSV_OPTIONS, row_col)
+    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return ordered.numbered(df, row_col) if row_col else df
 
 
 def require(df: DataFrame, cols) -> DataFrame:
@@ -71,8 +73,8 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """Whitespace-separated ``word valence arousal`` lines -> (word,
     valence, arousal).  Blank and '#' lines, lines with fewer than three
     fields and lines whose numbers do not parse are dropped; the word is
-    lower-cased; a repeated word keeps its last line."""
-    lines = spark.read.text(path).withColumn("_line", F.monotonically_increasing_id())
+    lower-cased; a repeated word keeps its last line in the order of paths and lines."""
+    lines = ordered.numbered(spark.read.text(path), "_line")
     s = text.strip("value")
     parts = F.split(s, f"(?U)[{text.WS_CLASS}]+")
     cand = lines.where((s != "") & ~s.startswith("#")).select("_line", parts.alias("p"))
@@ -87,14 +89,11 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
 def count_listed_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of a text list after stripping the whole text: blank lines at
     the start and end do not count, inner blank lines do; empty -> 0."""
-    mid = F.monotonically_increasing_id()
-    lines = spark.read.text(path).select(F.shiftright(mid, 33).alias("part"), mid.bitwiseAND(F.lit((1 << 33) - 1)).alias("pos"),
-                                         (text.strip("value") != "").alias("full"))
-    at = F.when(F.col("full"), F.col("pos"))
-    parts = lines.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("first"), F.max(at).alias("last"))
-    # one row for each part of the file from here on
-    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = parts.select((before + F.col("first")).alias("first"), (before + F.col("last")).alias("last"))
+    lines = ordered.placed(spark.read.text(path).withColumn("full", text.strip("value") != ""))
+    at = F.when(F.col("full"), F.col("_at"))
+    splits = lines.groupBy(*ordered.PLACE).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_at"), F.min(at).alias("first"), F.max(at).alias("last"))
+    before = ordered.before("n") - F.col("_at")
+    placed = splits.select((before + F.col("first")).alias("first"), (before + F.col("last")).alias("last"))
     return placed.agg(F.coalesce(F.max("last") - F.min("first") + F.lit(1), F.lit(0)).alias("n_lines"))
 
 

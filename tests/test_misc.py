@@ -28,9 +28,9 @@ def test_rename_and_require(spark):
 
 
 def test_schema_report(spark):
-    df = spark.createDataFrame([(1, "x")], "id int, name string")
+    df = spark.createDataFrame([(1, "x"), (2, None)], "id int, name string")
     got = [tuple(r) for r in schema_report(df, "t").collect()]
-    assert got == [("t", 0, "id", "int"), ("t", 1, "name", "string")]
+    assert got == [("t", 0, "id", "int", 2), ("t", 1, "name", "string", 1)]
 
 
 def test_csv_round_trip(spark, tmp_dir):
