@@ -86,3 +86,10 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark would broadcast ``df`` in a join, by its own size estimate and threshold."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return size <= limit

@@ -15,22 +15,20 @@ writes (own ?? state ?? provider) for both.  The null-pattern of the state
 only ever grows (a written non-NULL attribute stays non-NULL), so each
 attribute turns non-NULL at most once, at a row found by per-key ``min``
 aggregates; the state values are "latest value written before this row",
-a running last-non-NULL computed as a two-level (chunk, then carry across
-chunks) scan.  No collect: a key holding a third of all rows is split into
-bounded chunks.
+a running last-non-NULL computed as a scan in levels (scan.py).  No collect:
+a key holding a third of all rows is split into bounded chunks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
-from ..config import TUNING
 from ..functions import num, payload, text
 from ..session import ensure_checkpoint_dir
 from .common import lookup_join, one_per_key
-from .rank import global_row_number
+from .scan import before
 
 PROVIDER_ORDER = ("p1_bpm", "p2_preview", "p3_search", "p4_preview")
 
@@ -137,27 +135,8 @@ def prior_last(df: DataFrame, key: str, order: str, values: dict[str, str],
                chunk_rows: int | None = None) -> DataFrame:
     """For each row and each ``values`` entry {out: col}: the last non-NULL
     ``col`` among earlier rows of the same key (strictly smaller
-    ``order``).  Two-level scan: a running window inside (key, chunk), and
-    a carry = last non-NULL of all earlier chunks of the key, computed over
-    one summary row per (key, chunk)."""
-    size = chunk_rows or TUNING.scan_chunk_rows
-    # positions without gaps in (key, order), so a chunk holds ``size`` rows however sparse the
-    # order is; explicit (key, chunk) distribution: a key-only partitioning would put a hot key's
-    # rows into one task
-    d = global_row_number(df, [F.col(key), F.col(order)], "_pos")
-    d = d.withColumn("_chunk", F.floor(F.col("_pos") / F.lit(size))).drop("_pos").repartition(key, "_chunk")
-    w_in = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    d = d.withColumns({f"_in_{o}": F.last(c, ignorenulls=True).over(w_in) for o, c in values.items()})
-    summ = d.groupBy(key, "_chunk").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_cl_{o}")
-        for o, c in values.items()])
-    w_c = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summ.select(key, "_chunk", *[F.last(f"_cl_{o}", ignorenulls=True).over(w_c).alias(f"_cr_{o}")
-                                         for o in values])
-    carry = carry.withColumnsRenamed({key: "_ck", "_chunk": "_cc"})       # a NULL key is a key
-    d = d.join(carry, d[key].eqNullSafe(F.col("_ck")) & (d["_chunk"] == F.col("_cc")), "left").drop("_ck", "_cc")
-    d = d.withColumns({o: F.coalesce(F.col(f"_in_{o}"), F.col(f"_cr_{o}")) for o in values})
-    return d.drop("_chunk", *[f"_in_{o}" for o in values], *[f"_cr_{o}" for o in values])
+    ``order``): a scan in levels of bounded windows."""
+    return before(df, key, order, {o: ("last", c) for o, c in values.items()}, chunk_rows)
 
 
 def enrich_fold(tracks: DataFrame, providers: DataFrame, cache: DataFrame | None = None,

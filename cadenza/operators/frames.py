@@ -1,6 +1,6 @@
 """Per-track frame statistics (AGG-8..11): median tempo, best candidate
-tempo, chroma mode and mono down-mix.  All are hash aggregates with
-partial aggregation (``median`` keeps per-group value counts)."""
+tempo, chroma mode and mono down-mix: hash aggregates with partial
+aggregation; the median is a scan over counted values."""
 
 from __future__ import annotations
 
@@ -8,18 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
+from .scan import before
 
 
-def median_tempo(frames: DataFrame, key: str, tempo: str = "tempo") -> DataFrame:
+def median_tempo(frames: DataFrame, key: str, tempo: str = "tempo", chunk_rows: int | None = None) -> DataFrame:
     """Exact median of the frame tempi per track (even count: mean of the two
     middle values), NULL tempi ignored, and the number of non-NULL ones.  A
     NULL key is a key; a track without a tempo gets NULL and 0.
 
-    One aggregation for every size; equal tempi are counted before the shuffle
-    and ``median`` merges the counts, so a track's state is its number of
-    different tempi."""
+    Order statistics over all tasks: equal tempi of a track are counted, the counts
+    are sorted by range and summed up before each value, and the values that hold
+    the one or two middle ranks are the result.  No group is larger than ``chunk_rows``,
+    however many different tempi a track has."""
     v = F.col(tempo).cast("double")
-    return frames.groupBy(key).agg(F.median(v).alias("median_tempo"), F.count(v).alias("n_frames"))
+    counts = frames.groupBy(F.col(key).alias("_key"), v.alias("_v")).agg(F.count(v).alias("_n"))
+    ranked = before(counts, "_key", "_v", {"_before": ("sum", "_n")}, chunk_rows).where("_v is not null")
+    totals = frames.groupBy(F.col(key).alias("_k")).agg(F.count(v).alias("n_frames"))
+    low, high = F.floor((F.col("n_frames") - 1) / 2), F.floor(F.col("n_frames") / 2)
+    holds = lambda rank: (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
+    rows = totals.join(ranked, F.col("_k").eqNullSafe(F.col("_key")), "left")
+    # other values of the track are NULL here, so an aggregate keeps the middle ones alone
+    return rows.groupBy(F.col("_k").alias(key), "n_frames").agg(
+        ((F.max(F.when(holds(low), F.col("_v"))) + F.max(F.when(holds(high), F.col("_v")))) / 2).alias("median_tempo")).select(
+        key, "median_tempo", "n_frames")
 
 
 def top_candidate(cands: DataFrame, key: str, bpm: str = "bpm", weight: str = "weight",

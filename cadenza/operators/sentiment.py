@@ -3,8 +3,8 @@ cached scores (JOI-11).
 
 The lexicon is written once to the shared folder, so the planner knows its
 real size: tokens, exploded in the scan stage, are probed against a broadcast
-of it while it is under Spark's own threshold, and joined by shuffle beyond;
-one row per document leaves the aggregation.  Cached scores and fallback
+of it while it is under Spark's own threshold, and filtered, counted and joined
+by shuffle beyond; one row per document leaves the aggregation.  Cached scores and fallback
 scores are joined after that, so no text is ever shuffled.
 """
 
@@ -14,26 +14,74 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import num, text
-from .common import lookup_join, materialised
+from .common import fits_broadcast, lookup_join, materialised
 from .resolve import one_lookup_row
 
 
 def lexicon_scores(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
-                   carry: list[str] | None = None) -> DataFrame:
+                   carry: list[str] | None = None, shuffled: bool | None = None) -> DataFrame:
     """Per document: mean valence and mean arousal of its tokens found in the
     lexicon (token multiplicity kept), and the number of hits.  Documents
     without hits get NULL means.  ``lexicon`` has unique ``word`` with
-    ``valence``/``arousal``.  ``carry`` columns are passed through."""
+    ``valence``/``arousal``.  ``carry`` columns are passed through.
+
+    A lexicon under Spark's broadcast threshold (or ``shuffled`` False) meets the tokens
+    where they are read.  A larger one (or ``shuffled`` True) is joined by word: tokens that a
+    Bloom filter of the lexicon excludes are dropped while reading, the others are counted by document and
+    word first, and AQE splits what is left of a common word."""
     carry = carry or []
     lex = materialised(lexicon.select("word", F.col("valence").cast("double").alias("valence"),
                                       F.col("arousal").cast("double").alias("arousal")), "lexicon")
-    exploded = docs.select(id_col, *carry, F.explode_outer(text.tokens(text_col)).alias("word"))
-    firsts = [F.first(c).alias(c) for c in carry]
-    hits = exploded.join(lex, "word", "left")
-    return hits.groupBy(id_col).agg(
-        F.avg("valence").alias("lex_valence"),
-        F.avg("arousal").alias("lex_arousal"),
-        F.count("valence").alias("lex_hits"), *firsts)
+    if shuffled is None:
+        shuffled = not fits_broadcast(lex)
+    if not shuffled:
+        exploded = docs.select(id_col, *carry, F.explode_outer(text.tokens(text_col)).alias("word"))
+        firsts = [F.first(c).alias(c) for c in carry]
+        return exploded.join(lex, "word", "left").groupBy(id_col).agg(
+            F.avg("valence").alias("lex_valence"), F.avg("arousal").alias("lex_arousal"),
+            F.count("valence").alias("lex_hits"), *firsts)
+    may = word_filter(lex)
+    words = docs.select(F.col(id_col).alias("_id"), F.explode(text.tokens(text_col)).alias("word")).where(may("word"))
+    counted = words.groupBy("_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    hits = lookup_join(counted, lex, ["word"], "inner")
+    times = lambda c: (F.col(c) * F.col("n")).alias(f"_{c}")
+    some = lambda c: F.when(F.col(c).isNotNull(), F.col("n")).alias(f"_n_{c}")
+    found = hits.select(F.col("_id").alias(id_col), *(F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry), F.lit(False).alias("_doc"),
+                        times("valence"), times("arousal"), some("valence"), some("arousal"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("_valence", "double"), ("_arousal", "double"), ("_n_valence", "bigint"), ("_n_arousal", "bigint"))]
+    every = docs.select(id_col, *carry, F.lit(True).alias("_doc"), *none)
+    firsts = [F.max(F.when(F.col("_doc"), F.col(c))).alias(c) for c in carry]
+    return every.unionByName(found).groupBy(id_col).agg(
+        (F.sum("_valence") / F.sum("_n_valence")).alias("lex_valence"), (F.sum("_arousal") / F.sum("_n_arousal")).alias("lex_arousal"),
+        F.coalesce(F.sum("_n_valence"), F.lit(0).cast("bigint")).alias("lex_hits"), *firsts)
+
+
+FILTER_BITS = 1 << 20      # of the Bloom filter; its size doesn't grow with the lexicon
+FILTER_HASHES = 2
+
+
+def word_filter(words: DataFrame, bits: int = FILTER_BITS):
+    """A test ``column name -> Column`` that holds for every ``word`` of ``words`` and for few others: a Bloom
+    filter as a literal array of ``bits`` / 32 integers.  A lexicon of many more words than bits fills it, and
+    it then lets everything through."""
+    def places(c):
+        return [F.pmod(F.xxhash64(F.col(c), F.lit(k)), F.lit(bits)) for k in range(FILTER_HASHES)]
+
+    set_ = words.select(F.explode(F.array(*places("word"))).alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("slot")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("p").bitwiseAND(31).cast("int"))).alias("m"))
+    table = [0] * (bits // 32)
+    for r in set_.collect():           # bits / 32 rows at most
+        table[r["slot"]] = r["m"]
+    # one string, which the optimizer folds to an array
+    literal = F.split(F.lit(" ".join(map(str, table))), " ").cast("array<bigint>")
+
+    def test(c: str):
+        ok = F.lit(True)
+        for p in places(c):
+            word = F.get(literal, F.shiftright(p, 5).cast("int"))
+            ok = ok & (F.call_function("shiftright", word, p.bitwiseAND(31).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1)
+        return ok
+    return test
 
 
 def lyric_sentiment(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,

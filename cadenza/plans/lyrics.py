@@ -40,6 +40,16 @@ def q_lexicon_sentiment(spark, sf_dir):
                                     F.col("lex_arousal").alias("lyric_arousal"), "lex_hits"))
 
 
+def q_lexicon_own_words(spark, sf_dir):
+    """Scores by a lexicon of the documents' own words (those of some lengths), joined by shuffle."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    words = docs.select(F.explode(text.tokens("text")).alias("word")).distinct().where(F.length("word") % 3 != 0)
+    lex = words.select("word", (F.ascii("word") % 10).cast("double").alias("valence"), (F.length("word") % 7).cast("double").alias("arousal"))
+    out = lexicon_scores(docs, "doc_id", "text", lex, shuffled=True)
+    return round_doubles(out.select("doc_id", F.col("lex_valence").alias("lyric_valence"),
+                                    F.col("lex_arousal").alias("lyric_arousal"), "lex_hits"))
+
+
 def _rescaled(col, mapping: dict):
     expr = None
     for k, v in mapping.items():
@@ -253,6 +263,10 @@ ORACLE = {
         FROM documents LEFT JOIN s USING (doc_id)""",
     "lexicon_sentiment": f"""WITH {LEX_SQL}
         SELECT doc_id, round(v, 6) AS lyric_valence, round(a, 6) AS lyric_arousal, hits AS lex_hits FROM lexagg""",
+    "lexicon_own_words": f"""WITH toks AS (SELECT doc_id, unnest({TOK}) AS word FROM documents),
+        h AS (SELECT doc_id, CAST(ascii(word) % 10 AS DOUBLE) AS v, CAST(length(word) % 7 AS DOUBLE) AS a FROM toks WHERE length(word) % 3 <> 0)
+        SELECT d.doc_id, round(avg(h.v), 6) AS lyric_valence, round(avg(h.a), 6) AS lyric_arousal, count(h.v) AS lex_hits
+        FROM documents d LEFT JOIN h ON h.doc_id = d.doc_id GROUP BY d.doc_id""",
     "sentiment_fallback": f"""WITH {LEX_SQL}, cache AS (
           SELECT doc_id,
                  CASE WHEN lang = 'es' THEN 'n/a' ELSE CAST(CAST(n_chars % 100 AS DOUBLE) / {dbl(100.0)} AS VARCHAR) END AS cv_raw,
@@ -314,6 +328,7 @@ QUERIES = {
     "lyrics_lookup": q_lyrics_lookup,
     "polarity_scorers": q_polarity_scorers,
     "lexicon_sentiment": q_lexicon_sentiment,
+    "lexicon_own_words": q_lexicon_own_words,
     "sentiment_fallback": q_sentiment_fallback,
     "lyric_status": q_lyric_status,
     "lyric_status_counts": q_lyric_status_counts,
