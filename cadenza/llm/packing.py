@@ -13,7 +13,7 @@ ids of one run and one document.  A sequence is named by its task's partition an
 task that runs again makes the same sequences of the same rows, as a scan of files gives them
 (write rows that come out of a shuffle first).
 
-Texts are encoded between white space, which the tokenizer drops and no token crosses, so what a
+Texts are encoded between ASCII white space, which the tokenizer drops and no token crosses, so what a
 worker remembers of frequent strings gives the ids of the whole text.  NULL and empty texts have
 the end token alone; repeated rows are packed one by one; other columns are ignored.
 """
@@ -24,6 +24,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .base import text_of
@@ -38,18 +39,13 @@ LONGEST = 64           # ... of at most so many characters
 PART = 1 << 13         # characters of strings that are encoded at a time
 MARK = "<|startoftext|>"
 
-#: Separators that str.split() knows and the tokenizer doesn't.
-_ODD = re.compile("[\x1c-\x1f]")
-_PLAIN = re.compile("[\t-\r ]+")
-
-
 #: A word of Latin letters, which is one piece of the tokenizer, and what no piece shares with it.
 _LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 _WORD = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)\\Z")
 
 
 class Strings(dict):
-    """String without white space -> its ids as little-endian bytes."""
+    """String without ASCII white space -> its ids as little-endian bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -91,17 +87,12 @@ class Strings(dict):
         if held:
             self._learn(held, words, keep)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self) > KNOWN:
-            self.clear()
-        cut = [_PLAIN.split(t) if _ODD.search(t) else t.split() for t in texts]
-        found = [list(map(self.get, units)) for units in cut]
-        holes = [[k for k, x in enumerate(f) if x is None] if None in f else () for f in found]
-        new = {units[k] for units, at in zip(cut, holes) for k in at}
-        keep, match = {}, _WORD.match
+    def _learn_new(self, new: list[str]) -> dict:
+        keep, match = {"": b""}, _WORD.match
         split = {u: (m[1].lower(), m[2]) for u in new if (m := match(u))}
-        others = new.difference(split)
+        others = set(new).difference(split)
         others.update(tail for _, tail in split.values() if tail)
+        others.discard("")
         for u in [u for u in others if MARK in u]:
             keep[u] = self._ids(u).tobytes()
         self._learn_all(sorted(u for u in others if u not in self and u not in keep), False, keep)
@@ -110,11 +101,32 @@ class Strings(dict):
         for u, (word, tail) in split.items():
             if u not in keep:
                 keep[u] = known(word) + known(tail) if tail else known(word)
-        for f, units, at in zip(found, cut, holes):
-            for k in at:
-                f[k] = keep[units[k]]
-        self.update((u, x) for u, x in keep.items() if len(u) <= LONGEST)
-        return list(map(b"".join, found))
+        return keep
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text: the different strings of all of them are looked up once, and their ids gathered."""
+        if len(self) > KNOWN:
+            self.clear()
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        units = coded.dictionary.to_pylist()
+        found = list(map(self.get, units))
+        holes = [k for k, x in enumerate(found) if x is None]
+        if holes:
+            keep = self._learn_new([units[k] for k in holes])
+            for k in holes:
+                found[k] = keep[units[k]]
+            self.update((u, x) for u, x in keep.items() if len(u) <= LONGEST)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        places = np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        n = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        at = np.repeat(places[which] - ends[:-1], n)
+        at += np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), "<u4")[at]
+        stops = ends[cut.offsets.to_numpy()].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(stops, stops[1:])]
 
 
 def deal(lengths: list[int], capacity: int = CAPACITY, linear: int = LINEAR) -> list[tuple[int, int, int, int, int]]:
@@ -201,7 +213,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         name, held = TaskContext.get().partitionId() << 40, 0
         ids, texts = [], []
         for b in batches:
-            for i, encoded in zip(b.column(0).to_pylist(), known.encode(b.column(1).to_pylist())):
+            for i, encoded in zip(b.column(0).to_pylist(), known.encode(b.column(1))):
                 ids.append(i)
                 texts.append(encoded + end)
                 held += len(texts[-1]) // 4
