@@ -3,8 +3,8 @@
 Paragraphs are lines without indentation and comment marks, and hard-wrapped lines joined
 (``paragraphs_of``).  All of them
 are scored by a multinomial logistic regression on the word 1-, 2- and 3-grams that the fixed notices
-and sentences have, over the license families and "none".  A gram is found by its 64-bit hash in a
-table of ``SLOTS`` places at most, so other grams never stand for it.  It is fitted with Spark's
+and sentences have, over the license families and "none".  A gram is found by its 64-bit hash, so other
+grams never stand for it.  The model is fitted with Spark's
 own LogisticRegression (elastic net) on ``TEMPLATES``: full, shortened and with words left out, among
 words of a bounded sample of the corpus; the lines of that sample and sentences that only
 sound like licenses are "none".
@@ -19,21 +19,23 @@ is confirmed is unknown.
 A paragraph is left out early only if its greatest possible lead of a family over "none", the sum of
 each gram's greatest lead, isn't positive: then "none" is the likeliest (``_may_be_license``).
 
-Scoring is native: weights are literal arrays read by place inside one expression, so
-nothing is joined or shuffled.  NULL and empty texts have no paragraphs; repeated rows give
-repeated results; other columns are ignored.
+Scoring is native.  What may be a license is found row by row with one literal table of grams;
+those few paragraphs are stored, and their grams joined to a broadcast table of weights and templates,
+which has a row for each gram of the fixed notices (about 500).  NULL and empty texts have no
+paragraphs; repeated rows give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .base import few_texts, text_of
+from ..operators.common import lookup_join
+from .base import few_texts, stored, text_of
 
-SLOTS = 1 << 15
+SLOTS = 1 << 17        # places of the table of grams at most; as many as give each gram its own
 SAMPLE = 300           # rows of the corpus whose lines are negatives
 SAMPLE_CHARS = 1 << 15
 NEGATIVES = 600        # of those lines at most
@@ -127,17 +129,6 @@ def words_of(line: Column) -> Column:
     return F.array_remove(F.split(low, r"[^\p{L}\p{N}.+]+|[.]+(?= |$)", -1), "")
 
 
-def grams_of(words: Column, n: int) -> Column:
-    """The n-grams of a word array, joined by spaces."""
-    if n == 1:
-        return words
-    m = F.greatest(F.size(words) - (n - 1), F.lit(0))
-    out = F.slice(words, F.lit(1), m)
-    for k in range(1, n):
-        out = F.zip_with(out, F.slice(words, F.lit(1 + k), m), lambda x, y: F.concat_ws(" ", x, y))
-    return out
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -145,16 +136,23 @@ def _let(value: Column, body) -> Column:
 
 def hashes_of(words: Column) -> Column:
     """Hashes of the different 1-, 2- and 3-grams, made from the hashes of their words."""
-    def longer(h: Column, ones: Column, n: int) -> Column:
-        m = F.greatest(F.size(ones) - (n - 1), F.lit(0))
-        return F.zip_with(F.slice(h, F.lit(1), m), F.slice(ones, F.lit(n), m), lambda x, y: F.xxhash64(x, y))
     return _let(F.transform(words, lambda w: F.xxhash64(w)), lambda a: _let(
-        longer(a, a, 2), lambda b: F.concat(a, b, longer(b, a, 3))))
+        _longer(a, a, 2), lambda b: F.concat(a, b, _longer(b, a, 3))))
+
+
+def _longer(h: Column, ones: Column, n: int) -> Column:
+    """Hashes of n-grams from those of their beginnings and of single words."""
+    m = F.greatest(F.size(ones) - (n - 1), F.lit(0))
+    return F.zip_with(F.slice(h, F.lit(1), m), F.slice(ones, F.lit(n), m), lambda x, y: F.xxhash64(x, y))
+
+
+def _hash_grams(ones: Column, n: int) -> Column:
+    return ones if n == 1 else _longer(_hash_grams(ones, n - 1), ones, n)
 
 
 def features_of(words: Column, grams: tuple[int, ...]) -> Column:
     """The indices in ``grams`` of the hashes that the words' n-grams have, each once."""
-    slots = next((m for m in range(4 * len(grams) + 1, SLOTS, 2) if len({g % m for g in grams}) == len(grams)), SLOTS)
+    slots = next(m for m in range(4 * len(grams) + 1, SLOTS, 2) if len({g % m for g in grams}) == len(grams))
     places = [0] * slots
     for i, g in enumerate(grams):
         places[g % slots] = i + 1
@@ -168,12 +166,13 @@ def features_of(words: Column, grams: tuple[int, ...]) -> Column:
 @dataclass(frozen=True)
 class Model:
     """Families ("none" is one), the hashes of known grams, a weight for each family and gram, intercepts,
-    and the least probability of an accepted family."""
+    the least probability of an accepted family, and of each template its family's place and its grams."""
     families: tuple[str, ...]
     grams: tuple[int, ...]
     weights: tuple[tuple[float, ...], ...]
     intercepts: tuple[float, ...]
     accept: float
+    templates: tuple[tuple[int, tuple[int, ...]], ...]
 
 
 def _lines(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
@@ -193,6 +192,9 @@ def training_lines(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     fixed = _lines(spark, [(f, x) for f, xs in TEMPLATES.items() for x in xs]).select("family", words_of(F.col("line")).alias("words"))
     varied = fixed.select("family", "words", F.explode(F.sequence(F.lit(0), F.lit(VARIANTS - 1))).alias("k"))
     stays = lambda w, i: F.pmod(F.xxhash64(w, i, "k"), F.lit(8)) >= F.when((F.col("k") < 4) | (F.size("words") < 4), 0).otherwise(1)
+    # some variants end early, as the first line of a wrapped notice does
+    n = F.size("words")
+    varied = varied.withColumn("words", F.when((F.col("k") % 6 == 5) & (n >= 8), F.slice("words", F.lit(1), n - F.floor(n / 4).cast("int"))).otherwise(F.col("words")))
     varied = varied.select("family", F.filter("words", stays).alias("words"), "k")
     # some variants stand behind other words of the corpus, as in running text
     tails = (corpus.where(F.size("words") >= 4).select(F.slice("words", 1, 8).alias("tail"))
@@ -224,7 +226,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")) - 1
     lines = training_lines(docs, sample).coalesce(2).cache()
     known = lines.where(F.col("fixed")).select(F.explode(hashes_of(F.col("words"))).alias("g")).distinct()
-    grams = tuple(sorted({r["g"] % SLOTS: r["g"] for r in known.orderBy("g").collect()}.values()))     # of fixed notices only
+    grams = tuple(sorted(r["g"] for r in known.collect()))                    # of fixed notices only
     sparse = CountVectorizerModel.from_vocabulary([str(k) for k in range(len(grams))], "grams", "features", binary=True)
     rows = sparse.transform(lines.select(
         label.cast("double").alias("label"), features_of(F.col("words"), grams).cast("array<string>").alias("grams")))
@@ -237,12 +239,19 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     # grams without a weight add nothing
     used = [i for i in range(len(grams)) if any(row[i] for row in weights)] or [0]
     grams, weights = tuple(grams[i] for i in used), tuple(tuple(row[i] for i in used) for row in weights)
-    model = Model(families, grams, weights, tuple(float(x) for x in fitted.interceptVector), 0.0)
-    strange = _lines(docs.sparkSession, [("?", x) for x in STRANGERS]).select(words_of(F.col("line")).alias("words"))
-    p = strange.select(probabilities(features_of(F.col("words"), grams), model).alias("p")).select(
-        F.array_max(F.slice("p", 2, len(families))).alias("p"))
-    accept = p.agg(F.percentile("p", F.lit(1 - UNKNOWN_SHARE)).alias("q")).first()["q"]
-    return Model(families, grams, weights, model.intercepts, min(0.95, max(0.5, float(accept))))
+    model = Model(families, grams, weights, tuple(float(x) for x in fitted.interceptVector), 0.0, _templates(docs.sparkSession, families))
+    strange = _lines(docs.sparkSession, [("?", x) for x in STRANGERS]).select("line", words_of(F.col("line")).alias("_words"))
+    accept = judged(strange, ["line"], model).agg(F.percentile("family_probability", F.lit(1 - UNKNOWN_SHARE)).alias("q")).first()["q"]
+    return replace(model, accept=min(0.95, max(0.5, float(accept or 0.0))))
+
+
+def _templates(spark: SparkSession, families: tuple[str, ...]) -> tuple:
+    """The hashes of each template's 3-grams, or of shorter grams for a template of few words."""
+    rows = _lines(spark, [(f, x) for f, xs in TEMPLATES.items() for x in xs])
+    h = F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))
+    rows = rows.select("family", "line", *(F.array_distinct(_hash_grams(h, n)).alias(f"g{n}") for n in (1, 2, 3)))
+    size = lambda x: 3 if len(x.split()) >= 6 else 2 if len(x.split()) >= 3 else 1
+    return tuple((families.index(r["family"]), tuple(r[f"g{size(r['line'])}"])) for r in rows.orderBy("family", "line").collect())
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -252,12 +261,46 @@ def _literal(numbers, kind: str = "double") -> Column:
     return F.split(F.lit(" ".join(f"{x:.6g}" if kind == "double" else str(x) for x in numbers)), " ").cast(f"array<{kind}>")
 
 
-def probabilities(features: Column, model: Model) -> Column:
-    """The families' probabilities, as an array."""
-    adding = lambda w: lambda s, k: s + F.get(w, k)
-    logits = [F.aggregate(features, F.lit(b), adding(_literal(w))) for w, b in zip(model.weights, model.intercepts)]
-    e = _let(F.array(*logits), lambda z: _let(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(F.greatest(x - m, F.lit(-500.0))))))
-    return _let(e, lambda e: _let(F.aggregate(e, F.lit(0.0), lambda s, y: s + y), lambda n: F.transform(e, lambda x: x / n)))
+def gram_table(spark: SparkSession, model: Model) -> DataFrame:
+    """(gram, weights, templates) of each gram of the model or of a template: the weights of all families and the
+    numbers of the templates that have it."""
+    at, weights = {g: k for k, g in enumerate(model.grams)}, list(zip(*model.weights))
+    held: dict[int, list[int]] = {g: [] for g in model.grams}
+    for t, (_, grams) in enumerate(model.templates):
+        for g in grams:
+            held.setdefault(g, []).append(t)
+    zero = [0.0] * len(model.families)
+    lines = [f"{g};{' '.join(f'{w:.6g}' for w in (weights[at[g]] if g in at else zero))};{' '.join(map(str, ts))}" for g, ts in sorted(held.items())]
+    part = lambda k: F.get(F.split("line", ";"), F.lit(k))
+    return spark.range(1).select(F.explode(F.split(F.lit("\n".join(lines)), "\n")).alias("line")).select(
+        part(0).cast("bigint").alias("gram"), F.split(part(1), " ").cast("array<double>").alias("weights"),
+        F.transform(F.filter(F.split(part(2), " "), lambda x: x != ""), lambda x: x.cast("int")).alias("templates"))
+
+
+def judged(readings: DataFrame, key: list[str], model: Model) -> DataFrame:
+    """(key, family, probability, family_probability, share, license, confirmed) of readings (key, _words), which have
+    different keys; ``family_probability`` is that of the likeliest one but "none".
+    ``share`` is the greatest share of a template of the family that the reading holds."""
+    grams = readings.select(*key, F.explode(F.array_distinct(hashes_of(F.col("_words")))).alias("gram"))
+    table = gram_table(readings.sparkSession, model)
+    n = len(model.families)
+    sums = (grams.join(F.broadcast(table), "gram").groupBy(*key)
+            .agg(*(F.sum(F.get("weights", F.lit(k))).alias(f"_{k}") for k in range(n)), F.flatten(F.collect_list("templates")).alias("_held")))
+    logits = F.array(*(F.lit(b) + F.col(f"_{k}") for k, b in enumerate(model.intercepts)))
+    e = _let(logits, lambda z: _let(F.array_max(z), lambda m: F.transform(z, lambda x: F.exp(F.greatest(x - m, F.lit(-500.0))))))
+    probs = sums.select(*key, "_held", e.alias("_e")).select(
+        *key, "_held", F.transform("_e", lambda x: x / F.aggregate("_e", F.lit(0.0), lambda a, y: a + y)).alias("_p"))
+    best = probs.select(*key, "_held", F.array_max("_p").alias("probability"),
+                         F.array_max(F.slice("_p", 2, n - 1)).alias("family_probability"), F.array_position("_p", F.array_max("_p")).cast("int").alias("_at"))
+    templates = _literal([t for t, _ in model.templates], "int"), _literal([len(g) for _, g in model.templates], "int")
+    numbers = F.sequence(F.lit(0), F.lit(len(model.templates) - 1))
+    shares = F.transform(F.filter(numbers, lambda t: F.get(templates[0], t) == F.col("_at") - 1),
+                         lambda t: F.size(F.filter("_held", lambda x: x == t)) / F.get(templates[1], t))
+    out = best.select(*key, F.element_at(F.array(*map(F.lit, model.families)), F.col("_at")).alias("family"), "probability", "family_probability",
+                      F.when(F.col("_at") > 1, F.coalesce(F.array_max(shares), F.lit(0.0))).otherwise(F.lit(0.0)).alias("share"),
+                      (F.col("_at") > 1).alias("license"))
+    ok = F.col("license") & (F.col("probability") >= model.accept) & (F.col("share") >= OVERLAP)
+    return out.withColumn("confirmed", ok)
 
 
 def _may_be_license(features: Column, model: Model) -> Column:
@@ -270,66 +313,45 @@ def _may_be_license(features: Column, model: Model) -> Column:
     return F.aggregate(features, F.lit(start), lambda s, k: s + F.get(_literal(lead), k)) > 0
 
 
-def _template_share(words: Column, family: Column) -> Column:
-    """The greatest share of a template of the family that the line holds."""
-    from_words = {n: F.array_distinct(grams_of(words, n)) for n in (1, 2, 3)}
-    cases = None
-    for f, xs in TEMPLATES.items():
-        shares = []
-        for x in xs:
-            t = words_of(F.lit(x))
-            n = 3 if len(x.split()) >= 6 else 2 if len(x.split()) >= 3 else 1
-            g = F.array_distinct(grams_of(t, n))
-            shares.append(F.size(F.array_intersect(from_words[n], g)) / F.size(g))
-        best = F.greatest(*shares) if len(shares) > 1 else shares[0]
-        cases = F.when(family == f, best) if cases is None else cases.when(family == f, best)
-    return cases.otherwise(F.lit(0.0))
-
-
-def _judged(reading: Column, probs: Column, model: Model) -> Column:
-    """(family, probability, share, license, ok) of the words of a reading."""
-    at = F.array_position(probs, F.array_max(probs)).cast("int")
-    family = F.element_at(F.array(*map(F.lit, model.families)), at)
-    return F.struct(family.alias("family"), F.element_at(probs, at).alias("probability"),
-                    F.when(at > 1, _template_share(reading, family)).otherwise(F.lit(0.0)).alias("share"),
-                    (at > 1).alias("license"))
-
-
-def _verdicts(rows: DataFrame, model: Model) -> DataFrame:
-    """Replaces ``_units``, the paragraphs of a row, by ``_j``: for each, the judgements that count.  That is
-    the whole one if it is confirmed, or else those of confirmed lines, or else the first that is a license."""
-    keep = [c for c in rows.columns if c != "_units"]
+def _units(docs: DataFrame, model: Model) -> tuple[DataFrame, DataFrame]:
+    """(_row, doc_id) of each row, and (_row, _unit, unit) of its paragraphs that may be licenses."""
+    paragraphs = paragraphs_of(text_of("text"))
     may = lambda u: F.exists(readings_of(u), lambda x: _may_be_license(features_of(words_of(x), model.grams), model))
-    words = rows.select(*keep, F.filter("_units", may).alias("_units")).select(
-        *keep, F.transform("_units", lambda u: F.transform(readings_of(u), words_of)).alias("_w"))
-    probs = words.select("*", F.transform("_w", lambda u: F.transform(u, lambda w: probabilities(features_of(w, model.grams), model))).alias("_p"))
-    judged = probs.select(*keep, F.zip_with("_w", "_p", lambda u, v: F.zip_with(u, v, lambda w, p: _judged(w, p, model))).alias("_j"))
-    ok = lambda j: j["license"] & (j["probability"] >= model.accept) & (j["share"] >= OVERLAP)
-    marked = judged.withColumn("_j", F.transform("_j", lambda u: F.transform(u, lambda j: j.withField("confirmed", ok(j)))))
-    return marked.withColumn("_j", F.transform("_j", lambda u: F.when(F.get(u, F.lit(0))["confirmed"], F.slice(u, 1, 1))
-                             .when(F.exists(u, lambda j: j["confirmed"]), F.filter(u, lambda j: j["confirmed"]))
-                             .otherwise(F.slice(F.filter(u, lambda j: j["license"]), 1, 1))))
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.filter(paragraphs, may).alias("_units")), "license-units")
+    units = rows.where(F.size("_units") > 0).select("_row", F.posexplode("_units").alias("_unit", "unit"))
+    return rows.select("_row", "doc_id"), units
+
+
+def _verdicts(units: DataFrame, model: Model) -> DataFrame:
+    """(_row, _unit, _j): the judgements that count of each paragraph that is a license.  That is the whole one if it
+    is confirmed, or else those of confirmed lines, or else the first that is a license."""
+    readings = units.select("_row", "_unit", F.posexplode(readings_of(F.col("unit"))).alias("_n", "_r")).select(
+        "_row", "_unit", "_n", words_of(F.col("_r")).alias("_words"))
+    found = judged(readings, ["_row", "_unit", "_n"], model).where("license")
+    fields = ("_n", "family", "probability", "share", "confirmed")
+    of = found.groupBy("_row", "_unit").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_j"))
+    first = F.get("_j", F.lit(0))
+    good = F.filter("_j", lambda j: j["confirmed"])
+    return of.withColumn("_j", F.when((first["_n"] == 0) & first["confirmed"], F.slice("_j", 1, 1))
+                         .when(F.size(good) > 0, good).otherwise(F.slice("_j", 1, 1)))
 
 
 def license_paragraphs(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, line, family, probability, share, confirmed) of each judgement that counts; ``line`` is the
     paragraph, its lines separated by spaces."""
-    units = (docs.select("doc_id", F.explode(paragraphs_of(text_of("text"))).alias("line"))
-             .select("doc_id", F.translate("line", JOINT, " ").alias("line"), F.array("line").alias("_units")))
-    return (_verdicts(units, model).select("doc_id", "line", F.explode(F.flatten("_j")).alias("_j"))
-            .select("doc_id", "line", *(F.col("_j")[c].alias(c) for c in ("family", "probability", "share", "confirmed"))))
+    rows, units = _units(docs, model)
+    found = _verdicts(units, model).select("_row", "_unit", F.explode("_j").alias("_j"))
+    return (units.join(found, ["_row", "_unit"]).join(rows, "_row")
+            .select("doc_id", F.translate("unit", JOINT, " ").alias("line"), *(F.col("_j")[c].alias(c) for c in ("family", "probability", "share", "confirmed"))))
 
 
 def license_report(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, families, n_confirmed, n_unknown) of each row of ``docs``: the confirmed families,
-    sorted, and the numbers of confirmed and of unknown license paragraphs.
-
-    The paragraphs of a text stay in its row: each is judged by the same expressions inside a
-    ``transform``."""
-    judged = _verdicts(docs.select("doc_id", paragraphs_of(text_of("text")).alias("_units")), model)
-    flat = judged.select("doc_id", F.flatten("_j").alias("_j"))
-    good = F.filter("_j", lambda j: j["confirmed"])
-    return flat.select(
-        "doc_id", F.array_sort(F.array_distinct(F.transform(good, lambda j: j["family"]))).alias("families"),
-        F.size(good).cast("bigint").alias("n_confirmed"),
-        F.size(F.filter("_j", lambda j: ~j["confirmed"])).cast("bigint").alias("n_unknown"))
+    sorted, and the numbers of confirmed and of unknown license paragraphs."""
+    rows, units = _units(docs, model)
+    found = _verdicts(units, model).select("_row", F.explode("_j").alias("_j")).groupBy("_row").agg(
+        F.array_sort(F.collect_set(F.when(F.col("_j.confirmed"), F.col("_j.family")))).alias("families"),
+        F.count_if("_j.confirmed").alias("n_confirmed"), F.count_if(~F.col("_j.confirmed")).alias("n_unknown"))
+    whole = lambda c: F.coalesce(c, F.lit(0).cast("bigint")).alias(c)
+    return lookup_join(rows, found, ["_row"]).select(
+        "doc_id", F.coalesce("families", F.array().cast("array<string>")).alias("families"), whole("n_confirmed"), whole("n_unknown"))

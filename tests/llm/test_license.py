@@ -111,7 +111,42 @@ def test_the_early_verdict_loses_nothing(spark, docs, model):
     from pyspark.sql import functions as F
     lines = [*FORMS, *ls.STRANGERS, *ls.SOUNDALIKES, *(x for xs in ls.TEMPLATES.values() for x in xs)]
     table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.explode(ls.paragraphs_of("text")).alias("text"))
-    b = docs(list(enumerate(lines))).select("text").unionByName(table).select(ls.features_of(ls.words_of(F.col("text")), model.grams).alias("b"))
-    p = ls.probabilities(F.col("b"), model)
-    got = b.select(ls._may_be_license(F.col("b"), model).alias("may"), (F.array_position(p, F.array_max(p)) > 1).alias("is")).collect()
-    assert not [r for r in got if r["is"] and not r.may] and sum(not r.may for r in got) > len(got) // 4
+    b = (docs(list(enumerate(lines))).select("text").unionByName(table).distinct()
+         .select("text", ls.words_of(F.col("text")).alias("_words")))
+    may = {r.text: r.may for r in b.select("text", ls._may_be_license(ls.features_of(F.col("_words"), model.grams), model).alias("may")).collect()}
+    found = {r.text: r for r in ls.judged(b, ["text"], model).collect()}
+    assert not [t for t, r in found.items() if r.license and not may[t]]
+    assert sum(not x for x in may.values()) > len(may) // 4
+
+
+def test_every_gram_of_the_templates_has_its_place(model):
+    assert len(set(model.grams)) == len(model.grams)
+    assert len(model.templates) == sum(map(len, ls.TEMPLATES.values()))
+
+
+def test_against_a_plain_version(spark, model):
+    """Judgements of all lines of a table and of the templates, by the model's weights in plain Python."""
+    import math
+
+    from pyspark.sql import functions as F
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select(F.explode(F.split("text", "\n")).alias("text"))
+    fixed = spark.createDataFrame([(x,) for x in [*FORMS, *ls.STRANGERS, *(x for xs in ls.TEMPLATES.values() for x in xs), "", "MIT " * 3000]], "text string")
+    lines = table.where("rand(1) < 0.2").unionByName(fixed).distinct().cache()
+    hashed = lines.select("text", ls.words_of(F.col("text")).alias("_words")).select("text", "_words", F.array_distinct(ls.hashes_of(F.col("_words"))).alias("g"))
+    rows = hashed.collect()
+    got = {r.text: r for r in ls.judged(hashed.select("text", "_words"), ["text"], model).collect()}
+    at = {g: k for k, g in enumerate(model.grams)}
+    known = at.keys() | {g for _, gs in model.templates for g in gs}
+    for r in rows:
+        held = set(r.g)
+        if not held & known:
+            assert r.text not in got
+            continue
+        z = [b + sum(float(f"{w[at[g]]:.6g}") for g in held if g in at) for w, b in zip(model.weights, model.intercepts)]
+        p = [math.exp(x - max(z)) for x in z]
+        p = [x / sum(p) for x in p]
+        k = p.index(max(p))
+        share = max((len(held.intersection(gs)) / len(gs) for f, gs in model.templates if f == k), default=0.0) if k else 0.0
+        x = got[r.text]
+        assert x.family == model.families[k] and abs(x.probability - p[k]) < 1e-9 and abs(x.share - share) < 1e-12
+        assert x.license == (k > 0) and x.confirmed == (k > 0 and p[k] >= model.accept and share >= ls.OVERLAP)
