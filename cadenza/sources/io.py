@@ -8,6 +8,9 @@ version, so the path being read is never overwritten.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
@@ -167,16 +170,39 @@ def snapshot_versions(spark: SparkSession, base: str) -> list[int]:
 
 def write_snapshot(df: DataFrame, base: str, version: int | None = None) -> str:
     """Write a new snapshot version (floats sanitised); an explicit version
-    (e.g. a stream batch id) makes a replay overwrite its own output."""
-    spark = df.sparkSession
-    if version is None:
-        vs = snapshot_versions(spark, base)
-        version = (vs[-1] + 1) if vs else 1
-    path = f"{base.rstrip('/')}/v={version}"
-    sanitize_floats(df).write.mode("overwrite").parquet(path)
+    (e.g. a stream batch id) makes a replay overwrite its own output.
+
+    A new version is written beside the others, then its number is claimed by a file that only one
+    writer can create, and the folder renamed: writers at one time get numbers of their own, and a
+    reader sees whole snapshots only."""
+    spark, root = df.sparkSession, base.rstrip("/")
+    if version is not None:
+        path = f"{root}/v={version}"
+        sanitize_floats(df).write.mode("overwrite").parquet(path)
+        return path
+    staged = f"{root}/_staged-{uuid.uuid4().hex}"
+    sanitize_floats(df).write.parquet(staged)
+    fs, p, jvm = _fs(spark, root)
+    number = max(snapshot_versions(spark, base), default=0) + 1
+    while not _claim(fs, jvm.org.apache.hadoop.fs.Path(p, f"_claim-{number}")):
+        number += 1
+    path = f"{root}/v={number}"
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"can't rename {staged} to {path}")
     return path
 
 
+def _claim(fs, path) -> bool:
+    """Whether this call created the file."""
+    try:
+        fs.create(path, False).close()
+        return True
+    except Py4JJavaError as e:
+        if fs.exists(path):
+            return False
+        raise e
+
+
 def read_snapshot(spark: SparkSession, base: str, schema: str | None = None,
                   max_version: int | None = None) -> DataFrame | None:
     """Latest committed snapshot (at most ``max_version`` when given), or an
