@@ -34,8 +34,9 @@ END = 1                # id behind each document
 LINEAR = 4096          # cost of a token next to that of a pair of tokens
 RUN = 1 << 22          # tokens of a run
 DOCS = 1 << 16         # and its documents at most
-KNOWN = 1_000_000      # strings that a worker remembers ...
+KNOWN = 600_000        # strings that a worker remembers, and as many from before ...
 LONGEST = 64           # ... of at most so many characters
+BATCH = 8 << 20        # bytes of texts that are encoded at a time
 PART = 1 << 13         # characters of strings that are encoded at a time
 MARK = "<|startoftext|>"
 
@@ -54,6 +55,7 @@ class Strings(dict):
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.older: dict = {}
         self.last = np.zeros(max(vocab.values()) + 1, bool)          # ids that end a piece
         for t, i in vocab.items():
             self.last[i] = t.endswith("</w>") or t == MARK
@@ -106,12 +108,21 @@ class Strings(dict):
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text: the different strings of all of them are looked up once, and their ids gathered."""
         if len(self) > KNOWN:
+            self.older = dict(self)
             self.clear()
         cut = pc.ascii_split_whitespace(texts)
         coded = cut.flatten().dictionary_encode()
         units = coded.dictionary.to_pylist()
         found = list(map(self.get, units))
-        holes = [k for k, x in enumerate(found) if x is None]
+        holes = []
+        for k, x in enumerate(found):
+            if x is None:
+                u = units[k]
+                x = self.older.get(u)
+                if x is None:
+                    holes.append(k)
+                else:
+                    found[k] = self[u] = x
         if holes:
             keep = self._learn_new([units[k] for k in holes])
             for k in holes:
@@ -174,6 +185,19 @@ def deal(lengths: list[int], capacity: int = CAPACITY, linear: int = LINEAR) ->
 _STRINGS: dict[str, Strings] = {}
 
 
+def _larger(batches, size: int = BATCH):
+    """Batches joined to tables of about ``size`` bytes, so that fewer strings are looked up."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.nbytes
+        if n >= size:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, run: int = RUN) -> DataFrame:
     """(doc_id, doc_tokens, start, sequence_id, offset, ids) of each piece; ``ids`` are little-endian
     unsigned 32-bit integers in a binary.
@@ -212,8 +236,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY
         end = np.array([END], "<u4").tobytes()
         name, held = TaskContext.get().partitionId() << 40, 0
         ids, texts = [], []
-        for b in batches:
-            for i, encoded in zip(b.column(0).to_pylist(), known.encode(b.column(1))):
+        for b in _larger(batches):
+            for i, encoded in zip(b.column(0).to_pylist(), known.encode(b.column(1).combine_chunks())):
                 ids.append(i)
                 texts.append(encoded + end)
                 held += len(texts[-1]) // 4

@@ -63,6 +63,15 @@ def test_ids_equal_the_library(library, texts):
             assert np.frombuffer(x, "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t[:80])
 
 
+def test_forgetting_changes_no_ids(library, texts, monkeypatch):
+    from cadenza.llm import packing
+    monkeypatch.setattr(packing, "KNOWN", 40)
+    known, some = Strings(PATH), list(texts.values())[:30] * 2
+    for t in some:
+        assert np.frombuffer(known.encode(pa.array([t]))[0], "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert known.older
+
+
 @pytest.mark.parametrize("capacity", [1, 8, 64, 2048])
 def test_deal_holds_each_token_once(capacity):
     rnd = random.Random(capacity)
