@@ -45,17 +45,18 @@ _LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
 _WORD = re.compile(f"([{_LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)\\Z")
 
 
-class Strings(dict):
+class Strings:
     """String without ASCII white space -> its ids as little-endian bytes."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.older: dict = {}
+        # plain dicts of strings and bytes, which the garbage collector passes over
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.last = np.zeros(max(vocab.values()) + 1, bool)          # ids that end a piece
         for t, i in vocab.items():
             self.last[i] = t.endswith("</w>") or t == MARK
@@ -97,9 +98,9 @@ class Strings(dict):
         others.discard("")
         for u in [u for u in others if MARK in u]:
             keep[u] = self._ids(u).tobytes()
-        self._learn_all(sorted(u for u in others if u not in self and u not in keep), False, keep)
-        self._learn_all(sorted({w for w, _ in split.values() if w not in self}), True, keep)
-        known = lambda u: keep[u] if u in keep else self[u]
+        self._learn_all(sorted(u for u in others if u not in self.known and u not in keep), False, keep)
+        self._learn_all(sorted({w for w, _ in split.values() if w not in self.known}), True, keep)
+        known = lambda u: keep[u] if u in keep else self.known[u]
         for u, (word, tail) in split.items():
             if u not in keep:
                 keep[u] = known(word) + known(tail) if tail else known(word)
@@ -107,13 +108,12 @@ class Strings(dict):
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text: the different strings of all of them are looked up once, and their ids gathered."""
-        if len(self) > KNOWN:
-            self.older = dict(self)
-            self.clear()
+        if len(self.known) > KNOWN:
+            self.older, self.known = self.known, {}
         cut = pc.ascii_split_whitespace(texts)
         coded = cut.flatten().dictionary_encode()
         units = coded.dictionary.to_pylist()
-        found = list(map(self.get, units))
+        found = list(map(self.known.get, units))
         holes = []
         for k, x in enumerate(found):
             if x is None:
@@ -122,12 +122,12 @@ class Strings(dict):
                 if x is None:
                     holes.append(k)
                 else:
-                    found[k] = self[u] = x
+                    found[k] = self.known[u] = x
         if holes:
             keep = self._learn_new([units[k] for k in holes])
             for k in holes:
                 found[k] = keep[units[k]]
-            self.update((u, x) for u, x in keep.items() if len(u) <= LONGEST)
+            self.known.update((u, x) for u, x in keep.items() if len(u) <= LONGEST)
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         places = np.cumsum(sizes) - sizes
         which = coded.indices.to_numpy()
