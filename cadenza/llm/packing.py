@@ -36,7 +36,7 @@ RUN = 1 << 22          # tokens of a run
 DOCS = 1 << 16         # and its documents at most
 KNOWN = 600_000        # strings that a worker remembers, and as many from before ...
 LONGEST = 64           # ... of at most so many characters
-BATCH = 8 << 20        # bytes of texts that are encoded at a time
+BATCH = 16 << 20       # bytes of texts that are encoded at a time
 PART = 1 << 13         # characters of strings that are encoded at a time
 MARK = "<|startoftext|>"
 
