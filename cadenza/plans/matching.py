@@ -9,6 +9,7 @@ from ..functions import num, text
 from ..operators.merge import merge_back
 from ..operators.resolve import (failed_ids, features_with_fallback, known_ids, resolve_tracks,
                                  upsert_cache)
+from ..operators.search import search_tracks
 from .base import load, round_doubles
 from .scoring import MODE_BY_TYPE, _case
 
@@ -66,6 +67,26 @@ def q_not_found(spark, sf_dir):
     return _resolved(spark, sf_dir)[1].select("p_partkey", "line")
 
 
+def _searched(spark, sf_dir):
+    """Searches with the last word of a name or all of it, by brand or by brand and type."""
+    part = load(spark, sf_dir, "part")
+    songs = part.where(~F.col("p_type").isin(*CATALOG_TYPES)).select(
+        "p_partkey",
+        F.when(F.col("p_size") % 3 == 0, F.upper(F.element_at(F.split("p_name", " "), -1)))
+         .otherwise(F.col("p_name")).alias("title"),
+        F.when(F.col("p_size") % 4 == 0, F.concat(F.lit("promo, "), F.col("p_brand")))
+         .when(F.col("p_size") != NULL_ARTIST_SIZE, F.col("p_brand")).alias("artist"))
+    return search_tracks(songs, _catalog(part), [F.col("p_retailprice"), F.col("p_partkey")])
+
+
+def q_search_hits(spark, sf_dir):
+    return _searched(spark, sf_dir)[0]
+
+
+def q_search_not_found(spark, sf_dir):
+    return _searched(spark, sf_dir)[1].select("p_partkey", "search")
+
+
 def _providers(spark, sf_dir):
     """Every order and line item: several feature rows for a customer key and several
     analysis rows for an even part key; the odd keys without a customer have neither."""
@@ -152,7 +173,30 @@ _PROVIDERS_SQL = """features AS (
         FROM lineitem) WHERE rn = 1
     )"""
 
+_SEARCH_SQL = f"""cat AS (
+          SELECT *, p_brand || ', ' || p_type AS found_artists,
+                 list_distinct(regexp_extract_all(lower(p_name || ' ' || p_brand || ' ' || p_type), '[\\p{{L}}\\p{{N}}]+')) AS words
+          FROM part WHERE p_type IN {CATALOG_TYPES}
+        ), songs AS (
+          SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN upper(string_split(p_name, ' ')[-1]) ELSE p_name END AS title,
+                 CASE WHEN p_size % 4 = 0 THEN 'promo, ' || p_brand WHEN p_size <> {NULL_ARTIST_SIZE} THEN p_brand END AS artist
+          FROM part WHERE p_type NOT IN {CATALOG_TYPES}
+        ), searches AS (
+          SELECT title, artist, list_distinct(regexp_extract_all(lower(title || ' ' || artist), '[\\p{{L}}\\p{{N}}]+')) AS words
+          FROM songs WHERE title <> '' AND artist <> '' GROUP BY title, artist
+        ), top AS (
+          SELECT s.title, s.artist, arg_min(c.p_partkey, (c.p_retailprice, c.p_partkey)) AS hit
+          FROM searches s JOIN cat c ON list_has_all(c.words, s.words) GROUP BY s.title, s.artist
+        )"""
+
 ORACLE = {
+    "search_hits": f"""WITH {_SEARCH_SQL}
+        SELECT s.p_partkey, s.title, s.artist, 'trk' || c.p_partkey AS track_id,
+               'https://open.example.net/track/trk' || c.p_partkey AS source_link, c.p_name AS found_title, c.found_artists
+        FROM songs s JOIN top t ON s.title = t.title AND s.artist = t.artist JOIN cat c ON c.p_partkey = t.hit""",
+    "search_not_found": f"""WITH {_SEARCH_SQL}
+        SELECT p_partkey, title || ' ' || artist AS search FROM songs s
+        WHERE title <> '' AND artist <> '' AND NOT EXISTS (SELECT 1 FROM top t WHERE t.title = s.title AND t.artist = s.artist)""",
     "merge_back": f"""WITH songs AS (
           SELECT p_partkey AS _row, p_name AS title, CASE WHEN p_size <> {NULL_ARTIST_SIZE} THEN p_brand END AS artist FROM part
         ), final AS (
@@ -230,6 +274,8 @@ QUERIES = {
     "merge_back": q_merge_back,
     "catalog_hits": q_catalog_hits,
     "not_found": q_not_found,
+    "search_hits": q_search_hits,
+    "search_not_found": q_search_not_found,
     "features_fallback": q_features_fallback,
     "failed_ids": q_failed_ids,
     "known_ids": q_known_ids,
