@@ -1,6 +1,6 @@
-"""Streamed plan: incremental enrichment over the part table, landed as two
-files in row order and read one file a micro-batch (same inputs as the fold plan,
-so its oracle is the fold's)."""
+"""Streamed plan: incremental enrichment over the part table, which lands piece by
+piece in row order; the stream is resumed after each landing (same inputs as the
+fold plan, so its oracle is the fold's)."""
 
 from __future__ import annotations
 
@@ -13,23 +13,15 @@ from .enrichment import ORACLE as FOLD_ORACLE
 from .enrichment import fold_inputs
 
 
-FILES = 2
+LANDINGS = 3
+FANOUT = 2
 
 
-def _landing(spark, sf_dir):
-    """The part table as ``FILES`` files, written one after the other by row order."""
+def q_incremental_enrich(spark, sf_dir):
     part = load(spark, sf_dir, "part")
     top = part.agg(F.max("p_partkey").alias("n")).first()["n"] or 0
-    half = F.least(F.floor(F.col("p_partkey") * FILES / (top + 1)), F.lit(FILES - 1))
-    path = shared_path(spark, "incremental_landing")
-    for k in range(FILES):
-        part.where(half == k).coalesce(1).write.mode("append").parquet(path)      # one landing file of a batch
-    return path, part.schema
-
-
-def q_incremental_enrich(spark, sf_dir):
-    path, schema = _landing(spark, sf_dir)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    piece = F.least(F.floor(F.col("p_partkey") * LANDINGS / (top + 1)), F.lit(LANDINGS - 1))
+    landing, work = shared_path(spark, "incremental_landing"), shared_path(spark, "incremental_enrich")
     _, providers, cache = fold_inputs(spark, sf_dir)
 
     def prepare(batch):
@@ -40,8 +32,11 @@ def q_incremental_enrich(spark, sf_dir):
             F.when(size % 4 == 0, F.when(F.col("p_type").isin("STANDARD", "PROMO"), F.lit("Major"))
                    .otherwise(F.lit("Minor"))).alias("mode"))
 
-    work = shared_path(spark, "incremental_enrich")
-    out = run_incremental_enrich(spark, stream, prepare, providers, work, initial_cache=cache)
+    for k in range(LANDINGS):
+        # as many files as tasks; all files of a landing are one micro-batch
+        part.where(piece == k).repartition(F.col("p_partkey")).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(part.schema).parquet(landing)
+        out = run_incremental_enrich(spark, stream, prepare, providers, work, initial_cache=cache, fanout=FANOUT)
     rows = spark.read.parquet(out["rows"])
     return round_doubles(rows.select("p_partkey", "song_key", "bpm", "mode", "bpm_source", "mode_source"))
 

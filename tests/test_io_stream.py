@@ -10,7 +10,7 @@ from cadenza.operators.answers import infer_answers, lookup_answers, parse_answe
 from cadenza.operators.clips import analyse_clips
 from cadenza.operators.frames import chroma_mode, median_tempo, mono_mix, top_candidate
 from cadenza.sources import io
-from cadenza.streaming.incremental import cache_as_of, compact, run_incremental_enrich
+from cadenza.streaming.incremental import cache_as_of, merge_runs, run_incremental_enrich, runs_as_of
 
 PROV_DDL = ("song_key string, p1_bpm double, p2_bpm double, p2_mode string, p3_bpm double, "
             "p3_mode string, p4_bpm double, p4_mode string")
@@ -247,11 +247,46 @@ def test_cache_versions_deltas_and_compaction(spark, tmp_dir):
     at = lambda v: {r.song_key: r.bpm for r in cache_as_of(spark, base, v).collect()}
     assert at(0) == {"k": 1.0, "j": 5.0}                # a replay of batch 0 doesn't see what it wrote
     assert at(1) == {"k": 2.0, "j": 5.0} and at(2) == {"k": 2.0, "j": 5.0, "i": 3.0}
-    compact(spark, base, 1)
+    assert merge_runs(spark, base, 7) == [f"{base}/runs/level=1/v=7"] and at(7) == at(2)
     assert at(2) == {"k": 2.0, "j": 5.0, "i": 3.0} and at(0) == {"k": 1.0, "j": 5.0}
     assert cache_as_of(spark, os.path.join(tmp_dir, "nothing"), 5).count() == 0
 
 
+def test_runs_read_stay_bounded_over_many_versions(spark, tmp_dir):
+    """20 versions, three of them of empty batches: few runs a read, each version as a dictionary gives it."""
+    base, want, states = os.path.join(tmp_dir, "cachem"), {}, []
+    for v in range(20):
+        if v not in (3, 10, 11):
+            new = {f"k{(v * 5 + i) % 17}": float(100 * v + i) for i in range(4)}
+            io.write_snapshot(spark.createDataFrame([(k, b, None) for k, b in new.items()], "song_key string, bpm double, mode string"),
+                              base + "/deltas", version=v)
+            want.update(new)
+        merge_runs(spark, base, v, fanout=3)
+        states.append(dict(want))
+        assert len(runs_as_of(spark, base, v, 3)) <= 2 * 3
+    assert runs_as_of(spark, base, 19, 3) == [(2, 8), (2, 17), (0, 18), (0, 19)]
+    for v in (0, 2, 3, 8, 11, 17, 19):
+        got = {r.song_key: r.bpm for r in cache_as_of(spark, base, v, fanout=3).collect()}
+        assert got == states[v]
+    merge_runs(spark, base, 17, fanout=3)               # a replay writes the same
+    assert {r.song_key: r.bpm for r in cache_as_of(spark, base, 19, fanout=3).collect()} == states[19]
+
+
+def test_stream_merges_its_deltas(spark, tmp_dir):
+    land, work = os.path.join(tmp_dir, "landing3"), os.path.join(tmp_dir, "work3")
+    ddl = "_row long, song_key string, bpm double, mode string"
+    prov = spark.createDataFrame([], PROV_DDL)
+    for k in range(5):
+        rows = [(2 * k, f"k{k}", 100.0 + k, "Major"), (2 * k + 1, f"k{k // 2}", None, None)]
+        spark.createDataFrame(rows, ddl).write.mode("append").parquet(land)
+        stream = spark.readStream.schema(ddl).parquet(land)
+        out = run_incremental_enrich(spark, stream, lambda b: b, prov, work, fanout=2)
+    got = {r._row: r.bpm for r in spark.read.parquet(out["rows"]).collect()}
+    assert got == {2 * k: 100.0 + k for k in range(5)} | {2 * k + 1: 100.0 + k // 2 for k in range(5)}
+    assert runs_as_of(spark, out["cache"], 5, 2) == [(2, 3), (1, 5)]
+    assert {r.song_key: r.bpm for r in cache_as_of(spark, out["cache"], 5, fanout=2).collect()} == {f"k{k}": 100.0 + k for k in range(5)}
+
+
 def test_model_called_once_per_new_key(spark):
     calls = spark.sparkContext.accumulator(0)
 
