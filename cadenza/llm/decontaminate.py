@@ -31,6 +31,8 @@ WINDOW = 10
 BLOCK_BYTES = 1 << 20
 LONG = 24              # bytes from which a pattern counts as long
 
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"       # a word before lower-casing
+
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
                for b in range(256))
 
@@ -113,15 +115,30 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The distinct items in lists of about ``block_bytes`` of text; a list at a time is held."""
+def in_runs(items: DataFrame, window: int, run_bytes: int) -> DataFrame:
+    """``items`` (item, text) with each text of more than ``run_bytes`` cut into runs of whole words of about so
+    many bytes; a run goes on for ``window`` - 1 words into the next, so each window stands in one of them."""
+    words = F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))
+    long = F.octet_length("text") > run_bytes
+    some = items.where(long).select("item", "text", words.alias("w"))
+    step = F.greatest(F.lit(1), F.floor(F.size("w") * F.lit(run_bytes) / F.octet_length("text"))).cast("int")
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("w") - F.lit(window - 1)), step)
+    cut = some.select("item", "w", step.alias("n"), F.explode(starts).alias("at")).select(
+        "item", F.array_join(F.slice("w", F.col("at"), F.col("n") + F.lit(window - 1)), " ").alias("text"))
+    return items.where(~long).unionByName(cut)
+
+
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, window: int = WINDOW):
+    """The distinct items in lists of about ``block_bytes`` of text; a list at a time is held.  Texts are dealt by
+    item and text, long ones in runs, so an item id that holds much of the benchmark is spread over lists."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                              text_of("text").alias("text")).distinct()
+    items = in_runs(items, window, max(1, block_bytes // 4))
     size = items.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     n = max(1, math.ceil(size / block_bytes))
     for k in range(n):
         yield [(r["item"], r["text"]) for r in
-               items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == k).collect()]   # one bounded block
+               items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]   # one bounded block
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
@@ -153,7 +170,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 yield pa.RecordBatch.from_arrays([*(b.column(n) for n in back), *new], names=[*back, *found])
         return run
 
-    blocks = item_blocks(benchmark, block_bytes)
+    blocks = item_blocks(benchmark, block_bytes, window)
     items = next(blocks)
     while items is not None:
         later = next(blocks, None)

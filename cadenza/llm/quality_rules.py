@@ -27,6 +27,8 @@ SAMPLE_CHARS = 1 << 14 # ... each of at most so many characters
 WINDOW = 8
 _SPACE = " \t\n\x0b\f\r"
 _SYMBOLS = "#*$%&|<>"
+# code points of scripts that write no spaces between words: Thai, Lao, Burmese, Khmer, kana, Han
+_UNSPACED = r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
 
 # --- features ------------------------------------------------------------------------------
@@ -124,8 +126,13 @@ def n_stutters(text: Column) -> Column:
     return _let(words_of(text), _stutters)
 
 
+def n_unspaced(text: Column) -> Column:
+    """Code points of scripts that write no spaces between words."""
+    return (F.char_length(text) - F.char_length(F.regexp_replace(text, _UNSPACED, ""))).cast("bigint")
+
+
 FEATURES: dict[str, Callable[[Column], Column]] = {f.__name__: f for f in (
-    n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stutters)}
+    n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, n_stutters, n_unspaced)}
 
 
 # --- rules ---------------------------------------------------------------------------------
@@ -145,7 +152,9 @@ RULES = BASE + (
     Rule("symbols", lambda f: 10 * f("n_symbols") > 3 * f("n_words")),
     Rule("duplicate_lines", lambda f: 10 * f("n_dup_lines") > 6 * f("n_lines")),
     Rule("stutter", lambda f: 4 * f("n_stutters") > f("n_words")),
-    Rule("word_length", lambda f: (f("word_chars") > 12 * f("n_words")) | (f("word_chars") < 2 * f("n_words"))),
+    # words are long in no text half of whose characters are of scripts without spaces
+    Rule("word_length", lambda f: (f("word_chars") < 2 * f("n_words")) | ((f("word_chars") > 12 * f("n_words")) &
+                                                                        (2 * f("n_unspaced") <= f("word_chars")))),
 )
 
 
@@ -181,23 +190,24 @@ def keep_good(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:
 
 def quality_report(docs: DataFrame, rules=RULES, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, features, base_failed, kept, rejected_by) of each row: the rules in cascade
-    order over the features; ``rejected_by`` is the first that rejects."""
+    order; ``rejected_by`` is the first that rejects.  Features that are asked for as columns are computed
+    for all rows; the cascade computes n_lines, n_stutters and n_unspaced for rows that no earlier rule has rejected."""
     order = in_order(docs, rules, sample)
     wide = (docs.select("doc_id", text_of("text").alias("text"))
             .select("doc_id", "text", words_of(F.col("text")).alias("_w"), _lines(F.col("text")).alias("_l"))
             .select("doc_id", "text", "_w", "_l", _window_hashes(F.col("_w")).alias("_h")))
+    lazy = {"n_lines": F.size("_l").cast("bigint"), "n_stutters": _stutters(F.col("_w")), "n_unspaced": n_unspaced(F.col("text"))}
     stats = wide.select(
-        "doc_id",
+        "doc_id", "text", "_w", "_l",
         F.size("_w").cast("bigint").alias("n_words"),
         _joined_length(F.col("_w")).alias("word_chars"),
         n_symbols(F.col("text")).alias("n_symbols"),
-        F.size("_l").cast("bigint").alias("n_lines"),
         _repeated_lines(F.col("_l")).alias("n_dup_lines"),
-        _repeats(F.col("_h")).alias("n_repeat_words"),
-        _stutters(F.col("_w")).alias("n_stutters"))
-    base = BASE[0].rejects(F.col) | BASE[1].rejects(F.col)
+        _repeats(F.col("_h")).alias("n_repeat_words"))
+    feature = lambda name: lazy[name] if name in lazy else F.col(name)
     by = F.lit(None).cast("string")
     for rule in reversed(order):
-        by = F.when(rule.rejects(F.col), F.lit(rule.name)).otherwise(by)
-    return (stats.withColumn("base_failed", base).withColumn("rejected_by", by)
-            .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()))
+        by = F.when(rule.rejects(feature), F.lit(rule.name)).otherwise(by)
+    judged = (stats.withColumn("base_failed", BASE[0].rejects(F.col) | BASE[1].rejects(F.col)).withColumn("rejected_by", by)
+              .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull()))
+    return judged.withColumns(lazy).drop("text", "_w", "_l")

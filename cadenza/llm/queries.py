@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .base import table
+from .quality_rules import _UNSPACED
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,7 @@ def op8_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(4)) == 2
     chain = train(docs, table(spark, sf_dir, "labels").where(~held_out))
     return toxic_spans(docs, chain).select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "spans")
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,12 +118,13 @@ f AS (SELECT d.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words,
         CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
         CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
         CAST(coalesce(ln.n - ln.u, 0) AS BIGINT) AS n_dup_lines, coalesce(ln.n, 0) AS n_lines,
-        CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words, st.n AS n_stutters
+        CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words, st.n AS n_stutters,
+        length(text) - length(regexp_replace(text, '{_UNSPACED}', '', 'g')) AS n_unspaced
       FROM d LEFT JOIN cov USING (rid) LEFT JOIN ln USING (rid) LEFT JOIN st USING (rid)),
 b AS (SELECT *, (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT (base_failed OR 10 * n_symbols > 3 * n_words OR 10 * n_dup_lines > 6 * n_lines OR 4 * n_stutters > n_words
-       OR word_chars > 12 * n_words OR word_chars < 2 * n_words) AS kept
+       OR (word_chars > 12 * n_words AND 2 * n_unspaced <= word_chars) OR word_chars < 2 * n_words) AS kept
 FROM b
 """
 
@@ -169,7 +171,8 @@ OP12_SQL = rf"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
              sha256(CAST(strlen(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS h
            FROM conversations WHERE conv_id IS NOT NULL),
-own AS (SELECT conv_id, h, len(regexp_extract_all(text, '[^ 	-]+')) AS words,
+own AS (SELECT conv_id, h, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words,
           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(h, 1, 32)) - 1 AS place FROM t),
 convs AS (SELECT conv_id, {_CRC32} % 4 AS n FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM t)),
 turns AS (SELECT convs.conv_id, place, 0 AS k, h, words FROM convs JOIN own ON own.conv_id = convs.conv_id - convs.conv_id % 20 AND place < n

@@ -69,6 +69,23 @@ def test_hits_equal_the_plain_version(spark, docs, texts, block):
     assert found == plain(rows, items)
 
 
+def test_an_id_with_a_third_of_the_benchmark_is_spread(spark, docs):
+    rnd = random.Random(8)
+    text = lambda n: " ".join(rnd.choice("Red blue green, odd even high low 7 été".split()) for _ in range(n))
+    hot = [(7, text(40)) for _ in range(60)] + [(None, text(3000)), (9, text(5)), (10, "")]
+    items = hot + [(100 + k, text(40)) for k in range(60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    blocks = list(d.item_blocks(bench, 2000, 10))
+    sizes = [sum(len(t.encode()) for _, t in b) for b in blocks]
+    assert len(blocks) > 8 and max(sizes) < 3 * 2000
+    assert {(i, w) for b in blocks for i, t in b for w in d.windows_of(d.words_of(t))} == {
+        ("" if i is None else str(i), w) for i, t in items for w in d.windows_of(d.words_of(t))}
+    rows = [(1, text(200)), (2, hot[60][1][50:400]), (3, "x " + hot[3][1] + " y"), (4, text(5))]
+    got = d.contamination(docs(rows), bench, block_bytes=6000).collect()
+    found = Counter((r.doc_id, r.n_words, sum(x.b - x.a for x in r.hit_spans), ",".join(r.hit_items)) for r in got)
+    assert found == plain(rows, items)
+
+
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert d.contamination(docs([], extra=False), none).count() == 0

@@ -19,7 +19,7 @@ def good(text):
     f = plain_features(text)
     n = f["n_words"]
     return not (n < 20 or 100 * f["n_repeat_words"] > 30 * n or 10 * f["n_symbols"] > 3 * n or 10 * f["n_dup_lines"] > 6 * f["n_lines"]
-                or 4 * f["n_stutters"] > n or f["word_chars"] > 12 * n or f["word_chars"] < 2 * n)
+                or 4 * f["n_stutters"] > n or (f["word_chars"] > 12 * n and 2 * f["n_unspaced"] <= f["word_chars"]) or f["word_chars"] < 2 * n)
 
 
 def plain(docs, items):

@@ -10,6 +10,7 @@ from cadenza.llm import quality_rules as q
 from llm_fixtures import docs, texts  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 def plain(text):
@@ -23,7 +24,7 @@ def plain(text):
     lines = [x for x in (text or "").split("\n") if WORD.search(x)]
     return dict(n_words=n, word_chars=sum(map(len, w)), n_symbols=sum((text or "").count(c) for c in "#*$%&|<>"),
                 n_lines=len(lines), n_dup_lines=len(lines) - len(set(lines)), n_repeat_words=len(cover),
-                n_stutters=sum(a == b for a, b in zip(w, w[1:])))
+                n_stutters=sum(a == b for a, b in zip(w, w[1:])), n_unspaced=len(UNSPACED.findall(text or "")))
 
 
 CASES = [None, "", " \n\t ", "one", "a " * 30, "x y z\nx y z\n\nx y z", "# * $ % & | < >", "é 漢字 \x0b\x0c\r b",
@@ -41,6 +42,17 @@ def test_features_equal_the_plain_version(spark, docs, texts):
         assert r.kept == (r.rejected_by is None) and not (r.base_failed and r.kept)
 
 
+def test_long_words_go_but_not_in_scripts_without_spaces(spark, docs):
+    line = "今日は朝から雨が降っていたので家で本を読んで過ごしました{}。"
+    thai = "วันนี้ฝนตกตั้งแต่เช้าจึงอยู่บ้านอ่านหนังสือ{}"
+    rows = [(1, "\n".join(line.format(chr(0x4e00 + k)) for k in range(30))), (2, "\n".join(thai.format(k) for k in range(30))),
+            (3, " ".join(f"{k}" * 9 + "abcdefgh" for k in range(10, 40))), (4, " ".join("𠀀" * 14 + f"{k}" for k in range(30))),
+            (5, " ".join(f"word{k}" for k in range(30)) + " 今日は")]
+    report = {r.doc_id: (r.kept, r.rejected_by) for r in q.quality_report(docs(rows)).collect()}
+    assert report == {1: (True, None), 2: (True, None), 3: (False, "word_length"), 4: (True, None), 5: (True, None)}
+    assert {r.doc_id for r in q.keep_good(docs(rows)).collect()} == {1, 2, 4, 5}
+
+
 def test_cascade_keeps_what_the_report_keeps(spark, docs, texts):
     df = docs([*((i, t) for i, t in texts.items()), (None, None), (1, "")])
     kept = q.keep_good(df)
