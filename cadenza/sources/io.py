@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from ..functions import num, text
 from ..operators.common import one_per_key
-from . import ordered
+from . import documents, ordered
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
 
@@ -61,15 +61,18 @@ def read_cache_json_lines(spark: SparkSession, path: str, value_ddl: str = "BPM
 
 def import_cache_document(spark: SparkSession, path: str, value_ddl: str = "BPM double, Mode string",
                           key: str = "song_key") -> DataFrame:
-    """Import one JSON document ``{key: {field: value}, ...}`` as rows (key,
-    fields...).  The document is a single value of a single task: this is for
-    small foreign files only; the engine's own exports are lines.  A missing or
-    corrupt file gives an empty table."""
+    """Import JSON documents ``{key: {field: value}, ...}``, one a file, as rows (key, fields...).  A
+    document may be read by many tasks, at whatever line ends it has.  A key that repeats keeps its last value in the order
+    of paths and places; a value that is no object gives NULL fields.  A missing file, and one
+    that isn't a whole JSON object, gives no rows."""
     if _no_file(spark, path):
         return spark.createDataFrame([], f"{key} string, {value_ddl}")
-    raw = spark.read.text(path, wholetext=True)
-    parsed = raw.select(F.from_json("value", f"map<string, struct<{value_ddl}>>").alias("m"))
-    return parsed.select(F.explode("m").alias(key, "v")).select(key, "v.*")
+    entries = documents.object_entries(spark, path)
+    # the key by a schema that any value fits, as entries whose value is no object keep theirs
+    named = entries.select("_path", "_start", "row", F.map_keys(F.from_json("entry", "map<string, string>"))[0].alias(key),
+                           F.map_values(F.from_json("entry", f"map<string, struct<{value_ddl}>>"))[0].alias("v"))
+    last = one_per_key(named.withColumn("_place", F.struct("_path", "_start", "row")), [key], "_place", last=True)
+    return last.select(key, "v.*")
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:

@@ -135,6 +135,22 @@ def _records(states: dict):
     return run
 
 
+def put_together(found: DataFrame, sep: str) -> DataFrame:
+    """(row, value, _file, _start) of records found in splits: whole ones (``piece`` 0) as they are, those begun in one
+    split (1) joined by ``sep`` with what later splits go on with (2)."""
+    whole = found.where("piece = 0").select("row", "value", "_file", "_start")
+    # pieces: at most two a split; which beginning a later piece belongs to is found without the texts
+    parts = found.where("piece > 0")
+    marks = parts.select("_file", "_start", "piece", "row")
+    w = Window.partitionBy("_file").orderBy("_start", F.desc("piece")).rowsBetween(Window.unboundedPreceding, 0)
+    owner = marks.withColumn("o", F.last(F.when(F.col("piece") == 1, F.struct("row", F.col("_start").alias("at"))), True).over(w))
+    joined = (parts.select("_file", "_start", "piece", "value")
+              .join(owner.select("_file", "_start", "piece", F.col("o.row").alias("row"), F.col("o.at").alias("at")), ["_file", "_start", "piece"])
+              .groupBy("_file", "at", "row").agg(F.array_sort(F.collect_list(F.struct("_start", F.negative("piece").alias("k"), "value"))).alias("p"))
+              .select("row", F.array_join(F.transform("p", lambda x: x["value"]), sep).alias("value"), "_file", F.col("at").alias("_start")))
+    return whole.unionByName(joined)
+
+
 def records(spark: SparkSession, path: str) -> DataFrame:
     """(row, value): the records of CSV files without their headers, numbered from 0 in file order.
 
@@ -164,17 +180,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         _records(shipped), "row bigint, value string, _file bigint, _start bigint, piece int")
     found = materialised(found, "csv-records")
     headers = states.where("header is not null").select("_file", "_start", F.col("header").alias("row"))
-    whole = found.where("piece = 0").select("row", "value", "_file", "_start")
-    # pieces: at most two a split; which beginning a later piece belongs to is found without the texts
-    parts = found.where("piece > 0")
-    marks = parts.select("_file", "_start", "piece", "row")
-    w = Window.partitionBy("_file").orderBy("_start", F.desc("piece")).rowsBetween(Window.unboundedPreceding, 0)
-    owner = marks.withColumn("o", F.last(F.when(F.col("piece") == 1, F.struct("row", F.col("_start").alias("at"))), True).over(w))
-    joined = (parts.select("_file", "_start", "piece", "value")
-              .join(owner.select("_file", "_start", "piece", F.col("o.row").alias("row"), F.col("o.at").alias("at")), ["_file", "_start", "piece"])
-              .groupBy("_file", "at", "row").agg(F.array_sort(F.collect_list(F.struct("_start", F.negative("piece").alias("k"), "value"))).alias("p"))
-              .select("row", F.array_join(F.transform("p", lambda x: x["value"]), "\n").alias("value"), "_file", F.col("at").alias("_start")))
-    return (whole.unionByName(joined).join(F.broadcast(headers), ["_file", "_start", "row"], "left_anti").select("row", "value"))
+    found = put_together(found, "\n")
+    return found.join(F.broadcast(headers), ["_file", "_start", "row"], "left_anti").select("row", "value")
 
 
 def read_quoted_csv(spark: SparkSession, path: str, schema: StructType | str, options: dict, row_col: str | None) -> DataFrame:
