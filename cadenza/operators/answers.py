@@ -6,19 +6,28 @@ One row per unanswered key (its first row in input order) is asked, with the
 whole rendered prompt.  The default model is a native rule; a user's model is a
 ``mapInPandas`` function.  Only answers that parse become cache entries; the
 others come back as a frame of failures and stay pending.
+
+A model's answers are saved while its task runs: every few keys go to a log in the shared folder, one
+folder a bucket of keys, and a task reads its buckets' logs before it asks.  So what a lost
+executor, or a run that failed, was answered isn't asked again.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..functions import num, text
-from ..session import ship_package
+from ..session import shared_path, ship_package
 from .common import lookup_join, materialised
 from .merge import first_per_key
 
@@ -26,6 +35,7 @@ ANSWER_FIELDS = ("listening_context", "contraindications", "rationale")
 OUTPUTS = ("listening_context", "contraindications")
 PROMPT_INPUTS = ("bpm", "mode", "valence", "lyric_valence", "lyric_arousal")
 SAFE_RAW_SCHEMA = "answer_key string, raw string, error string"
+SAVE_EVERY = 100        # keys between two saves of a task
 
 
 def parse_answer(raw) -> list:
@@ -86,6 +96,77 @@ def isolate_rows(model: Callable) -> Callable:
     return run
 
 
+def log_folder(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of ``path`` as tasks reach it, and the path there."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
+
+
+def saved_answers(system: fs.FileSystem, folder: str, run: str) -> dict:
+    """{key: (raw, error)} of one bucket's log.  Of other runs only JSON objects count; the rest is asked again."""
+    def answers(raw):
+        try:
+            return isinstance(json.loads(raw or ""), dict)
+        except ValueError:
+            return False
+
+    saved = {}
+    for f in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if f.base_name.endswith(".parquet"):
+            same = f.base_name.startswith(run)
+            with system.open_input_file(f.path) as src:
+                for r in pq.read_table(src).to_pylist():
+                    if same or answers(r["raw"]):
+                        saved[r["answer_key"]] = r["raw"], r["error"]
+    return saved
+
+
+def logged(model: Callable, log: str, run: str, save_every: int) -> Callable:
+    """``model`` (after ``isolate_rows``) behind the log of answers: rows come with their ``bucket``, a bucket's rows one after
+    the other.  Files are written aside and renamed, so a reader sees whole ones."""
+    answered = ["answer_key", "raw", "error"]
+
+    def run_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, base = log_folder(log)
+        bucket, saved = None, {}
+        for pdf in batches:
+            for b, rows in pdf.groupby("bucket", sort=False):
+                folder = f"{base}/bucket={b}"
+                if b != bucket:
+                    bucket, saved = b, saved_answers(system, folder, run)
+                known = rows["answer_key"].isin(list(saved))
+                if known.any():
+                    keys = rows["answer_key"][known]
+                    yield pd.DataFrame([(k, *saved[k]) for k in keys], columns=answered)
+                todo = rows[~known].drop(columns="bucket")
+                for at in range(0, len(todo), save_every):
+                    got = pd.concat(list(model(iter([todo.iloc[at:at + save_every].reset_index(drop=True)]))), ignore_index=True)[answered]
+                    table = pa.Table.from_pandas(got, pa.schema([(c, pa.string()) for c in answered]), preserve_index=False)
+                    system.create_dir(folder, recursive=True)
+                    name = f"{folder}/{run}-{uuid.uuid4().hex}"
+                    with system.open_output_stream(name + ".tmp") as out:
+                        pq.write_table(table, out)
+                    system.move(name + ".tmp", name + ".parquet")
+                    yield got
+    return run_task
+
+
+def ask(firsts: DataFrame, model: Callable, log: str | None, save_every: int, buckets: int | None) -> DataFrame:
+    """(answer_key, raw, error) of each row of ``firsts`` by ``model``, written once."""
+    spark = firsts.sparkSession
+    ship_package(spark)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    folder = log or shared_path(spark, "answer-log")
+    dealt = (firsts.withColumn("bucket", F.pmod(F.xxhash64("answer_key"), F.lit(n)).cast("int"))
+             .repartition(n, "bucket").sortWithinPartitions("bucket"))
+    # written once: the answers are read three times, and that may bring no second round of calls either
+    return materialised(dealt.mapInPandas(logged(isolate_rows(model), folder, uuid.uuid4().hex, save_every), SAFE_RAW_SCHEMA), "answers")
+
+
 def with_prompt(tracks: DataFrame, title: str = "title", artist: str = "artist", **inputs: str) -> DataFrame:
     """``tracks`` with ``prompt``: the full text for each row (attributes, task,
     constraints).  ``inputs`` renames the columns of ``PROMPT_INPUTS``; absent ones
@@ -102,7 +183,8 @@ def with_prompt(tracks: DataFrame, title: str = "title", artist: str = "artist",
 
 def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str, model: Callable | None = None,
                   title: str = "title", artist: str = "artist", lval: str = "lyric_valence",
-                  laro: str = "lyric_arousal", prompt: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+                  laro: str = "lyric_arousal", prompt: str | None = None, log: str | None = None,
+                  save_every: int = SAVE_EVERY, buckets: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(filled tracks, new answer snapshot, failures).
 
     ``tracks`` carry ``answer_key``, ``order_col`` and the prompt's inputs (or a
@@ -110,7 +192,10 @@ def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str, model:
     (answer_key + the three fields, one row per key).  Only keys absent from it
     are asked, once each.  ``model``: a ``mapInPandas`` function that gets
     answer_key, prompt, system, title, artist, lval, laro and returns answer_key,
-    raw; None is the native rule.
+    raw; None is the native rule.  It gets at most ``save_every`` keys at a time, whose answers are
+    then saved in ``log``: a shared folder (by default a new one), which a later run may name again to
+    take over what a failed run was answered.  Keys are dealt into ``buckets`` by their hash (by default as many
+    as shuffle partitions; the same number for the same log); a task holds the saved answers of one bucket.
 
     Filled tracks have the columns of ``tracks`` with the three fields replaced
     and ``answer_source`` (cache, model, or NULL without an answer).  Failures
@@ -130,10 +215,7 @@ def infer_answers(tracks: DataFrame, answers: DataFrame, order_col: str, model:
         raw = firsts.select("answer_key", rule_based_answer(F.col("lval"), F.col("laro")).alias("raw"),
                             F.lit(None).cast("string").alias("error"))
     else:
-        ship_package(tracks.sparkSession)
-        # written once: the answers are read three times, and neither that nor a lost executor
-        # may bring a second round of (possibly paid) model calls
-        raw = materialised(firsts.mapInPandas(isolate_rows(model), SAFE_RAW_SCHEMA), "answers")
+        raw = ask(firsts, model, log, save_every, buckets)
     parsed = raw.select("answer_key", "raw", "error", *parse_answer("raw"))
     snapshot = (answers.select("answer_key", *ANSWER_FIELDS).withColumn("answer_source", F.lit("cache"))
                 .unionByName(parsed.where("parse_ok").select("answer_key", *ANSWER_FIELDS)
