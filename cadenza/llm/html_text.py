@@ -13,7 +13,8 @@ attribute names vary and whose article parts are known; nothing is read from the
 Their number and the number of pages are parameters, so the model's size is bounded.
 
 NULL and empty pages, and pages without text, give ''; broken markup is read tolerantly;
-repeated rows give repeated results; other columns are ignored.
+repeated rows give repeated results; other columns are ignored.  The content of scripts, styles, templates,
+titles and form controls is never text; that of formulas, objects, drawings, frames and noscript is judged as any other.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import html as entities
 import math
 import random
 import re
+from bisect import bisect
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -44,7 +46,9 @@ _BLOCK = set("address article aside blockquote body center dd details dialog dir
              "summary table tbody td tfoot th thead tr ul".split())
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is never text of the page.
-_SKIP = set("script style noscript template title textarea select button iframe object svg canvas audio video math".split())
+_SKIP = set("script style template title textarea select button".split())
+#: Elements of their own between blocks, part of the text inside one.
+_EMBEDDED = set("noscript iframe object svg canvas audio video".split())
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
          "th": {"td", "th"}}
 _STOPS = {"ul", "ol", "menu", "dl", "table"}
@@ -53,6 +57,7 @@ _TAGS = ["nav", "header", "footer", "aside", "form", "article", "main", "section
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _REST = re.compile(r"""[^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*>""")
+_QUOTED = re.compile(r""""[^"]*(?:"|$)|'[^']*(?:'|$)""")
 _ATTR = re.compile(r"""(class|id|role|aria-label|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PART = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
@@ -97,7 +102,8 @@ def read_page(source: str) -> Page:
             parts.clear()
         linked = 0
 
-    at, n, loose = 0, len(source), False
+    at, n = 0, len(source)
+    quoted: list[list[int]] = []  # starts and ends of the quoted strings after a tag that never ends outside them
     while at < n:
         lt = source.find("<", at)
         if lt < 0:
@@ -123,10 +129,13 @@ def read_page(source: str) -> Page:
             parts.append("<")
             at = lt + 1
             continue
-        rest = None if loose else _REST.match(source, name.end())
+        # a tag outside those strings doesn't end either, and needn't be read to the page's end again
+        lost = any(bisect(q, name.end()) % 2 == 0 for q in quoted)
+        rest = None if lost else _REST.match(source, name.end())
         if rest is None:
-            end = source.find(">", name.end())
-            loose = True                              # quotes don't match from here on
+            if not lost:
+                quoted.append([x for m in _QUOTED.finditer(source, name.end()) for x in m.span()])
+            end = source.find(">", name.end())        # its quotes don't match: it ends at the first >
             end = n if end < 0 else end + 1
         else:
             end = rest.end()
@@ -140,11 +149,12 @@ def read_page(source: str) -> Page:
             if close:
                 end = source.find(">", close.end())
                 at = n if end < 0 else end + 1
-            elif tag in ("script", "style", "template", "textarea", "title"):
+            elif tag not in ("select", "button"):
                 at = n
             parts.append(" ")
             continue
-        if tag not in _BLOCK:
+        alone = tag in _EMBEDDED and (any(tags[k] == tag for k in stack) if closing else tags[stack[-1]] != "p" and not any(map(str.strip, parts)))
+        if tag not in _BLOCK and not alone:
             if tag == "a":
                 in_link = not closing
             elif tag == "br":
@@ -177,7 +187,7 @@ def read_page(source: str) -> Page:
                 if t in _STOPS:
                     break
         open_(tag, inside)
-        if tag in _VOID or (inside.endswith("/") and tag == "hr"):
+        if tag in _VOID or (inside.endswith("/") and (alone or tag == "hr")):
             stack.pop()
     flush()
     return page

@@ -121,35 +121,48 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, id, n_bytes, bands): the hash of the text, its class (NULL without words) and
-    the keys of its bands."""
+    """(doc_id, h, id, check, n_bytes, bands): the hash of the text, 128 bits of its set of shingles as two numbers
+    (NULL without words) and the keys of its bands."""
 
     def run(batches):
         known = WordHashes()
         for b in batches:
             r = rows_of(b)
-            ids, sizes, bands = [], [], []
+            ids, checks, sizes, bands = [], [], [], []
             for t in r["text"]:
                 s = shingles(t, known)
                 sizes.append(len(t))
                 if not len(s):
                     ids.append(None)
+                    checks.append(None)
                     bands.append([])
                     continue
-                ids.append(int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True))
+                name = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+                ids.append(int.from_bytes(name[:8], "little", signed=True))
+                checks.append(int.from_bytes(name[8:], "little", signed=True))
                 m = min_hashes(s, BANDS * ROWS).reshape(BANDS, ROWS)
                 key = np.arange(BANDS, dtype=np.uint64)
                 for k in range(ROWS):
                     key = _mixed(key * _M1 + m[:, k])
                 bands.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()),
-                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "h", "id", "n_bytes", "bands"])
+                [b.column(0), b.column(1), pa.array(ids, pa.int64()), pa.array(checks, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "h", "id", "check", "n_bytes", "bands"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = text_of("text")
     return docs.select("doc_id", F.xxhash64(text).alias("h"), text.alias("text")).mapInArrow(
-        run, f"doc_id {kind}, h bigint, id bigint, n_bytes bigint, bands array<bigint>")
+        run, f"doc_id {kind}, h bigint, id bigint, check bigint, n_bytes bigint, bands array<bigint>")
+
+
+def told_apart(rows: DataFrame) -> DataFrame:
+    """``rows`` with an id for each different (id, check): sets whose first 64 bits meet, about three pairs among 10^10
+    documents, are named by a hash of all 128.  The least check keeps its id."""
+    clashes = stored(rows.where("id is not null").groupBy("id").agg(F.min("check").alias("least"), F.max("check").alias("last"))
+                     .where("least < last").select("id", "least"), "jaccard-clashes")
+    other = F.col("least").isNotNull() & (F.col("check") != F.col("least"))
+    return (rows.join(clashes, "id", "left")
+            .withColumn("id", F.when(other, F.xxhash64("id", "check")).otherwise(F.col("id"))).select(*rows.columns))
 
 
 # --- one unit of work ----------------------------------------------------------------------
@@ -265,7 +278,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     (for texts without words, of the text).
     """
     spark = docs.sparkSession
-    rows = stored(sketches(docs), "jaccard-sketches")
+    rows = told_apart(stored(sketches(docs), "jaccard-sketches"))
     worded = rows.where("id is not null")
     classes = worded.groupBy("id").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("size"),
                                        F.max("n_bytes").alias("n_bytes"),

@@ -24,11 +24,28 @@ def blocks(source):
     ("<p>a&amp;b &eacute; &#233; &am</p>", ["a&b é é &am"]), ("<p>x<script>if (a<b) '</p>'</script>y", ["x y"]),
     ("<p>x<!-- <p>no --> y", ["x y"]), ("<ul><li>a<li>b<ul><li>c</ul></ul>", ["a", "b", "c"]), ("<p>a < b > c", ["a < b > c"]),
     ('<p title="a>b">x</p>', ["x"]), ("<p title='open>x</p><p>y", ["x", "y"]), ("<style>p{}", []), ("<p>a<br>b", ["a b"]),
-    ("</div></p>x</body></html>y", ["x", "y"]), ("<textarea>no</textarea><p>x&nbsp;&nbsp;y", ["x y"]), ("<", ["<"]), ("<p", [])])
+    ("</div></p>x</body></html>y", ["x", "y"]), ("<textarea>no</textarea><p>x&nbsp;&nbsp;y", ["x y"]), ("<", ["<"]), ("<p", []),
+    ("<p>The formula <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>", ["The formula x=2 holds."]),
+    ("<p>a <noscript>b</noscript> c</p><noscript><p>d</p><p>e</p></noscript>f", ["a b c", "d", "e", "f"]),
+    ("<object data=x><p>one</p>two</object><svg/>three", ["one", "two", "three"]), ("<select><option>no</select><p>x", ["x"]),
+    ("<p title='open>x</p><p class=\"a>b\">y</p><p id=\"c>d\">z", ["x", "y", "z"])])
 def test_blocks(source, want):
     assert blocks(source) == want
 
 
+def test_embedded_elements_are_judged_on_their_own():
+    p = h.read_page("<div><noscript><p>a</p></noscript><svg><text>b</text></svg></div>")
+    assert p.tag[1:] == ["div", "noscript", "p", "svg"] and [(p.tag[e], t) for e, t, _ in p.blocks] == [("p", "a"), ("svg", "b")]
+
+
+@pytest.mark.parametrize("unit", ['<p ">"', "<p \"'>", "<p '\">", '<p "> ', "<p"])
+def test_quotes_that_never_match_take_linear_time(unit):
+    import time
+    start = time.perf_counter()
+    h.read_page(unit * 60_000 + '"')
+    assert time.perf_counter() - start < 5
+
+
 def test_parents_come_first_and_ends_are_implied():
     p = h.read_page("<div><p>a<div>b</div></div><table><tr><td>c<td>d<tr><td>e</table>")
     assert all(a < k for k, a in enumerate(p.parent) if k)

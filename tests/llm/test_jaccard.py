@@ -115,3 +115,12 @@ def test_components(spark):
     got = {(r.id, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), *((k, 20) for k in range(20, 61))}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_whose_first_numbers_meet_are_told_apart(spark):
+    from cadenza.llm.base import prepare
+    prepare(spark)
+    rows = spark.createDataFrame([("a", 7, 1), ("b", 7, 1), ("c", 7, -3), ("d", 7, 2), ("e", 8, 5), ("f", None, None)], "doc string, id long, check long")
+    got = {r.doc: r.id for r in jj.told_apart(rows).collect()}
+    assert got["a"] == got["b"] and got["c"] == 7 and got["e"] == 8 and got["f"] is None
+    assert len({got[k] for k in "acde"}) == 4
