@@ -9,7 +9,8 @@ that suffix block, which are compared directly.  Short and long patterns are sea
 apart, so that a short item doesn't shorten the jumps of all others.
 
 The benchmark is searched in blocks of about ``BLOCK_BYTES`` of text, each broadcast
-(so its size is bounded); documents go through one block after the other.
+(so its size is bounded).  If there are several, the texts are written once and read for each block,
+whose hits alone are written; the hits of all blocks come together by row.
 
 Nulls and texts without words have no hits; equal rows get equal results; repeated
 benchmark rows count once; an item whose id is NULL counts under the empty id; other
@@ -20,8 +21,10 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +32,7 @@ from .base import rows_of, stored, text_of
 
 WINDOW = 10
 BLOCK_BYTES = 1 << 20
+_SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 LONG = 24              # bytes from which a pattern counts as long
 
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"       # a word before lower-casing
@@ -147,36 +151,49 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     [start, end) inside occurrences of windows) and hit_items (sorted item ids as strings)."""
     found = ["n_words", "hit_spans", "hit_items"]
     spark, keep = docs.sparkSession, [c for c in (docs.columns if keep is None else keep) if c not in found]
-    names = [*dict.fromkeys([*keep, "text"])]
-    out = docs.select(*names, F.lit(0).cast("bigint").alias("n_words"),
-                      F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("hit_spans"),
-                      F.lit(None).cast("array<string>").alias("hit_items"))
+    kinds = "n_words bigint, hit_spans array<struct<a:bigint,b:bigint>>, hit_items array<string>"
 
-    def search(shipped, back):
+    def search(shipped, back, text, hits_only=False):
+        """Of each row the first ``back`` columns and what is found in its text, column ``text``."""
         def run(batches):
             searcher = Searcher(shipped.value, window)
             for b in batches:
-                old = rows_of(b.select(["text", "hit_spans", "hit_items"]))
                 counts, all_spans, all_items = [], [], []
-                for t, spans, items in zip(old["text"], old["hit_spans"], old["hit_items"]):
+                for t in b.column(text).to_pylist():
                     words = words_of(t or "")
                     s, i = searcher.hits(words)
                     counts.append(len(words))
-                    s += [(x["a"], x["b"]) for x in spans or []]
                     all_spans.append([{"a": x, "b": y} for x, y in merged(s)])
-                    all_items.append(sorted(i.union(items or [])))
-                new = [pa.array(counts, pa.int64()), pa.array(all_spans, b.schema.field("hit_spans").type),
-                       pa.array(all_items, b.schema.field("hit_items").type)]
-                yield pa.RecordBatch.from_arrays([*(b.column(n) for n in back), *new], names=[*back, *found])
+                    all_items.append(sorted(i))
+                new = [pa.array(counts, pa.int64()), pa.array(all_spans, _SPANS), pa.array(all_items, pa.list_(pa.string()))]
+                out = pa.RecordBatch.from_arrays([*(b.column(k) for k in range(back)), *new], names=[*b.schema.names[:back], *found])
+                yield out.filter(pc.greater(pc.list_value_length(out.column("hit_spans")), 0)) if hits_only else out
         return run
 
+    def merge(batches):
+        for b in batches:
+            r = rows_of(b)
+            spans = [[{"a": x, "b": y} for x, y in merged((s["a"], s["b"]) for s in row)] for row in r["hit_spans"]]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(spans, _SPANS), pa.array(map(sorted, map(set, r["hit_items"])), pa.list_(pa.string()))],
+                                             names=["at", *found])
+
     blocks = item_blocks(benchmark, block_bytes, window)
-    items = next(blocks)
+    items, later = next(blocks), next(blocks, None)
+    if later is None:
+        texts = docs.select(*dict.fromkeys([*keep, "text"]))
+        out = docs.select(*keep, *(F.lit(None).cast(t).alias(c) for c, t in zip(found, ("bigint", "array<struct<a:bigint,b:bigint>>", "array<string>"))))
+        return texts.mapInArrow(search(spark.sparkContext.broadcast(items), len(keep), texts.columns.index("text")), out.schema)
+    # the texts are written once, with a number for each row; of each block only the hits are
+    rows = stored(docs.select(F.struct(*keep).alias("row"), text_of("text").alias("text"), F.monotonically_increasing_id().alias("at")), "decontaminate")
+    parts, first = [], True
     while items is not None:
-        later = next(blocks, None)
-        back = keep if later is None else names
-        out = out.mapInArrow(search(spark.sparkContext.broadcast(items), back), out.select(*back, *found).schema)
-        if later is not None:
-            out = stored(out, "decontaminate")       # the blocks' tables are never held together
-        items = later
-    return out
+        shipped = spark.sparkContext.broadcast(items)
+        part = rows.select("at", "text").mapInArrow(search(shipped, 1, 1, not first), f"at bigint, {kinds}")
+        parts.append(stored(part, "decontaminate-hits"))         # the blocks' tables are never held together
+        shipped.unpersist()
+        items, later, first = later, next(blocks, None) if later is not None else None, False
+    hits = reduce(DataFrame.unionByName, parts).groupBy("at").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("hit_spans")).alias("hit_spans"),
+        F.flatten(F.collect_list("hit_items")).alias("hit_items"))
+    hits = hits.mapInArrow(merge, f"at bigint, {kinds}")
+    return rows.join(hits, "at").select("row.*", *found)
