@@ -426,9 +426,9 @@ def merged(spans) -> list[tuple[int, int]]:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] | None = None,
-                    crowd: int = GROUP, gram: int = GRAM) -> DataFrame:
-    """The columns of ``docs`` (or those given; any named like a result is replaced) and kept (binary: the remaining bytes), kept_text (the
-    same as text, without the broken characters that a cut inside one leaves), n_bytes, removed
+                    crowd: int = GROUP, gram: int = GRAM, as_bytes: bool = True) -> DataFrame:
+    """The columns of ``docs`` (or those given; any named like a result is replaced) and kept (binary: the remaining bytes; empty unless
+    ``as_bytes``), kept_text (the same as text, without the broken characters that a cut inside one leaves), n_bytes, removed
     (array of maximal byte ranges)."""
     results = ("kept", "kept_text", "n_bytes", "removed")
     columns = [c for c in (docs.columns if columns is None else columns) if c not in results]
@@ -450,7 +450,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, columns: list[str] |
                     left.append(data[at:a])
                     at = e
                 left.append(data[at:])
-                kept.append(b"".join(left))
+                kept.append(b"".join(left) if as_bytes else b"")
                 texts.append("".join(x.decode("utf-8", "ignore") for x in left))
                 sizes.append(len(data))
                 removed.append([{"start": a, "stop": e} for a, e in runs])
