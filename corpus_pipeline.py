@@ -42,7 +42,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents without the bytes inside repeated strings of ``PASSAGE`` bytes; what a cut leaves of a character goes
     with it, and n_chars follows.  A document of which only white space is left goes."""
     prepare(spark)
-    kept = without_repeats(docs.select(*COLUMNS), length=PASSAGE, gram=PASSAGE_GRAM)
+    kept = without_repeats(docs.select(*COLUMNS), length=PASSAGE, gram=PASSAGE_GRAM, as_bytes=False)
     cut = F.size("removed") > 0
     blank = F.trim(F.translate("kept_text", "\t\n\x0b\f\r", "     ")) == ""
     return kept.where(~(cut & blank)).select(
