@@ -3,8 +3,8 @@ cached scores (JOI-11).
 
 The lexicon is written once to the shared folder, so the planner knows its
 real size: tokens, exploded in the scan stage, are probed against a broadcast
-of it while it is under Spark's own threshold, and filtered, counted and joined
-by shuffle beyond; one row per document leaves the aggregation.  Cached scores and fallback
+of it while it is under Spark's own threshold; beyond, common words alone are, and the others filtered and joined
+by shuffle; one row per document leaves the aggregation.  Cached scores and fallback
 scores are joined after that, so no text is ever shuffled.
 """
 
@@ -26,9 +26,9 @@ def lexicon_scores(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFra
     ``valence``/``arousal``.  ``carry`` columns are passed through.
 
     A lexicon under Spark's broadcast threshold (or ``shuffled`` False) meets the tokens
-    where they are read.  A larger one (or ``shuffled`` True) is joined by word: tokens that a
-    Bloom filter of the lexicon excludes are dropped while reading, the others are counted by document and
-    word first, and AQE splits what is left of a common word."""
+    where they are read.  Of a larger one (or ``shuffled`` True) only the documents' most common words do
+    (``common_words``), which most tokens are; the other tokens, but those that a Bloom filter of the lexicon
+    excludes, are joined by word."""
     carry = carry or []
     lex = materialised(lexicon.select("word", F.col("valence").cast("double").alias("valence"),
                                       F.col("arousal").cast("double").alias("arousal")), "lexicon")
@@ -42,18 +42,35 @@ def lexicon_scores(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFra
             F.count("valence").alias("lex_hits"), *firsts)
     may = word_filter(lex)
     words = docs.select(F.col(id_col).alias("_id"), F.explode(text.tokens(text_col)).alias("word")).where(may("word"))
-    counted = words.groupBy("_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    hits = lookup_join(counted, lex, ["word"], "inner")
-    times = lambda c: (F.col(c) * F.col("n")).alias(f"_{c}")
-    some = lambda c: F.when(F.col(c).isNotNull(), F.col("n")).alias(f"_n_{c}")
-    found = hits.select(F.col("_id").alias(id_col), *(F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry), F.lit(False).alias("_doc"),
-                        times("valence"), times("arousal"), some("valence"), some("arousal"))
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("_valence", "double"), ("_arousal", "double"), ("_n_valence", "bigint"), ("_n_arousal", "bigint"))]
-    every = docs.select(id_col, *carry, F.lit(True).alias("_doc"), *none)
+    common = common_words(words)
+    held = lex.join(F.broadcast(common), "word")
+    common = F.broadcast(common)
+    rest = lookup_join(words.join(common, "word", "left_anti"), lex, ["word"], "inner")
+    found = rest.select(F.col("_id").alias(id_col), *(F.lit(None).cast(docs.schema[c].dataType).alias(c) for c in carry), F.lit(False).alias("_doc"),
+                        "valence", "arousal")
+    exploded = docs.select(id_col, *carry, F.lit(True).alias("_doc"), F.explode_outer(text.tokens(text_col)).alias("word"))
+    met = exploded.join(F.broadcast(held), "word", "left").drop("word")
     firsts = [F.max(F.when(F.col("_doc"), F.col(c))).alias(c) for c in carry]
-    return every.unionByName(found).groupBy(id_col).agg(
-        (F.sum("_valence") / F.sum("_n_valence")).alias("lex_valence"), (F.sum("_arousal") / F.sum("_n_arousal")).alias("lex_arousal"),
-        F.coalesce(F.sum("_n_valence"), F.lit(0).cast("bigint")).alias("lex_hits"), *firsts)
+    return met.unionByName(found).groupBy(id_col).agg(
+        F.avg("valence").alias("lex_valence"), F.avg("arousal").alias("lex_arousal"), F.count("valence").alias("lex_hits"), *firsts)
+
+
+COMMON_WORDS = 1 << 16     # that are broadcast at most
+COMMON_BYTES = 64          # of each of them
+
+
+def common_words(words: DataFrame, most: int = COMMON_WORDS) -> DataFrame:
+    """(word) of the most common ``word`` of ``words``, all that occur 2^k times or more for the least k that
+    gives no more than ``most``.  All rows are counted."""
+    counts = words.where(F.octet_length("word") <= COMMON_BYTES).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = materialised(counts.select("word", F.floor(F.log2("n")).cast("int").alias("k")), "word-counts")
+    least, held = 64, 0
+    for r in counts.groupBy("k").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("k")).collect():     # a row for each power of two
+        held += r["n"]
+        if held > most:
+            break
+        least = r["k"]
+    return materialised(counts.where(F.col("k") >= least).select("word"), "common-words")
 
 
 FILTER_BITS = 1 << 20      # of the Bloom filter; its size doesn't grow with the lexicon

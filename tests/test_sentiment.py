@@ -60,3 +60,22 @@ def test_polarity_scorer_feeds_fallback(spark):
            for r in lyric_sentiment(docs, "doc_id", "text", empty_lex, scores=scores).collect()}
     assert out[3] == (0.6, "scorer2")        # scorer 1 gave exactly 0.0: falls through
     assert out[2] == (0.6, "scorer2") and out[1][1] == "scorer1"
+
+
+def test_common_words_take_no_shuffle_by_document_and_word(spark):
+    docs = spark.createDataFrame([(1, "aa aa bb rare"), (1, "aa cc"), (2, "bb bb zz Aa once"), (None, "aa dd"), (3, ""), (4, None), (5, "zz zz zz")],
+                                 "doc_id int, text string").withColumn("n", F.coalesce("doc_id", F.lit(0)) * 10)
+    lex = spark.createDataFrame([("aa", 0.5, 0.25), ("bb", 1.0, None), ("rare", 0.0, 1.0), ("dd", None, 0.75), ("unused", 1.0, 1.0)],
+                                "word string, valence double, arousal double")
+    joined = lexicon_scores(docs, "doc_id", "text", lex, carry=["n"], shuffled=True)
+    want = {1: (0.5, 0.4375, 5, 10), 2: (round(2.5 / 3, 9), 0.25, 3, 20), None: (0.5, 0.5, 1, 0), 3: (None, None, 0, 30), 4: (None, None, 0, 40), 5: (None, None, 0, 50)}
+    assert _collect(joined) == {k: (k, *v) for k, v in want.items()}
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan and "hashpartitioning(_id" not in plan
+
+
+def test_common_words_are_the_most_frequent(spark):
+    from cadenza.operators.sentiment import common_words
+    words = spark.createDataFrame([(w,) for w, n in (("a", 9), ("b", 8), ("c", 4), ("d", 2), ("e", 1), ("x" * 65, 30)) for _ in range(n)], "word string")
+    found = {most: {r.word for r in common_words(words, most).collect()} for most in (9, 3, 2, 1)}
+    assert found == {9: {"a", "b", "c", "d"}, 3: {"a", "b", "c"}, 2: {"a", "b"}, 1: set()}
