@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from ..functions import num, text
-from ..operators.common import one_per_key
+from ..operators.common import materialised, one_per_key
 from . import documents, ordered
 
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
@@ -99,7 +99,7 @@ def count_listed_lines(spark: SparkSession, path: str) -> DataFrame:
     at = F.when(F.col("full"), F.col("_at"))
     splits = lines.groupBy(*ordered.PLACE).agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("_at"), F.min(at).alias("first"), F.max(at).alias("last"))
     before = ordered.before("n") - F.col("_at")
-    placed = splits.select((before + F.col("first")).alias("first"), (before + F.col("last")).alias("last"))
+    placed = materialised(splits.select((before + F.col("first")).alias("first"), (before + F.col("last")).alias("last")), "line-splits")
     return placed.agg(F.coalesce(F.max("last") - F.min("first") + F.lit(1), F.lit(0)).alias("n_lines"))
 
 

@@ -170,8 +170,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
     states = states.withColumn("rows", F.col("n") - F.when((F.col("n") > 0) & first, 1).otherwise(0))
     states = states.withColumn("row", before("rows") - (F.col("rows") < F.col("n")).cast("int"))
     states = states.withColumn("header", F.when(F.col("rows") < F.col("n"), F.col("row")))
+    states = materialised(states.select("_path", "_file", "_start", "open", "row", "header"), "csv-states")
     table, paths = {}, {}
-    for r in states.select("_path", "_file", "_start", "open", "row", "header").collect():
+    for r in states.collect():
         if paths.setdefault(r["_file"], r["_path"]) != r["_path"]:
             raise ValueError("two paths with one hash")
         table[r["_file"], r["_start"]] = r["open"], r["row"]
