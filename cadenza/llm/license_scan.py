@@ -185,7 +185,9 @@ def training_lines(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(family, words, fixed): templates in variants, and negatives from a bounded sample of the corpus.
     ``fixed`` rows have no words of the corpus."""
     spark = docs.sparkSession
-    corpus = few_texts(docs, sample, SAMPLE_CHARS).select(F.explode(paragraphs_of(F.col("text"))).alias("line"))
+    # stored: as literals the texts would be part of every plan made of them, which the driver keeps
+    texts = stored(few_texts(docs, sample, SAMPLE_CHARS), "license-sample")
+    corpus = texts.select(F.explode(paragraphs_of(F.col("text"))).alias("line"))
     quiet = ~_has_cue(F.col("line"))
     corpus = corpus.where(quiet & (F.trim("line") != "")).select(F.lit("none").alias("family"), words_of(F.col("line")).alias("words"))
     sound = _lines(spark, [("none", x) for x in SOUNDALIKES]).select("family", words_of(F.col("line")).alias("words"))

@@ -150,3 +150,9 @@ def test_against_a_plain_version(spark, model):
         x = got[r.text]
         assert x.family == model.families[k] and abs(x.probability - p[k]) < 1e-9 and abs(x.share - share) < 1e-12
         assert x.license == (k > 0) and x.confirmed == (k > 0 and p[k] >= model.accept and share >= ls.OVERLAP)
+
+
+def test_no_plan_holds_the_sample(docs):
+    lines = ls.training_lines(docs([(1, "A markedword stands in this line of the corpus.\nAnd here."), (2, None)]))
+    assert "markedword" not in lines._jdf.queryExecution().toString()
+    assert any("markedword" in r.words for r in lines.collect())
