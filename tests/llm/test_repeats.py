@@ -84,5 +84,24 @@ def test_kept_text_has_no_broken_characters(docs):
         assert "�" not in r.kept_text and len(bytes(r.kept)) + sum(x.stop - x.start for x in r.removed) == r.n_bytes
 
 
+def test_query_cuts_passages_of_400_bytes_and_no_shorter_ones(spark, docs, tmp_path):
+    """Passages of over 50 words go by their bytes, not their words; n_bytes counts the whole text."""
+    from cadenza.llm.queries import op1_suffix_dedup
+    rnd = random.Random(12)
+    say = lambda n: " ".join("".join(rnd.choice("abcdefghijklm") for _ in range(rnd.choice([3, 4, 4, 5, 5, 6, 7, 8]))) for _ in range(n))
+    passages = [say(n) for n in (51, 55, 60)] + [say(100)[:399 - 2], say(100)[:400 - 2], say(100)]
+    # other letters on both sides: exactly the passage and a space on each side are shared
+    rows = [(10 * k + i, "nopqrstuvw"[i] * 9 + f" {x} " + "QRSTUVWXYZ"[i] * 9) for k, x in enumerate(passages) for i in range(4)]
+    docs(rows).write.parquet(str(tmp_path / "documents.parquet"))
+    want = {}
+    for (i, t), spans in zip(rows, plain([t.encode() for _, t in rows])):
+        left = "".join(t[a:b] for a, b in zip([0, *(b for _, b in spans)], [*(a for a, _ in spans), len(t)]))
+        want[i] = (len(t), sum(b - a for a, b in spans), len(spans), hashlib.sha256(left.encode()).hexdigest())
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in op1_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert got == want
+    assert [len(x.split()) > 50 and len(x) + 2 < 400 for x in passages[:3]] == [True] * 3
+    assert [got[10 * k][1] for k in range(6)] == [0, 0, 0, 0, 400, len(passages[5]) + 2]
+
+
 def test_empty_table(docs):
     assert rs.without_repeats(docs([])).count() == 0
